@@ -17,18 +17,23 @@ def cents(c: str | Column) -> Column:
     return F.round(col(c) * 100).cast("long")
 
 
+def exact_sum_int(c: Column) -> Column:
+    """Exact integer sum (DECIMAL accumulator: no overflow at any row count)."""
+    return F.sum(c.cast("decimal(20,0)")).cast("double")
+
+
 def mean_cents(c: str | Column) -> Column:
     """Exact mean of 2-decimal values: integer sum, one IEEE division.
 
     A double ``avg`` depends on summation order in the last bits; this does
     not, so any engine computing it the same way gets the identical double.
     """
-    return F.try_divide(F.sum(cents(c)), F.count(col(c)) * F.lit(100.0))
+    return F.try_divide(exact_sum_int(cents(c)), F.count(col(c)) * F.lit(100.0))
 
 
 def sum_cents(c: str | Column) -> Column:
     """Exact sum of 2-decimal values as a double."""
-    return F.sum(cents(c)) / F.lit(100.0)
+    return exact_sum_int(cents(c)) / F.lit(100.0)
 
 
 def flag(cond: Column) -> Column:

@@ -14,6 +14,14 @@ TYPE_COLS = [c for _, c in TYPES]
 TOTAL = "(" + " + ".join(TYPE_COLS) + ")"
 
 
+def mean_cents(x: str) -> str:
+    return f"CAST(sum(CAST(round({x} * 100) AS HUGEINT)) AS DOUBLE) / nullif(count({x}) * 100.0, 0)"
+
+
+def sum_cents(x: str) -> str:
+    return f"CAST(sum(CAST(round({x} * 100) AS HUGEINT)) AS DOUBLE) / 100.0"
+
+
 def _counts(prefix: str = "") -> str:
     return ",\n  ".join(f"count(*) FILTER (WHERE {prefix}o_orderpriority = '{v}') AS {c}"
                         for v, c in TYPES)
@@ -32,7 +40,7 @@ pop AS (
 yearly AS (
   SELECT n.n_name AS county, m.year,
          {", ".join(f"CAST(sum(m.{c}) AS BIGINT) AS {c}" for c in TYPE_COLS)},
-         sum(CAST(round(c.c_acctbal * 100) AS BIGINT)) / nullif(count(c.c_acctbal) * 100.0, 0) AS officers
+         {mean_cents('c.c_acctbal')} AS officers
   FROM monthly m LEFT JOIN customer c ON m.agency = c.c_custkey
        LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
   GROUP BY n.n_name, m.year),
@@ -52,3 +60,189 @@ WITH {PANEL_CTE}
 SELECT county, year, {", ".join(TYPE_COLS)}, officers, population,
        crime_rate, homicide_rate
 FROM panel"""
+
+
+def _in(names) -> str:
+    return "(" + ", ".join(f"'{n}'" for n in names) + ")"
+
+
+TOP = ["NATION_2", "NATION_5", "NATION_11", "NATION_17", "NATION_23"]
+RES = ["NATION_1", "NATION_4", "NATION_6", "NATION_9", "NATION_13", "NATION_16", "NATION_19", "NATION_22"]
+METRO = ["NATION_2", "NATION_5"]
+
+ORACLE["monthly_type_long"] = f"""
+WITH {MONTHLY_CTE},
+long AS (UNPIVOT monthly ON {", ".join(TYPE_COLS)} INTO NAME crime_type VALUE n)
+SELECT month, year, crime_type, CAST(sum(n) AS BIGINT) AS n_orders FROM long GROUP BY ALL"""
+
+ORACLE["type_pivot_wide"] = f"""
+WITH {MONTHLY_CTE}
+SELECT agency, month, {", ".join(f"CAST({c} AS BIGINT) AS {c}" for c in TYPE_COLS)} FROM monthly"""
+
+ORACLE["set_flags"] = f"""
+WITH {PANEL_CTE}
+SELECT county, year,
+  CASE WHEN county IN {_in(TOP)} THEN 1 ELSE 0 END AS top_cities,
+  CASE WHEN county IN {_in(RES)} THEN 1 ELSE 0 END AS reservations,
+  CASE WHEN county IN {_in(METRO)} THEN 1 ELSE 0 END AS msp_main_counties,
+  CASE WHEN year >= 1998 THEN 1 ELSE 0 END AS post
+FROM panel"""
+
+ORACLE["left_join_fan_out"] = f"""
+WITH monthly AS (
+  SELECT o_custkey AS agency, CAST(date_trunc('month', o_orderdate) AS DATE) AS month,
+         CAST(year(o_orderdate) AS INTEGER) AS year, count(*) AS n_orders
+  FROM orders GROUP BY ALL),
+yearly AS (
+  SELECT o_custkey AS agency, CAST(year(o_orderdate) AS INTEGER) AS year,
+         {mean_cents('o_totalprice')} AS officers
+  FROM orders GROUP BY ALL),
+mapping AS (
+  SELECT c_custkey AS agency, 'N' || c_nationkey AS geo, 'nation' AS kind
+  FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey
+  UNION ALL
+  SELECT c_custkey, 'R' || n_regionkey, 'region'
+  FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey),
+geo_yearly AS (
+  SELECT 'N' || c.c_nationkey AS geo, CAST(year(o.o_orderdate) AS INTEGER) AS year, count(*) AS geo_orders
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey GROUP BY ALL)
+SELECT m.agency, m.month, m.year, m.n_orders, y.officers, mp.geo, mp.kind, g.geo_orders
+FROM monthly m
+LEFT JOIN yearly y ON m.agency = y.agency AND m.year = y.year
+LEFT JOIN mapping mp ON m.agency = mp.agency
+LEFT JOIN geo_yearly g ON mp.geo = g.geo AND m.year = g.year"""
+
+
+def _county_year(where: str = "") -> str:
+    return f"""(
+  SELECT n.n_name AS county, CAST(year(o.o_orderdate) AS INTEGER) AS year,
+         count(*) AS population, {mean_cents('o.o_totalprice')} AS income
+  FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey
+       LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
+  {where} GROUP BY ALL)"""
+
+
+ORACLE["suffix_join"] = f"""
+SELECT a.county, a.year, a.population AS population_acs1, a.income AS income_acs1,
+       b.population AS population_acs5, b.income AS income_acs5
+FROM {_county_year()} a LEFT JOIN {_county_year("WHERE o.o_orderstatus = 'F'")} b
+  ON a.county = b.county AND a.year = b.year"""
+
+ORACLE["scalar_offset"] = """
+SELECT o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS year,
+       CAST(year(o_orderdate) - (SELECT min(year(o_orderdate)) FROM orders) AS INTEGER) AS periods
+FROM orders"""
+
+ORACLE["two_level_population"] = f"""
+WITH {PANEL_CTE},
+lvl1 AS (SELECT year, county, max(population) AS population, sum(urgent) AS homicides FROM panel GROUP BY ALL)
+SELECT make_date(year, 1, 1) AS month, CAST(sum(homicides) AS BIGINT) AS homicides,
+       CAST(sum(population) AS BIGINT) AS population, 'Yearly' AS type
+FROM lvl1 GROUP BY year"""
+
+ORACLE["panel_window_distinct"] = f"""
+WITH {MONTHLY_CTE},
+rows AS (
+  SELECT n.n_name AS county, m.year, {", ".join(f"m.{c}" for c in TYPE_COLS)}, c.c_acctbal
+  FROM monthly m LEFT JOIN customer c ON m.agency = c.c_custkey
+       LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey),
+win AS (
+  SELECT DISTINCT county, year,
+    {", ".join(f"CAST(sum({c}) OVER (PARTITION BY county, year) AS BIGINT) AS {c}" for c in TYPE_COLS)},
+    CAST(sum(CAST(round(c_acctbal * 100) AS HUGEINT)) OVER (PARTITION BY county, year) AS DOUBLE)
+      / nullif(count(c_acctbal) OVER (PARTITION BY county, year) * 100.0, 0) AS officers
+  FROM rows),
+pop AS (
+  SELECT n.n_name AS county, count(*) AS population
+  FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey GROUP BY n.n_name)
+SELECT w.*, p.population, {TOTAL} / p.population AS crime_rate, urgent / p.population AS homicide_rate
+FROM win w LEFT JOIN pop p USING (county)"""
+
+ORACLE["count_per_key_filter"] = """
+SELECT o_orderkey, o_custkey, o_orderpriority, CAST(year(o_orderdate) AS INTEGER) AS year,
+       count(*) OVER (PARTITION BY o_custkey, o_orderpriority, year(o_orderdate)) AS n
+FROM orders
+QUALIFY n > 1"""
+
+ORACLE["dedup_keep_first"] = """
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority,
+       CAST(year(o_orderdate) AS INTEGER) AS year
+FROM orders
+QUALIFY row_number() OVER (PARTITION BY o_custkey, year(o_orderdate)
+                           ORDER BY o_orderdate, o_orderkey) = 1"""
+
+_W5 = "OVER (PARTITION BY county ORDER BY year ROWS BETWEEN 4 PRECEDING AND CURRENT ROW)"
+ORACLE["rolling5_complete"] = f"""
+WITH {PANEL_CTE},
+rolled AS (
+  SELECT county, year, population,
+    {", ".join(f"CASE WHEN count({c}) {_W5} = 5 THEN avg({c}) {_W5} END AS {c}" for c in TYPE_COLS)}
+  FROM panel)
+SELECT county, year, {", ".join(TYPE_COLS)}, population,
+       {TOTAL} / population AS crime_rate, urgent / population AS homicide_rate
+FROM rolled"""
+
+ORACLE["lag_rate"] = f"""
+WITH {PANEL_CTE}
+SELECT county, year, crime_rate, lag(crime_rate, 1) OVER (PARTITION BY county ORDER BY year) AS crime_rate_lag1
+FROM panel"""
+
+_BACK = "OVER (PARTITION BY county ORDER BY year ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+_FWD = "OVER (PARTITION BY county ORDER BY year ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)"
+ORACLE["interpolate_gaps"] = f"""
+WITH {PANEL_CTE},
+g AS (SELECT county, year, CASE WHEN year NOT IN (1995, 1996, 2000) THEN officers END AS officers_gap FROM panel),
+nb AS (
+  SELECT *,
+    last_value(CASE WHEN officers_gap IS NOT NULL THEN CAST(year AS DOUBLE) END IGNORE NULLS) {_BACK} AS px,
+    last_value(officers_gap IGNORE NULLS) {_BACK} AS pv,
+    first_value(CASE WHEN officers_gap IS NOT NULL THEN CAST(year AS DOUBLE) END IGNORE NULLS) {_FWD} AS qx,
+    first_value(officers_gap IGNORE NULLS) {_FWD} AS qv
+  FROM g)
+SELECT county, year, officers_gap,
+       coalesce(officers_gap, pv + (qv - pv) * ((CAST(year AS DOUBLE) - px) / nullif(qx - px, 0))) AS officers_interp
+FROM nb"""
+
+ORACLE["scale_factor_series"] = f"""
+WITH {PANEL_CTE},
+y AS (SELECT year, CAST(sum(population) AS BIGINT) AS population, sum({TOTAL}) AS total FROM panel GROUP BY year),
+y2 AS (SELECT year, population, total / population AS crime_rate FROM y),
+s AS (SELECT max(crime_rate) / max(population) AS scale_factor FROM y2)
+SELECT year, population, crime_rate, scale_factor, crime_rate / scale_factor AS crime_rate_scaled
+FROM y2, s"""
+
+_DIFF_COLS = ["crime_rate", "officers"] + TYPE_COLS
+ORACLE["regime_diff"] = f"""
+WITH {PANEL_CTE},
+p AS (SELECT *, CASE WHEN year >= 1998 THEN 1 ELSE 0 END AS post FROM panel WHERE year IN (1997, 2000))
+SELECT county,
+  {", ".join(f"max(CASE WHEN post = 1 THEN {c} END) - max(CASE WHEN post = 0 THEN {c} END) AS {c}_diff" for c in _DIFF_COLS)}
+FROM p GROUP BY county
+HAVING count(*) FILTER (WHERE post = 1) = 1 AND count(*) FILTER (WHERE post = 0) = 1"""
+
+ORACLE["group_row_ranges"] = f"""
+WITH {PANEL_CTE},
+n AS (SELECT county, row_number() OVER (ORDER BY county, year) AS rn FROM panel)
+SELECT county, min(rn) AS first_row, max(rn) AS last_row FROM n GROUP BY county"""
+
+ORACLE["union_missing_columns"] = f"""
+WITH {PANEL_CTE}
+SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS month, count(*) AS n_orders, 'Monthly' AS type
+FROM orders GROUP BY 1
+UNION ALL BY NAME
+SELECT make_date(year, 1, 1) AS month, CAST(sum({TOTAL}) AS BIGINT) AS n_orders,
+       CAST(sum(population) AS BIGINT) AS population, 'Yearly' AS type
+FROM panel GROUP BY year"""
+
+ORACLE["derived_measures"] = f"""
+WITH {PANEL_CTE}
+SELECT county, year,
+  urgent / nullif({TOTAL}, 0) * 100.0 AS pct_urgent,
+  (urgent + high) / nullif({TOTAL}, 0) * 100.0 AS pct_high_or_greater,
+  (medium + not_specified + low) / nullif({TOTAL}, 0) * 100.0 AS pct_routine,
+  {TOTAL} / population AS orders_per_customer,
+  round(CASE WHEN officers > 0 THEN ln(officers) END, 9) AS log_officers,
+  round(sqrt(urgent), 9) AS sqrt_urgent,
+  round(log10(population), 9) AS log10_population,
+  pow(urgent, 2) AS urgent_sq
+FROM panel"""

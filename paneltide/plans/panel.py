@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.reshape import pivot_wide, safe_name
-from ..functions.expr import mean_cents
+from ..functions.expr import cents, exact_sum_int, mean_cents
 from ..sources.tables import Tables
 
 # The incident types (order priorities) and their column names.
@@ -83,3 +83,44 @@ def panel_yearly(t: Tables) -> DataFrame:
 def with_post(df: DataFrame, year: str = "year") -> DataFrame:
     """Regime indicator."""
     return df.withColumn("post", F.when(F.col(year) >= POST_YEAR, 1).otherwise(0))
+
+
+def orders_by_county_year(t: Tables, where=None) -> DataFrame:
+    """Orders pre-aggregated to (customer, year) before the customer join,
+    then rolled to (county, year): the join sees one row per customer-year
+    instead of one per order."""
+    o = t.orders
+    if where is not None:
+        o = o.filter(where)
+    per_cust = (o.groupBy(F.col("o_custkey").alias("agency"),
+                          F.year("o_orderdate").alias("year"))
+                  .agg(F.count(F.lit(1)).alias("n"),
+                       exact_sum_int(cents("o_totalprice")).alias("price_cents")))
+    cust = t.customer.select(F.col("c_custkey").alias("agency"), "c_nationkey")
+    return (per_cust.join(cust, "agency", "left")
+            .join(nation_dim(t), F.col("c_nationkey") == F.col("n_nationkey"), "left")
+            .groupBy("county", "year")
+            .agg(F.sum("n").alias("population"),
+                 F.try_divide(F.sum("price_cents"), F.sum("n") * F.lit(100.0)).alias("income")))
+
+
+def derived_measures(df: DataFrame, suffix: str = "") -> DataFrame:
+    """Table of named derived measures (E14), built once per suffix.
+
+    ``suffix`` selects the source columns (``population{suffix}`` ...), as the
+    reference builds the same measures for its two survey variants.
+    """
+    s = suffix
+    total = sum((F.col(c + s) for c in TYPE_COLS[1:]), F.col(TYPE_COLS[0] + s))
+    pct = lambda num: F.try_divide(num, total) * F.lit(100.0)
+    exprs = {
+        "pct_urgent": pct(F.col("urgent" + s)),
+        "pct_high_or_greater": pct(F.col("urgent" + s) + F.col("high" + s)),
+        "pct_routine": pct(F.col("medium" + s) + F.col("not_specified" + s) + F.col("low" + s)),
+        "orders_per_customer": F.try_divide(total, F.col("population" + s)),
+        "log_officers": F.ln(F.col("officers" + s)),
+        "sqrt_urgent": F.sqrt(F.col("urgent" + s)),
+        "log10_population": F.log10(F.col("population" + s)),
+        "urgent_sq": F.pow(F.col("urgent" + s), F.lit(2)),
+    }
+    return df.withColumns(exprs)
