@@ -63,8 +63,7 @@ def month_label(ts: str | Column) -> Column:
 
 def parse_month_label(label: str | Column) -> Column:
     """'MM-yyyy' -> first-of-month DATE (E6); unparsable -> NULL."""
-    return F.try_to_date(col(label), F.lit("MM-yyyy")) if hasattr(F, "try_to_date") \
-        else F.to_date(col(label), "MM-yyyy")
+    return F.try_to_date(col(label), "MM-yyyy")
 
 
 def year_start(year: str | Column) -> Column:

@@ -85,8 +85,9 @@ def pivot_multi(df: DataFrame, ids: Sequence[str], names_from: str, values: Sequ
     outs = []
     for vc in value_cols:
         for v in values:
-            outs.append(agg(F.when(F.col(names_from) == F.lit(v), F.col(vc)))
-                        .alias(template.format(value=vc, name=v)))
+            picked = F.when(F.col(names_from) == F.lit(v), F.col(vc))
+            c = agg(picked, ignorenulls=True) if agg in (F.first, F.last) else agg(picked)
+            outs.append(c.alias(template.format(value=vc, name=v)))
     return df.groupBy(*ids).agg(*outs)
 
 

@@ -246,3 +246,76 @@ SELECT county, year,
   round(log10(population), 9) AS log10_population,
   pow(urgent, 2) AS urgent_sq
 FROM panel"""
+
+_KEY = "l_orderkey, l_linenumber, l_partkey"
+_MEAS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+_POST = "CASE WHEN year(l_shipdate) >= 1998 THEN 1 ELSE 0 END"
+
+ORACLE["unpivot_measures"] = f"""
+SELECT {_KEY}, variable, value
+FROM (UNPIVOT (SELECT {_KEY}, {", ".join(_MEAS)} FROM lineitem)
+      ON {", ".join(_MEAS)} INTO NAME variable VALUE value)"""
+
+ORACLE["multi_value_pivot"] = "\nUNION ALL\n".join(f"""
+SELECT '{m}' AS variable,
+  {mean_cents(f"CASE WHEN {_POST} = 0 THEN {m} END")} AS mean_pre,
+  {mean_cents(f"CASE WHEN {_POST} = 1 THEN {m} END")} AS mean_post,
+  round(stddev_samp({m}) FILTER (WHERE {_POST} = 0), 6) AS sd_pre,
+  round(stddev_samp({m}) FILTER (WHERE {_POST} = 1), 6) AS sd_post
+FROM lineitem""" for m in _MEAS)
+
+ORACLE["event_code_lookup"] = """
+SELECT event_id, event_type, value, d.event_label
+FROM events NATURAL LEFT JOIN (VALUES ('view', 'Page view'), ('click', 'Click'),
+  ('purchase', 'Purchase'), ('signup', 'Sign-up')) d(event_type, event_label)"""
+
+ORACLE["path_key_split"] = r"""
+SELECT page_id,
+  regexp_extract(url, '^([a-z]+)://', 1) AS scheme,
+  regexp_extract(url, '^[a-z]+://([^/]+)', 1) AS host,
+  string_split_regex(regexp_replace(url, '^(?:[a-z]+://)', ''), '[/._]')[2] AS piece2,
+  upper(split_part(regexp_replace(url, '^(?:[a-z]+://)', ''), '/', 2)) AS lang,
+  regexp_extract(url, '/([0-9]+)', 1) AS page_key,
+  CAST(regexp_matches(url, '\?') AS INTEGER) AS has_query
+FROM pages"""
+
+ORACLE["month_label_parse"] = """
+WITH g AS (SELECT strftime(o_orderdate, '%m-%Y') AS label, count(*) AS n_orders FROM orders GROUP BY 1),
+p AS (SELECT *, CAST(strptime(label, '%m-%Y') AS DATE) AS month FROM g)
+SELECT label, n_orders, month, CAST(year(month) AS INTEGER) AS year,
+       make_date(CAST(year(month) AS INTEGER), 1, 1) AS year_start,
+       CASE WHEN regexp_matches(label, '^0[1-6]-') THEN 1 ELSE 0 END AS first_half,
+       CAST(substr(label, 1, 2) AS INTEGER) AS mm, 'm' || label AS header
+FROM p"""
+
+ORACLE["zero_to_null_and_back"] = f"""
+SELECT {_KEY}, nullif(l_discount, 0) AS disc_na, nullif(l_tax, 0) AS tax_na,
+       coalesce(nullif(l_discount, 0), 0.0) AS disc_filled
+FROM lineitem WHERE nullif(l_tax, 0) IS NOT NULL"""
+
+ORACLE["ratio_of_sums"] = f"""
+WITH g AS (
+  SELECT CAST(year(l_shipdate) AS INTEGER) AS year, count(*) AS n, sum(l_quantity) AS sum_qty,
+    {sum_cents('l_extendedprice')} AS sum_price,
+    CAST(sum(CAST(round(l_extendedprice * 100) AS HUGEINT) * CAST(round(l_discount * 100) AS HUGEINT)) AS DOUBLE)
+      / 10000.0 AS sum_disc_amount,
+    count(*) FILTER (WHERE l_returnflag = 'R') AS n_returned
+  FROM lineitem GROUP BY 1)
+SELECT year, n, sum_qty, sum_price, sum_disc_amount, sum_price / sum_qty AS price_per_qty,
+       n_returned / n AS return_rate
+FROM g"""
+
+ORACLE["range_except"] = """
+SELECT * FROM (
+  SELECT unnest(generate_series(min(date_trunc('hour', ts)), max(date_trunc('hour', ts)), INTERVAL 1 HOUR)) AS hour
+  FROM events)
+EXCEPT
+SELECT date_trunc('hour', ts) AS hour FROM events WHERE event_type = 'error'"""
+
+ORACLE["complete_case_counts"] = f"""
+SELECT {_POST} AS post, count(*) AS n_total,
+  count(*) FILTER (WHERE l_extendedprice IS NOT NULL AND l_quantity IS NOT NULL
+                   AND nullif(l_discount, 0) IS NOT NULL AND nullif(l_tax, 0) IS NOT NULL) AS n_complete,
+  count(*) FILTER (WHERE nullif(l_discount, 0) IS NULL) AS n_disc_missing,
+  count(*) FILTER (WHERE nullif(l_tax, 0) IS NULL) AS n_tax_missing
+FROM lineitem GROUP BY 1"""
