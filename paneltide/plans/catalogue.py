@@ -49,4 +49,4 @@ def tables(spark: SparkSession, sf_dir: str) -> Tables:
 
 
 # Importing the modules registers their queries.
-from . import q_panel, q_relational, q_stats  # noqa: E402,F401
+from . import q_geo, q_panel, q_relational, q_stats  # noqa: E402,F401

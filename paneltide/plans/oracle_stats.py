@@ -412,3 +412,37 @@ tt AS ({_tidy("dr", ["(Intercept)", "officers_diff", "urgent_diff"],
 SELECT term, {_r("estimate")} AS estimate, {_r("std_error")} AS std_error, {_r("t_stat")} AS statistic,
        {_r("p_value")} AS p_value
 FROM tt JOIN tp USING (term)"""
+
+# ---- G1-G4 spherical polygons on supplier cells
+_RINGS = """rings AS (
+  SELECT s_suppkey AS geoid, 0 AS ring_id, c.seq,
+         -180.0 + CAST(s_suppkey % 360 AS DOUBLE) + CASE WHEN c.seq IN (1, 2) THEN 0.5 + CAST(s_suppkey % 5 AS DOUBLE) * 0.25 ELSE 0.0 END AS lon,
+         -60.0 + CAST((s_suppkey // 360) % 120 AS DOUBLE) + CASE WHEN c.seq IN (2, 3) THEN 0.5 + CAST(s_suppkey % 3 AS DOUBLE) * 0.25 ELSE 0.0 END AS lat
+  FROM supplier, (SELECT unnest([0, 1, 2, 3]) AS seq) c),
+edges AS (
+  SELECT *,
+    coalesce(lead(lon) OVER w, first_value(lon) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)) AS lon2,
+    coalesce(lead(lat) OVER w, first_value(lat) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)) AS lat2
+  FROM rings WINDOW w AS (PARTITION BY geoid, ring_id ORDER BY seq)),
+area AS (
+  SELECT geoid, abs(sum(2 * atan2(tan(radians(lon2 - lon) / 2) * (tan(radians(lat) / 2) + tan(radians(lat2) / 2)),
+                                   1 + tan(radians(lat) / 2) * tan(radians(lat2) / 2)))) * 6371010.0 * 6371010.0 AS area_m2
+  FROM edges GROUP BY geoid)"""
+
+ORACLE["polygon_area"] = f"""
+WITH {_RINGS}
+SELECT geoid, round(area_m2, 0) AS area_m2 FROM area"""
+
+ORACLE["polygon_centroid"] = f"""
+WITH {_RINGS},
+c AS (
+  SELECT geoid, sum(lon * lat2 - lon2 * lat) AS a2, sum((lon + lon2) * (lon * lat2 - lon2 * lat)) AS sx,
+         sum((lat + lat2) * (lon * lat2 - lon2 * lat)) AS sy
+  FROM edges WHERE geoid IN (SELECT s_suppkey FROM supplier WHERE s_acctbal > 0) GROUP BY geoid)
+SELECT geoid, round(sx / (3.0 * a2), 9) AS cx, round(sy / (3.0 * a2), 9) AS cy FROM c"""
+
+ORACLE["polygon_density"] = f"""
+WITH {_RINGS},
+l AS (SELECT l_suppkey AS geoid, count(*) AS n_lines FROM lineitem GROUP BY 1)
+SELECT l.geoid, l.n_lines, round(a.area_m2, 0) AS area_m2, round(l.n_lines / (a.area_m2 / 1e6), 9) AS lines_per_km2
+FROM l LEFT JOIN area a USING (geoid)"""
