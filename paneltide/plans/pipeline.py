@@ -1,0 +1,216 @@
+"""The reference's three entry points, on landing files (section 3 of the survey).
+
+Entry 1  crime ingest      landing CSVs -> crime_data            (sources.landing)
+Entry 2  census + merge    extracts -> mapping/acs tables -> merged crime table
+                           -> one shared yearly rollup -> map / acs1 / acs5 panels
+Entry 3  analysis          tests and models on the acs5 panel
+
+Plan notes: the yearly rollup is computed once and shared by the three
+branches (persisted); dimension tables (mapping, survey panels, attributes)
+are joined without hints so AQE picks broadcast joins from measured sizes;
+windows are partitioned by county (a county's years, never the table).
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+from dataclasses import dataclass
+
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions.expr import flag, flag_in
+from ..operators import kde as K
+from ..operators import linmodel as L
+from ..operators import panel as ops
+from ..operators import stats as S
+from ..operators.joins import natural_join, scalar, suffix_join
+from ..sources import census as C
+from ..sources import landing as LD
+from ..sources.sinks import write_stage
+
+TYPES = LD.CRIME_TYPES
+POST_YEAR = 2020
+
+# County name lists behind the 0/1 indicators.
+TOP_CITY_COUNTIES = ["RAMSEY", "HENNEPIN", "OLMSTED", "ST. LOUIS", "STEARNS"]
+RESERVATION_COUNTIES = ["ITASCA", "KOOCHICHING", "ST. LOUIS", "CARLTON", "COOK",
+                        "BELTRAMI", "CASS", "HUBBARD", "REDWOOD", "MILLE LACS",
+                        "GOODHUE", "SCOTT", "YELLOW MEDICINE", "BECKER", "CLEARWATER", "MAHNOMEN",
+                        "LAKE OF THE WOODS", "MARSHALL", "PENNINGTON", "POLK", "RED LAKE"]
+MSP_COUNTIES = ["RAMSEY", "HENNEPIN"]
+
+
+@dataclass
+class CensusTables:
+    mapping: DataFrame      # ori, GEOID, county, type, area_m2, attributes...
+    acs1: DataFrame         # GEOID, year, survey variables (decennial year appended)
+    acs5: DataFrame         # GEOID, year, survey variables
+
+
+def census_tables(spark: SparkSession, census_dir: str) -> CensusTables:
+    """Entry 2, first half: survey panels, mapping with area and attributes."""
+    d = census_dir.rstrip("/")
+    acs5 = C.survey_wide(C.survey_long(spark, f"{d}/acs5"))
+    acs1 = C.survey_wide(C.survey_long(spark, f"{d}/acs1"))
+    dec = C.survey_wide(C.decennial_long(spark, f"{d}/decennial"), C.DECENNIAL_VARIABLES)
+    acs1 = C.acs1_with_decennial(acs1, dec)
+    mapping = C.county_mapping(spark, f"{d}/mapping")
+    area = C.county_area(spark, f"{d}/rings")                  # geometry dropped: area only
+    attrs = C.county_attributes(spark, f"{d}/attributes")
+    mapping = natural_join(natural_join(mapping, area), attrs)  # J5 twice
+    return CensusTables(mapping, acs1, acs5)
+
+
+def merge(crime: DataFrame, ct: CensusTables, dedup_order: Sequence[str] = ("ori", "GEOID"),
+          zero_fill: bool = True) -> DataFrame:
+    """Merged monthly table: zero-fill, mapping fan-out, both surveys with
+    suffixes, dedup per (series, month) in an explicit order (quirk Q4)."""
+    c = crime.fillna(0, subset=TYPES) if zero_fill else crime          # F6 (Q1)
+    c = c.join(ct.mapping, "ori", "left")                               # J2
+    c = c.join(ct.acs1, ["GEOID", "year"], "left")                      # J3
+    c = suffix_join(c, ct.acs5, ["GEOID", "year"], "left", ("_acs1", "_acs5"))  # J4
+    c = ops.dedup_keep_first(c, ["series", "month"], list(dedup_order))  # A8
+    return c.dropna(subset=["homicides"])                               # F7 (Q3)
+
+
+def yearly_rollup(merged: DataFrame) -> DataFrame:
+    """A4 (quirk Q11): county x year sums and mean officers; every other
+    column depends on (county, year) and passes through."""
+    drop = {"series", "month", "ori", "type", "county", "year", "officers", *TYPES}
+    constants = [c for c in merged.columns if c not in drop]
+    return ops.rollup(merged, ["county", "year"], sums=TYPES, means=["officers"], constants=constants)
+
+
+def _rates(df: DataFrame, pop: str) -> DataFrame:
+    total = sum((F.col(t) for t in TYPES[1:]), F.col(TYPES[0]))
+    return df.withColumns({"crime_rate": F.try_divide(total, F.col(pop)),
+                           "homicide_rate": F.try_divide(F.col("homicides"), F.col(pop))})
+
+
+def derived(df: DataFrame, s: str) -> DataFrame:
+    """Derived census measures for one survey suffix."""
+    c = lambda n: F.col(n + s)
+    pct = lambda num, den: F.try_divide(num, den) * F.lit(100.0)
+    edu = [c(n) for n in ("edu_hs_grad", "edu_some_college_lt1yr", "edu_some_college_gt1yr",
+                          "edu_assoc_degree", "edu_bachelors", "edu_masters",
+                          "edu_professional_degree", "edu_doctorate")]
+    kids = [c(n) for n in ("children_w_mother_only", "children_w_father_only", "children_no_parents")]
+    return df.withColumns({
+        "pct_lessthan_5kincome": pct(c("households_income_lt5k"), c("households_total")),
+        "pct_highschool_or_greater": pct(sum(edu[1:], edu[0]), c("edu_total_25plus")),
+        "pct_children_missing_parents": pct(sum(kids[1:], kids[0]), c("children_total")),
+        "pct_non_white": (F.lit(1.0) - F.try_divide(c("white_population"), c("total_population"))) * 100.0,
+        "pct_young_males": pct(c("male_15_19") + c("male_20_24"), c("total_population")),
+        "persons_per_household": F.try_divide(c("total_population"), c("households_total")),
+        "persons_per_m2": F.try_divide(c("total_population"), F.col("area_m2")),
+    })
+
+
+def map_yearly(rolled: DataFrame) -> DataFrame:
+    """Map branch: 5-year complete rolling means, rates on acs5 population, flags."""
+    r = ops.rolling_complete(rolled, "county", "year", TYPES, n=5)
+    r = _rates(r, "total_population_acs5")
+    return r.withColumns({"top_cities": flag_in("county", TOP_CITY_COUNTIES),
+                          "reservations": flag_in("county", RESERVATION_COUNTIES)})
+
+
+def acs1_yearly(rolled: DataFrame, acs1: DataFrame, interpolate: Sequence[str] = (),
+                exclude_counties: Sequence[str] = ("CLAY",)) -> DataFrame:
+    """1-year branch: optional interior interpolation (quirk Q2, opt-in),
+    rates, lagged rate, derived measures, periods since the first survey year."""
+    r = rolled
+    if interpolate:
+        r = ops.interpolate_linear(r, "county", "year", list(interpolate))
+    r = _rates(r, "total_population_acs1")
+    r = ops.lag_within(r, "county", "year", ["crime_rate"])
+    r = derived(r, "_acs1")
+    first_year = scalar(acs1.select(F.min("year")))                     # J6
+    r = r.withColumns({"periods": F.col("year") - first_year,
+                       "post_covid": flag(F.col("year") >= POST_YEAR),
+                       "msp_main_counties": flag_in("county", MSP_COUNTIES)})
+    if exclude_counties:
+        r = r.filter(~F.col("county").isin(list(exclude_counties)))    # Q12
+    r = r.dropna(subset=["total_population_acs1"])
+    return r.drop(*[c for c in r.columns if c.endswith("_acs5")])
+
+
+def acs5_yearly(rolled: DataFrame) -> DataFrame:
+    """5-year branch: rolling means, rates, derived measures, flags."""
+    r = ops.rolling_complete(rolled, "county", "year", TYPES, n=5)
+    r = _rates(r, "total_population_acs5")
+    r = derived(r, "_acs5")
+    r = r.withColumns({"post_covid": flag(F.col("year") >= POST_YEAR),
+                       "top_cities": flag_in("county", TOP_CITY_COUNTIES),
+                       "reservations": flag_in("county", RESERVATION_COUNTIES)})
+    r = r.dropna(subset=["total_population_acs5"])
+    return r.drop(*[c for c in r.columns if c.endswith("_acs1")])
+
+
+def run_merge(spark: SparkSession, landing_dir: str, census_dir: str, out_dir: str | None = None,
+              interpolate: Sequence[str] = ()) -> dict[str, DataFrame]:
+    """Entries 1 and 2 end to end; optionally writes the four parquet stages."""
+    crime = LD.crime_data(spark, landing_dir)
+    ct = census_tables(spark, census_dir)
+    merged = merge(crime, ct)
+    rolled = yearly_rollup(merged).persist(StorageLevel.MEMORY_AND_DISK)
+    out = {"crime_data_merged": merged, "mapping_yearly_data": map_yearly(rolled),
+           "acs_1_yearly_data": acs1_yearly(rolled, ct.acs1, interpolate),
+           "acs_5_yearly_data": acs5_yearly(rolled)}
+    if out_dir:
+        for name, df in out.items():
+            write_stage(df, f"{out_dir.rstrip('/')}/{name}")
+    return out
+
+
+# ---- Entry 3: analysis on the 5-year panel
+
+MODEL_VARS = ["log_officers", "median_household_income_acs5", "pct_highschool_or_greater",
+              "log_pct_non_white", "log_persons_per_m2", "reservations", "top_cities"]
+DESCRIBE_VARS = ["crime_rate", "officers", "median_household_income_acs5", "pct_lessthan_5kincome",
+                 "pct_highschool_or_greater", "pct_children_missing_parents", "pct_non_white",
+                 "Binge drinking prevalence", "pct_young_males", "persons_per_household", "persons_per_m2"]
+DIFF_VARS = ["crime_rate", "log_officers", "median_household_income_acs5", "pct_lessthan_5kincome",
+             "pct_highschool_or_greater", "log_pct_non_white", "log_persons_per_m2"]
+
+
+def with_logs(acs5: DataFrame) -> DataFrame:
+    """Log transforms (E10); the crime-rate log is log(crime_rate) (quirk Q5)."""
+    return acs5.withColumns({"log_pct_non_white": F.ln("pct_non_white"),
+                             "log_persons_per_m2": F.ln("persons_per_m2"),
+                             "log_officers": F.ln("officers"),
+                             "log_crime_rate": F.ln("crime_rate")})
+
+
+def analysis(acs5: DataFrame) -> dict:
+    """Entry 3: every test and model of the notebook, on a 5-year panel."""
+    spark = acs5.sparkSession
+    d = with_logs(acs5).withColumn("post_covid", F.col("post_covid").cast("int"))
+    res: dict = {}
+    cols = [c for c in DESCRIBE_VARS if c in d.columns]
+    res["welch"] = S.welch_t(d, "post_covid", cols)
+    res["pearson"] = S.pearson_tests(d, "crime_rate", [c for c in cols if c != "crime_rate"])
+    fits = {"Pre-COVID": L.ols(d.filter(F.col("post_covid") == 0), "crime_rate", MODEL_VARS),
+            "Post-COVID": L.ols(d.filter(F.col("post_covid") == 1), "crime_rate", MODEL_VARS),
+            "Full Model": L.ols(d, "crime_rate", MODEL_VARS + ["post_covid"])}
+    rows = []
+    for m, f in fits.items():
+        robust = {r["term"]: r for r in f.tidy(robust=True)}
+        for r in f.tidy():
+            rows.append((m, r["term"], float(r["estimate"]), float(r["std_error"]),
+                         float(robust[r["term"]]["std_error"]), float(robust[r["term"]]["p_value"])))
+    res["models"] = spark.createDataFrame(rows, "model string, term string, estimate double, "
+                                                "std_error_normal double, std_error_robust double, p_value double")
+    res["metrics"] = spark.createDataFrame([(m, float(f.r2()), float(f.adj_r2()), float(f.rmse()))
+                                            for m, f in fits.items()],
+                                           "model string, r2 double, adj_r2 double, rmse double")
+    res["chow"] = L.chow_test(d, "crime_rate", MODEL_VARS, "post_covid")
+    res["cusum"] = L.cusum_process(d, fits["Full Model"], ["post_covid", "county", "year"])
+    res["boxcox"] = L.boxcox_profile(d, "crime_rate", MODEL_VARS + ["post_covid"])
+    res["variance_f"] = S.variance_f_test(d, F.sqrt("crime_rate"), "post_covid")
+    res["levene"] = S.levene_median(d, F.sqrt("crime_rate"), "post_covid")
+    res["density"] = K.kde(d, "crime_rate")
+    diff = ops.regime_diff(d, "county", "post_covid", [c for c in DIFF_VARS if c in d.columns])
+    res["diff_fit"] = L.ols(diff, "crime_rate_diff", [c + "_diff" for c in DIFF_VARS[1:] if c in d.columns])
+    return res
