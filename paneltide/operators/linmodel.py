@@ -135,49 +135,113 @@ class OLSFit:
         return out
 
 
-def _moment_aggs(y: str, xs: Sequence[str]) -> list[Column]:
+def _moment_aggs(y: str, xs: Sequence[str], cond: Column | None = None, tag: str = "") -> list[Column]:
+    """Count, means and centred co-moments of (xs, y); rows outside ``cond``
+    are masked to NULL, which every aggregate skips."""
     cols = list(xs) + [y]
-    aggs = [F.count(F.lit(1)).alias("n")]
-    aggs += [F.avg(c).alias(f"m_{i}") for i, c in enumerate(cols)]
+    c = (lambda name: F.when(cond, F.col(name))) if cond is not None else F.col
+    aggs = [(F.count_if(cond) if cond is not None else F.count(F.lit(1))).alias(f"{tag}n")]
+    aggs += [F.avg(c(x)).alias(f"{tag}m_{i}") for i, x in enumerate(cols)]
     for i, a in enumerate(cols):
         for j in range(i, len(cols)):
-            b = cols[j]
-            expr = F.var_samp(a) if i == j else F.covar_samp(a, b)
-            aggs.append(expr.alias(f"c_{i}_{j}"))
+            expr = F.var_samp(c(a)) if i == j else F.covar_samp(c(a), c(cols[j]))
+            aggs.append(expr.alias(f"{tag}c_{i}_{j}"))
     return aggs
 
 
-def _fit_from_row(row, y: str, xs: Sequence[str]) -> OLSFit:
+def _fit_from_row(row, y: str, xs: Sequence[str], tag: str = "") -> OLSFit:
     k = len(xs)
-    n = row["n"]
+    n = row[f"{tag}n"]
     cov = np.zeros((k + 1, k + 1))
     for i in range(k + 1):
         for j in range(i, k + 1):
-            cov[i, j] = cov[j, i] = row[f"c_{i}_{j}"]
+            cov[i, j] = cov[j, i] = row[f"{tag}c_{i}_{j}"]
     s = cov * (n - 1)
-    means = np.array([row[f"m_{i}"] for i in range(k + 1)], dtype=float)
+    means = np.array([row[f"{tag}m_{i}"] for i in range(k + 1)], dtype=float)
     return OLSFit(y, list(xs), n, means[:k], float(means[k]), s[:k, :k], s[:k, k], float(s[k, k]))
 
 
-def complete_cases(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """F8: rows with every model variable present (NaN counts as missing)."""
+def complete_case_cond(cols: Sequence[str]) -> Column:
     cond = F.lit(True)
     for c in cols:
         cond = cond & F.col(c).isNotNull() & ~F.isnan(F.col(c))
-    return df.filter(cond)
+    return cond
+
+
+def complete_cases(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """F8: rows with every model variable present (NaN counts as missing)."""
+    return df.filter(complete_case_cond(cols))
+
+
+def _pass2_aggs(fit: OLSFit, cond: Column | None, hc3: bool, tag: str) -> list[Column]:
+    """Sum of squared residuals and the HC3 meat of one fit; rows outside the
+    fit are masked to NULL.  (Written inline: the aggregate's own common
+    subexpression elimination evaluates e and h once per row.)"""
+    mask = (lambda e: F.when(cond, e)) if cond is not None else (lambda e: e)
+    e = fit.resid_col()
+    aggs = [F.sum(mask(e * e)).alias(f"{tag}rss")]
+    if hc3:
+        k = len(fit.xs)
+        h = fit.leverage_col()
+        w = (e * e) / ((F.lit(1.0) - h) * (F.lit(1.0) - h))
+        z = [F.lit(1.0)] + [F.col(x) - F.lit(float(m)) for x, m in zip(fit.xs, fit.xbar)]
+        for i in range(k + 1):
+            for j in range(i, k + 1):
+                aggs.append(F.sum(mask(w * z[i] * z[j])).alias(f"{tag}w_{i}_{j}"))
+    return aggs
+
+
+def _run_pass2(d: DataFrame, parts: list[tuple[OLSFit, Column | None, str]], hc3: bool):
+    aggs = []
+    for fit, cond, tag in parts:
+        aggs += _pass2_aggs(fit, cond, hc3, tag)
+    r = d.agg(*aggs).collect()[0]
+    for fit, _cond, tag in parts:
+        _apply_pass2(fit, r, hc3, tag)
+
+
+def _apply_pass2(fit: OLSFit, r, hc3: bool, tag: str) -> None:
+    fit.rss = float(r[f"{tag}rss"])
+    if hc3:
+        k = len(fit.xs)
+        m = np.zeros((k + 1, k + 1))
+        for i in range(k + 1):
+            for j in range(i, k + 1):
+                m[i, j] = m[j, i] = r[f"{tag}w_{i}_{j}"]
+        fit.meat_c = m
+
+
+def fit_many(df: DataFrame, specs: dict, hc3: bool = True, second_pass: bool = True) -> dict[str, OLSFit]:
+    """Fit several models in exactly two scans, whatever their number.
+
+    ``specs``: ``{name: (y, xs, condition-or-None)}``.  Each model's rows are
+    its condition AND its own complete cases; other rows are masked to NULL
+    inside that model's aggregates, so one aggregation serves every model.
+    """
+    conds, aggs = {}, []
+    for i, (name, (y, xs, cond)) in enumerate(specs.items()):
+        cc = complete_case_cond([y, *xs])
+        conds[name] = cc if cond is None else (cond & cc)
+        aggs += _moment_aggs(y, xs, conds[name], tag=f"f{i}_")
+    row = df.agg(*aggs).collect()[0]
+    fits = {name: _fit_from_row(row, y, xs, tag=f"f{i}_")
+            for i, (name, (y, xs, _c)) in enumerate(specs.items())}
+    if second_pass:
+        _run_pass2(df, [(fits[name], conds[name], f"f{i}_") for i, name in enumerate(specs)], hc3)
+    return fits
 
 
 def ols(df: DataFrame, y: str, xs: Sequence[str], by: str | None = None,
         second_pass: bool = True, hc3: bool = True) -> OLSFit | dict:
     """Fit ``y ~ xs`` (with intercept) on complete cases; ``by`` fits one
-    model per segment value in the same scan and returns ``{segment: fit}``."""
+    model per segment value, two scans in total for all segments."""
     d = complete_cases(df, [y, *xs] + ([by] if by else []))
     if by:
         rows = d.groupBy(by).agg(*_moment_aggs(y, xs)).collect()
         fits = {r[by]: _fit_from_row(r, y, xs) for r in rows}
         if second_pass:
-            for seg, fit in fits.items():
-                residual_pass(d.filter(F.col(by) == F.lit(seg)), fit, hc3)
+            _run_pass2(d, [(f, F.col(by) == F.lit(seg), f"s{i}_") for i, (seg, f) in enumerate(fits.items())],
+                       hc3)
         return fits
     row = d.agg(*_moment_aggs(y, xs)).collect()[0]
     fit = _fit_from_row(row, y, xs)
@@ -188,32 +252,19 @@ def ols(df: DataFrame, y: str, xs: Sequence[str], by: str | None = None,
 
 def residual_pass(d: DataFrame, fit: OLSFit, hc3: bool = True) -> OLSFit:
     """Pass 2: exact RSS and (optionally) the HC3 meat in centred coordinates."""
-    e = fit.resid_col()
-    aggs = [F.sum(e * e).alias("rss")]
-    k = len(fit.xs)
-    if hc3:
-        h = fit.leverage_col()
-        w = (e * e) / ((F.lit(1.0) - h) * (F.lit(1.0) - h))
-        z = [F.lit(1.0)] + [F.col(x) - F.lit(float(m)) for x, m in zip(fit.xs, fit.xbar)]
-        for i in range(k + 1):
-            for j in range(i, k + 1):
-                aggs.append(F.sum(w * z[i] * z[j]).alias(f"w_{i}_{j}"))
-    r = d.agg(*aggs).collect()[0]
-    fit.rss = float(r["rss"])
-    if hc3:
-        m = np.zeros((k + 1, k + 1))
-        for i in range(k + 1):
-            for j in range(i, k + 1):
-                m[i, j] = m[j, i] = r[f"w_{i}_{j}"]
-        fit.meat_c = m
+    _run_pass2(d, [(fit, None, "")], hc3)
     return fit
 
 
-def chow_test(df: DataFrame, y: str, xs: Sequence[str], regime: str) -> dict:
+def chow_test(df: DataFrame, y: str, xs: Sequence[str], regime: str, levels=(0, 1)) -> dict:
     """Chow F test at a known break (T9, quirk Q6): pooled fit vs one fit per
     regime, regressors without the regime dummy; k counts the intercept."""
-    pooled = ols(df, y, xs, hc3=False)
-    segs = ols(df, y, xs, by=regime, hc3=False)
+    levels = [r[0] for r in df.select(regime).distinct().collect()] if levels is None else list(levels)
+    specs = {"pooled": (y, xs, None)}
+    specs.update({("seg", lv): (y, xs, F.col(regime) == F.lit(lv)) for lv in levels})
+    fits = fit_many(df, specs, hc3=False)
+    pooled = fits.pop("pooled")
+    segs = {key[1]: f for key, f in fits.items()}
     k = pooled.p
     rss1 = sum(f.rss_value() for f in segs.values())
     n = pooled.n
@@ -239,24 +290,39 @@ def boxcox_profile(df: DataFrame, y: str, xs: Sequence[str],
     """Box-Cox profile log-likelihood over a lambda grid.
 
     y is scaled by its geometric mean; z = (y^l - 1)/l (log y at l=0);
-    loglik(l) = -n/2 * log(RSS(z ~ xs)).  One scan for log-mean, one scan
-    with the grid exploded (fixed size) into a grouped co-moment aggregate.
+    loglik(l) = -n/2 * log(RSS(z ~ xs)).  Two scans whatever the grid size:
+    pass 1 gives n, mean(log y), the regressors' means and co-moments (shared
+    by every lambda); pass 2 is one wide aggregate of sum z, sum z^2 and
+    sum (x - xbar) z per lambda -- no row is replicated per lambda.
     """
     lambdas = [round(-2 + 0.1 * i, 10) for i in range(41)] if lambdas is None else list(lambdas)
     d = complete_cases(df, [y, *xs]).filter(F.col(y) > 0)
-    lm = d.agg(F.avg(F.ln(y)).alias("lm"), F.count(F.lit(1)).alias("n")).collect()[0]
-    ys = F.col(y) / F.lit(math.exp(lm["lm"]))
-    grid = F.array(*[F.lit(float(v)) for v in lambdas])
-    lam = F.col("_lambda")
-    z = F.when(F.abs(lam) < F.lit(1e-12), F.ln(F.col("_ys"))) \
-         .otherwise((F.pow(F.col("_ys"), lam) - F.lit(1.0)) / lam)
-    ex = d.select(*xs, ys.alias("_ys")).withColumn("_lambda", F.explode(grid)) \
-          .withColumn("_z", z)
-    rows = ex.groupBy("_lambda").agg(*_moment_aggs("_z", xs)).collect()
+    k = len(xs)
+    p1 = d.agg(F.avg(F.ln(y)).alias("lm"), *_moment_aggs(y, xs)).collect()[0]
+    base = _fit_from_row(p1, y, xs)
+    n = base.n
+    ly = F.ln(F.col(y)) - F.lit(float(p1["lm"]))          # log of y / geometric mean
+    xc = [F.col(x) - F.lit(float(m)) for x, m in zip(xs, base.xbar)]
+    # Lambdas are batched so one aggregate stays around 300 buffer fields
+    # (inside whole-stage codegen, bounded generated code); usually 1 batch.
+    per = max(1, 300 // (k + 2))
+    r = {}
+    for start in range(0, len(lambdas), per):
+        aggs = [F.sum(c).alias(f"sx_{j}") for j, c in enumerate(xc)]
+        for i in range(start, min(start + per, len(lambdas))):
+            lam = lambdas[i]
+            z = ly if abs(lam) < 1e-12 else (F.exp(F.lit(float(lam)) * ly) - F.lit(1.0)) / F.lit(float(lam))
+            aggs += [F.sum(z).alias(f"z_{i}"), F.sum(z * z).alias(f"zz_{i}")]
+            aggs += [F.sum(c * z).alias(f"xz_{i}_{j}") for j, c in enumerate(xc)]
+        r.update(d.agg(*aggs).collect()[0].asDict())
+    sx = np.array([r[f"sx_{j}"] for j in range(k)], dtype=float)
     out = []
-    for r in rows:
-        f = _fit_from_row(r, "_z", xs)
-        out.append((float(r["_lambda"]), float(-f.n / 2.0 * math.log(f.rss_value()))))
+    for i, lam in enumerate(lambdas):
+        sz = r[f"z_{i}"]
+        szz = r[f"zz_{i}"] - sz * sz / n
+        sxz = np.array([r[f"xz_{i}_{j}"] for j in range(k)], dtype=float) - sx * sz / n
+        rss = szz - float(sxz @ base.sinv @ sxz) if k else szz
+        out.append((float(lam), float(-n / 2.0 * math.log(rss))))
     return df.sparkSession.createDataFrame(out, "lambda double, loglik double")
 
 

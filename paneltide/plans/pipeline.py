@@ -191,9 +191,9 @@ def analysis(acs5: DataFrame) -> dict:
     cols = [c for c in DESCRIBE_VARS if c in d.columns]
     res["welch"] = S.welch_t(d, "post_covid", cols)
     res["pearson"] = S.pearson_tests(d, "crime_rate", [c for c in cols if c != "crime_rate"])
-    fits = {"Pre-COVID": L.ols(d.filter(F.col("post_covid") == 0), "crime_rate", MODEL_VARS),
-            "Post-COVID": L.ols(d.filter(F.col("post_covid") == 1), "crime_rate", MODEL_VARS),
-            "Full Model": L.ols(d, "crime_rate", MODEL_VARS + ["post_covid"])}
+    fits = L.fit_many(d, {"Pre-COVID": ("crime_rate", MODEL_VARS, F.col("post_covid") == 0),
+                          "Post-COVID": ("crime_rate", MODEL_VARS, F.col("post_covid") == 1),
+                          "Full Model": ("crime_rate", MODEL_VARS + ["post_covid"], None)})
     rows = []
     for m, f in fits.items():
         robust = {r["term"]: r for r in f.tidy(robust=True)}

@@ -95,10 +95,11 @@ def ols_hc3(spark, sf_dir):
 
 
 def _three_fits(spark, sf_dir):
+    """Pre, Post and Full models from two scans of lineitem in total."""
     d = model_frame(spark, sf_dir)
-    seg = L.ols(d, Y, XS, by="post")
-    full = L.ols(d, Y, XS_FULL)
-    return {"Pre": seg[0], "Post": seg[1], "Full": full}
+    return L.fit_many(d, {"Pre": (Y, XS, F.col("post") == 0),
+                          "Post": (Y, XS, F.col("post") == 1),
+                          "Full": (Y, XS_FULL, None)})
 
 
 @query("fit_metrics")

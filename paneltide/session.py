@@ -17,6 +17,10 @@ _CORE_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # Model fits aggregate dozens of co-moments in one pass; keep them inside
+    # whole-stage codegen (default 100 buffer fields would fall back to the
+    # interpreted path).
+    "spark.sql.codegen.maxFields": "1000",
 }
 
 
