@@ -260,8 +260,8 @@ ORACLE["multi_value_pivot"] = "\nUNION ALL\n".join(f"""
 SELECT '{m}' AS variable,
   {mean_cents(f"CASE WHEN {_POST} = 0 THEN {m} END")} AS mean_pre,
   {mean_cents(f"CASE WHEN {_POST} = 1 THEN {m} END")} AS mean_post,
-  round(stddev_samp({m}) FILTER (WHERE {_POST} = 0), 6) AS sd_pre,
-  round(stddev_samp({m}) FILTER (WHERE {_POST} = 1), 6) AS sd_post
+  round(stddev_samp({m}) FILTER (WHERE {_POST} = 0), 5) AS sd_pre,
+  round(stddev_samp({m}) FILTER (WHERE {_POST} = 1), 5) AS sd_post
 FROM lineitem""" for m in _MEAS)
 
 ORACLE["event_code_lookup"] = """

@@ -185,7 +185,7 @@ wt AS (
 
 ORACLE["welch_t"] = f"""
 WITH {WELCH_CTE}
-SELECT variable, m0 AS mean_pre, m1 AS mean_post, {_r("sqrt(v0)")} AS sd_pre, {_r("sqrt(v1)")} AS sd_post,
+SELECT variable, m0 AS mean_pre, m1 AS mean_post, {_r("sqrt(v0)", 5)} AS sd_pre, {_r("sqrt(v1)", 5)} AS sd_post,
        {_r("t_stat")} AS t_stat, {_r("df", 4)} AS df, {_r("p_value")} AS p_value
 FROM wt JOIN wp USING (variable)"""
 
@@ -212,7 +212,7 @@ WITH {_OLS3},
 tt AS ({_tidy("o", TERMS, {"estimate": "b_{j}", "std_error": "se_{j}", "t_stat": "b_{j} / se_{j}",
                          "df": "CAST(n - k - 1 AS DOUBLE)"})}),
 {t_pvalue("tt", ["term"], "tp")}
-SELECT term, {_r("estimate")} AS estimate, {_r("std_error")} AS std_error, {_r("t_stat")} AS statistic,
+SELECT term, {_r("estimate", 4)} AS estimate, {_r("std_error", 4)} AS std_error, {_r("t_stat")} AS statistic,
        {_r("p_value")} AS p_value
 FROM tt JOIN tp USING (term)"""
 
@@ -221,7 +221,7 @@ WITH {_OLS3},
 tt AS ({_tidy("o", TERMS, {"estimate": "b_{j}", "std_error": "hc_{j}", "t_stat": "b_{j} / hc_{j}",
                          "df": "CAST(n - k - 1 AS DOUBLE)"})}),
 {t_pvalue("tt", ["term"], "tp")}
-SELECT term, {_r("estimate")} AS estimate, {_r("std_error")} AS std_error_hc3, {_r("t_stat")} AS statistic_hc3,
+SELECT term, {_r("estimate", 4)} AS estimate, {_r("std_error", 4)} AS std_error_hc3, {_r("t_stat")} AS statistic_hc3,
        {_r("p_value")} AS p_value_hc3
 FROM tt JOIN tp USING (term)"""
 
@@ -233,7 +233,7 @@ WITH {_SEG}, {_FULL},
 f AS (SELECT seg, n, k, rss, s_{3}_{3} AS syy FROM sg_fit
       UNION ALL SELECT seg, n, k, rss, s_{4}_{4} FROM fu_fit)
 SELECT seg AS model, CAST(n AS DOUBLE) AS n, {_r("1 - rss / syy")} AS r2,
-       {_r("1 - (rss / syy) * (n - 1) / (n - k - 1)")} AS adj_r2, {_r("sqrt(rss / n)")} AS rmse
+       {_r("1 - (rss / syy) * (n - 1) / (n - k - 1)")} AS adj_r2, {_r("sqrt(rss / n)", 4)} AS rmse
 FROM f"""
 
 _TIDY_COLS = {"estimate": "b_{j}", "std_error_normal": "se_{j}", "std_error_robust": "hc_{j}",
@@ -244,7 +244,7 @@ tt AS ({_tidy("sg", TERMS, _TIDY_COLS)}
        UNION ALL
        {_tidy("fu", TERMS_FULL, _TIDY_COLS)}),
 {t_pvalue("tt", ["seg", "term"], "tp")}
-SELECT seg AS model, term, {_r("estimate")} AS estimate, {_r("std_error_normal", 3)} AS std_error_normal,
+SELECT seg AS model, term, {_r("estimate", 4)} AS estimate, {_r("std_error_normal", 3)} AS std_error_normal,
        {_r("std_error_robust", 3)} AS std_error_robust, {_r("p_value", 3)} AS p_value
 FROM tt JOIN tp USING (seg, term)"""
 
@@ -259,8 +259,8 @@ c AS (
          1 AS id
   FROM pl_fit p, sx_fit s0, sx_fit s1 WHERE s0.seg = 0 AND s1.seg = 1),
 {f_cdf("c", ["id"], "cf")}
-SELECT {_r("statistic")} AS statistic, df1, df2, {_r("1 - cdf")} AS p_value, {_r("rss_pooled", 0)} AS rss_pooled,
-       {_r("rss_pre", 0)} AS rss_pre, {_r("rss_post", 0)} AS rss_post
+SELECT {_r("statistic")} AS statistic, df1, df2, {_r("1 - cdf")} AS p_value, {_r("rss_pooled", -4)} AS rss_pooled,
+       {_r("rss_pre", -4)} AS rss_pre, {_r("rss_post", -4)} AS rss_post
 FROM c JOIN cf USING (id)"""
 
 # ---- T10/T11 CUSUM (full model)
@@ -319,7 +319,7 @@ br AS (SELECT lam, n, {rss} AS rss FROM bb)"""
 
 ORACLE["boxcox_profile"] = f"""
 WITH {_bc_cte()}
-SELECT round(CAST(lam AS DOUBLE), 1) AS "lambda", round(-n / 2.0 * ln(rss), 4) AS loglik FROM br"""
+SELECT round(CAST(lam AS DOUBLE), 1) AS "lambda", round(-n / 2.0 * ln(rss), 3) AS loglik FROM br"""
 
 # ---- T13 variance F, T14 Levene (sqrt(price) by regime)
 ORACLE["variance_f"] = f"""
@@ -367,8 +367,8 @@ WITH fc AS ({_fac}),
 f2 AS (SELECT *, sqrt((syy - sxy * sxy / sxx) / (n - 2)) AS sigma, {_tq("(n - 2)")} AS tq FROM fc),
 g AS (SELECT f2.*, i, lo + (hi - lo) * CAST(i AS DOUBLE) / 79.0 AS x FROM f2, range(0, 80) t(i)),
 h AS (SELECT *, a + b * x AS fit, sigma * sqrt(1.0 / n + (x - mx) * (x - mx) / sxx) AS se FROM g)
-SELECT variable, CAST(i AS INTEGER) AS i, {_r("x")} AS x, {_r("fit")} AS fit, {_r("fit - tq * se")} AS lower,
-       {_r("fit + tq * se")} AS upper
+SELECT variable, CAST(i AS INTEGER) AS i, {_r("x", 4)} AS x, {_r("fit", 4)} AS fit,
+       {_r("fit - tq * se", 4)} AS lower, {_r("fit + tq * se", 4)} AS upper
 FROM h"""
 
 # ---- T16 KDE (exact form over all rows)
@@ -387,8 +387,8 @@ ORACLE["residual_fitted"] = f"""
 WITH {_CU},
 o AS (SELECT *, row_number() OVER (ORDER BY {ORDER}) AS rn FROM ({MODEL_SRC})),
 brk AS (SELECT min(rn) AS break_index FROM o WHERE post = 1)
-SELECT r.l_orderkey, r.l_linenumber, r.l_partkey, {_r(f"({_fitted_full})")} AS fitted,
-       {_r(f"r.{Y} - ({_fitted_full})")} AS resid, brk.break_index
+SELECT r.l_orderkey, r.l_linenumber, r.l_partkey, {_r(f"({_fitted_full})", 4)} AS fitted,
+       {_r(f"r.{Y} - ({_fitted_full})", 4)} AS resid, brk.break_index
 FROM ({MODEL_SRC}) r, cu_fit b, brk"""
 
 # ---- T18 first-difference regression on the panel

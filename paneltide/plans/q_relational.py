@@ -48,7 +48,7 @@ def multi_value_pivot(spark, sf_dir):
                        "value")
     wide = long.groupBy("variable", "regime").pivot("stat", ["mean", "sd"]).agg(F.first("value"))
     out = pivot_multi(wide, ["variable"], "regime", ["pre", "post"], ["mean", "sd"])
-    return finish(out, 6, exact=("mean_pre", "mean_post"))
+    return finish(out, 5, exact=("mean_pre", "mean_post"))
 
 
 @query("event_code_lookup")

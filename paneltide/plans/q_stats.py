@@ -49,7 +49,7 @@ def welch_t(spark, sf_dir):
     out = w.select("variable", F.col("m0").alias("mean_pre"), F.col("m1").alias("mean_post"),
                    F.sqrt("v0").alias("sd_pre"), F.sqrt("v1").alias("sd_post"),
                    "t_stat", "df", "p_value")
-    return finish(out, 6, overrides={"df": 4}, exact=("mean_pre", "mean_post"))
+    return finish(out, 6, overrides={"df": 4, "sd_pre": 5, "sd_post": 5}, exact=("mean_pre", "mean_post"))
 
 
 @query("sorted_top_p")
@@ -81,7 +81,8 @@ def ols_coefs(spark, sf_dir):
     fit = _fit(spark, sf_dir, XS)
     rows = [{"term": r["term"], "estimate": r["estimate"], "std_error": r["std_error"],
              "statistic": r["statistic"], "p_value": r["p_value"]} for r in fit.tidy()]
-    return finish(_tidy_df(spark, rows, ["term", "estimate", "std_error", "statistic", "p_value"]), 6)
+    return finish(_tidy_df(spark, rows, ["term", "estimate", "std_error", "statistic", "p_value"]), 6,
+                  overrides={"estimate": 4, "std_error": 4})
 
 
 @query("ols_hc3")
@@ -91,7 +92,7 @@ def ols_hc3(spark, sf_dir):
     rows = [{"term": r["term"], "estimate": r["estimate"], "std_error_hc3": r["std_error"],
              "statistic_hc3": r["statistic"], "p_value_hc3": r["p_value"]} for r in fit.tidy(robust=True)]
     return finish(_tidy_df(spark, rows, ["term", "estimate", "std_error_hc3", "statistic_hc3",
-                                         "p_value_hc3"]), 6)
+                                         "p_value_hc3"]), 6, overrides={"estimate": 4, "std_error_hc3": 4})
 
 
 def _three_fits(spark, sf_dir):
@@ -108,7 +109,7 @@ def fit_metrics(spark, sf_dir):
     fits = _three_fits(spark, sf_dir)
     rows = [{"model": m, "n": float(f.n), "r2": f.r2(), "adj_r2": f.adj_r2(), "rmse": f.rmse()}
             for m, f in fits.items()]
-    return finish(_tidy_df(spark, rows, ["model", "n", "r2", "adj_r2", "rmse"]), 6)
+    return finish(_tidy_df(spark, rows, ["model", "n", "r2", "adj_r2", "rmse"]), 6, overrides={"rmse": 4})
 
 
 @query("model_table")
@@ -126,7 +127,7 @@ def model_table(spark, sf_dir):
     for t in tabs[1:]:
         out = out.unionByName(t)
     out = out.select("model", "term", "estimate", "std_error_normal", "std_error_robust", "p_value")
-    return finish(out, 3, overrides={"estimate": 6})
+    return finish(out, 3, overrides={"estimate": 4})
 
 
 @query("chow_test")
@@ -137,8 +138,8 @@ def chow_test(spark, sf_dir):
            "p_value": r["p_value"], "rss_pooled": r["rss_pooled"], "rss_pre": r["rss_0"],
            "rss_post": r["rss_1"]}
     cols = ["statistic", "df1", "df2", "p_value", "rss_pooled", "rss_pre", "rss_post"]
-    return finish(_tidy_df(spark, [row], cols), 6, overrides={"rss_pooled": 0, "rss_pre": 0,
-                                                              "rss_post": 0})
+    return finish(_tidy_df(spark, [row], cols), 6, overrides={"rss_pooled": -4, "rss_pre": -4,
+                                                              "rss_post": -4})
 
 
 def _cusum(spark, sf_dir):
@@ -166,7 +167,7 @@ def cusum_test(spark, sf_dir):
 def boxcox_profile(spark, sf_dir):
     """Box-Cox profile log-likelihood, lambda in -2..2 by 0.1."""
     out = L.boxcox_profile(model_frame(spark, sf_dir), Y, XS_FULL)
-    return finish(out, 4, overrides={"lambda": 1})
+    return finish(out, 3, overrides={"lambda": 1})
 
 
 @query("variance_f")
@@ -187,7 +188,7 @@ def levene_median(spark, sf_dir):
 def facet_lm_band(spark, sf_dir):
     """Per-regressor line of price with a 95% band on an 80-point grid."""
     d = model_frame(spark, sf_dir)
-    return finish(L.facet_lines(d, Y, XS), 6)
+    return finish(L.facet_lines(d, Y, XS), 4)
 
 
 @query("kde_density")
@@ -208,7 +209,7 @@ def residual_fitted(spark, sf_dir):
     brk = scalar(d.select(F.count_if(key < first_post) + F.lit(1)))
     out = d.select(*LINE_KEY, fit.fitted_col().alias("fitted"), fit.resid_col().alias("resid"),
                    brk.alias("break_index"))
-    return finish(out, 6)
+    return finish(out, 4)
 
 
 @query("diff_regression")
