@@ -285,6 +285,14 @@ def cusum_process(df: DataFrame, fit: OLSFit, order: Sequence[str], keep: Sequen
     return cs.select("idx", *order, *keep, (F.col("_cs") / F.lit(scale)).alias("process"))
 
 
+def cusum_sup(df: DataFrame, fit: OLSFit, order: Sequence[str], partitions: int | None = None) -> float:
+    """sup |OLS-CUSUM process| (T11) in one distributed pass, without the process."""
+    from .prefix import prefix_extremes
+    d = complete_cases(df, [fit.y, *fit.xs]).select(*order, fit.resid_col().alias("_e"))
+    hi, lo, _n = prefix_extremes(d, order, "_e", partitions)
+    return max(abs(hi), abs(lo)) / (math.sqrt(fit.sigma2()) * math.sqrt(fit.n))
+
+
 def boxcox_profile(df: DataFrame, y: str, xs: Sequence[str],
                    lambdas: Sequence[float] | None = None) -> DataFrame:
     """Box-Cox profile log-likelihood over a lambda grid.

@@ -67,3 +67,43 @@ def prefix_sum(df: DataFrame, order: Sequence[str], value: str, out: str = "cums
     return (res.withColumn(out, F.col("_lsum") + F.col("_off"))
                .withColumn(index, F.col("_lidx") + F.col("_coff"))
                .drop("_pid", "_lsum", "_lidx", "_off", "_coff"))
+
+
+def prefix_extremes(df: DataFrame, order: Sequence[str], value: str,
+                    partitions: int | None = None) -> tuple[float, float, int]:
+    """(max, min, n) of the inclusive running sum of ``value`` in ``order``,
+    without materialising the running sum.
+
+    Each range partition reports (total, max and min of its local running
+    sum); the global extremes are max/min over partitions of offset + local
+    extreme, where offset is the sum of the preceding partitions' totals.  One
+    distributed pass (plus the range-bound sampling); the driver receives one
+    row per partition.
+    """
+    spark = df.sparkSession
+    order = list(order)
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.select(*order, value).repartitionByRange(n, *order).sortWithinPartitions(*order)
+
+    def local(batches):
+        from pyspark import TaskContext
+        pid = TaskContext.get().partitionId()
+        run, hi, lo, cnt = 0.0, float("-inf"), float("inf"), 0
+        for b in batches:
+            if not len(b):
+                continue
+            cs = b[value].astype("float64").fillna(0.0).cumsum() + run
+            hi, lo = max(hi, float(cs.max())), min(lo, float(cs.min()))
+            run = float(cs.iloc[-1])
+            cnt += len(b)
+        yield pd.DataFrame({"pid": [pid], "total": [run], "hi": [hi], "lo": [lo], "cnt": [cnt]})
+
+    parts = sorted(ranged.mapInPandas(local, "pid int, total double, hi double, lo double, cnt long")
+                   .collect(), key=lambda r: r.pid)
+    off, gmax, gmin, total_n = 0.0, float("-inf"), float("inf"), 0
+    for r in parts:
+        if r.cnt:
+            gmax, gmin = max(gmax, off + r.hi), min(gmin, off + r.lo)
+        off += r.total
+        total_n += r.cnt
+    return gmax, gmin, total_n

@@ -157,10 +157,13 @@ def cusum_process(spark, sf_dir):
 
 @query("cusum_test")
 def cusum_test(spark, sf_dir):
-    """Sup |process| and its Brownian-bridge p-value."""
-    c = _cusum(spark, sf_dir)
-    s = c.agg(F.max(F.abs("process")).alias("statistic"))
-    return finish(s.withColumn("p_value", dist.bridge_pvalue_col(F.col("statistic"))), 6)
+    """Sup |process| (from per-partition prefix extremes, one pass) and its
+    Brownian-bridge p-value."""
+    d = model_frame(spark, sf_dir)
+    fit = L.ols(d, Y, XS_FULL, hc3=False)
+    stat = L.cusum_sup(d, fit, ORDER)
+    return finish(_tidy_df(spark, [{"statistic": stat, "p_value": dist.bridge_sup_sf(stat)}],
+                           ["statistic", "p_value"]), 6)
 
 
 @query("boxcox_profile")

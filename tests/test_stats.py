@@ -127,3 +127,13 @@ def test_boxcox_profile_peaks_inside_grid(spark):
     prof = {r["lambda"]: r.loglik for r in L.boxcox_profile(df, "y", ["x"]).collect()}
     best = max(prof, key=prof.get)
     assert abs(best - 0.5) <= 0.1
+
+
+def test_prefix_extremes_match_materialised(spark):
+    from paneltide.operators.prefix import prefix_extremes
+    rng = np.random.default_rng(9)
+    vals = rng.normal(0.1, 1, 3000)
+    df = spark.createDataFrame([(i, float(v)) for i, v in enumerate(vals)], "k long, v double").repartition(5)
+    hi, lo, n = prefix_extremes(df, ["k"], "v", partitions=7)
+    cs = np.cumsum(vals)
+    assert n == 3000 and hi == pytest.approx(cs.max()) and lo == pytest.approx(cs.min())
