@@ -192,12 +192,12 @@ FROM wt JOIN wp USING (variable)"""
 ORACLE["sorted_top_p"] = f"""
 WITH {WELCH_CTE}
 SELECT variable, {_r("p_value")} AS p_value,
-       row_number() OVER (ORDER BY round(p_value, 6) ASC NULLS LAST, variable) AS rank
+       CAST(row_number() OVER (ORDER BY round(p_value, 6) ASC NULLS LAST, variable) AS INTEGER) AS rank
 FROM wp"""
 
 # ---- T3 Pearson
 _pear = "\nUNION ALL\n".join(f"""SELECT '{x}' AS variable, corr({Y}, {x}) AS estimate,
-  regr_count({Y}, {x}) AS n FROM lineitem""" for x in XS)
+  CAST(regr_count({Y}, {x}) AS BIGINT) AS n FROM lineitem""" for x in XS)
 ORACLE["pearson_test"] = f"""
 WITH pr AS ({_pear}),
 pt AS (SELECT *, estimate * sqrt((n - 2) / (1 - estimate * estimate)) AS t_stat, CAST(n - 2 AS DOUBLE) AS df FROM pr),
