@@ -1,8 +1,8 @@
 """Spherical polygon area and planar centroid over a ring-vertex table.
 
 Vertex table: (geoid, ring_id, seq, lon, lat) in degrees; rings close by
-wrap-around.  Each edge is paired with the next vertex of its ring (a window
-partitioned by ring: its size is the ring's vertex count, not the table's).
+wrap-around.  Each edge is paired with the next vertex of its ring by an
+equi-join on the unique (ring, seq + 1) key.
 
 Area of a polygon with great-circle edges = |sum over edges of E| * R^2 with
 E = 2 atan2(tan(dlon/2) (tan(lat1/2) + tan(lat2/2)), 1 + tan(lat1/2) tan(lat2/2)),
@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Fixed value: sphere radius in metres.
@@ -22,11 +22,21 @@ EARTH_RADIUS_M = 6371010.0
 
 
 def ring_edges(v: DataFrame, keys: Sequence[str] = ("geoid", "ring_id"), seq: str = "seq") -> DataFrame:
-    w = Window.partitionBy(*keys).orderBy(seq)
-    wall = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    return v.withColumns({
-        "lon2": F.coalesce(F.lead("lon").over(w), F.first("lon").over(wall)),
-        "lat2": F.coalesce(F.lead("lat").over(w), F.first("lat").over(wall))})
+    """Pair every vertex with the next one of its ring (wrapping to the first).
+
+    An equi-join on (keys, seq + 1) -- a unique key, so no ring, however many
+    vertices it has, is gathered into one task.  Only the last vertex of each
+    ring (one row per ring) is joined to the ring's first vertex.  ``seq``
+    must be consecutive within a ring.
+    """
+    keys = list(keys)
+    nxt = v.select(*keys, (F.col(seq) - 1).alias(seq), F.col("lon").alias("lon2"), F.col("lat").alias("lat2"))
+    e = v.join(nxt, keys + [seq], "left")
+    inner = e.filter(F.col("lon2").isNotNull())
+    last = e.filter(F.col("lon2").isNull()).drop("lon2", "lat2")
+    first = (v.groupBy(*keys).agg(F.min_by(F.struct("lon", "lat"), F.col(seq)).alias("_f"))
+              .select(*keys, F.col("_f.lon").alias("lon2"), F.col("_f.lat").alias("lat2")))
+    return inner.unionByName(last.join(first, keys, "left"))
 
 
 def edge_excess(lon1: Column, lat1: Column, lon2: Column, lat2: Column) -> Column:

@@ -46,6 +46,14 @@ def scalar(agg: DataFrame) -> Column:
     return agg.scalar()
 
 
+def broadcast_checked(df: DataFrame, max_rows: int = 2_000_000) -> DataFrame:
+    """Broadcast ``df`` only after checking its size; otherwise leave the join
+    to the planner (AQE broadcast under its byte threshold, else sort-merge
+    with skew splitting).  The check is one cheap count of a dimension."""
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
+
+
 def flag_in(col: str | Column, values: Sequence, name: str | None = None) -> Column:
     """0/1 membership flag (F3); NULL input gives 0 like the reference."""
     c = F.col(col) if isinstance(col, str) else col

@@ -173,29 +173,37 @@ def complete_cases(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.filter(complete_case_cond(cols))
 
 
-def _pass2_aggs(fit: OLSFit, cond: Column | None, hc3: bool, tag: str) -> list[Column]:
-    """Sum of squared residuals and the HC3 meat of one fit; rows outside the
-    fit are masked to NULL.  (Written inline: the aggregate's own common
-    subexpression elimination evaluates e and h once per row.)"""
-    mask = (lambda e: F.when(cond, e)) if cond is not None else (lambda e: e)
-    e = fit.resid_col()
-    aggs = [F.sum(mask(e * e)).alias(f"{tag}rss")]
-    if hc3:
-        k = len(fit.xs)
-        h = fit.leverage_col()
-        w = (e * e) / ((F.lit(1.0) - h) * (F.lit(1.0) - h))
-        z = [F.lit(1.0)] + [F.col(x) - F.lit(float(m)) for x, m in zip(fit.xs, fit.xbar)]
-        for i in range(k + 1):
-            for j in range(i, k + 1):
-                aggs.append(F.sum(mask(w * z[i] * z[j])).alias(f"{tag}w_{i}_{j}"))
-    return aggs
+def _projected_pass2(d: DataFrame, parts, hc3: bool):
+    """Pass 2 for several fits: residual, leverage and HC3 weight are projected
+    once per row and fit (two chained selects), so every aggregate is a
+    product of columns -- plan size O(models * k^2) instead of O(k^4)."""
+    s1, s2, aggs = [], [], []
+    for fit, cond, tag in parts:
+        e = fit.resid_col()
+        e = F.when(cond, e) if cond is not None else e
+        s1.append(e.alias(f"{tag}e"))
+        s2.append(F.col(f"{tag}e"))
+        aggs.append(F.sum(F.col(f"{tag}e") * F.col(f"{tag}e")).alias(f"{tag}rss"))
+        if hc3:
+            k = len(fit.xs)
+            s1.append(fit.leverage_col().alias(f"{tag}h"))
+            for j, (x, m) in enumerate(zip(fit.xs, fit.xbar)):
+                s1.append((F.col(x) - F.lit(float(m))).alias(f"{tag}z{j + 1}"))
+                s2.append(F.col(f"{tag}z{j + 1}"))
+            one_h = F.lit(1.0) - F.col(f"{tag}h")
+            s2.append((F.col(f"{tag}e") * F.col(f"{tag}e") / (one_h * one_h)).alias(f"{tag}w"))
+            w = F.col(f"{tag}w")
+            z = [None] + [F.col(f"{tag}z{j}") for j in range(1, k + 1)]
+            for i in range(k + 1):
+                for j in range(i, k + 1):
+                    t = w if i == 0 and j == 0 else (w * z[j] if i == 0 else w * z[i] * z[j])
+                    aggs.append(F.sum(t).alias(f"{tag}w_{i}_{j}"))
+    return d.select(*s1).select(*s2).agg(*aggs).collect()[0]
 
 
 def _run_pass2(d: DataFrame, parts: list[tuple[OLSFit, Column | None, str]], hc3: bool):
-    aggs = []
-    for fit, cond, tag in parts:
-        aggs += _pass2_aggs(fit, cond, hc3, tag)
-    r = d.agg(*aggs).collect()[0]
+    """One scan computing pass 2 for every (fit, row mask, tag) in ``parts``."""
+    r = _projected_pass2(d, parts, hc3)
     for fit, _cond, tag in parts:
         _apply_pass2(fit, r, hc3, tag)
 

@@ -84,7 +84,8 @@ def left_join_fan_out(spark, sf_dir):
                    .agg(F.sum("k").alias("geo_orders")))
     return (monthly.join(yearly, ["agency", "year"], "left")
                    .join(mapping, "agency", "left")
-                   .join(geo_yearly, ["geo", "year"], "left")
+                   # (geo, year) rows: nations x years, bounded by the fixed nation table
+                   .join(F.broadcast(geo_yearly), ["geo", "year"], "left")
                    .select("agency", "month", "year", "n_orders", "officers", "geo", "kind", "geo_orders"))
 
 
