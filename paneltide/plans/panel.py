@@ -33,13 +33,26 @@ def nation_dim(t: Tables) -> DataFrame:
     return F.broadcast(t.nation.select("n_nationkey", F.col("n_name").alias("county")))
 
 
-def monthly_counts(t: Tables) -> DataFrame:
+def year_ranges(col: str, years) -> "F.Column":
+    """``col`` within any of the calendar years, as plain range predicates
+    (pushed into the parquet scan; ``year(col) IN (...)`` would not be)."""
+    cond = None
+    for y in sorted(set(years)):
+        c = (F.col(col) >= F.lit(f"{y}-01-01").cast("timestamp_ntz")) & \
+            (F.col(col) < F.lit(f"{y + 1}-01-01").cast("timestamp_ntz"))
+        cond = c if cond is None else (cond | c)
+    return cond
+
+
+def monthly_counts(t: Tables, years=None) -> DataFrame:
     """Agency x month wide table of incident counts (the ingest's crime_data).
 
     Absent types become 0 at this step (quirk Q1: NULL at pivot, zero-fill at
-    merge).
+    merge).  ``years`` restricts the scan to those calendar years.
     """
     o = t.orders.select("o_custkey", "o_orderdate", "o_orderpriority")
+    if years:
+        o = o.filter(year_ranges("o_orderdate", years))
     o = o.select(F.col("o_custkey").alias("agency"),
                  F.to_date(F.date_trunc("month", "o_orderdate")).alias("month"),
                  F.year("o_orderdate").alias("year"),
@@ -48,11 +61,11 @@ def monthly_counts(t: Tables) -> DataFrame:
     return wide.fillna(0, subset=TYPE_COLS)
 
 
-def monthly_with_county(t: Tables) -> DataFrame:
+def monthly_with_county(t: Tables, years=None) -> DataFrame:
     """Monthly agency rows with county and the agency's "officers" value."""
     cust = t.customer.select(F.col("c_custkey").alias("agency"), "c_nationkey",
                              F.col("c_acctbal").alias("officers"))
-    return (monthly_counts(t)
+    return (monthly_counts(t, years)
             .join(cust, on="agency", how="left")
             .join(nation_dim(t), F.col("c_nationkey") == F.col("n_nationkey"), "left")
             .drop("c_nationkey", "n_nationkey"))
@@ -72,9 +85,11 @@ def with_rates(df: DataFrame, pop: str = "population") -> DataFrame:
     })
 
 
-def panel_yearly(t: Tables) -> DataFrame:
-    """(county, year) panel: type sums, mean officers, population, rates (A4)."""
-    yearly = (monthly_with_county(t).groupBy("county", "year")
+def panel_yearly(t: Tables, years=None) -> DataFrame:
+    """(county, year) panel: type sums, mean officers, population, rates (A4).
+
+    ``years`` keeps only those years, filtered at the orders scan."""
+    yearly = (monthly_with_county(t, years).groupBy("county", "year")
               .agg(*[F.sum(c).alias(c) for c in TYPE_COLS],
                    mean_cents("officers").alias("officers")))
     return with_rates(yearly.join(county_population(t), on="county", how="left"))

@@ -192,7 +192,7 @@ def scale_factor_series(spark, sf_dir):
 @query("regime_diff")
 def regime_diff(spark, sf_dir):
     """A10: post-minus-pre difference per county, one year per regime."""
-    p = P.panel_yearly(tables(spark, sf_dir)).filter(F.col("year").isin(PRE_YEAR, POST_YEAR_DIFF))
+    p = P.panel_yearly(tables(spark, sf_dir), years=[PRE_YEAR, POST_YEAR_DIFF])
     p = P.with_post(p)
     return ops.regime_diff(p, "county", "post", ["crime_rate", "officers", *P.TYPE_COLS])
 

@@ -54,3 +54,21 @@ def test_query_matches_oracle(spark, con, name):
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() >= 0 and "crime_rate" in df.columns
+
+
+@pytest.mark.parametrize("name", ["dedup_keep_first", "panel_yearly", "rolling5_complete", "interpolate_gaps",
+                                  "group_row_ranges", "cusum_process", "kde_density", "levene_median",
+                                  "model_table", "polygon_area"])
+def test_partition_invariance(spark, name):
+    """Same result with 1 and 16 shuffle partitions (order keys are complete)."""
+    fn = E.queries()[name]
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        out = []
+        for n in ("1", "16"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            df = fn(spark, SF)
+            out.append(Counter(tuple(_norm(v) for v in r) for r in df.collect()))
+        assert out[0] == out[1]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
