@@ -66,6 +66,18 @@ def parse_month_label(label: str | Column) -> Column:
     return F.try_to_date(col(label), "MM-yyyy")
 
 
+def month_start(ts: str | Column) -> Column:
+    """First day of the month as DATE, from calendar fields (no time-zone
+    conversion, so TIMESTAMP_NTZ input gives the same answer in any session)."""
+    return F.make_date(F.year(col(ts)), F.month(col(ts)), F.lit(1))
+
+
+def hour_start(ts: str | Column) -> Column:
+    """Timestamp truncated to the hour as TIMESTAMP_NTZ, from calendar fields."""
+    t = col(ts)
+    return F.make_timestamp_ntz(F.year(t), F.month(t), F.dayofmonth(t), F.hour(t), F.lit(0), F.lit(0))
+
+
 def year_start(year: str | Column) -> Column:
     """``as.Date(paste0(year, '-01-01'))``."""
     return F.make_date(col(year), F.lit(1), F.lit(1))

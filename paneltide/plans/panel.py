@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.reshape import pivot_wide, safe_name
-from ..functions.expr import cents, exact_sum_int, mean_cents
+from ..functions.expr import cents, exact_sum_int, mean_cents, month_start
 from ..sources.tables import Tables
 
 # The incident types (order priorities) and their column names.
@@ -54,7 +54,7 @@ def monthly_counts(t: Tables, years=None) -> DataFrame:
     if years:
         o = o.filter(year_ranges("o_orderdate", years))
     o = o.select(F.col("o_custkey").alias("agency"),
-                 F.to_date(F.date_trunc("month", "o_orderdate")).alias("month"),
+                 month_start("o_orderdate").alias("month"),
                  F.year("o_orderdate").alias("year"),
                  "o_orderpriority")
     wide = pivot_wide(o, ["agency", "month", "year"], "o_orderpriority", PRIORITIES)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ..functions.expr import flag, flag_in, mean_cents, year_start
+from ..functions.expr import flag, flag_in, mean_cents, month_start, year_start
 from ..operators import panel as ops
 from ..operators.joins import scalar, suffix_join
 from ..operators.reshape import pivot_wide, unpivot
@@ -42,7 +42,7 @@ def type_pivot_wide(spark, sf_dir):
     """Long (agency, month, type, n) -> wide, absent types zero-filled."""
     t = tables(spark, sf_dir)
     long = (t.orders.select(F.col("o_custkey").alias("agency"),
-                            F.to_date(F.date_trunc("month", "o_orderdate")).alias("month"),
+                            month_start("o_orderdate").alias("month"),
                             "o_orderpriority")
             .groupBy("agency", "month", "o_orderpriority").agg(F.count(F.lit(1)).alias("n")))
     wide = pivot_wide(long, None, "o_orderpriority", P.PRIORITIES, value_col="n")
@@ -65,7 +65,7 @@ def left_join_fan_out(spark, sf_dir):
     """J1 (agency, year) fan-in, J2 many-to-many mapping, J3 (geo, year)."""
     t = tables(spark, sf_dir)
     o = t.orders.select(F.col("o_custkey").alias("agency"), "o_orderdate", "o_totalprice")
-    monthly = (o.groupBy("agency", F.to_date(F.date_trunc("month", "o_orderdate")).alias("month"),
+    monthly = (o.groupBy("agency", month_start("o_orderdate").alias("month"),
                          F.year("o_orderdate").alias("year"))
                 .agg(F.count(F.lit(1)).alias("n_orders")))
     yearly = (o.groupBy("agency", F.year("o_orderdate").alias("year"))
@@ -208,7 +208,7 @@ def union_missing_columns(spark, sf_dir):
     """Monthly and yearly series bound by name; missing columns NULL."""
     t = tables(spark, sf_dir)
     o = t.orders
-    monthly = (o.groupBy(F.to_date(F.date_trunc("month", "o_orderdate")).alias("month"))
+    monthly = (o.groupBy(month_start("o_orderdate").alias("month"))
                 .agg(F.count(F.lit(1)).alias("n_orders")).withColumn("type", F.lit("Monthly")))
     p = P.panel_yearly(t)
     total = sum((F.col(c) for c in P.TYPE_COLS[1:]), F.col(P.TYPE_COLS[0]))

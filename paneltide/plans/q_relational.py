@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.expr import (cents, exact_sum_int, flag, mean_cents, month_label,
+from ..functions.expr import (cents, exact_sum_int, flag, hour_start, mean_cents, month_label,
                               parse_month_label, split_piece, strip_prefix, sum_cents,
                               year_start, zero_to_null)
 from ..operators.joins import natural_join
@@ -116,7 +116,7 @@ def ratio_of_sums(spark, sf_dir):
 def range_except(spark, sf_dir):
     """U4: the hours of the event span minus the hours that saw an error."""
     ev = tables(spark, sf_dir).events
-    hour = F.date_trunc("hour", "ts").cast("timestamp_ntz")
+    hour = hour_start("ts")
     span = ev.agg(F.min(hour).alias("lo"), F.max(hour).alias("hi"))
     hours = span.select(F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 HOUR"))).alias("hour"))
     seen = ev.filter(F.col("event_type") == "error").select(hour.alias("hour"))
