@@ -24,19 +24,20 @@ EARTH_RADIUS_M = 6371010.0
 def ring_edges(v: DataFrame, keys: Sequence[str] = ("geoid", "ring_id"), seq: str = "seq") -> DataFrame:
     """Pair every vertex with the next one of its ring (wrapping to the first).
 
-    An equi-join on (keys, seq + 1) -- a unique key, so no ring, however many
-    vertices it has, is gathered into one task.  Only the last vertex of each
-    ring (one row per ring) is joined to the ring's first vertex.  ``seq``
-    must be consecutive within a ring.
+    The next vertex comes from an equi-join on (keys, seq + 1) -- a unique
+    key, so no ring, however many vertices it has, is gathered into one task.
+    The wrap-around target (the ring's first vertex) comes from a one-row-per-
+    ring table, broadcast after a size check (else a sort-merge join that AQE
+    can split).  ``seq`` must be consecutive within a ring.
     """
+    from ..operators.joins import broadcast_checked
     keys = list(keys)
-    nxt = v.select(*keys, (F.col(seq) - 1).alias(seq), F.col("lon").alias("lon2"), F.col("lat").alias("lat2"))
-    e = v.join(nxt, keys + [seq], "left")
-    inner = e.filter(F.col("lon2").isNotNull())
-    last = e.filter(F.col("lon2").isNull()).drop("lon2", "lat2")
+    nxt = v.select(*keys, (F.col(seq) - 1).alias(seq), F.col("lon").alias("_nlon"), F.col("lat").alias("_nlat"))
     first = (v.groupBy(*keys).agg(F.min_by(F.struct("lon", "lat"), F.col(seq)).alias("_f"))
-              .select(*keys, F.col("_f.lon").alias("lon2"), F.col("_f.lat").alias("lat2")))
-    return inner.unionByName(last.join(first, keys, "left"))
+              .select(*keys, F.col("_f.lon").alias("_flon"), F.col("_f.lat").alias("_flat")))
+    e = v.join(nxt, keys + [seq], "left").join(broadcast_checked(first), keys, "left")
+    return (e.withColumns({"lon2": F.coalesce("_nlon", "_flon"), "lat2": F.coalesce("_nlat", "_flat")})
+             .drop("_nlon", "_nlat", "_flon", "_flat"))
 
 
 def edge_excess(lon1: Column, lat1: Column, lon2: Column, lat2: Column) -> Column:

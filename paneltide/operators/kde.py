@@ -21,10 +21,12 @@ from .quantile import exact_quantiles
 CUT = 40.0
 
 
-def bw_nrd0(sd: float, iqr: float, n: int) -> float:
+def bw_nrd0(sd: float, iqr: float, n: int, any_value: float = 0.0) -> float:
+    """Silverman's rule of thumb; degenerate spreads fall back to sd, then to
+    |a data value|, then to 1."""
     lo = min(sd, iqr / 1.34)
     if not lo > 0:
-        lo = sd or abs(iqr) or 1.0
+        lo = sd if sd and sd > 0 else (abs(any_value) or 1.0)
     return 0.9 * lo * n ** (-0.2)
 
 
@@ -35,7 +37,7 @@ def kde(df: DataFrame, value: str, points: int = 512, bw: float | None = None) -
     n, lo, hi = s["n"], s["lo"], s["hi"]
     if bw is None:
         q1, q3 = exact_quantiles(d, "v", [0.25, 0.75])[None]
-        bw = bw_nrd0(s["sd"], q3 - q1, n)
+        bw = bw_nrd0(s["sd"] or 0.0, q3 - q1, n, lo)
     step = (hi - lo) / (points - 1)
     counts = d.groupBy("v").agg(F.count(F.lit(1)).alias("c"))
     v = F.col("v")

@@ -9,13 +9,14 @@ from ..functions import geo
 from .catalogue import finish, query, tables
 
 
-def supplier_rings(t) -> DataFrame:
+def supplier_rings(t, where=None) -> DataFrame:
     """One 4-corner cell per supplier (geoid = s_suppkey), counter-clockwise.
 
     lon0 = -180 + (key mod 360), lat0 = -60 + ((key div 360) mod 120),
     width 0.5 + 0.25 (key mod 5) deg, height 0.5 + 0.25 (key mod 3) deg.
     """
-    s = t.supplier.select(F.col("s_suppkey").alias("geoid"))
+    s = t.supplier if where is None else t.supplier.filter(where)
+    s = s.select(F.col("s_suppkey").alias("geoid"))
     k = F.col("geoid")
     lon0 = F.lit(-180.0) + (k % 360).cast("double")
     lat0 = F.lit(-60.0) + ((k / 360).cast("long") % 120).cast("double")
@@ -39,9 +40,7 @@ def polygon_area(spark, sf_dir):
 @query("polygon_centroid")
 def polygon_centroid(spark, sf_dir):
     """Centroid of the filtered cells (suppliers with positive balance)."""
-    t = tables(spark, sf_dir)
-    keep = t.supplier.filter(F.col("s_acctbal") > 0).select(F.col("s_suppkey").alias("geoid"))
-    rings = supplier_rings(t).join(keep, "geoid", "left_semi")
+    rings = supplier_rings(tables(spark, sf_dir), where=F.col("s_acctbal") > 0)
     return finish(geo.polygon_centroid(rings), 9)
 
 
