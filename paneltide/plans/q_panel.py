@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ..functions.expr import flag, flag_in, mean_cents, month_start, year_start
+from ..functions.expr import cents, flag, flag_in, mean_cents, month_start, year_start
 from ..operators import panel as ops
 from ..operators.joins import scalar, suffix_join
 from ..operators.reshape import pivot_wide, unpivot
@@ -62,14 +62,21 @@ def set_flags(spark, sf_dir):
 
 @query("left_join_fan_out")
 def left_join_fan_out(spark, sf_dir):
-    """J1 (agency, year) fan-in, J2 many-to-many mapping, J3 (geo, year)."""
+    """J1 (agency, year) fan-in, J2 many-to-many mapping, J3 (geo, year).
+
+    One orders scan: the agency x month aggregate (with exact cents sums) feeds
+    the monthly rows, the yearly "officers" and the geo-year counts.
+    """
     t = tables(spark, sf_dir)
     o = t.orders.select(F.col("o_custkey").alias("agency"), "o_orderdate", "o_totalprice")
-    monthly = (o.groupBy("agency", month_start("o_orderdate").alias("month"),
-                         F.year("o_orderdate").alias("year"))
-                .agg(F.count(F.lit(1)).alias("n_orders")))
-    yearly = (o.groupBy("agency", F.year("o_orderdate").alias("year"))
-               .agg(mean_cents("o_totalprice").alias("officers")))
+    monthly_full = (o.groupBy("agency", month_start("o_orderdate").alias("month"),
+                              F.year("o_orderdate").alias("year"))
+                     .agg(F.count(F.lit(1)).alias("n_orders"),
+                          F.sum(cents("o_totalprice").cast("decimal(20,0)")).alias("_cents"),
+                          F.count("o_totalprice").alias("_nprice")))
+    monthly = monthly_full.select("agency", "month", "year", "n_orders")
+    yearly = (monthly_full.groupBy("agency", "year")
+              .agg(F.try_divide(F.sum("_cents").cast("double"), F.sum("_nprice") * F.lit(100.0)).alias("officers")))
     cust = t.customer.select(F.col("c_custkey").alias("agency"), "c_nationkey")
     nat = F.broadcast(t.nation.select("n_nationkey", "n_regionkey"))
     cn = cust.join(nat, F.col("c_nationkey") == F.col("n_nationkey"))
@@ -78,10 +85,9 @@ def left_join_fan_out(spark, sf_dir):
                .unionByName(cn.select("agency",
                                       F.concat(F.lit("R"), F.col("n_regionkey").cast("string")).alias("geo"),
                                       F.lit("region").alias("kind"))))
-    geo_yearly = (o.groupBy("agency", F.year("o_orderdate").alias("year")).agg(F.count(F.lit(1)).alias("k"))
-                   .join(cust, "agency")
-                   .groupBy(F.concat(F.lit("N"), F.col("c_nationkey").cast("string")).alias("geo"), "year")
-                   .agg(F.sum("k").alias("geo_orders")))
+    geo_yearly = (monthly.join(cust, "agency")
+                  .groupBy(F.concat(F.lit("N"), F.col("c_nationkey").cast("string")).alias("geo"), "year")
+                  .agg(F.sum("n_orders").alias("geo_orders")))
     return (monthly.join(yearly, ["agency", "year"], "left")
                    .join(mapping, "agency", "left")
                    # (geo, year) rows: nations x years, bounded by the fixed nation table
@@ -205,13 +211,14 @@ def group_row_ranges(spark, sf_dir):
 
 @query("union_missing_columns")
 def union_missing_columns(spark, sf_dir):
-    """Monthly and yearly series bound by name; missing columns NULL."""
+    """Monthly and yearly series bound by name; missing columns NULL.
+    Both come from the one agency x month aggregate of orders."""
     t = tables(spark, sf_dir)
-    o = t.orders
-    monthly = (o.groupBy(month_start("o_orderdate").alias("month"))
-                .agg(F.count(F.lit(1)).alias("n_orders")).withColumn("type", F.lit("Monthly")))
-    p = P.panel_yearly(t)
+    m = P.monthly_counts(t)
     total = sum((F.col(c) for c in P.TYPE_COLS[1:]), F.col(P.TYPE_COLS[0]))
+    monthly = (m.groupBy("month").agg(F.sum(total).alias("n_orders"))
+                .withColumn("type", F.lit("Monthly")))
+    p = P.panel_yearly(t)
     yearly = (p.groupBy("year").agg(F.sum(total).alias("n_orders"), F.sum("population").alias("population"))
                .select(year_start("year").alias("month"), "n_orders", "population",
                        F.lit("Yearly").alias("type")))
