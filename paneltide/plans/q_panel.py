@@ -72,11 +72,11 @@ def left_join_fan_out(spark, sf_dir):
     monthly_full = (o.groupBy("agency", month_start("o_orderdate").alias("month"),
                               F.year("o_orderdate").alias("year"))
                      .agg(F.count(F.lit(1)).alias("n_orders"),
-                          F.sum(cents("o_totalprice").cast("decimal(20,0)")).alias("_cents"),
+                          F.sum(cents("o_totalprice")).alias("_cents"),
                           F.count("o_totalprice").alias("_nprice")))
     monthly = monthly_full.select("agency", "month", "year", "n_orders")
     yearly = (monthly_full.groupBy("agency", "year")
-              .agg(F.try_divide(F.sum("_cents").cast("double"), F.sum("_nprice") * F.lit(100.0)).alias("officers")))
+              .agg(F.try_divide(F.sum("_cents"), F.sum("_nprice") * F.lit(100.0)).alias("officers")))
     cust = t.customer.select(F.col("c_custkey").alias("agency"), "c_nationkey")
     nat = F.broadcast(t.nation.select("n_nationkey", "n_regionkey"))
     cn = cust.join(nat, F.col("c_nationkey") == F.col("n_nationkey"))

@@ -9,7 +9,7 @@ from ..functions.expr import (cents, exact_sum_int, flag, hour_start, mean_cents
                               parse_month_label, split_piece, strip_prefix, sum_cents,
                               year_start, zero_to_null)
 from ..operators.joins import natural_join
-from ..operators.reshape import columns_of_type, pivot_multi, unpivot
+from ..operators.reshape import columns_of_type, pivot_wide, unpivot
 from .catalogue import finish, query, tables
 from .panel import POST_YEAR
 
@@ -46,8 +46,10 @@ def multi_value_pivot(spark, sf_dir):
                        F.split_part("key", F.lit("__"), F.lit(1)).alias("stat"),
                        F.split_part("key", F.lit("__"), F.lit(2)).alias("variable"),
                        "value")
-    wide = long.groupBy("variable", "regime").pivot("stat", ["mean", "sd"]).agg(F.first("value"))
-    out = pivot_multi(wide, ["variable"], "regime", ["pre", "post"], ["mean", "sd"])
+    # names_from (stat, regime) at once -> mean_pre, mean_post, sd_pre, sd_post
+    keyed = long.withColumn("key", F.concat_ws("_", "stat", "regime"))
+    out = pivot_wide(keyed, ["variable"], "key", ["mean_pre", "mean_post", "sd_pre", "sd_post"],
+                     value_col="value", agg=F.first, name=str)
     return finish(out, 5, exact=("mean_pre", "mean_post"))
 
 
