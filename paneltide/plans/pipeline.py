@@ -208,12 +208,23 @@ def analysis(acs5: DataFrame) -> dict:
     res["metrics"] = spark.createDataFrame([(m, float(f.r2()), float(f.adj_r2()), float(f.rmse()))
                                             for m, f in fits.items()],
                                            "model string, r2 double, adj_r2 double, rmse double")
-    res["chow"] = L.chow_test(d, "crime_rate", MODEL_VARS, "post_covid")
+    chow = L.chow_test(d, "crime_rate", MODEL_VARS, "post_covid")
+    res["chow"] = spark.createDataFrame(
+        [(float(chow["statistic"]), float(chow["df1"]), float(chow["df2"]), float(chow["p_value"]))],
+        "statistic double, df1 double, df2 double, p_value double")
     res["cusum"] = L.cusum_process(d, fits["Full Model"], ["post_covid", "county", "year"])
+    sup = L.cusum_sup(d, fits["Full Model"], ["post_covid", "county", "year"])
+    from ..functions import dist
+    res["cusum_test"] = spark.createDataFrame([(float(sup), float(dist.bridge_sup_sf(sup)))],
+                                              "statistic double, p_value double")
     res["boxcox"] = L.boxcox_profile(d, "crime_rate", MODEL_VARS + ["post_covid"])
     res["variance_f"] = S.variance_f_test(d, F.sqrt("crime_rate"), "post_covid")
     res["levene"] = S.levene_median(d, F.sqrt("crime_rate"), "post_covid")
     res["density"] = K.kde(d, "crime_rate")
     diff = ops.regime_diff(d, "county", "post_covid", [c for c in DIFF_VARS if c in d.columns])
-    res["diff_fit"] = L.ols(diff, "crime_rate_diff", [c + "_diff" for c in DIFF_VARS[1:] if c in d.columns])
+    diff_fit = L.ols(diff, "crime_rate_diff", [c + "_diff" for c in DIFF_VARS[1:] if c in d.columns])
+    res["diff_model"] = spark.createDataFrame(
+        [(r["term"], float(r["estimate"]), float(r["std_error"]), float(r["statistic"]), float(r["p_value"]))
+         for r in diff_fit.tidy()],
+        "term string, estimate double, std_error double, statistic double, p_value double")
     return res

@@ -94,8 +94,22 @@ def test_analysis_entry_on_panel(spark):
     assert res["welch"].count() == 11
     models = res["models"].collect()
     assert {r.model for r in models} == {"Pre-COVID", "Post-COVID", "Full Model"}
-    assert res["chow"]["df1"] == 8 and 0 <= res["chow"]["p_value"] <= 1
+    chow = res["chow"].first()
+    assert chow.df1 == 8 and 0 <= chow.p_value <= 1
     assert res["cusum"].count() == 160
     assert res["boxcox"].count() == 41
-    assert res["diff_fit"].n == 80
+    assert res["diff_model"].count() == 7
+    assert 0 <= res["cusum_test"].first().p_value <= 1
     assert res["density"].count() == 512
+
+
+def test_cli_ingest_and_merge(spark, scratch):
+    from paneltide import cli
+    land, cen, out = (os.path.join(scratch, d) for d in ("landing", "census", "out"))
+    write_landing(land)
+    write_census(cen)
+    cli.main(["ingest", "--landing", land, "--out", out])
+    assert spark.read.parquet(os.path.join(out, "crime_data")).count() == len(AGENCIES) * len(MONTHS)
+    cli.main(["merge", "--landing", land, "--census", cen, "--out", out])
+    for t in ("crime_data_merged", "mapping_yearly_data", "acs_1_yearly_data", "acs_5_yearly_data"):
+        assert os.path.exists(os.path.join(out, t))
