@@ -162,8 +162,9 @@ def run_merge(spark: SparkSession, landing_dir: str, census_dir: str, out_dir: s
            "acs_1_yearly_data": acs1_yearly(rolled, ct.acs1, interpolate),
            "acs_5_yearly_data": acs5_yearly(rolled)}
     if out_dir:
+        # Stages are partitioned by year: later year/regime filters prune files.
         for name, df in out.items():
-            write_stage(df, f"{out_dir.rstrip('/')}/{name}")
+            write_stage(df, f"{out_dir.rstrip('/')}/{name}", partition_by=["year"])
     return out
 
 

@@ -113,3 +113,13 @@ def test_cli_ingest_and_merge(spark, scratch):
     cli.main(["merge", "--landing", land, "--census", cen, "--out", out])
     for t in ("crime_data_merged", "mapping_yearly_data", "acs_1_yearly_data", "acs_5_yearly_data"):
         assert os.path.exists(os.path.join(out, t))
+
+
+def test_stage_partition_pruning(spark, scratch):
+    land, cen, out = (os.path.join(scratch, d) for d in ("landing", "census", "stages"))
+    write_landing(land)
+    write_census(cen)
+    PL.run_merge(spark, land, cen, out_dir=out)
+    df = spark.read.parquet(os.path.join(out, "acs_5_yearly_data")).filter(F.col("year") == 2023)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(year" in plan and df.count() > 0
