@@ -69,3 +69,25 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def sizing_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict:
+    """Partition sizing for a run over ``input_bytes`` on ``total_cores``.
+
+    Scan splits and post-shuffle partitions aim at ``target_partition_bytes``
+    (fits executor memory with room for sort/aggregate buffers); the initial
+    shuffle partition count is a multiple of the core count so AQE has room to
+    coalesce small partitions and split skewed ones.  Example: 100 TB on 8000
+    cores -> 416,000 initial shuffle partitions (52 waves), 256 MB scan splits.
+    """
+    parts = max(total_cores * 2, -(-input_bytes // target_partition_bytes))
+    parts = -(-parts // total_cores) * total_cores          # round up to a multiple of cores
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes * 2),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.execution.arrow.maxRecordsPerBatch": "20000",
+    }

@@ -105,3 +105,12 @@ def test_strict_sum(spark):
     df = spark.createDataFrame([("a", 1), ("a", None), ("b", 2)], "k string, v int")
     out = rows(ops.rollup(df, ["k"], sums=["v"], strict=True), "k")
     assert out == [("a", None), ("b", 2)]
+
+
+def test_sizing_conf_scales_with_input():
+    from paneltide.session import sizing_conf
+    small = sizing_conf(10 << 30, 64)
+    big = sizing_conf(100 << 40, 8000)
+    assert int(small["spark.sql.shuffle.partitions"]) == 128
+    assert int(big["spark.sql.shuffle.partitions"]) == 416000
+    assert int(big["spark.sql.shuffle.partitions"]) % 8000 == 0
