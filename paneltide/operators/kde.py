@@ -36,7 +36,7 @@ def kde(df: DataFrame, value: str, points: int = 512, bw: float | None = None) -
               F.min("v").alias("lo"), F.max("v").alias("hi")).collect()[0]
     n, lo, hi = s["n"], s["lo"], s["hi"]
     if bw is None:
-        q1, q3 = exact_quantiles(d, "v", [0.25, 0.75])[None]
+        q1, q3 = exact_quantiles(d, "v", [0.25, 0.75], stats={0: (n, lo, hi)})[None]
         bw = bw_nrd0(s["sd"] or 0.0, q3 - q1, n, lo)
     step = (hi - lo) / (points - 1)
     counts = d.groupBy("v").agg(F.count(F.lit(1)).alias("c"))

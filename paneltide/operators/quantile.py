@@ -85,17 +85,19 @@ def _order_stats(df: DataFrame, value: str, gcol: str | None,
 
 def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float],
                     group: str | None = None, buckets: int = 4096,
-                    max_collect: int = 50_000) -> dict:
+                    max_collect: int = 50_000, stats: dict | None = None) -> dict:
     """Type-7 (linear interpolation) quantiles, exactly, per group.
 
     Returns ``{group: [q(p) for p in probs]}`` (group ``None`` when global).
-    NULL values are ignored.
+    NULL values are ignored.  ``stats`` = ``{group: (n, min, max)}`` (key 0
+    when global) skips pass 0 when the caller already has them.
     """
     d = df.filter(F.col(value).isNotNull())
-    gcol = F.col(group) if group else F.lit(None).alias("g")
-    st = d.groupBy(gcol.alias("g")).agg(F.count(F.lit(1)).alias("n"),
-                                        F.min(value).alias("lo"), F.max(value).alias("hi")).collect()
-    stats = {(r.g if group else 0): (r.n, r.lo, r.hi) for r in st}
+    if stats is None:
+        gcol = F.col(group) if group else F.lit(None).alias("g")
+        st = d.groupBy(gcol.alias("g")).agg(F.count(F.lit(1)).alias("n"),
+                                            F.min(value).alias("lo"), F.max(value).alias("hi")).collect()
+        stats = {(r.g if group else 0): (r.n, r.lo, r.hi) for r in st}
     wanted, plan = [], {}
     for g, (n, _lo, _hi) in stats.items():
         for p in probs:
