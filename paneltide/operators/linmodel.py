@@ -357,6 +357,8 @@ def facet_lines(df: DataFrame, y: str, xs: Sequence[str], points: int = 80,
                  F.regr_sxy(y, x).alias(f"sxy{i}"),
                  F.min(F.when(F.col(y).isNotNull(), F.col(x))).alias(f"lo{i}"),
                  F.max(F.when(F.col(y).isNotNull(), F.col(x))).alias(f"hi{i}")]
+    from ..session import ship_package
+    ship_package(df.sparkSession)
     one = df.agg(*aggs)
     facets = one.select(F.explode(F.array(*[
         F.struct(F.lit(x).alias("variable"), *[F.col(f"{k}{i}").alias(k) for k in

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import cut_lineage
+from ..session import cut_lineage, ship_package
 
 
 def prefix_sum(df: DataFrame, order: Sequence[str], value: str, out: str = "cumsum",
@@ -33,6 +33,7 @@ def prefix_sum(df: DataFrame, order: Sequence[str], value: str, out: str = "cums
     """Add ``out`` = inclusive running sum of ``value`` and ``index`` = 1-based
     row position, both in ``order`` (which must be unique)."""
     spark = df.sparkSession
+    ship_package(spark)
     order = list(order)
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
@@ -81,6 +82,7 @@ def prefix_extremes(df: DataFrame, order: Sequence[str], value: str,
     row per partition.
     """
     spark = df.sparkSession
+    ship_package(spark)
     order = list(order)
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = df.select(*order, value).repartitionByRange(n, *order).sortWithinPartitions(*order)

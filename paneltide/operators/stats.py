@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import dist
+from ..session import ship_package
 from .quantile import exact_median, quantile_map_col
 
 
@@ -45,6 +46,7 @@ def group_moments(df: DataFrame, group: str, cols: Sequence[str],
 
 def welch_from_moments(m: DataFrame) -> DataFrame:
     """Welch t (group0 - group1), Satterthwaite df, two-sided p."""
+    ship_package(m.sparkSession)
     a = F.col("v0") / F.col("n0")
     b = F.col("v1") / F.col("n1")
     t = (F.col("m0") - F.col("m1")) / F.sqrt(a + b)
@@ -63,6 +65,7 @@ def pearson_tests(df: DataFrame, target: str, cols: Sequence[str]) -> DataFrame:
 
     ``corr`` skips pairs with a NULL but not NaN: NaN is mapped to NULL first.
     """
+    ship_package(df.sparkSession)
     clean = lambda c: F.when(~F.isnan(F.col(c)), F.col(c))
     aggs = []
     for i, c in enumerate(cols):
@@ -79,6 +82,7 @@ def pearson_tests(df: DataFrame, target: str, cols: Sequence[str]) -> DataFrame:
 
 def variance_f_test(df: DataFrame, value: Column, group: str, levels=(0, 1)) -> DataFrame:
     """F test of equal variances, var(g0)/var(g1), two-sided."""
+    ship_package(df.sparkSession)
     g0, g1 = levels
     v = value
     one = df.agg(F.var_samp(F.when(F.col(group) == g0, v)).alias("v0"),
@@ -98,6 +102,7 @@ def levene_median(df: DataFrame, value: Column, group: str) -> DataFrame:
     Medians come from the distributed exact quantile (no group gathered into
     a task); the ANOVA on |y - median| is one grouped aggregation.
     """
+    ship_package(df.sparkSession)
     d = df.select(F.col(group).alias("g"), value.alias("v")).filter(F.col("v").isNotNull())
     med = exact_median(d, "v", "g")
     z = F.abs(F.col("v") - quantile_map_col(F.col("g"), med))

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import ship_package
 from ..sources.tables import Tables
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -45,6 +46,7 @@ def finish(df: DataFrame, digits: int = 6, overrides: dict[str, int] | None = No
 
 
 def tables(spark: SparkSession, sf_dir: str) -> Tables:
+    ship_package(spark)          # workers import the package for UDF steps
     return Tables(spark, sf_dir)
 
 

@@ -40,6 +40,7 @@ def get_spark(master: str | None = None, app: str = "paneltide",
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -91,3 +92,25 @@ def sizing_conf(input_bytes: int, total_cores: int, target_partition_bytes: int
         "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
         "spark.sql.execution.arrow.maxRecordsPerBatch": "20000",
     }
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in Python workers (pandas UDFs,
+    ``mapInPandas``): zip it once per SparkContext and ``addPyFile`` it, the
+    in-process equivalent of ``spark-submit --py-files``."""
+    sc = spark.sparkContext
+    if getattr(sc, "_paneltide_shipped", False):
+        return
+    import zipfile
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg)
+    fd, path = tempfile.mkstemp(prefix="paneltide-", suffix=".zip")
+    os.close(fd)
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for d, _dirs, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(d, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(path)
+    sc._paneltide_shipped = True
