@@ -144,7 +144,7 @@ def chow_test(spark, sf_dir):
 
 def _cusum(spark, sf_dir):
     d = model_frame(spark, sf_dir)
-    fit = L.ols(d, Y, XS_FULL, hc3=False)
+    fit = L.ols(d, Y, XS_FULL, second_pass=False)   # sigma from the co-moments: one scan
     return L.cusum_process(d, fit, ORDER)
 
 
@@ -160,7 +160,7 @@ def cusum_test(spark, sf_dir):
     """Sup |process| (from per-partition prefix extremes, one pass) and its
     Brownian-bridge p-value."""
     d = model_frame(spark, sf_dir)
-    fit = L.ols(d, Y, XS_FULL, hc3=False)
+    fit = L.ols(d, Y, XS_FULL, second_pass=False)
     stat = L.cusum_sup(d, fit, ORDER)
     return finish(_tidy_df(spark, [{"statistic": stat, "p_value": dist.bridge_sup_sf(stat)}],
                            ["statistic", "p_value"]), 6)

@@ -114,3 +114,9 @@ def test_sizing_conf_scales_with_input():
     assert int(small["spark.sql.shuffle.partitions"]) == 128
     assert int(big["spark.sql.shuffle.partitions"]) == 416000
     assert int(big["spark.sql.shuffle.partitions"]) % 8000 == 0
+
+
+def test_dedup_keep_first_nulls_last(spark):
+    df = spark.createDataFrame([("k", None, "n"), ("k", 2, "b"), ("j", None, "x")], "k string, o int, v string")
+    out = rows(ops.dedup_keep_first(df, ["k"], ["o"]), "k")
+    assert out == [("j", None, "x"), ("k", 2, "b")]
