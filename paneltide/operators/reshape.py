@@ -51,6 +51,13 @@ def safe_name(v) -> str:
     return re.sub(r"[^0-9a-z]+", "_", s).strip("_")
 
 
+def _masked(agg: Callable[[Column], Column], c: Column) -> Column:
+    """Aggregate over a CASE-masked column: ``first``/``last`` must skip the
+    masked-out NULLs explicitly; other aggregates skip NULLs anyway.  With
+    unique keys (R8, ``assert_unique``) every choice gives the same value."""
+    return agg(c, ignorenulls=True) if agg in (F.first, F.last) else agg(c)
+
+
 def pivot_wide(df: DataFrame, ids: Sequence[str] | None, names_from: str,
                values: Sequence, value_col: str | None = None,
                agg: Callable[[Column], Column] = F.first,
@@ -69,9 +76,7 @@ def pivot_wide(df: DataFrame, ids: Sequence[str] | None, names_from: str,
         if value_col is None:
             outs.append(F.sum(F.when(hit, F.lit(1))).alias(name(v)))
         else:
-            outs.append(agg(F.when(hit, F.col(value_col)), ignorenulls=True).alias(name(v))
-                        if agg in (F.first, F.last) else
-                        agg(F.when(hit, F.col(value_col))).alias(name(v)))
+            outs.append(_masked(agg, F.when(hit, F.col(value_col))).alias(name(v)))
     return df.groupBy(*ids).agg(*outs)
 
 
@@ -86,8 +91,7 @@ def pivot_multi(df: DataFrame, ids: Sequence[str], names_from: str, values: Sequ
     for vc in value_cols:
         for v in values:
             picked = F.when(F.col(names_from) == F.lit(v), F.col(vc))
-            c = agg(picked, ignorenulls=True) if agg in (F.first, F.last) else agg(picked)
-            outs.append(c.alias(template.format(value=vc, name=v)))
+            outs.append(_masked(agg, picked).alias(template.format(value=vc, name=v)))
     return df.groupBy(*ids).agg(*outs)
 
 
