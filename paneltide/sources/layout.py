@@ -1,0 +1,32 @@
+"""Physical layout of stages that are joined or windowed repeatedly.
+
+Tables bucketed on the same key with the same bucket count join without a
+shuffle (each bucket pair is co-located), and windows/aggregates keyed by the
+bucket column skip the exchange too.  Year partitioning prunes files for
+period filters.  Both need a catalog table (``saveAsTable``) whose location
+is a shared folder on a cluster.
+
+Bucket only on high-cardinality keys (agency, customer).  A bucket is read
+by one task, so bucketing on a key that can hold a third of the rows (a
+county) would put that third in one task; there a shuffle with map-side
+partial aggregation is the skew-safe plan.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
+
+
+def write_bucketed(df: DataFrame, table: str, keys: Sequence[str], buckets: int,
+                   sort: bool = True, partition_by: Sequence[str] = (), path: str | None = None,
+                   mode: str = "overwrite") -> None:
+    w = df.write.mode(mode).format("parquet").bucketBy(buckets, *keys)
+    if sort:
+        w = w.sortBy(*keys)
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    if path:
+        w = w.option("path", path)
+    w.saveAsTable(table)
