@@ -10,7 +10,9 @@ place.  Here each order statistic is found by histogram refinement:
            target; the bucket holding the wanted rank becomes the new
            interval (its own min/max, so it tightens to real values);
   finish   when the interval holds a single distinct value, or at most
-           ``max_collect`` rows, those rows (bounded) are sorted.
+           ``max_collect`` rows, those rows (bounded) are sorted; small
+           intervals are collected in batches of at most ``max_collect``
+           values in total, however many groups there are.
 
 Passes are column-pruned scans with partial aggregation: work O(passes * n)
 spread over the cluster, driver memory O(B * targets + max_collect).  A
@@ -45,16 +47,27 @@ def _order_stats(df: DataFrame, value: str, gcol: str | None,
         small = [(k, s) for k, s in active if s["n_in"] <= max_collect]
         big = [(k, s) for k, s in active if s["n_in"] > max_collect]
         if small:
-            # Collect the (bounded) rows of each small interval, one scan.
-            conds = None
-            for (g, _r), s in small:
-                c = (gc == F.lit(g)) & v.between(F.lit(s["lo"]), F.lit(s["hi"]))
-                conds = c if conds is None else (conds | c)
-            rows = df.filter(conds).select(gc.alias("g"), v.alias("v")).collect()
-            for (g, r), s in small:
-                vals = sorted(x.v for x in rows if x.g == g and s["lo"] <= x.v <= s["hi"])
-                s["value"] = vals[r - s["below"]]
-                s["done"] = True
+            # Collect the rows of the small intervals, batched so one collect
+            # never exceeds max_collect values in total (many groups included).
+            batch, size = [], 0
+            batches = []
+            for item in sorted(small, key=lambda it: it[1]["n_in"]):
+                if batch and size + item[1]["n_in"] > max_collect:
+                    batches.append(batch)
+                    batch, size = [], 0
+                batch.append(item)
+                size += item[1]["n_in"]
+            batches.append(batch)
+            for b in batches:
+                conds = None
+                for (g, _r), s in b:
+                    c = (gc == F.lit(g)) & v.between(F.lit(s["lo"]), F.lit(s["hi"]))
+                    conds = c if conds is None else (conds | c)
+                rows = df.filter(conds).select(gc.alias("g"), v.alias("v")).collect()
+                for (g, r), s in b:
+                    vals = sorted(x.v for x in rows if x.g == g and s["lo"] <= x.v <= s["hi"])
+                    s["value"] = vals[r - s["below"]]
+                    s["done"] = True
         if big:
             parts = []
             for i, ((g, _r), s) in enumerate(big):

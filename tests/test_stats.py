@@ -137,3 +137,13 @@ def test_prefix_extremes_match_materialised(spark):
     hi, lo, n = prefix_extremes(df, ["k"], "v", partitions=7)
     cs = np.cumsum(vals)
     assert n == 3000 and hi == pytest.approx(cs.max()) and lo == pytest.approx(cs.min())
+
+
+def test_exact_quantiles_many_groups_bounded_batches(spark):
+    rng = np.random.default_rng(12)
+    g = rng.integers(0, 40, 20000)
+    v = rng.normal(size=20000)
+    df = spark.createDataFrame([(int(a), float(b)) for a, b in zip(g, v)], "g int, v double")
+    got = exact_quantiles(df, "v", [0.5], group="g", buckets=32, max_collect=300)
+    for grp in range(40):
+        assert got[grp][0] == pytest.approx(float(np.median(v[g == grp])), abs=1e-12)
