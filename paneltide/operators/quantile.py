@@ -69,16 +69,32 @@ def _order_stats(df: DataFrame, value: str, gcol: str | None,
                     s["value"] = vals[r - s["below"]]
                     s["done"] = True
         if big:
-            parts = []
-            for i, ((g, _r), s) in enumerate(big):
-                lo, hi = s["lo"], s["hi"]
-                b = F.least(F.floor((v - F.lit(lo)) / F.lit(hi - lo) * F.lit(buckets)),
-                            F.lit(buckets - 1)).cast("int")
-                parts.append(F.when((gc == F.lit(g)) & v.between(F.lit(lo), F.lit(hi)),
-                                    F.struct(F.lit(i).alias("t"), b.alias("b"))))
-            hits = df.select(F.explode(F.filter(F.array(*parts), lambda x: x.isNotNull())).alias("h"),
-                             v.alias("v"))
-            hist = (hits.groupBy(F.col("h.t").alias("t"), F.col("h.b").alias("b"))
+            if len(big) <= 64:
+                # Few targets: literal intervals, no join.
+                parts = []
+                for i, ((g, _r), s) in enumerate(big):
+                    lo, hi = s["lo"], s["hi"]
+                    b = F.least(F.floor((v - F.lit(lo)) / F.lit(hi - lo) * F.lit(buckets)),
+                                F.lit(buckets - 1)).cast("int")
+                    parts.append(F.when((gc == F.lit(g)) & v.between(F.lit(lo), F.lit(hi)),
+                                        F.struct(F.lit(i).alias("t"), b.alias("b"))))
+                hits = df.select(F.explode(F.filter(F.array(*parts), lambda x: x.isNotNull())).alias("h"),
+                                 v.alias("v")).select(F.col("h.t").alias("t"), F.col("h.b").alias("b"), "v")
+            else:
+                # Many targets: an interval table joined on the group key
+                # (broadcast after a size check), then the bucket per row.
+                from .joins import broadcast_checked
+                spark = df.sparkSession
+                tab = spark.createDataFrame([(g, i, float(s["lo"]), float(s["hi"]))
+                                             for i, ((g, _r), s) in enumerate(big)],
+                                            "_g " + (df.schema[gcol].dataType.simpleString() if gcol else "int")
+                                            + ", t int, lo double, hi double")
+                j = df.select(gc.alias("_g"), v.alias("v")).join(broadcast_checked(tab), "_g")
+                j = j.filter(F.col("v").between(F.col("lo"), F.col("hi")))
+                hits = j.select("t", F.least(F.floor((F.col("v") - F.col("lo")) / (F.col("hi") - F.col("lo"))
+                                                     * F.lit(buckets)), F.lit(buckets - 1)).cast("int").alias("b"),
+                                "v")
+            hist = (hits.groupBy("t", "b")
                         .agg(F.count(F.lit(1)).alias("c"), F.min("v").alias("mn"), F.max("v").alias("mx"))
                         .collect())
             by_t: dict[int, list] = {}

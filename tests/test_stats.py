@@ -147,3 +147,13 @@ def test_exact_quantiles_many_groups_bounded_batches(spark):
     got = exact_quantiles(df, "v", [0.5], group="g", buckets=32, max_collect=300)
     for grp in range(40):
         assert got[grp][0] == pytest.approx(float(np.median(v[g == grp])), abs=1e-12)
+
+
+def test_exact_quantiles_many_large_groups_use_join(spark):
+    rng = np.random.default_rng(13)
+    g = rng.integers(0, 80, 40000)
+    v = rng.exponential(2.0, 40000)
+    df = spark.createDataFrame([(int(a), float(b)) for a, b in zip(g, v)], "g int, v double")
+    got = exact_quantiles(df, "v", [0.5], group="g", buckets=16, max_collect=100)
+    for grp in range(80):
+        assert got[grp][0] == pytest.approx(float(np.median(v[g == grp])), abs=1e-12)
