@@ -52,7 +52,9 @@ def welch_from_moments(m: DataFrame) -> DataFrame:
     t = (F.col("m0") - F.col("m1")) / F.sqrt(a + b)
     df_ = (a + b) * (a + b) / (a * a / (F.col("n0") - 1) + b * b / (F.col("n1") - 1))
     out = m.withColumns({"t_stat": t, "df": df_})
-    return out.withColumn("p_value", dist.t_pvalue_col(F.col("t_stat"), F.col("df")))
+    out = out.withColumn("p_value", dist.t_pvalue_col(F.col("t_stat"), F.col("df")))
+    # The test result also travels as one nested value (P15): ttest.p_value.
+    return out.withColumn("ttest", F.struct(F.col("t_stat").alias("statistic"), "df", "p_value"))
 
 
 def welch_t(df: DataFrame, group: str, cols: Sequence[str], levels=(0, 1),

@@ -48,7 +48,8 @@ def welch_t(spark, sf_dir):
     w = S.welch_t(d, "post", MEASURES, exact_cents=True)
     out = w.select("variable", F.col("m0").alias("mean_pre"), F.col("m1").alias("mean_post"),
                    F.sqrt("v0").alias("sd_pre"), F.sqrt("v1").alias("sd_post"),
-                   "t_stat", "df", "p_value")
+                   F.col("ttest.statistic").alias("t_stat"), F.col("ttest.df").alias("df"),
+                   F.col("ttest.p_value").alias("p_value"))
     return finish(out, 6, overrides={"df": 4, "sd_pre": 5, "sd_post": 5}, exact=("mean_pre", "mean_post"))
 
 
