@@ -157,3 +157,17 @@ def test_exact_quantiles_many_large_groups_use_join(spark):
     got = exact_quantiles(df, "v", [0.5], group="g", buckets=16, max_collect=100)
     for grp in range(80):
         assert got[grp][0] == pytest.approx(float(np.median(v[g == grp])), abs=1e-12)
+
+
+def test_distributions_at_huge_degrees_of_freedom():
+    # t -> normal, F(4, inf) -> chi2(4)/4, F(d, d) -> lognormal; continuity at the switch
+    assert dist.t_sf2(1.96, 1e12) == pytest.approx(math.erfc(1.96 / math.sqrt(2)), abs=1e-12)
+    assert abs(dist.t_sf2(1.96, 0.9999999e8) - dist.t_sf2(1.96, 1.0000001e8)) < 1e-8
+    assert dist.f_sf(2.5, 4, 1e12) == pytest.approx(math.exp(-5.0) * 6.0, abs=1e-12)
+    assert abs(dist.f_sf(2.5, 4, 0.9999999e8) - dist.f_sf(2.5, 4, 1.0000001e8)) < 1e-8
+    f = 1 + 3.0 / math.sqrt(1e8)
+    assert abs(dist.f_sf(f, 0.9999999e8, 0.9999999e8) - dist.f_sf(f, 1.0000001e8, 1.0000001e8)) < 1e-7
+    assert dist.f_cdf(1.0003, 1e12, 1e12) + dist.f_sf(1.0003, 1e12, 1e12) == pytest.approx(1.0, abs=1e-14)
+    # moderate df keeps the exact path: symmetric identity I_x(a,b) = 1 - I_(1-x)(b,a)
+    assert dist.betainc(3.0, 7.0, 0.3) == pytest.approx(1 - dist.betainc(7.0, 3.0, 0.7), abs=1e-14)
+    assert dist.betainc(2e5, 3e5, 0.4) + dist.betainc(3e5, 2e5, 0.6) == pytest.approx(1.0, abs=1e-12)
