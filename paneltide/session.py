@@ -21,6 +21,9 @@ _CORE_CONF = {
     # whole-stage codegen (default 100 buffer fields would fall back to the
     # interpreted path).
     "spark.sql.codegen.maxFields": "1000",
+    # Checkpoints (the CUSUM prefix sum) are removed by Spark once their RDD
+    # is no longer referenced, instead of accumulating in the shared folder.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
