@@ -29,6 +29,20 @@ FILE_KEY = r"^([^_]+)_(.+)\.csv$"   # ORI _ type .csv
 OFFICERS_GLOB = "*_officers.csv"
 
 
+def ori_from_label(label) -> "F.Column":
+    """Agency code from a picker label such as 'Aitkin ORI: MN0010000'
+    (the text the landing files were named from)."""
+    c = F.col(label) if isinstance(label, str) else label
+    return F.trim(F.split_part(c, F.lit("ORI:"), F.lit(2)))
+
+
+def landing_name(ori, crime_type) -> "F.Column":
+    """The landing file name contract ``{ORI}_{type}.csv``."""
+    o = F.col(ori) if isinstance(ori, str) else ori
+    t = F.col(crime_type) if isinstance(crime_type, str) else crime_type
+    return F.concat(o, F.lit("_"), t, F.lit(".csv"))
+
+
 def header_of(spark: SparkSession, path: str, glob: str = "*.csv") -> list[str]:
     """Column names from a file's header line (reads one line, no inference)."""
     return spark.read.option("header", True).option("pathGlobFilter", glob).csv(path).columns

@@ -141,3 +141,19 @@ def test_bucketed_stages_join_without_shuffle(spark, scratch):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
         spark.sql("DROP TABLE IF EXISTS t_bucket_a")
         spark.sql("DROP TABLE IF EXISTS t_bucket_b")
+
+
+def test_name_contract_helpers(spark):
+    from paneltide.operators.reshape import columns_of_type, columns_with_prefix
+    from pyspark.sql import types as T
+    df = spark.createDataFrame([("Aitkin ORI: MN0010000 ", "homicides")], "label string, t string")
+    r = df.select(LD.ori_from_label("label").alias("ori")).first()
+    assert r.ori == "MN0010000"
+    name = df.select(LD.landing_name(LD.ori_from_label("label"), "t").alias("f")).first().f
+    assert name == "MN0010000_homicides.csv"
+    keyed = spark.createDataFrame([(name,)], "file string").select(
+        F.regexp_extract("file", LD.FILE_KEY, 1).alias("ori"), F.regexp_extract("file", LD.FILE_KEY, 2).alias("t"))
+    assert tuple(keyed.first()) == ("MN0010000", "homicides")
+    w = spark.createDataFrame([(1, 2.0, "x", 3.0)], "id int, X1985 double, s string, X1986 double")
+    assert columns_with_prefix(w, "X") == ["X1985", "X1986"]
+    assert columns_of_type(w, T.DoubleType) == ["X1985", "X1986"]
