@@ -130,14 +130,19 @@ def regime_diff(df: DataFrame, entity: Sequence[str] | str, regime: str, cols: S
 
 
 def group_row_ranges(df: DataFrame, group: str, first: str = "first_row",
-                     last: str = "last_row") -> DataFrame:
+                     last: str = "last_row", max_local_groups: int = 100_000) -> DataFrame:
     """First/last 1-based row number of each group in a table ordered by group.
 
-    Only group sizes are aggregated; the running offset is a window over the
-    (small) per-group count table, never over the rows themselves.
+    Only group sizes are aggregated.  The running offset over the per-group
+    count table is one small window when that table has at most
+    ``max_local_groups`` rows (checked), else the distributed prefix sum, so
+    a billion groups never meet in one task.
     """
     counts = df.groupBy(group).agg(F.count(F.lit(1)).alias("_n"))
-    w = Window.orderBy(group).rowsBetween(Window.unboundedPreceding, 0)
-    return (counts.withColumn("_end", F.sum("_n").over(w))
-                  .select(group, (F.col("_end") - F.col("_n") + 1).alias(first),
-                          F.col("_end").alias(last)))
+    if counts.limit(max_local_groups + 1).count() <= max_local_groups:
+        w = Window.orderBy(group).rowsBetween(Window.unboundedPreceding, 0)
+        ends = counts.withColumn("_end", F.sum("_n").over(w))
+    else:
+        from .prefix import prefix_sum
+        ends = prefix_sum(counts, [group], "_n", out="_end", index="_i").withColumn("_end", F.col("_end").cast("long"))
+    return ends.select(group, (F.col("_end") - F.col("_n") + 1).alias(first), F.col("_end").alias(last))

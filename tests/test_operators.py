@@ -120,3 +120,9 @@ def test_dedup_keep_first_nulls_last(spark):
     df = spark.createDataFrame([("k", None, "n"), ("k", 2, "b"), ("j", None, "x")], "k string, o int, v string")
     out = rows(ops.dedup_keep_first(df, ["k"], ["o"]), "k")
     assert out == [("j", None, "x"), ("k", 2, "b")]
+
+
+def test_group_row_ranges_distributed_path(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 2), ("b", 1), ("c", 1), ("c", 2), ("c", 3)], "g string, y int")
+    out = rows(ops.group_row_ranges(df, "g", max_local_groups=1), "g")
+    assert out == [("a", 1, 2), ("b", 3, 3), ("c", 4, 6)]
