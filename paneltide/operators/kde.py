@@ -1,8 +1,10 @@
 """Gaussian kernel density on a fixed grid.
 
-Exact form: f(x_i) = sum_v c_v phi((x_i - v)/bw) / (n bw), over *distinct*
-values v with multiplicity c_v (a partial aggregate: repeated values and a
-hot value cost nothing extra).  Each distinct value emits only the grid
+Exact form: f(x_i) = sum_v c_v phi((x_i - v)/bw) / (n bw).  When values
+repeat (approximate distinct count at most n/2, from the statistics pass),
+they are first collapsed to (value, multiplicity) by a partial aggregate, so
+a hot value costs nothing extra; otherwise rows go straight to the grid
+aggregate and no raw value is shuffled.  Each distinct value emits only the grid
 points within 40 bandwidths (beyond that phi underflows to exactly 0 in
 double precision), then ``groupBy(grid index)`` -- at most ``points`` rows
 per task after partial aggregation.  bw = nrd0 from stddev and the exact
@@ -33,13 +35,20 @@ def bw_nrd0(sd: float, iqr: float, n: int, any_value: float = 0.0) -> float:
 def kde(df: DataFrame, value: str, points: int = 512, bw: float | None = None) -> DataFrame:
     d = df.select(F.col(value).alias("v")).filter(F.col("v").isNotNull() & ~F.isnan("v"))
     s = d.agg(F.count(F.lit(1)).alias("n"), F.stddev_samp("v").alias("sd"),
-              F.min("v").alias("lo"), F.max("v").alias("hi")).collect()[0]
+              F.min("v").alias("lo"), F.max("v").alias("hi"),
+              F.approx_count_distinct("v", 0.05).alias("ndv")).collect()[0]
     n, lo, hi = s["n"], s["lo"], s["hi"]
     if bw is None:
         q1, q3 = exact_quantiles(d, "v", [0.25, 0.75], stats={0: (n, lo, hi)})[None]
         bw = bw_nrd0(s["sd"] or 0.0, q3 - q1, n, lo)
     step = (hi - lo) / (points - 1)
-    counts = d.groupBy("v").agg(F.count(F.lit(1)).alias("c"))
+    if s["ndv"] * 2 <= n:
+        # Repeated values: collapse to (value, multiplicity) first.
+        counts = d.groupBy("v").agg(F.count(F.lit(1)).alias("c"))
+    else:
+        # Mostly distinct values: no shuffle of raw values at all; each row
+        # emits its grid contributions straight into the grid aggregate.
+        counts = d.select("v", F.lit(1).cast("long").alias("c"))
     v = F.col("v")
     i_lo = F.greatest(F.lit(0), F.ceil((v - F.lit(CUT * bw) - F.lit(lo)) / F.lit(step)).cast("int"))
     i_hi = F.least(F.lit(points - 1), F.floor((v + F.lit(CUT * bw) - F.lit(lo)) / F.lit(step)).cast("int"))

@@ -171,3 +171,14 @@ def test_distributions_at_huge_degrees_of_freedom():
     # moderate df keeps the exact path: symmetric identity I_x(a,b) = 1 - I_(1-x)(b,a)
     assert dist.betainc(3.0, 7.0, 0.3) == pytest.approx(1 - dist.betainc(7.0, 3.0, 0.7), abs=1e-14)
     assert dist.betainc(2e5, 3e5, 0.4) + dist.betainc(3e5, 2e5, 0.6) == pytest.approx(1.0, abs=1e-12)
+
+
+def test_kde_repeated_values_match_numpy(spark):
+    rng = np.random.default_rng(21)
+    v = np.round(rng.normal(0, 1, 3000), 1)                 # heavy repetition -> compressed path
+    df = spark.createDataFrame([(float(x),) for x in v], "v double")
+    out = K.kde(df, "v", points=64).orderBy("i").collect()
+    bw = out[0].bw
+    xs = np.array([r.x for r in out])
+    expect = np.exp(-0.5 * ((xs[:, None] - v[None, :]) / bw) ** 2).sum(1) / (len(v) * bw * math.sqrt(2 * math.pi))
+    assert np.allclose([r.density for r in out], expect, rtol=1e-10)
