@@ -1,11 +1,14 @@
 """Join helpers the reference relies on (J4 suffixes, J5 natural, J6 scalar).
 
-Size policy: only tables with a bound that does not grow with the data
-(literal dimensions, 1-row scalars, grids, coefficient vectors) are wrapped in
-``broadcast``.  Everything else is left to the planner: AQE measures the real
-shuffle output and converts to a broadcast join only under
-``spark.sql.adaptive.autoBroadcastJoinThreshold`` -- a checked size with a
-sort-merge join beyond it.
+Size policy: tables with a bound that does not grow with the data (literal
+dimensions, the 25-row nation table, 1-row scalars, grids, per-partition
+offsets) are wrapped in ``broadcast``.  Dimensions whose size depends on the
+data (agency mappings, county x year panels) go through
+``broadcast_checked``: a row-count check, and a plain join beyond it.
+Everything else is left to the planner: AQE measures the real shuffle output
+and converts to a broadcast join only under
+``spark.sql.adaptive.autoBroadcastJoinThreshold``, else a sort-merge join
+with skew splitting.
 """
 
 from __future__ import annotations
