@@ -14,12 +14,21 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 import __spark_entry__ as E  # noqa: E402
 from paneltide.session import get_spark  # noqa: E402
 
-sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
+sf = next((a for a in sys.argv[1:] if a.startswith("/")), "/root/testdata/sf0.01")
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+PLAN_DIR = os.path.join(ROOT, "docs", "plans")
+os.makedirs(PLAN_DIR, exist_ok=True)
 spark = get_spark("local[8]", shuffle_partitions=8)
 spark.conf.set("spark.sql.adaptive.enabled", "false")
 rows = []
 for name, fn in E.queries().items():
-    plan = fn(spark, sf)._jdf.queryExecution().executedPlan().toString()
+    df = fn(spark, sf)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    # Full formatted plan per query (what df.explain("formatted") prints).
+    formatted = df._jdf.queryExecution().explainString(
+        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    with open(os.path.join(PLAN_DIR, f"{name}.txt"), "w") as fh:
+        fh.write(re.sub(r"file:/\S+/testdata/", "testdata/", formatted))
     scans = re.findall(r"FileScan parquet [^\n]*?Location: [^\n]*?/([a-z]+)\.parquet\][^\n]*?PushedFilters: \[([^\]]*)\]"
                        r"[^\n]*?ReadSchema: struct<([^>]*)>", plan)
     scan_txt = "; ".join(f"{t}({len(cols.split(','))} cols{', pushed' if pf.strip() else ''})"
@@ -40,7 +49,8 @@ with open(os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__)
             "`hash/range shuffles` counts data exchanges; `single` counts SinglePartition exchanges, which here "
             "only ever carry one partial-aggregate row per task (global aggregates) or a bounded table "
             "(per-partition offsets, a handful of test rows). Broadcasts are of bounded tables only; at scale "
-            "AQE may additionally turn a sort-merge join into a broadcast join after measuring its input.\n\n")
+            "AQE may additionally turn a sort-merge join into a broadcast join after measuring its input. "
+            "The full `explain(\"formatted\")` output of every query is in `docs/plans/<query>.txt`.\n\n")
     f.write("| query | scans (pruned columns, pushed filters) | hash/range shuffles | single | joins | windows | python |\n")
     f.write("| --- | --- | --- | --- | --- | --- | --- |\n")
     for r in rows:
