@@ -126,3 +126,20 @@ def test_group_row_ranges_distributed_path(spark):
     df = spark.createDataFrame([("a", 1), ("a", 2), ("b", 1), ("c", 1), ("c", 2), ("c", 3)], "g string, y int")
     out = rows(ops.group_row_ranges(df, "g", max_local_groups=1), "g")
     assert out == [("a", 1, 2), ("b", 3, 3), ("c", 4, 6)]
+
+
+def test_hot_key_third_of_rows(spark):
+    """One key holding a third of the rows: results stay exact (no capping,
+    sampling or dropping)."""
+    n = 9000
+    data = [("HOT" if i % 3 == 0 else f"k{i % 500}", i, float(i % 17)) for i in range(n)]
+    df = spark.createDataFrame(data, "k string, o long, v double").repartition(7)
+    first = {r.k: r.o for r in ops.dedup_keep_first(df, ["k"], ["o"]).collect()}
+    assert first["HOT"] == 0 and len(first) == 501
+    cnt = ops.count_per_key(df, ["k"]).filter(F.col("k") == "HOT").select("n").distinct().collect()
+    assert [r.n for r in cnt] == [n // 3]
+    roll = {r.k: r.v for r in ops.rollup(df, ["k"], sums=["v"]).collect()}
+    assert roll["HOT"] == sum(float(i % 17) for i in range(0, n, 3))
+    from paneltide.operators.prefix import prefix_sum
+    ps = prefix_sum(df, ["o"], "v", partitions=5).filter(F.col("o") == n - 1).first()
+    assert ps.idx == n and ps.cumsum == sum(float(i % 17) for i in range(n))
