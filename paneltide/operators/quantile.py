@@ -118,10 +118,10 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float],
     """Type-7 (linear interpolation) quantiles, exactly, per group.
 
     Returns ``{group: [q(p) for p in probs]}`` (group ``None`` when global).
-    NULL values are ignored.  ``stats`` = ``{group: (n, min, max)}`` (key 0
+    NULL and NaN values are ignored.  ``stats`` = ``{group: (n, min, max)}`` (key 0
     when global) skips pass 0 when the caller already has them.
     """
-    d = df.filter(F.col(value).isNotNull())
+    d = df.filter(F.col(value).isNotNull() & ~F.isnan(F.col(value)))
     if stats is None:
         gcol = F.col(group) if group else F.lit(None).alias("g")
         st = d.groupBy(gcol.alias("g")).agg(F.count(F.lit(1)).alias("n"),

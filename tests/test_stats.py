@@ -182,3 +182,9 @@ def test_kde_repeated_values_match_numpy(spark):
     xs = np.array([r.x for r in out])
     expect = np.exp(-0.5 * ((xs[:, None] - v[None, :]) / bw) ** 2).sum(1) / (len(v) * bw * math.sqrt(2 * math.pi))
     assert np.allclose([r.density for r in out], expect, rtol=1e-10)
+
+
+def test_exact_quantiles_ignore_nan_and_null(spark):
+    vals = [1.0, 2.0, float("nan"), None, 3.0, 4.0]
+    df = spark.createDataFrame([(v,) for v in vals], "v double")
+    assert exact_quantiles(df, "v", [0.5])[None][0] == 2.5
