@@ -190,9 +190,14 @@ def scale_factor_series(spark, sf_dir):
     yearly = (p.groupBy("year").agg(F.sum("population").alias("population"),
                                     F.sum(total).alias("total"))
                .withColumn("crime_rate", F.try_divide(F.col("total"), F.col("population"))))
-    sf = scalar(yearly.select(F.try_divide(F.max("crime_rate"), F.max("population"))))
-    return yearly.select("year", "population", "crime_rate", sf.alias("scale_factor"),
-                         F.try_divide(F.col("crime_rate"), sf).alias("crime_rate_scaled"))
+    # The maxima range over the aggregated yearly table (one row per year,
+    # bounded by the date span), so one small window computes them from the
+    # same pass; a scalar subquery would re-run the whole panel pipeline.
+    w = Window.partitionBy()
+    sf = F.try_divide(F.max("crime_rate").over(w), F.max("population").over(w))
+    return (yearly.withColumn("scale_factor", sf)
+                  .select("year", "population", "crime_rate", "scale_factor",
+                          F.try_divide(F.col("crime_rate"), F.col("scale_factor")).alias("crime_rate_scaled")))
 
 
 @query("regime_diff")
