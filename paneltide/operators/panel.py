@@ -138,7 +138,8 @@ def group_row_ranges(df: DataFrame, group: str, first: str = "first_row",
     ``max_local_groups`` rows (checked), else the distributed prefix sum, so
     a billion groups never meet in one task.
     """
-    counts = df.groupBy(group).agg(F.count(F.lit(1)).alias("_n"))
+    # One row per group: persisted so the size check and the result share it.
+    counts = df.groupBy(group).agg(F.count(F.lit(1)).alias("_n")).persist()
     if counts.limit(max_local_groups + 1).count() <= max_local_groups:
         w = Window.orderBy(group).rowsBetween(Window.unboundedPreceding, 0)
         ends = counts.withColumn("_end", F.sum("_n").over(w))

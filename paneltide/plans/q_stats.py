@@ -221,5 +221,7 @@ def diff_regression(spark, sf_dir):
     """First-difference regression on the per-county regime differences."""
     p = P.panel_yearly(tables(spark, sf_dir), years=[1997, 2000])
     diff = ops.regime_diff(P.with_post(p), "county", "post", ["crime_rate", "officers", "urgent"])
+    diff = diff.persist()       # one row per county; both model passes read it
     fit = L.ols(diff, "crime_rate_diff", ["officers_diff", "urgent_diff"])
+    diff.unpersist()
     return finish(_tidy_df(spark, fit.tidy(), ["term", "estimate", "std_error", "statistic", "p_value"]), 6)
