@@ -90,7 +90,8 @@ def test_analysis_entry_on_panel(spark):
             "pct_children_missing_parents double, pct_non_white double, `Binge drinking prevalence` double, "
             "pct_young_males double, persons_per_household double, persons_per_m2 double, reservations int, "
             "top_cities int")
-    res = PL.analysis(spark.createDataFrame(rows, cols))
+    panel = spark.createDataFrame(rows, cols)
+    res = PL.analysis(panel)
     assert res["welch"].count() == 11
     models = res["models"].collect()
     assert {r.model for r in models} == {"Pre-COVID", "Post-COVID", "Full Model"}
@@ -157,3 +158,29 @@ def test_name_contract_helpers(spark):
     w = spark.createDataFrame([(1, 2.0, "x", 3.0)], "id int, X1985 double, s string, X1986 double")
     assert columns_with_prefix(w, "X") == ["X1985", "X1986"]
     assert columns_of_type(w, T.DoubleType) == ["X1985", "X1986"]
+
+
+
+def test_cli_analyze(spark, scratch):
+    """Entry 3 through the command line on a written 5-year-panel stage."""
+    import numpy as np
+    from paneltide import cli
+    rng = np.random.default_rng(8)
+    rows = []
+    for i in range(60):
+        for year in (2018, 2023):
+            rows.append((f"C{i:02d}", year, int(year >= 2020), float(rng.uniform(0.01, 0.05)),
+                         float(rng.uniform(1, 4)), float(rng.uniform(40000, 90000)), float(rng.uniform(1, 6)),
+                         float(rng.uniform(80, 95)), float(rng.uniform(5, 20)), float(rng.uniform(2, 30)),
+                         float(rng.uniform(15, 25)), float(rng.uniform(5, 9)), float(rng.uniform(2, 3)),
+                         float(rng.uniform(1e-6, 1e-3)), int(i % 7 == 0), int(i % 11 == 0)))
+    cols = ("county string, year int, post_covid int, crime_rate double, officers double, "
+            "median_household_income_acs5 double, pct_lessthan_5kincome double, pct_highschool_or_greater double, "
+            "pct_children_missing_parents double, pct_non_white double, `Binge drinking prevalence` double, "
+            "pct_young_males double, persons_per_household double, persons_per_m2 double, reservations int, "
+            "top_cities int")
+    stages, out = os.path.join(scratch, "stages"), os.path.join(scratch, "results")
+    spark.createDataFrame(rows, cols).write.parquet(os.path.join(stages, "acs_5_yearly_data"))
+    cli.main(["analyze", "--stages", stages, "--out", out])
+    assert spark.read.parquet(os.path.join(out, "models")).count() == 8 + 8 + 9
+    assert spark.read.parquet(os.path.join(out, "boxcox")).count() == 41
