@@ -1,4 +1,4 @@
-"""Command line for the landing-file pipeline (spark-submit friendly).
+"""Command line for the landing-file stages (spark-submit friendly).
 
   python -m paneltide.cli ingest   --landing DIR --out DIR
   python -m paneltide.cli merge    --landing DIR --census DIR --out DIR [--interpolate COL ...]
@@ -43,10 +43,10 @@ def main(argv=None) -> None:
         from .sources.landing import crime_data
         write_stage(crime_data(spark, args.landing), f"{args.out.rstrip('/')}/crime_data")
     elif args.cmd == "merge":
-        from .plans.pipeline import run_merge
+        from .plans.stages import run_merge
         run_merge(spark, args.landing, args.census, out_dir=args.out, interpolate=args.interpolate)
     elif args.cmd == "analyze":
-        from .plans.pipeline import analysis
+        from .plans.stages import analysis
         res = analysis(read_stage(spark, f"{args.stages.rstrip('/')}/acs_5_yearly_data"))
         for name, df in res.items():
             write_stage(df, f"{args.out.rstrip('/')}/{name}")

@@ -1,2 +1,2 @@
 """Query plans: the panel built on the driver tables, the query catalogue and
-its DuckDB oracle, and the landing-file pipeline."""
+its DuckDB oracle, and the landing-file stages (entry points 1-3)."""

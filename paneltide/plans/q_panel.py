@@ -192,7 +192,7 @@ def scale_factor_series(spark, sf_dir):
                .withColumn("crime_rate", F.try_divide(F.col("total"), F.col("population"))))
     # The maxima range over the aggregated yearly table (one row per year,
     # bounded by the date span), so one small window computes them from the
-    # same pass; a scalar subquery would re-run the whole panel pipeline.
+    # same pass; a scalar subquery would re-run the whole panel computation.
     w = Window.partitionBy()
     sf = F.try_divide(F.max("crime_rate").over(w), F.max("population").over(w))
     return (yearly.withColumn("scale_factor", sf)

@@ -2,7 +2,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from paneltide.plans import pipeline as PL
+from paneltide.plans import stages as PL
 from paneltide.sources import census as C
 from paneltide.sources import landing as LD
 
