@@ -1,5 +1,6 @@
 """Replay the driver contract the way an outside harness would: a plain
-default SparkSession (no settings from this package), run from another
+default SparkSession (no settings from this package; only the web UI is
+kept off), run from another
 working directory, ``entry()`` smoke check, then every ``queries()`` result
 against its ``oracle_sql()`` in DuckDB (exact value match, column names
 sorted).
@@ -31,7 +32,8 @@ def main() -> None:
     args = sys.argv[1:]
     sf = next((a for a in args if a.startswith("/")), "/root/testdata/sf0.01")
     tz = args[args.index("--tz") + 1] if "--tz" in args else None
-    b = SparkSession.builder.master("local[*]").config("spark.sql.shuffle.partitions", "8")
+    b = (SparkSession.builder.master("local[*]").config("spark.sql.shuffle.partitions", "8")
+         .config("spark.ui.enabled", "false"))       # no web UI server
     if tz:
         b = b.config("spark.sql.session.timeZone", tz)
     spark = b.getOrCreate()
