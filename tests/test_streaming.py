@@ -28,3 +28,11 @@ def test_incremental_ingest_exactly_once(spark, scratch):
     df = spark.read.parquet(out)
     assert df.count() == n1 + len(MONTHS)
     assert df.filter(df.ori == "MN9990000").count() == len(MONTHS)
+
+
+def test_cli_stream_ingest(spark, scratch):
+    from paneltide import cli
+    land, out = os.path.join(scratch, "landing"), os.path.join(scratch, "stream_out")
+    info = write_landing(land)
+    cli.main(["stream-ingest", "--landing", land, "--out", out, "--checkpoint", os.path.join(scratch, "ck")])
+    assert spark.read.parquet(out).count() == info["crime_files"] * len(MONTHS)
