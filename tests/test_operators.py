@@ -143,3 +143,47 @@ def test_hot_key_third_of_rows(spark):
     from paneltide.operators.prefix import prefix_sum
     ps = prefix_sum(df, ["o"], "v", partitions=5).filter(F.col("o") == n - 1).first()
     assert ps.idx == n and ps.cumsum == sum(float(i % 17) for i in range(n))
+
+
+def test_broadcast_checked_both_sides(spark):
+    from paneltide.operators.joins import broadcast_checked
+    small = spark.range(5)
+    big = spark.range(50)
+    assert "ResolvedHint" in small.hint("broadcast")._jdf.queryExecution().analyzed().toString()
+    hinted = broadcast_checked(small, max_rows=10)._jdf.queryExecution().analyzed().toString()
+    plain = broadcast_checked(big, max_rows=10)._jdf.queryExecution().analyzed().toString()
+    assert "broadcast" in hinted.lower() and "broadcast" not in plain.lower()
+
+
+def test_natural_join_requires_common_columns(spark):
+    a = spark.createDataFrame([(1,)], "x int")
+    b = spark.createDataFrame([(1,)], "y int")
+    with pytest.raises(ValueError):
+        natural_join(a, b)
+
+
+def test_pivot_wide_count_mode(spark):
+    df = spark.createDataFrame([("a", "x"), ("a", "x"), ("a", "y"), ("b", "y")], "id string, k string")
+    out = rows(pivot_wide(df, ["id"], "k", ["x", "y", "z"], name=str), "id")
+    assert out == [("a", 2, 1, None), ("b", None, 1, None)]
+
+
+def test_interpolate_several_columns(spark):
+    df = spark.createDataFrame([("a", 1, 1.0, 10.0), ("a", 2, None, None), ("a", 4, 7.0, None), ("a", 5, None, 40.0)],
+                               "c string, y int, u double, v double")
+    out = {r.y: (r.u, r.v) for r in ops.interpolate_linear(df, "c", "y", ["u", "v"]).collect()}
+    assert out[2][0] == pytest.approx(3.0) and out[2][1] == pytest.approx(17.5)
+    assert out[5][0] is None and out[4][1] == pytest.approx(32.5)
+
+
+def test_scalar_struct_subquery(spark):
+    df = spark.createDataFrame([(1, 10.0), (2, 30.0)], "k int, v double")
+    s = scalar(df.select(F.struct(F.max("v").alias("hi"), F.min("v").alias("lo"))))
+    out = df.select((F.col("v") - s["lo"]) / (s["hi"] - s["lo"])).collect()
+    assert sorted(r[0] for r in out) == [0.0, 1.0]
+
+
+def test_with_post_flag(spark):
+    from paneltide.plans.panel import with_post
+    df = spark.createDataFrame([(1997,), (1998,), (None,)], "year int")
+    assert sorted((r.year or 0, r.post) for r in with_post(df).collect()) == [(0, 0), (1997, 0), (1998, 1)]
