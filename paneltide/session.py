@@ -47,6 +47,14 @@ def get_spark(master: str | None = None, app: str = "paneltide",
     return spark
 
 
+def _context(spark: SparkSession):
+    """The SparkContext of a classic session; None under Spark Connect."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 -- Spark Connect sessions have no context
+        return None
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use the cluster's ``spark.checkpoint.dir``; only set one when unset.
 
@@ -54,12 +62,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     survives executor loss.  Only local test sessions fall back to a scratch
     folder, since there the driver *is* the only machine.
     """
-    sc = spark.sparkContext
-    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    sc = _context(spark)
+    d = spark.conf.get("spark.checkpoint.dir", None) or (sc.getCheckpointDir() if sc else None)
     if not d:
         d = tempfile.mkdtemp(prefix="paneltide-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    if not sc.getCheckpointDir():
+    if sc is not None and not sc.getCheckpointDir():
         sc.setCheckpointDir(d)
     return d
 
@@ -97,13 +105,7 @@ def sizing_conf(input_bytes: int, total_cores: int, target_partition_bytes: int
     }
 
 
-def ship_package(spark: SparkSession) -> None:
-    """Make this package importable in Python workers (pandas UDFs,
-    ``mapInPandas``): zip it once per SparkContext and ``addPyFile`` it, the
-    in-process equivalent of ``spark-submit --py-files``."""
-    sc = spark.sparkContext
-    if getattr(sc, "_paneltide_shipped", False):
-        return
+def _zip_package() -> str:
     import zipfile
     pkg = os.path.dirname(os.path.abspath(__file__))
     root = os.path.dirname(pkg)
@@ -115,5 +117,23 @@ def ship_package(spark: SparkSession) -> None:
                 if f.endswith(".py"):
                     full = os.path.join(d, f)
                     z.write(full, os.path.relpath(full, root))
-    sc.addPyFile(path)
-    sc._paneltide_shipped = True
+    return path
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in Python workers (pandas UDFs,
+    ``mapInPandas``): zip it once per session and ship it -- ``addPyFile`` on a
+    classic session (the in-process ``spark-submit --py-files``), artifacts
+    under Spark Connect."""
+    sc = _context(spark)
+    key = id(sc) if sc is not None else id(spark)
+    if key in _SHIPPED:
+        return
+    if sc is not None:
+        sc.addPyFile(_zip_package())
+    else:
+        spark.addArtifacts(_zip_package(), pyfile=True)
+    _SHIPPED.add(key)
