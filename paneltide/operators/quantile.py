@@ -31,13 +31,26 @@ from pyspark.sql import functions as F
 
 def _order_stats(df: DataFrame, value: str, gcol: str | None,
                  wanted: list[tuple[object, int]], stats: dict,
-                 buckets: int, max_collect: int, max_passes: int = 12) -> dict:
-    """Find the r-th smallest (0-based) value for each (group, r) in ``wanted``."""
+                 buckets: int, max_collect: int, max_passes: int = 12,
+                 brackets: dict | None = None) -> dict:
+    """Find the r-th smallest (0-based) value for each (group, r) in ``wanted``.
+
+    ``brackets`` maps (group, r) to a value interval known to contain that
+    order statistic; its ``below`` count is then taken in the first pass.
+    """
     state = {}
+    brackets = brackets or {}
     for g, r in set(wanted):
         n, lo, hi = stats[g]
-        state[(g, r)] = {"lo": lo, "hi": hi, "below": 0, "n_in": n, "done": lo == hi,
-                         "value": lo if lo == hi else None}
+        full = {"lo": lo, "hi": hi, "below": 0, "n_in": n, "n": n}
+        st = dict(full, full=full, done=lo == hi, value=lo if lo == hi else None)
+        if (g, r) in brackets and lo != hi:
+            blo, bhi = brackets[(g, r)]
+            if blo == bhi:
+                st.update(done=True, value=blo)
+            else:
+                st.update(lo=blo, hi=bhi, below=None, n_in=float("inf"))
+        state[(g, r)] = st
     v = F.col(value)
     gc = F.col(gcol) if gcol else F.lit(0)
     for _ in range(max_passes):
@@ -76,8 +89,13 @@ def _order_stats(df: DataFrame, value: str, gcol: str | None,
                     lo, hi = s["lo"], s["hi"]
                     b = F.least(F.floor((v - F.lit(lo)) / F.lit(hi - lo) * F.lit(buckets)),
                                 F.lit(buckets - 1)).cast("int")
-                    parts.append(F.when((gc == F.lit(g)) & v.between(F.lit(lo), F.lit(hi)),
-                                        F.struct(F.lit(i).alias("t"), b.alias("b"))))
+                    in_g = gc == F.lit(g)
+                    part = F.when(in_g & v.between(F.lit(lo), F.lit(hi)),
+                                  F.struct(F.lit(i).alias("t"), b.alias("b")))
+                    if s["below"] is None:           # bracketed: also count values below it
+                        part = part.when(in_g & (v < F.lit(lo)),
+                                         F.struct(F.lit(i).alias("t"), F.lit(-1).alias("b")))
+                    parts.append(part)
                 hits = df.select(F.explode(F.filter(F.array(*parts), lambda x: x.isNotNull())).alias("h"),
                                  v.alias("v")).select(F.col("h.t").alias("t"), F.col("h.b").alias("b"), "v")
             else:
@@ -90,10 +108,13 @@ def _order_stats(df: DataFrame, value: str, gcol: str | None,
                                             "_g " + (df.schema[gcol].dataType.simpleString() if gcol else "int")
                                             + ", t int, lo double, hi double")
                 j = df.select(gc.alias("_g"), v.alias("v")).join(broadcast_checked(tab), "_g")
-                j = j.filter(F.col("v").between(F.col("lo"), F.col("hi")))
-                hits = j.select("t", F.least(F.floor((F.col("v") - F.col("lo")) / (F.col("hi") - F.col("lo"))
-                                                     * F.lit(buckets)), F.lit(buckets - 1)).cast("int").alias("b"),
-                                "v")
+                unknown = [i for i, (_k, st) in enumerate(big) if st["below"] is None]
+                in_rng = F.col("v").between(F.col("lo"), F.col("hi"))
+                below = (F.col("v") < F.col("lo")) & F.col("t").isin(unknown) if unknown else F.lit(False)
+                j = j.filter(in_rng | below)
+                bucket = F.least(F.floor((F.col("v") - F.col("lo")) / (F.col("hi") - F.col("lo"))
+                                         * F.lit(buckets)), F.lit(buckets - 1)).cast("int")
+                hits = j.select("t", F.when(in_rng, bucket).otherwise(F.lit(-1)).alias("b"), "v")
             hist = (hits.groupBy("t", "b")
                         .agg(F.count(F.lit(1)).alias("c"), F.min("v").alias("mn"), F.max("v").alias("mx"))
                         .collect())
@@ -101,20 +122,29 @@ def _order_stats(df: DataFrame, value: str, gcol: str | None,
             for h in hist:
                 by_t.setdefault(h.t, []).append(h)
             for i, ((_g, r), s) in enumerate(big):
+                hs = sorted(by_t.get(i, []), key=lambda h: h.b)
+                if s["below"] is None:               # first pass of a bracketed target
+                    s["below"] = sum(h.c for h in hs if h.b < 0)
+                    hs = [h for h in hs if h.b >= 0]
                 acc = s["below"]
-                for h in sorted(by_t.get(i, []), key=lambda h: h.b):
+                found = False
+                for h in hs:
                     if r < acc + h.c:
                         s.update(lo=h.mn, hi=h.mx, below=acc, n_in=h.c)
                         if h.mn == h.mx:
                             s.update(done=True, value=h.mn)
+                        found = True
                         break
                     acc += h.c
+                if not found:                        # bracket missed: restart from the full range
+                    s.update({k: s["full"][k] for k in ("lo", "hi", "below", "n_in")})
     return {k: s["value"] for k, s in state.items()}
 
 
 def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float],
                     group: str | None = None, buckets: int = 4096,
-                    max_collect: int = 50_000, stats: dict | None = None) -> dict:
+                    max_collect: int = 50_000, stats: dict | None = None,
+                    bracket: bool = True) -> dict:
     """Type-7 (linear interpolation) quantiles, exactly, per group.
 
     Returns ``{group: [q(p) for p in probs]}`` (group ``None`` when global).
@@ -122,11 +152,20 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float],
     when global) skips pass 0 when the caller already has them.
     """
     d = df.filter(F.col(value).isNotNull() & ~F.isnan(F.col(value)))
+    sketch = {}
+    eps = 3.0 / SKETCH_ACCURACY
+    ps = sorted({min(1.0, max(0.0, q)) for p in probs for q in (p - eps, p + eps)})
     if stats is None:
+        # Pass 0: counts and ranges, plus (same scan) the sketch quantiles used
+        # to bracket large groups.
         gcol = F.col(group) if group else F.lit(None).alias("g")
-        st = d.groupBy(gcol.alias("g")).agg(F.count(F.lit(1)).alias("n"),
-                                            F.min(value).alias("lo"), F.max(value).alias("hi")).collect()
+        aggs = [F.count(F.lit(1)).alias("n"), F.min(value).alias("lo"), F.max(value).alias("hi")]
+        if bracket:
+            aggs.append(F.percentile_approx(value, ps, SKETCH_ACCURACY).alias("q"))
+        st = d.groupBy(gcol.alias("g")).agg(*aggs).collect()
         stats = {(r.g if group else 0): (r.n, r.lo, r.hi) for r in st}
+        if bracket:
+            sketch = {(r.g if group else 0): dict(zip(ps, r.q)) for r in st}
     wanted, plan = [], {}
     for g, (n, _lo, _hi) in stats.items():
         for p in probs:
@@ -135,7 +174,8 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float],
             k2 = min(k + 1, n - 1)
             plan[(g, p)] = (k, k2, h - k)
             wanted += [(g, k), (g, k2)]
-    found = _order_stats(d, value, group, wanted, stats, buckets, max_collect)
+    brackets = _brackets(sketch, probs, plan, stats, max_collect) if sketch else {}
+    found = _order_stats(d, value, group, wanted, stats, buckets, max_collect, brackets=brackets)
     out = {}
     for g in stats:
         qs = []
@@ -147,6 +187,30 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float],
     return out
 
 
+SKETCH_ACCURACY = 10_000
+
+
+def _brackets(sketch: dict, probs, plan: dict, stats: dict, max_collect: int) -> dict:
+    """Value intervals around each wanted order statistic of large groups.
+
+    ``percentile_approx`` ranks are within n/accuracy of the truth; the
+    interval [q(p - 3/acc), q(p + 3/acc)] therefore holds ranks k and k + 1
+    once n >= 4 * acc.  Correctness never depends on it: a missed bracket
+    falls back to the full range.
+    """
+    acc = SKETCH_ACCURACY
+    eps = 3.0 / acc
+    out = {}
+    for g, qs in sketch.items():
+        n = stats[g][0]
+        if n <= max_collect or n < 4 * acc:
+            continue
+        for p in probs:
+            k, k2, _f = plan[(g, p)]
+            out[(g, k)] = out[(g, k2)] = (qs[min(1.0, max(0.0, p - eps))], qs[min(1.0, max(0.0, p + eps))])
+    return out
+
+
 def exact_median(df: DataFrame, value: str, group: str | None = None) -> dict:
     return {g: q[0] for g, q in exact_quantiles(df, value, [0.5], group).items()}
 

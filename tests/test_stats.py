@@ -188,3 +188,18 @@ def test_exact_quantiles_ignore_nan_and_null(spark):
     vals = [1.0, 2.0, float("nan"), None, 3.0, 4.0]
     df = spark.createDataFrame([(v,) for v in vals], "v double")
     assert exact_quantiles(df, "v", [0.5])[None][0] == 2.5
+
+
+@pytest.mark.parametrize("skew", [False, True])
+def test_exact_quantiles_bracketed_large_groups(spark, skew):
+    rng = np.random.default_rng(31)
+    n = 90001
+    v = rng.lognormal(0, 1, n)
+    if skew:
+        v[: n // 3] = 2.0
+    g = rng.integers(0, 2, n)
+    df = spark.createDataFrame([(int(a), float(b)) for a, b in zip(g, v)], "g int, v double")
+    for bracket in (True, False):
+        got = exact_quantiles(df, "v", [0.1, 0.5, 0.9], group="g", max_collect=1000, bracket=bracket)
+        for grp in (0, 1):
+            assert np.allclose(got[grp], np.quantile(v[g == grp], [0.1, 0.5, 0.9]), rtol=0, atol=1e-12)
