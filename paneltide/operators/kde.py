@@ -18,7 +18,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .quantile import exact_quantiles
+from .quantile import exact_quantiles, sketch_agg, sketch_probs
 
 CUT = 40.0
 
@@ -36,10 +36,12 @@ def kde(df: DataFrame, value: str, points: int = 512, bw: float | None = None) -
     d = df.select(F.col(value).alias("v")).filter(F.col("v").isNotNull() & ~F.isnan("v"))
     s = d.agg(F.count(F.lit(1)).alias("n"), F.stddev_samp("v").alias("sd"),
               F.min("v").alias("lo"), F.max("v").alias("hi"),
-              F.approx_count_distinct("v", 0.05).alias("ndv")).collect()[0]
+              F.approx_count_distinct("v", 0.05).alias("ndv"),
+              sketch_agg("v", [0.25, 0.75]).alias("q")).collect()[0]
     n, lo, hi = s["n"], s["lo"], s["hi"]
     if bw is None:
-        q1, q3 = exact_quantiles(d, "v", [0.25, 0.75], stats={0: (n, lo, hi)})[None]
+        sk = {0: dict(zip(sketch_probs([0.25, 0.75]), s["q"]))}
+        q1, q3 = exact_quantiles(d, "v", [0.25, 0.75], stats={0: (n, lo, hi)}, sketch=sk)[None]
         bw = bw_nrd0(s["sd"] or 0.0, q3 - q1, n, lo)
     step = (hi - lo) / (points - 1)
     if s["ndv"] * 2 <= n:

@@ -144,7 +144,7 @@ def _order_stats(df: DataFrame, value: str, gcol: str | None,
 def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float],
                     group: str | None = None, buckets: int = 4096,
                     max_collect: int = 50_000, stats: dict | None = None,
-                    bracket: bool = True) -> dict:
+                    bracket: bool = True, sketch: dict | None = None) -> dict:
     """Type-7 (linear interpolation) quantiles, exactly, per group.
 
     Returns ``{group: [q(p) for p in probs]}`` (group ``None`` when global).
@@ -152,9 +152,8 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float],
     when global) skips pass 0 when the caller already has them.
     """
     d = df.filter(F.col(value).isNotNull() & ~F.isnan(F.col(value)))
-    sketch = {}
-    eps = 3.0 / SKETCH_ACCURACY
-    ps = sorted({min(1.0, max(0.0, q)) for p in probs for q in (p - eps, p + eps)})
+    sketch = dict(sketch or {})
+    ps = sketch_probs(probs)
     if stats is None:
         # Pass 0: counts and ranges, plus (same scan) the sketch quantiles used
         # to bracket large groups.
@@ -190,6 +189,16 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float],
 SKETCH_ACCURACY = 10_000
 
 
+def sketch_probs(probs) -> list[float]:
+    eps = 3.0 / SKETCH_ACCURACY
+    return sorted({min(1.0, max(0.0, q)) for p in probs for q in (p - eps, p + eps)})
+
+
+def sketch_agg(value: str, probs) -> Column:
+    """Aggregate for a caller's own pass: the bracketing sketch quantiles."""
+    return F.percentile_approx(value, sketch_probs(probs), SKETCH_ACCURACY)
+
+
 def _brackets(sketch: dict, probs, plan: dict, stats: dict, max_collect: int) -> dict:
     """Value intervals around each wanted order statistic of large groups.
 
