@@ -122,7 +122,13 @@ def officers_long(spark: SparkSession, landing_dir: str, years: Sequence[str] |
                        zero_to_null("officers").alias("officers"))
 
 
-def crime_data(spark: SparkSession, landing_dir: str, validate: bool = False) -> DataFrame:
-    """Entry 1 result: monthly wide crime counts with the agency's officers."""
+def crime_data(spark: SparkSession, landing_dir: str, validate: bool = True) -> DataFrame:
+    """Entry 1 result: monthly wide crime counts with the agency's officers.
+
+    ``validate`` (default on) checks that the content filter kept exactly one
+    agency row per file (S8) and that pivot keys are unique (R8) -- two small
+    aggregations that turn a malformed landing file into an error instead of
+    silently mixed rows.
+    """
     wide = crime_by_type(crime_long(spark, landing_dir, validate=validate), validate=validate)
     return wide.join(officers_long(spark, landing_dir), ["ori", "year"], "left")
