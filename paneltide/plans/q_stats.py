@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -24,7 +22,6 @@ MEASURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 Y = "l_extendedprice"
 XS = ["l_quantity", "l_discount", "l_tax"]
 XS_FULL = XS + ["post"]                      # full model adds the regime dummy
-MODELS = [("Pre", 0), ("Post", 1), ("Full", None)]
 
 
 def model_frame(spark, sf_dir):
