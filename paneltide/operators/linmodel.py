@@ -270,7 +270,7 @@ def chow_test(df: DataFrame, y: str, xs: Sequence[str], regime: str, levels=(0,
     levels = [r[0] for r in df.select(regime).distinct().collect()] if levels is None else list(levels)
     specs = {"pooled": (y, xs, None)}
     specs.update({("seg", lv): (y, xs, F.col(regime) == F.lit(lv)) for lv in levels})
-    fits = fit_many(df, specs, hc3=False)
+    fits = fit_many(df, specs, second_pass=False)       # RSS from the co-moments: one scan
     pooled = fits.pop("pooled")
     segs = {key[1]: f for key, f in fits.items()}
     k = pooled.p

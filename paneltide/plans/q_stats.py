@@ -93,18 +93,19 @@ def ols_hc3(spark, sf_dir):
                                          "p_value_hc3"]), 6, overrides={"estimate": 4, "std_error_hc3": 4})
 
 
-def _three_fits(spark, sf_dir):
-    """Pre, Post and Full models from two scans of lineitem in total."""
+def _three_fits(spark, sf_dir, robust: bool = True):
+    """Pre, Post and Full models from two scans of lineitem in total (one when
+    no robust errors are needed: RSS then comes from the co-moments)."""
     d = model_frame(spark, sf_dir)
     return L.fit_many(d, {"Pre": (Y, XS, F.col("post") == 0),
                           "Post": (Y, XS, F.col("post") == 1),
-                          "Full": (Y, XS_FULL, None)})
+                          "Full": (Y, XS_FULL, None)}, second_pass=robust)
 
 
 @query("fit_metrics")
 def fit_metrics(spark, sf_dir):
     """R^2, adjusted R^2 and RMSE (divisor n) per model."""
-    fits = _three_fits(spark, sf_dir)
+    fits = _three_fits(spark, sf_dir, robust=False)
     rows = [{"model": m, "n": float(f.n), "r2": f.r2(), "adj_r2": f.adj_r2(), "rmse": f.rmse()}
             for m, f in fits.items()]
     return finish(_tidy_df(spark, rows, ["model", "n", "r2", "adj_r2", "rmse"]), 6, overrides={"rmse": 4})
