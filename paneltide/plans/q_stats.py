@@ -66,17 +66,16 @@ def pearson_test(spark, sf_dir):
     return finish(out, 9, overrides={"t_stat": 6, "p_value": 6})
 
 
-def _fit(spark, sf_dir, xs, seg=None):
-    d = model_frame(spark, sf_dir)
-    if seg is not None:
-        d = d.filter(F.col("post") == seg)
-    return L.ols(d, Y, xs)
+def _fit(spark, sf_dir, xs, robust: bool = True):
+    """One scan for classical inference (RSS from the co-moments); a second
+    scan only when HC3 errors are wanted."""
+    return L.ols(model_frame(spark, sf_dir), Y, xs, second_pass=robust)
 
 
 @query("ols_coefs")
 def ols_coefs(spark, sf_dir):
     """T4/T5: classical coefficient table."""
-    fit = _fit(spark, sf_dir, XS)
+    fit = _fit(spark, sf_dir, XS, robust=False)
     rows = [{"term": r["term"], "estimate": r["estimate"], "std_error": r["std_error"],
              "statistic": r["statistic"], "p_value": r["p_value"]} for r in fit.tidy()]
     return finish(_tidy_df(spark, rows, ["term", "estimate", "std_error", "statistic", "p_value"]), 6,
@@ -219,7 +218,5 @@ def diff_regression(spark, sf_dir):
     """First-difference regression on the per-county regime differences."""
     p = P.panel_yearly(tables(spark, sf_dir), years=[1997, 2000])
     diff = ops.regime_diff(P.with_post(p), "county", "post", ["crime_rate", "officers", "urgent"])
-    diff = diff.persist()       # one row per county; both model passes read it
-    fit = L.ols(diff, "crime_rate_diff", ["officers_diff", "urgent_diff"])
-    diff.unpersist()
+    fit = L.ols(diff, "crime_rate_diff", ["officers_diff", "urgent_diff"], second_pass=False)
     return finish(_tidy_df(spark, fit.tidy(), ["term", "estimate", "std_error", "statistic", "p_value"]), 6)
