@@ -114,16 +114,15 @@ def fit_metrics(spark, sf_dir):
 def model_table(spark, sf_dir):
     """Classical and HC3 tables of three models,
     joined by term, labelled, bound together and rounded."""
-    tabs = []
+    normal, robust = None, None
     for m, f in _three_fits(spark, sf_dir).items():
-        normal = _tidy_df(spark, f.tidy(), ["term", "estimate", "std_error"]) \
-            .select("term", "estimate", F.col("std_error").alias("std_error_normal"))
-        robust = _tidy_df(spark, f.tidy(robust=True), ["term", "std_error", "p_value"]) \
-            .select("term", F.col("std_error").alias("std_error_robust"), "p_value")
-        tabs.append(normal.join(robust, "term", "left").withColumn("model", F.lit(m)))
-    out = tabs[0]
-    for t in tabs[1:]:
-        out = out.unionByName(t)
+        n = _tidy_df(spark, f.tidy(), ["term", "estimate", "std_error"]) \
+            .select(F.lit(m).alias("model"), "term", "estimate", F.col("std_error").alias("std_error_normal"))
+        r = _tidy_df(spark, f.tidy(robust=True), ["term", "std_error", "p_value"]) \
+            .select(F.lit(m).alias("model"), "term", F.col("std_error").alias("std_error_robust"), "p_value")
+        normal = n if normal is None else normal.unionByName(n)        # U3
+        robust = r if robust is None else robust.unionByName(r)
+    out = normal.join(robust, ["model", "term"], "left")                # J7
     out = out.select("model", "term", "estimate", "std_error_normal", "std_error_robust", "p_value")
     return finish(out, 3, overrides={"estimate": 4})
 
