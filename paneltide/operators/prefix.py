@@ -28,10 +28,13 @@ from ..session import cut_lineage, ship_package
 
 
 def prefix_sum(df: DataFrame, order: Sequence[str], value: str, out: str = "cumsum",
-               index: str = "idx", partitions: int | None = None,
-               checkpoint: bool = True) -> DataFrame:
-    """Add ``out`` = inclusive running sum of ``value`` and ``index`` = 1-based
-    row position, both in ``order`` (which must be unique)."""
+               index: str = "idx", partitions: int | None = None) -> DataFrame:
+    """Add ``out`` = inclusive running sum of ``value`` (NULL counts as 0) and
+    ``index`` = 1-based row position, both in ``order`` (which must be unique).
+
+    The checkpoint is not optional: range bounds are sampled per execution, so
+    a recomputed partitioning could disagree with the offsets.
+    """
     spark = df.sparkSession
     ship_package(spark)
     order = list(order)
@@ -56,9 +59,7 @@ def prefix_sum(df: DataFrame, order: Sequence[str], value: str, out: str = "cums
                 cnt += len(b)
             yield b
 
-    loc = ranged.mapInPandas(local, schema)
-    if checkpoint:
-        loc = cut_lineage(loc)
+    loc = cut_lineage(ranged.mapInPandas(local, schema))
     # Partition total = running sum at the partition's last row.
     last = loc.groupBy("_pid").agg(F.max_by("_lsum", "_lidx").alias("_t"), F.max("_lidx").alias("_c"))
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
