@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 def _order_stats(df: DataFrame, value: str, gcol: str | None,
                  wanted: list[tuple[object, int]], stats: dict,
-                 buckets: int, max_collect: int, max_passes: int = 12,
+                 buckets: int, max_collect: int, max_passes: int = 64,
                  brackets: dict | None = None) -> dict:
     """Find the r-th smallest (0-based) value for each (group, r) in ``wanted``.
 
@@ -128,7 +128,7 @@ def _order_stats(df: DataFrame, value: str, gcol: str | None,
                     hs = [h for h in hs if h.b >= 0]
                 acc = s["below"]
                 found = False
-                for h in hs:
+                for h in (hs if r >= acc else []):   # r < below: the bracket missed low
                     if r < acc + h.c:
                         s.update(lo=h.mn, hi=h.mx, below=acc, n_in=h.c)
                         if h.mn == h.mx:
@@ -138,6 +138,9 @@ def _order_stats(df: DataFrame, value: str, gcol: str | None,
                     acc += h.c
                 if not found:                        # bracket missed: restart from the full range
                     s.update({k: s["full"][k] for k in ("lo", "hi", "below", "n_in")})
+    left = [k for k, s in state.items() if not s["done"]]
+    if left:
+        raise RuntimeError(f"exact quantile search did not converge for {left[:3]} in {max_passes} passes")
     return {k: s["value"] for k, s in state.items()}
 
 

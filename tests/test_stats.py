@@ -203,3 +203,17 @@ def test_exact_quantiles_bracketed_large_groups(spark, skew):
         got = exact_quantiles(df, "v", [0.1, 0.5, 0.9], group="g", max_collect=1000, bracket=bracket)
         for grp in (0, 1):
             assert np.allclose(got[grp], np.quantile(v[g == grp], [0.1, 0.5, 0.9]), rtol=0, atol=1e-12)
+
+
+def test_exact_quantiles_recover_from_wrong_brackets(spark):
+    from paneltide.operators.quantile import _order_stats
+    rng = np.random.default_rng(41)
+    v = rng.normal(size=5001)
+    df = spark.createDataFrame([(float(x),) for x in v], "v double")
+    srt = np.sort(v)
+    stats = {0: (len(v), float(srt[0]), float(srt[-1]))}
+    wanted = [(0, 2500), (0, 100)]
+    bad = {(0, 2500): (float(srt[3000]), float(srt[4000])),     # bracket above the rank
+           (0, 100): (float(srt[0]), float(srt[50]))}           # bracket below the rank
+    got = _order_stats(df, "v", None, wanted, stats, buckets=16, max_collect=200, brackets=bad)
+    assert got[(0, 2500)] == srt[2500] and got[(0, 100)] == srt[100]
