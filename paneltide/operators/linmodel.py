@@ -152,6 +152,8 @@ def _moment_aggs(y: str, xs: Sequence[str], cond: Column | None = None, tag: str
 def _fit_from_row(row, y: str, xs: Sequence[str], tag: str = "") -> OLSFit:
     k = len(xs)
     n = row[f"{tag}n"]
+    if n is None or n <= k + 1:
+        raise ValueError(f"{y} ~ {list(xs)}: {n} complete cases for {k + 1} coefficients")
     cov = np.zeros((k + 1, k + 1))
     for i in range(k + 1):
         for j in range(i, k + 1):

@@ -217,3 +217,9 @@ def test_exact_quantiles_recover_from_wrong_brackets(spark):
            (0, 100): (float(srt[0]), float(srt[50]))}           # bracket below the rank
     got = _order_stats(df, "v", None, wanted, stats, buckets=16, max_collect=200, brackets=bad)
     assert got[(0, 2500)] == srt[2500] and got[(0, 100)] == srt[100]
+
+
+def test_ols_needs_more_rows_than_coefficients(spark):
+    df = spark.createDataFrame([(1.0, 2.0, 3.0), (2.0, 1.0, None)], "y double, a double, b double")
+    with pytest.raises(ValueError, match="complete cases"):
+        L.ols(df, "y", ["a", "b"])
