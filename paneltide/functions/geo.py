@@ -61,5 +61,5 @@ def polygon_centroid(v: DataFrame, geoid: str = "geoid") -> DataFrame:
     g = e.groupBy(geoid).agg(F.sum(cross).alias("a2"),
                              F.sum((F.col("lon") + F.col("lon2")) * cross).alias("sx"),
                              F.sum((F.col("lat") + F.col("lat2")) * cross).alias("sy"))
-    return g.select(geoid, (F.col("sx") / (F.lit(3.0) * F.col("a2"))).alias("cx"),
-                    (F.col("sy") / (F.lit(3.0) * F.col("a2"))).alias("cy"))
+    return g.select(geoid, F.try_divide(F.col("sx"), F.lit(3.0) * F.col("a2")).alias("cx"),
+                    F.try_divide(F.col("sy"), F.lit(3.0) * F.col("a2")).alias("cy"))

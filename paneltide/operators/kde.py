@@ -43,6 +43,11 @@ def kde(df: DataFrame, value: str, points: int = 512, bw: float | None = None) -
         sk = {0: dict(zip(sketch_probs([0.25, 0.75]), s["q"]))}
         q1, q3 = exact_quantiles(d, "v", [0.25, 0.75], stats={0: (n, lo, hi)}, sketch=sk)[None]
         bw = bw_nrd0(s["sd"] or 0.0, q3 - q1, n, lo)
+    spark = df.sparkSession
+    norm = 1.0 / (n * bw * math.sqrt(2.0 * math.pi))
+    if hi == lo:                     # all values equal: every grid point sits on them
+        return spark.range(points).select(F.col("id").cast("int").alias("i"), F.lit(float(lo)).alias("x"),
+                                          F.lit(n * norm).alias("density"), F.lit(bw).alias("bw"))
     step = (hi - lo) / (points - 1)
     if s["ndv"] * 2 <= n:
         # Repeated values: collapse to (value, multiplicity) first.
@@ -59,8 +64,7 @@ def kde(df: DataFrame, value: str, points: int = 512, bw: float | None = None) -
     u = (x - v) / F.lit(bw)
     contrib = e.select("i", (F.col("c") * F.exp(F.lit(-0.5) * u * u)).alias("k"))
     dens = contrib.groupBy("i").agg(F.sum("k").alias("s"))
-    norm = 1.0 / (n * bw * math.sqrt(2.0 * math.pi))
-    grid = df.sparkSession.range(points).select(F.col("id").cast("int").alias("i"))
+    grid = spark.range(points).select(F.col("id").cast("int").alias("i"))
     out = grid.join(dens, "i", "left")
     return out.select("i", (F.lit(lo) + F.lit(hi - lo) * F.col("i").cast("double")
                             / F.lit(float(points - 1))).alias("x"),

@@ -193,7 +193,8 @@ def _projected_pass2(d: DataFrame, parts, hc3: bool):
                 s1.append((F.col(x) - F.lit(float(m))).alias(f"{tag}z{j + 1}"))
                 s2.append(F.col(f"{tag}z{j + 1}"))
             one_h = F.lit(1.0) - F.col(f"{tag}h")
-            s2.append((F.col(f"{tag}e") * F.col(f"{tag}e") / (one_h * one_h)).alias(f"{tag}w"))
+            # A leverage-1 point has no finite HC3 weight: NULL, left out of the sums.
+            s2.append(F.try_divide(F.col(f"{tag}e") * F.col(f"{tag}e"), one_h * one_h).alias(f"{tag}w"))
             w = F.col(f"{tag}w")
             z = [None] + [F.col(f"{tag}z{j}") for j in range(1, k + 1)]
             for i in range(k + 1):
@@ -367,12 +368,14 @@ def facet_lines(df: DataFrame, y: str, xs: Sequence[str], points: int = 80,
                                               ("n", "b", "a", "mx", "sxx", "syy", "sxy", "lo", "hi")])
         for i, x in enumerate(xs)])).alias("f")).select("f.*")
     facets = facets.withColumns({
-        "sigma": F.sqrt((F.col("syy") - F.col("sxy") * F.col("sxy") / F.col("sxx")) / (F.col("n") - 2)),
+        "sigma": F.sqrt(F.try_divide(F.col("syy") - F.try_divide(F.col("sxy") * F.col("sxy"), F.col("sxx")),
+                                     F.col("n") - 2)),
         "tq": dist.t_quantile_col(F.lit(0.5 + level / 2.0), F.col("n") - 2)})
     g = facets.withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
     x0 = F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("i").cast("double") / F.lit(float(points - 1))
     g = g.withColumn("x", x0).withColumn("fit", F.col("a") + F.col("b") * F.col("x"))
-    se = F.col("sigma") * F.sqrt(F.lit(1.0) / F.col("n")
-                                 + (F.col("x") - F.col("mx")) * (F.col("x") - F.col("mx")) / F.col("sxx"))
+    se = F.col("sigma") * F.sqrt(F.try_divide(F.lit(1.0), F.col("n"))
+                                 + F.try_divide((F.col("x") - F.col("mx")) * (F.col("x") - F.col("mx")),
+                                                F.col("sxx")))
     return g.select("variable", "i", "x", "fit", (F.col("fit") - F.col("tq") * se).alias("lower"),
                     (F.col("fit") + F.col("tq") * se).alias("upper"))

@@ -47,10 +47,11 @@ def group_moments(df: DataFrame, group: str, cols: Sequence[str],
 def welch_from_moments(m: DataFrame) -> DataFrame:
     """Welch t (group0 - group1), Satterthwaite df, two-sided p."""
     ship_package(m.sparkSession)
-    a = F.col("v0") / F.col("n0")
-    b = F.col("v1") / F.col("n1")
-    t = (F.col("m0") - F.col("m1")) / F.sqrt(a + b)
-    df_ = (a + b) * (a + b) / (a * a / (F.col("n0") - 1) + b * b / (F.col("n1") - 1))
+    td = F.try_divide          # a one-value group or zero variances give NULL, never an error
+    a = td(F.col("v0"), F.col("n0"))
+    b = td(F.col("v1"), F.col("n1"))
+    t = td(F.col("m0") - F.col("m1"), F.sqrt(a + b))
+    df_ = td((a + b) * (a + b), td(a * a, F.col("n0") - 1) + td(b * b, F.col("n1") - 1))
     out = m.withColumns({"t_stat": t, "df": df_})
     out = out.withColumn("p_value", dist.t_pvalue_col(F.col("t_stat"), F.col("df")))
     # The test result also travels as one nested value (P15): ttest.p_value.
@@ -77,7 +78,8 @@ def pearson_tests(df: DataFrame, target: str, cols: Sequence[str]) -> DataFrame:
     long = one.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("variable"), F.col(f"r{i}").alias("estimate"), F.col(f"n{i}").alias("n"))
         for i, c in enumerate(cols)])).alias("s")).select("s.*")
-    t = F.col("estimate") * F.sqrt((F.col("n") - 2) / (F.lit(1.0) - F.col("estimate") * F.col("estimate")))
+    t = F.col("estimate") * F.sqrt(F.try_divide(F.col("n") - 2,
+                                                F.lit(1.0) - F.col("estimate") * F.col("estimate")))
     long = long.withColumns({"t_stat": t, "df": (F.col("n") - 2).cast("double")})
     return long.withColumn("p_value", dist.t_pvalue_col(F.col("t_stat"), F.col("df")))
 
@@ -91,7 +93,7 @@ def variance_f_test(df: DataFrame, value: Column, group: str, levels=(0, 1)) ->
                  F.count(F.when(F.col(group) == g0, v)).alias("n0"),
                  F.var_samp(F.when(F.col(group) == g1, v)).alias("v1"),
                  F.count(F.when(F.col(group) == g1, v)).alias("n1"))
-    out = one.select((F.col("v0") / F.col("v1")).alias("statistic"),
+    out = one.select(F.try_divide(F.col("v0"), F.col("v1")).alias("statistic"),
                      (F.col("n0") - 1).alias("df1"), (F.col("n1") - 1).alias("df2"))
     cdf = dist.f_cdf_col(F.col("statistic"), F.col("df1"), F.col("df2"))
     sf = dist.f_sf_col(F.col("statistic"), F.col("df1"), F.col("df2"))
@@ -116,6 +118,7 @@ def levene_median(df: DataFrame, value: Column, group: str) -> DataFrame:
                   F.collect_list(F.struct("n", "zm", "zv")).alias("grp"))
     between = F.aggregate("grp", F.lit(0.0), lambda acc, s: acc + s["n"] * (s["zm"] - F.col("zbar")) * (s["zm"] - F.col("zbar")))
     within = F.aggregate("grp", F.lit(0.0), lambda acc, s: acc + (s["n"] - 1) * s["zv"])
-    out = tot.select(((between / F.lit(k - 1)) / (within / (F.col("N") - F.lit(k)))).alias("statistic"),
+    out = tot.select(F.try_divide(between / F.lit(k - 1),
+                                  F.try_divide(within, F.col("N") - F.lit(k))).alias("statistic"),
                      F.lit(k - 1).alias("df1"), (F.col("N") - F.lit(k)).alias("df2"))
     return out.withColumn("p_value", dist.f_sf_col(F.col("statistic"), F.col("df1"), F.col("df2")))

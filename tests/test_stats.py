@@ -223,3 +223,15 @@ def test_ols_needs_more_rows_than_coefficients(spark):
     df = spark.createDataFrame([(1.0, 2.0, 3.0), (2.0, 1.0, None)], "y double, a double, b double")
     with pytest.raises(ValueError, match="complete cases"):
         L.ols(df, "y", ["a", "b"])
+
+
+def test_degenerate_inputs_give_nulls_not_errors(spark):
+    const = spark.createDataFrame([(2.0,)] * 50, "v double")
+    d = K.kde(const, "v", points=8).collect()
+    assert len(d) == 8 and all(r.density == pytest.approx(d[0].density) for r in d)
+    one = spark.createDataFrame([(0, 1.0), (1, 2.0), (1, 3.0)], "g int, x double")
+    r = S.welch_t(one, "g", ["x"]).first()
+    assert r.t_stat is None
+    perfect = spark.createDataFrame([(float(i), 2.0 * i) for i in range(10)], "a double, b double")
+    p = S.pearson_tests(perfect, "a", ["b"]).first()
+    assert p.estimate == pytest.approx(1.0)
