@@ -139,8 +139,9 @@ def ols(p: str, src: str, y: str, xs: list[str]) -> str:
   FROM {p}_b b JOIN {p}_p2 p2 USING (seg))"""
 
 
-def _model_src(xs_extra: str = "", seg: str = "'all'", where: str = "") -> str:
-    return f"SELECT *, {seg} AS seg FROM ({MODEL_SRC}) {where}"
+def _model_src(seg: str = "'all'") -> str:
+    """Model rows with the segment label the generated OLS CTEs group by."""
+    return f"SELECT *, {seg} AS seg FROM ({MODEL_SRC})"
 
 
 def _tidy(p: str, terms: list[str], cols: dict) -> str:
