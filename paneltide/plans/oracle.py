@@ -51,6 +51,14 @@ panel AS (
   FROM yearly y LEFT JOIN pop p USING (county))"""
 
 
+def zero_safe(sql: str) -> str:
+    """DuckDB's round() keeps the sign of a rounded-away negative (-0.0);
+    Spark's round() always returns +0.0.  ``0.0 + round(...)`` normalises the
+    sign so both engines print identical values."""
+    import re
+    return re.sub(r"\bround\(", "0.0 + round(", sql)
+
+
 def r(expr: str, d: int = 6) -> str:
     return f"round({expr}, {d})"
 

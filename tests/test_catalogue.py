@@ -17,7 +17,7 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 def _norm(v):
     if isinstance(v, float):
-        return "nan" if math.isnan(v) else repr(v + 0.0)
+        return "nan" if math.isnan(v) else repr(v)   # signed zeros must match too
     if isinstance(v, (dt.date, dt.datetime)):
         return v.isoformat()
     return repr(v)
