@@ -51,3 +51,36 @@ def ingest_available(spark: SparkSession, landing_dir: str, out_dir: str, period
          .partitionBy("year").outputMode("append").trigger(availableNow=True).start())
     q.awaitTermination()
     return q
+
+
+def maintain_crime_wide(spark: SparkSession, landing_dir: str, stage_dir: str, periods: Sequence[str],
+                        checkpoint: str | None = None) -> StreamingQuery:
+    """Keep the wide (agency x month, one column per type) crime table current
+    as landing files arrive, recomputing only the years a batch touches.
+
+    One landing file carries one type, so a batch only has part of each wide
+    row; every micro-batch therefore (1) writes its long rows under
+    ``long/epoch=<id>`` (overwrite: a replayed epoch rewrites, never
+    duplicates) and (2) rebuilds the wide rows of the affected years from the
+    whole long stage with dynamic partition overwrite.  Both steps are
+    idempotent, so the result is exactly-once even across restarts.
+    """
+    stage = stage_dir.rstrip("/")
+    ckpt = checkpoint or f"{ensure_checkpoint_dir(spark).rstrip('/')}/landing-crime-wide"
+
+    def per_batch(batch: DataFrame, epoch_id: int) -> None:
+        s = batch.sparkSession
+        batch.write.mode("overwrite").parquet(f"{stage}/long/epoch={epoch_id}")
+        years = [r.year for r in batch.select("year").distinct().collect() if r.year is not None]
+        if not years:
+            return
+        long = s.read.parquet(f"{stage}/long").filter(F.col("year").isin(years)).drop("epoch")
+        wide = LD.crime_by_type(long)
+        (wide.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("year").parquet(f"{stage}/wide"))
+
+    q = (crime_stream(spark, landing_dir, periods).writeStream
+         .foreachBatch(per_batch).option("checkpointLocation", ckpt)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return q

@@ -36,3 +36,25 @@ def test_cli_stream_ingest(spark, scratch):
     info = write_landing(land)
     cli.main(["stream-ingest", "--landing", land, "--out", out, "--checkpoint", os.path.join(scratch, "ck")])
     assert spark.read.parquet(out).count() == info["crime_files"] * len(MONTHS)
+
+
+def test_incremental_wide_table_matches_batch(spark, scratch):
+    from pyspark.sql import functions as F
+    from paneltide.streaming.landing import maintain_crime_wide
+    land, stage, ckpt = (os.path.join(scratch, d) for d in ("landing", "stage", "ck"))
+    write_landing(land)
+    periods = [c for c in LD.header_of(spark, land) if c.strip("﻿") != "series"]
+    maintain_crime_wide(spark, land, stage, periods, checkpoint=ckpt)
+    # a later landing file (a new agency) only rewrites the years it touches
+    src = os.path.join(land, f"{AGENCIES[0][0]}_arson.csv")
+    with open(src, encoding="utf-8") as f:
+        body = f.read()
+    with open(os.path.join(land, "MN9990000_arson.csv"), "w", encoding="utf-8") as f:
+        f.write(body.replace(AGENCIES[0][1], "New Agency"))
+    maintain_crime_wide(spark, land, stage, periods, checkpoint=ckpt)
+    got = spark.read.parquet(os.path.join(stage, "wide"))
+    expect = LD.crime_by_type(LD.crime_long(spark, land))
+    cols = sorted(expect.columns)
+    assert got.count() == expect.count() == (len(AGENCIES) + 1) * len(MONTHS)
+    assert got.select(*cols).exceptAll(expect.select(*cols)).count() == 0
+    assert got.filter(F.col("ori") == "MN9990000").count() == len(MONTHS)
