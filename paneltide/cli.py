@@ -4,6 +4,7 @@
   python -m paneltide.cli merge    --landing DIR --census DIR --out DIR [--interpolate COL ...]
   python -m paneltide.cli analyze  --stages DIR --out DIR
   python -m paneltide.cli stream-ingest --landing DIR --out DIR [--checkpoint DIR]
+  python -m paneltide.cli stream-wide --landing DIR --stage DIR [--checkpoint DIR]
 
 Outputs are parquet folders, one per table.  Nothing is collected to the
 driver except the small model results.
@@ -35,6 +36,10 @@ def main(argv=None) -> None:
     st.add_argument("--landing", required=True)
     st.add_argument("--out", required=True)
     st.add_argument("--checkpoint", default=None)
+    sw = sub.add_parser("stream-wide")
+    sw.add_argument("--landing", required=True)
+    sw.add_argument("--stage", required=True)
+    sw.add_argument("--checkpoint", default=None)
     ap.add_argument("--master", default=None)
     args = ap.parse_args(argv)
 
@@ -55,6 +60,11 @@ def main(argv=None) -> None:
         from .streaming.landing import ingest_available
         periods = [c for c in header_of(spark, args.landing) if c.strip("﻿") != "series"]
         ingest_available(spark, args.landing, args.out, periods, args.checkpoint)
+    elif args.cmd == "stream-wide":
+        from .sources.landing import header_of
+        from .streaming.landing import maintain_crime_wide
+        periods = [c for c in header_of(spark, args.landing) if c.strip("\ufeff") != "series"]
+        maintain_crime_wide(spark, args.landing, args.stage, periods, args.checkpoint)
 
 
 if __name__ == "__main__":
