@@ -379,3 +379,55 @@ def facet_lines(df: DataFrame, y: str, xs: Sequence[str], points: int = 80,
                                                 F.col("sxx")))
     return g.select("variable", "i", "x", "fit", (F.col("fit") - F.col("tq") * se).alias("lower"),
                     (F.col("fit") + F.col("tq") * se).alias("upper"))
+
+
+TIDY_SCHEMA = "term string, estimate double, std_error double, statistic double, p_value double"
+METRICS_SCHEMA = "model string, n double, r2 double, adj_r2 double, rmse double"
+
+
+def _moments_frame(df: DataFrame, specs: dict) -> DataFrame:
+    """One-row DataFrame of every spec's masked co-moments (lazy)."""
+    aggs = []
+    for i, (_name, (y, xs, cond)) in enumerate(specs.items()):
+        cc = complete_case_cond([y, *xs])
+        aggs += _moment_aggs(y, xs, cc if cond is None else (cond & cc), tag=f"f{i}_")
+    return df.agg(*aggs)
+
+
+def ols_tidy_lazy(df: DataFrame, y: str, xs: Sequence[str]) -> DataFrame:
+    """Classical coefficient table as a lazy DataFrame: the co-moment
+    aggregate (one row) feeds a ``mapInPandas`` that solves the k x k system.
+    No job runs until the result is used."""
+    from ..session import ship_package
+    ship_package(df.sparkSession)
+    specs = {"m": (y, list(xs), None)}
+    xs = list(xs)
+
+    def solve(batches):
+        import pandas as pd
+        for pdf in batches:
+            for _, row in pdf.iterrows():
+                fit = _fit_from_row(row, y, xs, tag="f0_")
+                yield pd.DataFrame(fit.tidy(), columns=["term", "estimate", "std_error", "statistic", "p_value"])
+
+    return _moments_frame(df, specs).mapInPandas(solve, TIDY_SCHEMA)
+
+
+def fit_metrics_lazy(df: DataFrame, specs: dict) -> DataFrame:
+    """R^2, adjusted R^2 and RMSE of several fits from one aggregate (lazy)."""
+    from ..session import ship_package
+    ship_package(df.sparkSession)
+    names = list(specs)
+    shapes = [(y, list(xs)) for y, xs, _c in specs.values()]
+
+    def solve(batches):
+        import pandas as pd
+        for pdf in batches:
+            for _, row in pdf.iterrows():
+                out = []
+                for i, (name, (y, xs)) in enumerate(zip(names, shapes)):
+                    f = _fit_from_row(row, y, xs, tag=f"f{i}_")
+                    out.append((name, float(f.n), f.r2(), f.adj_r2(), f.rmse()))
+                yield pd.DataFrame(out, columns=["model", "n", "r2", "adj_r2", "rmse"])
+
+    return _moments_frame(df, specs).mapInPandas(solve, METRICS_SCHEMA)

@@ -74,12 +74,9 @@ def _fit(spark, sf_dir, xs, robust: bool = True):
 
 @query("ols_coefs")
 def ols_coefs(spark, sf_dir):
-    """T4/T5: classical coefficient table."""
-    fit = _fit(spark, sf_dir, XS, robust=False)
-    rows = [{"term": r["term"], "estimate": r["estimate"], "std_error": r["std_error"],
-             "statistic": r["statistic"], "p_value": r["p_value"]} for r in fit.tidy()]
-    return finish(_tidy_df(spark, rows, ["term", "estimate", "std_error", "statistic", "p_value"]), 6,
-                  overrides={"estimate": 4, "std_error": 4})
+    """T4/T5: classical coefficient table (lazy: one aggregate, one k x k solve)."""
+    out = L.ols_tidy_lazy(model_frame(spark, sf_dir), Y, XS)
+    return finish(out, 6, overrides={"estimate": 4, "std_error": 4})
 
 
 @query("ols_hc3")
@@ -104,10 +101,10 @@ def _three_fits(spark, sf_dir, robust: bool = True):
 @query("fit_metrics")
 def fit_metrics(spark, sf_dir):
     """R^2, adjusted R^2 and RMSE (divisor n) per model."""
-    fits = _three_fits(spark, sf_dir, robust=False)
-    rows = [{"model": m, "n": float(f.n), "r2": f.r2(), "adj_r2": f.adj_r2(), "rmse": f.rmse()}
-            for m, f in fits.items()]
-    return finish(_tidy_df(spark, rows, ["model", "n", "r2", "adj_r2", "rmse"]), 6, overrides={"rmse": 4})
+    out = L.fit_metrics_lazy(model_frame(spark, sf_dir),
+                             {"Pre": (Y, XS, F.col("post") == 0), "Post": (Y, XS, F.col("post") == 1),
+                              "Full": (Y, XS_FULL, None)})
+    return finish(out, 6, overrides={"rmse": 4})
 
 
 @query("model_table")
@@ -217,5 +214,4 @@ def diff_regression(spark, sf_dir):
     """First-difference regression on the per-county regime differences."""
     p = P.panel_yearly(tables(spark, sf_dir), years=[1997, 2000])
     diff = ops.regime_diff(P.with_post(p), "county", "post", ["crime_rate", "officers", "urgent"])
-    fit = L.ols(diff, "crime_rate_diff", ["officers_diff", "urgent_diff"], second_pass=False)
-    return finish(_tidy_df(spark, fit.tidy(), ["term", "estimate", "std_error", "statistic", "p_value"]), 6)
+    return finish(L.ols_tidy_lazy(diff, "crime_rate_diff", ["officers_diff", "urgent_diff"]), 6)
