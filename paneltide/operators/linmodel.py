@@ -431,3 +431,33 @@ def fit_metrics_lazy(df: DataFrame, specs: dict) -> DataFrame:
                 yield pd.DataFrame(out, columns=["model", "n", "r2", "adj_r2", "rmse"])
 
     return _moments_frame(df, specs).mapInPandas(solve, METRICS_SCHEMA)
+
+
+CHOW_SCHEMA = ("statistic double, df1 double, df2 double, p_value double, rss_pooled double, "
+               "rss_pre double, rss_post double")
+
+
+def chow_test_lazy(df: DataFrame, y: str, xs: Sequence[str], regime: str, levels=(0, 1)) -> DataFrame:
+    """Chow F test (T9) as a lazy one-row DataFrame: pooled and per-regime
+    co-moments in one aggregate, F and p in a one-row ``mapInPandas``."""
+    from ..session import ship_package
+    ship_package(df.sparkSession)
+    xs = list(xs)
+    g0, g1 = levels
+    specs = {"pooled": (y, xs, None), "pre": (y, xs, F.col(regime) == F.lit(g0)),
+             "post": (y, xs, F.col(regime) == F.lit(g1))}
+
+    def solve(batches):
+        import pandas as pd
+        for pdf in batches:
+            for _, row in pdf.iterrows():
+                pooled, pre, post = (_fit_from_row(row, y, xs, tag=f"f{i}_") for i in range(3))
+                k, n = pooled.p, pooled.n
+                rss1 = pre.rss_value() + post.rss_value()
+                fstat = ((pooled.rss_value() - rss1) / k) / (rss1 / (n - 2 * k))
+                yield pd.DataFrame([(fstat, float(k), float(n - 2 * k), dist.f_sf(fstat, k, n - 2 * k),
+                                     pooled.rss_value(), pre.rss_value(), post.rss_value())],
+                                   columns=["statistic", "df1", "df2", "p_value", "rss_pooled",
+                                            "rss_pre", "rss_post"])
+
+    return _moments_frame(df, specs).mapInPandas(solve, CHOW_SCHEMA)

@@ -126,14 +126,9 @@ def model_table(spark, sf_dir):
 
 @query("chow_test")
 def chow_test(spark, sf_dir):
-    """Chow F test at the regime break."""
-    r = L.chow_test(model_frame(spark, sf_dir), Y, XS, "post")
-    row = {"statistic": r["statistic"], "df1": float(r["df1"]), "df2": float(r["df2"]),
-           "p_value": r["p_value"], "rss_pooled": r["rss_pooled"], "rss_pre": r["rss_0"],
-           "rss_post": r["rss_1"]}
-    cols = ["statistic", "df1", "df2", "p_value", "rss_pooled", "rss_pre", "rss_post"]
-    return finish(_tidy_df(spark, [row], cols), 6, overrides={"rss_pooled": -4, "rss_pre": -4,
-                                                              "rss_post": -4})
+    """Chow F test at the regime break (lazy: one aggregate)."""
+    out = L.chow_test_lazy(model_frame(spark, sf_dir), Y, XS, "post")
+    return finish(out, 6, overrides={"rss_pooled": -4, "rss_pre": -4, "rss_post": -4})
 
 
 def _cusum(spark, sf_dir):
