@@ -461,3 +461,102 @@ def chow_test_lazy(df: DataFrame, y: str, xs: Sequence[str], regime: str, levels
                                             "rss_pre", "rss_post"])
 
     return _moments_frame(df, specs).mapInPandas(solve, CHOW_SCHEMA)
+
+
+ROBUST_SCHEMA = ("model string, term string, estimate double, std_error_normal double, "
+                 "std_error_robust double, statistic_robust double, p_value double")
+
+
+def fit_many_robust_lazy(df: DataFrame, specs: dict) -> DataFrame:
+    """Classical and HC3 tables of several fits as one lazy DataFrame.
+
+    Pass 1 (masked co-moments of every fit) feeds a one-row ``mapInPandas``
+    solve; its coefficients enter pass 2 through one struct scalar subquery
+    (evaluated once, a single row: nothing grows with the data), where
+    residuals, leverages and HC3 weights are projected once per row; a last
+    one-row ``mapInPandas`` forms the sandwich.  The expressions are the ones
+    the eager path builds from literals, so the numbers are identical.
+    """
+    from pyspark.sql import types as T
+    from ..session import ship_package
+    ship_package(df.sparkSession)
+    names = list(specs)
+    shapes = [(y, list(xs)) for y, xs, _c in specs.values()]
+    conds = []
+    for y, xs, cond in specs.values():
+        cc = complete_case_cond([y, *xs])
+        conds.append(cc if cond is None else (cond & cc))
+    mom = _moments_frame(df, specs)
+    extra = []
+    for i, (_y, xs) in enumerate(shapes):
+        k = len(xs)
+        extra += [f"f{i}_b{j}" for j in range(k + 1)]
+        extra += [f"f{i}_s_{a}_{b}" for a in range(k) for b in range(k)]
+    coef_schema = T.StructType(mom.schema.fields + [T.StructField(c, T.DoubleType()) for c in extra])
+
+    def solve(batches):
+        import pandas as pd
+        for pdf in batches:
+            for _, row in pdf.iterrows():
+                rec = row.to_dict()
+                for i, (y, xs) in enumerate(shapes):
+                    f = _fit_from_row(row, y, xs, tag=f"f{i}_")
+                    rec[f"f{i}_b0"] = float(f.b0)
+                    for j, b in enumerate(f.beta):
+                        rec[f"f{i}_b{j + 1}"] = float(b)
+                    for a in range(len(xs)):
+                        for b in range(len(xs)):
+                            rec[f"f{i}_s_{a}_{b}"] = float(f.sinv[a, b])
+                yield pd.DataFrame([rec])
+
+    coef = mom.mapInPandas(solve, coef_schema)
+    # The coefficient row enters the plan once, as a projected struct column;
+    # every expression below reads fields of that column.
+    cval = coef.select(F.struct(*[F.col(c) for c in coef.columns])).scalar()
+    c = lambda name: F.col("_c")[name]
+
+    s1, s2, aggs = [], [], []
+    for i, ((y, xs), cond) in enumerate(zip(shapes, conds)):
+        t, k = f"f{i}_", len(xs)
+        fitted = c(f"{t}b0")
+        for j, x in enumerate(xs):
+            fitted = fitted + c(f"{t}b{j + 1}") * F.col(x)
+        xc = [F.col(x) - c(f"{t}m_{j}") for j, x in enumerate(xs)]
+        h = F.lit(1.0) / c(f"{t}n")
+        for a in range(k):
+            for b in range(k):
+                h = h + c(f"{t}s_{a}_{b}") * xc[a] * xc[b]
+        s1 += [F.when(cond, F.col(y) - fitted).alias(f"{t}e"), h.alias(f"{t}h")]
+        s1 += [xc[j].alias(f"{t}z{j + 1}") for j in range(k)]
+        one_h = F.lit(1.0) - F.col(f"{t}h")
+        s2 += [F.col(f"{t}e"), F.try_divide(F.col(f"{t}e") * F.col(f"{t}e"), one_h * one_h).alias(f"{t}w")]
+        s2 += [F.col(f"{t}z{j + 1}") for j in range(k)]
+        aggs.append(F.sum(F.col(f"{t}e") * F.col(f"{t}e")).alias(f"{t}rss"))
+        w = F.col(f"{t}w")
+        z = [None] + [F.col(f"{t}z{j}") for j in range(1, k + 1)]
+        for a in range(k + 1):
+            for b in range(a, k + 1):
+                term = w if a == 0 and b == 0 else (w * z[b] if a == 0 else w * z[a] * z[b])
+                aggs.append(F.sum(term).alias(f"{t}w_{a}_{b}"))
+    base = df.select("*", cval.alias("_c"))          # Catalyst prunes the unused columns
+    aggs.append(F.first("_c").alias("_c"))
+    p2 = base.select(*s1, "_c").select(*s2, "_c").agg(*aggs)
+    both = p2.select(*[x for x in p2.columns if x != "_c"], *[c(col).alias(col) for col in mom.columns])
+
+    def finish_fn(batches):
+        import pandas as pd
+        for pdf in batches:
+            for _, row in pdf.iterrows():
+                out = []
+                for i, (name, (y, xs)) in enumerate(zip(names, shapes)):
+                    f = _fit_from_row(row, y, xs, tag=f"f{i}_")
+                    _apply_pass2(f, row, True, f"f{i}_")
+                    rob = {r["term"]: r for r in f.tidy(robust=True)}
+                    for r in f.tidy():
+                        q = rob[r["term"]]
+                        out.append((str(name), r["term"], float(r["estimate"]), float(r["std_error"]),
+                                    float(q["std_error"]), float(q["statistic"]), float(q["p_value"])))
+                yield pd.DataFrame(out, columns=["model", "term", "estimate", "std_error_normal",
+                                                 "std_error_robust", "statistic_robust", "p_value"])
+
+    return both.mapInPandas(finish_fn, ROBUST_SCHEMA)

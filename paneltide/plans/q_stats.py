@@ -66,12 +66,6 @@ def pearson_test(spark, sf_dir):
     return finish(out, 9, overrides={"t_stat": 6, "p_value": 6})
 
 
-def _fit(spark, sf_dir, xs, robust: bool = True):
-    """One scan for classical inference (RSS from the co-moments); a second
-    scan only when HC3 errors are wanted."""
-    return L.ols(model_frame(spark, sf_dir), Y, xs, second_pass=robust)
-
-
 @query("ols_coefs")
 def ols_coefs(spark, sf_dir):
     """T4/T5: classical coefficient table (lazy: one aggregate, one k x k solve)."""
@@ -81,21 +75,11 @@ def ols_coefs(spark, sf_dir):
 
 @query("ols_hc3")
 def ols_hc3(spark, sf_dir):
-    """HC3 heteroskedasticity-robust coefficient table."""
-    fit = _fit(spark, sf_dir, XS)
-    rows = [{"term": r["term"], "estimate": r["estimate"], "std_error_hc3": r["std_error"],
-             "statistic_hc3": r["statistic"], "p_value_hc3": r["p_value"]} for r in fit.tidy(robust=True)]
-    return finish(_tidy_df(spark, rows, ["term", "estimate", "std_error_hc3", "statistic_hc3",
-                                         "p_value_hc3"]), 6, overrides={"estimate": 4, "std_error_hc3": 4})
-
-
-def _three_fits(spark, sf_dir, robust: bool = True):
-    """Pre, Post and Full models from two scans of lineitem in total (one when
-    no robust errors are needed: RSS then comes from the co-moments)."""
-    d = model_frame(spark, sf_dir)
-    return L.fit_many(d, {"Pre": (Y, XS, F.col("post") == 0),
-                          "Post": (Y, XS, F.col("post") == 1),
-                          "Full": (Y, XS_FULL, None)}, second_pass=robust)
+    """HC3 heteroskedasticity-robust coefficient table (lazy, two scans)."""
+    lz = L.fit_many_robust_lazy(model_frame(spark, sf_dir), {"m": (Y, XS, None)})
+    out = lz.select("term", "estimate", F.col("std_error_robust").alias("std_error_hc3"),
+                    F.col("statistic_robust").alias("statistic_hc3"), F.col("p_value").alias("p_value_hc3"))
+    return finish(out, 6, overrides={"estimate": 4, "std_error_hc3": 4})
 
 
 @query("fit_metrics")
@@ -109,17 +93,14 @@ def fit_metrics(spark, sf_dir):
 
 @query("model_table")
 def model_table(spark, sf_dir):
-    """Classical and HC3 tables of three models,
-    joined by term, labelled, bound together and rounded."""
-    normal, robust = None, None
-    for m, f in _three_fits(spark, sf_dir).items():
-        n = _tidy_df(spark, f.tidy(), ["term", "estimate", "std_error"]) \
-            .select(F.lit(m).alias("model"), "term", "estimate", F.col("std_error").alias("std_error_normal"))
-        r = _tidy_df(spark, f.tidy(robust=True), ["term", "std_error", "p_value"]) \
-            .select(F.lit(m).alias("model"), "term", F.col("std_error").alias("std_error_robust"), "p_value")
-        normal = n if normal is None else normal.unionByName(n)        # U3
-        robust = r if robust is None else robust.unionByName(r)
-    out = normal.join(robust, ["model", "term"], "left")                # J7
+    """Classical and HC3 tables of three models
+    (lazy, two scans for all three), joined by term, labelled and rounded."""
+    lz = L.fit_many_robust_lazy(model_frame(spark, sf_dir),
+                                {"Pre": (Y, XS, F.col("post") == 0), "Post": (Y, XS, F.col("post") == 1),
+                                 "Full": (Y, XS_FULL, None)}).persist()       # 13 rows, read by both sides
+    normal = lz.select("model", "term", "estimate", "std_error_normal")
+    robust = lz.select("model", "term", "std_error_robust", "p_value")
+    out = normal.join(robust, ["model", "term"], "left")                       # J7
     out = out.select("model", "term", "estimate", "std_error_normal", "std_error_robust", "p_value")
     return finish(out, 3, overrides={"estimate": 4})
 

@@ -235,3 +235,15 @@ def test_degenerate_inputs_give_nulls_not_errors(spark):
     perfect = spark.createDataFrame([(float(i), 2.0 * i) for i in range(10)], "a double, b double")
     p = S.pearson_tests(perfect, "a", ["b"]).first()
     assert p.estimate == pytest.approx(1.0)
+
+
+def test_lazy_robust_fits_equal_eager(spark):
+    df, *_ = _data(spark)
+    specs = {"a": ("y", ["x1", "x2"], F.col("g") == 0), "b": ("y", ["x1", "x2", "g"], None)}
+    lazy = {(r.model, r.term): r for r in L.fit_many_robust_lazy(df, specs).collect()}
+    for m, f in L.fit_many(df, specs).items():
+        rob = {r["term"]: r for r in f.tidy(robust=True)}
+        for r in f.tidy():
+            z = lazy[(m, r["term"])]
+            assert (z.estimate, z.std_error_normal, z.std_error_robust) == \
+                (float(r["estimate"]), float(r["std_error"]), float(rob[r["term"]]["std_error"]))
