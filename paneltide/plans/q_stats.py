@@ -176,12 +176,10 @@ def residual_fitted(spark, sf_dir):
     """Fitted values and residuals of the full model, plus the
     1-based position of the first post-regime row in the sample order."""
     d = model_frame(spark, sf_dir)
-    fit = L.ols(d, Y, XS_FULL, second_pass=False)
     key = F.struct(*ORDER)
     first_post = scalar(d.filter(F.col("post") == 1).select(F.min(key)))
     brk = scalar(d.select(F.count_if(key < first_post) + F.lit(1)))
-    out = d.select(*LINE_KEY, fit.fitted_col().alias("fitted"), fit.resid_col().alias("resid"),
-                   brk.alias("break_index"))
+    out = L.with_fitted_lazy(d, Y, XS_FULL).select(*LINE_KEY, "fitted", "resid", brk.alias("break_index"))
     return finish(out, 4)
 
 
