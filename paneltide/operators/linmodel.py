@@ -476,6 +476,11 @@ def fit_many_robust_lazy(df: DataFrame, specs: dict) -> DataFrame:
     residuals, leverages and HC3 weights are projected once per row; a last
     one-row ``mapInPandas`` forms the sandwich.  The expressions are the ones
     the eager path builds from literals, so the numbers are identical.
+
+    Trade-off: every row reads the coefficients as struct fields, where the
+    eager path (``fit_many``) bakes them in as literals that codegen folds;
+    measured about 2x slower per row, so the catalogue uses the eager path for
+    its large per-row passes.
     """
     from pyspark.sql import types as T
     from ..session import ship_package
@@ -561,36 +566,3 @@ def fit_many_robust_lazy(df: DataFrame, specs: dict) -> DataFrame:
 
     return both.mapInPandas(finish_fn, ROBUST_SCHEMA)
 
-
-def coefficients_lazy(df: DataFrame, y: str, xs: Sequence[str]) -> DataFrame:
-    """One-row DataFrame (b0, b1..bk) of ``y ~ xs``: co-moment aggregate plus a
-    one-row ``mapInPandas`` solve, lazy."""
-    from ..session import ship_package
-    ship_package(df.sparkSession)
-    xs = list(xs)
-    cols = [f"b{j}" for j in range(len(xs) + 1)]
-
-    def solve(batches):
-        import pandas as pd
-        for pdf in batches:
-            for _, row in pdf.iterrows():
-                f = _fit_from_row(row, y, xs, tag="f0_")
-                yield pd.DataFrame([[float(f.b0), *[float(b) for b in f.beta]]], columns=cols)
-
-    return _moments_frame(df, {"m": (y, xs, None)}).mapInPandas(
-        solve, ", ".join(f"{c} double" for c in cols))
-
-
-def with_fitted_lazy(df: DataFrame, y: str, xs: Sequence[str], fitted: str = "fitted",
-                     resid: str = "resid") -> DataFrame:
-    """Fitted values and residuals per row (T17), coefficients from
-    ``coefficients_lazy`` entering once as a struct scalar subquery."""
-    xs = list(xs)
-    coef = coefficients_lazy(df, y, xs)
-    cval = coef.select(F.struct(*[F.col(c) for c in coef.columns])).scalar()
-    base = df.select("*", cval.alias("_c"))
-    fit = F.col("_c")["b0"]
-    for j, x in enumerate(xs):
-        fit = fit + F.col("_c")[f"b{j + 1}"] * F.col(x)
-    out = base.withColumn(fitted, fit)
-    return out.withColumn(resid, F.col(y) - F.col(fitted)).drop("_c")

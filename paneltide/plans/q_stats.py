@@ -75,11 +75,13 @@ def ols_coefs(spark, sf_dir):
 
 @query("ols_hc3")
 def ols_hc3(spark, sf_dir):
-    """HC3 heteroskedasticity-robust coefficient table (lazy, two scans)."""
-    lz = L.fit_many_robust_lazy(model_frame(spark, sf_dir), {"m": (Y, XS, None)})
-    out = lz.select("term", "estimate", F.col("std_error_robust").alias("std_error_hc3"),
-                    F.col("statistic_robust").alias("statistic_hc3"), F.col("p_value").alias("p_value_hc3"))
-    return finish(out, 6, overrides={"estimate": 4, "std_error_hc3": 4})
+    """HC3 heteroskedasticity-robust coefficient table (two scans; the
+    second carries the pass-1 coefficients as literals)."""
+    fit = L.ols(model_frame(spark, sf_dir), Y, XS)
+    rows = [{"term": r["term"], "estimate": r["estimate"], "std_error_hc3": r["std_error"],
+             "statistic_hc3": r["statistic"], "p_value_hc3": r["p_value"]} for r in fit.tidy(robust=True)]
+    return finish(_tidy_df(spark, rows, ["term", "estimate", "std_error_hc3", "statistic_hc3",
+                                         "p_value_hc3"]), 6, overrides={"estimate": 4, "std_error_hc3": 4})
 
 
 @query("fit_metrics")
@@ -94,13 +96,19 @@ def fit_metrics(spark, sf_dir):
 @query("model_table")
 def model_table(spark, sf_dir):
     """Classical and HC3 tables of three models
-    (lazy, two scans for all three), joined by term, labelled and rounded."""
-    lz = L.fit_many_robust_lazy(model_frame(spark, sf_dir),
-                                {"Pre": (Y, XS, F.col("post") == 0), "Post": (Y, XS, F.col("post") == 1),
-                                 "Full": (Y, XS_FULL, None)}).persist()       # 13 rows, read by both sides
-    normal = lz.select("model", "term", "estimate", "std_error_normal")
-    robust = lz.select("model", "term", "std_error_robust", "p_value")
-    out = normal.join(robust, ["model", "term"], "left")                       # J7
+    (two scans for all three), bound per model, joined by term, rounded."""
+    d = model_frame(spark, sf_dir)
+    fits = L.fit_many(d, {"Pre": (Y, XS, F.col("post") == 0), "Post": (Y, XS, F.col("post") == 1),
+                          "Full": (Y, XS_FULL, None)})
+    normal, robust = None, None
+    for m, f in fits.items():
+        n = _tidy_df(spark, f.tidy(), ["term", "estimate", "std_error"]) \
+            .select(F.lit(m).alias("model"), "term", "estimate", F.col("std_error").alias("std_error_normal"))
+        r = _tidy_df(spark, f.tidy(robust=True), ["term", "std_error", "p_value"]) \
+            .select(F.lit(m).alias("model"), "term", F.col("std_error").alias("std_error_robust"), "p_value")
+        normal = n if normal is None else normal.unionByName(n)        # U3
+        robust = r if robust is None else robust.unionByName(r)
+    out = normal.join(robust, ["model", "term"], "left")                # J7
     out = out.select("model", "term", "estimate", "std_error_normal", "std_error_robust", "p_value")
     return finish(out, 3, overrides={"estimate": 4})
 
@@ -179,7 +187,11 @@ def residual_fitted(spark, sf_dir):
     key = F.struct(*ORDER)
     first_post = scalar(d.filter(F.col("post") == 1).select(F.min(key)))
     brk = scalar(d.select(F.count_if(key < first_post) + F.lit(1)))
-    out = L.with_fitted_lazy(d, Y, XS_FULL).select(*LINE_KEY, "fitted", "resid", brk.alias("break_index"))
+    # Coefficients as literals: constant-folded into the generated code of the
+    # per-row pass (a lazy struct lookup would cost a field access per term).
+    fit = L.ols(d, Y, XS_FULL, second_pass=False)
+    out = d.select(*LINE_KEY, fit.fitted_col().alias("fitted"), fit.resid_col().alias("resid"),
+                   brk.alias("break_index"))
     return finish(out, 4)
 
 
