@@ -4,7 +4,7 @@ ORACLE: dict[str, str] = {}
 
 ORACLE["op7_substring_dedup"] = r"""
 WITH w AS (
-  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> '') AS ws
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws
   FROM documents),
 win AS (
   SELECT doc_id, unnest(range(1, greatest(len(ws) - 18, 1))) AS s, ws FROM w),
@@ -29,8 +29,8 @@ d AS (SELECT page_id, octet_length(encode(body))::BIGINT AS n, sha1(body) AS h F
 b AS (
   SELECT page_id, n, list_reduce([
     list_reduce([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (((('0x' || substr(h, 1 + 10 * g, 10))::BIGINT) >> (35 - 5 * j)) & 31)::INT + 1, 1)
-                 for j in range(8)], (x, y) -> x || y)
-    for g in range(4)], (x, y) -> x || y) AS digest
+                 for j in range(8)], lambda x, y: x || y)
+    for g in range(4)], lambda x, y: x || y) AS digest
   FROM d),
 r AS (SELECT *, max(page_id) OVER (PARTITION BY digest, n) AS head FROM b)
 SELECT page_id, n AS payload_bytes, digest AS payload_digest,
@@ -42,10 +42,10 @@ FROM r
 ORACLE["op9_decontamination"] = r"""
 WITH dw AS (
   SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-         '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), x -> x <> '') AS ws FROM documents),
+         '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS ws FROM documents),
 bw AS (
   SELECT item_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-         '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), x -> x <> '') AS ws FROM benchmark),
+         '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS ws FROM benchmark),
 bs AS (SELECT item_id, ws, least(len(ws), 13) AS m FROM bw WHERE len(ws) > 0),
 bwin AS (SELECT item_id, m, unnest(range(1, len(ws) - m + 2)) AS s, ws FROM bs),
 keys AS (SELECT DISTINCT item_id, m, array_to_string(ws[s : s + m - 1], ' ') AS k FROM bwin),
