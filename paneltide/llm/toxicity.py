@@ -65,8 +65,8 @@ def features(docs: DataFrame, text: str = "text") -> DataFrame:
     return rows_as_structs(docs).mapInArrow(run, schema)
 
 
-def ftrl(examples: list[tuple[np.ndarray, int]], *, alpha: float = 0.3, beta: float = 1.0, l1: float = 1.5,
-         l2: float = 1.0, epochs: int = 4, bits: int = BITS) -> tuple[np.ndarray, float]:
+def ftrl(examples: list[tuple[np.ndarray, int]], *, alpha: float = 1.0, beta: float = 1.0, l1: float = 8.0,
+         l2: float = 0.1, epochs: int = 5, bits: int = BITS) -> tuple[np.ndarray, float]:
     """Dense weights and bias after ``epochs`` passes over binary examples."""
     z, n = np.zeros(1 << bits), np.zeros(1 << bits)
     zb = nb = 0.0
