@@ -38,8 +38,9 @@ RUN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}"
 WORD_RUN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{6,}"
 TOKEN_CHARS = "".join(chr(i) for i in range(33, 127) if chr(i).isalnum() or chr(i) in "+/_.=-")
 MAX_DOCS = 5_000
-#: Nats per step by which the random chain must explain a run better.
-MARGIN = 0.5
+#: Nats per step by which the random chain must explain a run better, and the
+#: weight (in pairs) of a chain's character frequencies against its pairs.
+MARGIN, BACK_OFF = 0.4, 64.0
 _STRIDE = 64
 
 
@@ -93,8 +94,8 @@ def train(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", max_do
         F.filter(F.regexp_extract_all("t", F.lit(ASSIGN), F.lit(2)), long_enough(MIN_VALUE)),
         F.filter(F.regexp_extract_all("t", F.lit(ACCESS), F.lit(0)), long_enough(MIN_ACCESS)),
         F.regexp_extract_all("t", F.lit(r"[0-9a-f]{32,}"), F.lit(0))))
-    words = F.array_distinct(F.regexp_extract_all("t", F.lit(WORD_RUN), F.lit(0)))
-    ordinary = F.filter(F.array_except(words, random), lambda x: ~x.rlike(r"^(AKIA[A-Z0-9]{12,}|[0-9a-f]{32,})"))
+    plain = F.regexp_replace(F.regexp_replace("t", ASSIGN, " "), r"AKIA[A-Z0-9]{12,}|[0-9a-f]{32,}", " ")
+    ordinary = F.array_except(F.regexp_extract_all(plain, F.lit(WORD_RUN), F.lit(0)), random)
     labelled = texts.select(F.explode(F.array(
         F.struct(F.lit(1).alias("label"), random.alias("tokens")), F.struct(F.lit(0).alias("label"), ordinary.alias("tokens")))).alias("s"))
     tokens = labelled.select("s.label", F.explode("s.tokens").alias("t")).distinct()
@@ -108,7 +109,7 @@ def train(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", max_do
         return None
     size = len(TOKEN_CHARS)
     back_off = (count.sum(axis=1, keepdims=True) + 0.1) / (count.sum(axis=(1, 2), keepdims=True) + 0.1 * size)
-    chain = (count + 5.0 * back_off) / (count.sum(axis=2, keepdims=True) + 5.0)
+    chain = (count + BACK_OFF * back_off) / (count.sum(axis=2, keepdims=True) + BACK_OFF)
     return np.log(chain[1] / chain[0]).round(3).reshape(-1)
 
 
