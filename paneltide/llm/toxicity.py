@@ -138,7 +138,7 @@ def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float], *, text:
                 own = np.unique(row[hot].astype(np.uint64) << _U(BITS) | slot[hot])
                 total[lo:hi] += np.bincount((own >> _U(BITS)).astype(np.int64),
                                             weights=dense[(own & _U((1 << BITS) - 1)).astype(np.int64)], minlength=hi - lo)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(1.0 / (1.0 + np.exp(-np.clip(total, -700, 700))))], names=names)
+            with np.errstate(over="ignore"):
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(1.0 / (1.0 + np.exp(-total)))], names=names)
 
     return rows_as_structs(docs).mapInArrow(run, schema)
