@@ -56,15 +56,11 @@ def main(argv=None) -> None:
         for name, df in res.items():
             write_stage(df, f"{args.out.rstrip('/')}/{name}")
     elif args.cmd == "stream-ingest":
-        from .sources.landing import header_of
         from .streaming.landing import ingest_available
-        periods = [c for c in header_of(spark, args.landing) if c.strip("﻿") != "series"]
-        ingest_available(spark, args.landing, args.out, periods, args.checkpoint)
+        ingest_available(spark, args.landing, args.out, args.checkpoint)
     elif args.cmd == "stream-wide":
-        from .sources.landing import header_of
         from .streaming.landing import maintain_crime_wide
-        periods = [c for c in header_of(spark, args.landing) if c.strip("\ufeff") != "series"]
-        maintain_crime_wide(spark, args.landing, args.stage, periods, args.checkpoint)
+        maintain_crime_wide(spark, args.landing, args.stage, args.checkpoint)
 
 
 if __name__ == "__main__":

@@ -11,6 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import geo
 from ..operators.panel import count_per_key
@@ -53,7 +54,18 @@ ATTR_SCHEMA = ("Location string, `Binge drinking prevalence` double, `Cost per p
 
 
 def _csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    return spark.read.schema(schema).option("header", True).csv(path)
+    """Columns of ``schema`` by their header names, whatever their order.
+
+    The names come from the files; a file whose header differs from the others'
+    fails the read (``enforceSchema`` off) instead of shifting its columns.
+    Cells that do not parse are NULL.
+    """
+    raw = spark.read.option("header", True).option("enforceSchema", False).csv(path)
+    named = {c.strip("\ufeff").strip(): c for c in raw.columns}
+    wanted = T.StructType.fromDDL(schema)
+    if missing := [f.name for f in wanted if f.name not in named]:
+        raise ValueError(f"{path}: no column named {missing}")
+    return raw.select(*[F.col(f"`{named[f.name]}`").try_cast(f.dataType).alias(f.name) for f in wanted])
 
 
 def variable_dim(spark: SparkSession, pairs: Sequence[tuple[str, str]] = SURVEY_VARIABLES) -> DataFrame:

@@ -4,8 +4,9 @@ File contract (S14): ``{ORI}_{type}.csv``; crime files are wide by month
 (``MM-yyyy`` headers, first row = agency, second row = its "Clearances",
 sometimes junk one-field rows after), officer files are wide by year.
 
-Everything is one multi-file scan per family (S1/S2/S6/S7): Spark packs the
-many small files into partitions (``maxPartitionBytes``/``openCostInBytes``)
+Everything is one multi-file scan per family (S1/S2/S6/S7), a row per file
+whose cells are keyed by that file's own header: Spark packs the many small
+files into partitions (``maxPartitionBytes``/``openCostInBytes``)
 and never loops over files on the driver.  Keys come from the file name via
 ``_metadata.file_name`` (S9); the file-family split is a glob filter and a
 name predicate (S2).
@@ -17,10 +18,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.expr import parse_month_label, zero_to_null
-from ..operators.reshape import assert_unique, columns_of_type, pivot_wide, unpivot
+from ..operators.reshape import assert_unique, pivot_wide
 
 # The incident types that appear in landing file names.
 CRIME_TYPES = ["arson", "assaults", "burglary", "gta", "homicides", "larceny", "rape", "robbery"]
@@ -43,59 +43,79 @@ def landing_name(ori, crime_type) -> "F.Column":
     return F.concat(o, F.lit("_"), t, F.lit(".csv"))
 
 
-def header_of(spark: SparkSession, path: str, glob: str = "*.csv") -> list[str]:
-    """Column names from a file's header line (reads one line, no inference)."""
-    return spark.read.option("header", True).option("pathGlobFilter", glob).csv(path).columns
+def csv_cells(line) -> "F.Column":
+    """Cells of one CSV line: quotes removed, doubled quotes undone, trimmed."""
+    cells = F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(r',("(?:[^"]|"")*"|[^,]*)'), F.lit(1))
+    return F.transform(cells, lambda c: F.trim(F.regexp_replace(F.regexp_replace(c, '^"|"$', ""), '""', '"')))
 
 
-def _key(col: str, i: int):
-    return F.regexp_extract(F.col(col), FILE_KEY, i)
-
-
-def read_crime_wide(spark: SparkSession, landing_dir: str, periods: Sequence[str] | None = None) -> DataFrame:
-    """S3: every crime file, all columns as strings, plus its file name."""
-    periods = list(periods) if periods else [c for c in header_of(spark, landing_dir)
-                                             if c.strip("﻿") != "series"]
-    schema = T.StructType([T.StructField("series", T.StringType())] +
-                          [T.StructField(p, T.StringType()) for p in periods])
-    raw = (spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
-           .option("pathGlobFilter", "*.csv").csv(landing_dir))
-    return (raw.select("*", F.col("_metadata.file_name").alias("file"))
-               .filter(~F.col("file").rlike(r"_officers\.csv$")))
+def landing_files(reader, landing_dir: str, glob: str = "*.csv") -> DataFrame:
+    """(file, header, rows) of each landing file, one row a file: a file holds
+    one agency and one type, a few lines whatever the number of agencies.
 
+    ``reader`` is ``spark.read`` or ``spark.readStream``.  Every file keeps its
+    own header, so files with different periods read together correctly.
+    """
+    raw = (reader.option("pathGlobFilter", glob).text(landing_dir, wholetext=True)
+           .select(F.col("_metadata.file_name").alias("file"),
+                   F.regexp_replace("value", "^\ufeff", "").alias("value")))
+    lines = F.filter(F.split("value", "\r?\n"), lambda x: F.length(F.trim(x)) > 0)
+    return (raw.withColumn("lines", lines)
+               .select("file", csv_cells(F.get("lines", F.lit(0))).alias("header"),
+                       F.transform(F.slice("lines", 2, F.greatest(F.size("lines") - 1, F.lit(0))), csv_cells).alias("rows")))
 
-def first_data_rows(raw: DataFrame) -> DataFrame:
-    """S8/O4 (quirk Q8): the agency row of each file.
 
-    Spark has no in-file line number, so the row is chosen by content: the
-    "<agency> Clearances" row and junk one-field trailer rows (``_type ...``)
-    are dropped.  ``check_one_row_per_file`` validates the result.
-    """
-    s = F.col("series")
-    return raw.filter(s.isNotNull() & ~s.endswith(" Clearances") & ~s.startswith("_"))
+def _key(col: str, i: int):
+    return F.regexp_extract(F.col(col), FILE_KEY, i)
 
 
-def check_one_row_per_file(df: DataFrame) -> None:
-    assert_unique(df, ["file"])
+def crime_files(reader, landing_dir: str) -> DataFrame:
+    """Every landing file but the officers' ones."""
+    return landing_files(reader, landing_dir).filter(~F.col("file").rlike(r"_officers\.csv$"))
 
 
-def crime_long(spark: SparkSession, landing_dir: str, periods: Sequence[str] | None = None,
-               validate: bool = False) -> DataFrame:
-    """Crime files -> (series, ori, crime_type, month DATE, year, count INT).
+def agency_rows(files: DataFrame, validate: bool = True) -> DataFrame:
+    """S8/O4 (quirk Q8): adds ``cells``, the agency row of each file.
 
-    Blank cells stay NULL here (quirk Q1); zero-fill happens at the merge.
+    The "<agency> Clearances" row and junk trailer rows (``_type ...``) are not
+    agency rows.  A file without exactly one agency row fails the job that reads
+    it, named in the error; ``validate=False`` takes the first and drops a file
+    that has none.
     """
-    raw = read_crime_wide(spark, landing_dir, periods)
-    first = first_data_rows(raw)
-    if validate:
-        check_one_row_per_file(first)
-    cols = [c for c in raw.columns if c not in ("series", "file")]
-    keyed = first.select("series", _key("file", 1).alias("ori"), _key("file", 2).alias("crime_type"), *cols)
-    long = unpivot(keyed, ["series", "ori", "crime_type"], cols, "label", "count_s")
+    def is_agency(cells):
+        s = F.get(cells, F.lit(0))
+        return (F.length(s) > 0) & ~s.endswith(" Clearances") & ~s.startswith("_")
+    own = files.withColumn("own", F.filter("rows", is_agency))
+    if not validate:
+        return own.filter(F.size("own") > 0).withColumn("cells", F.get("own", F.lit(0))).drop("own")
+    wrong = F.raise_error(F.concat(F.lit("landing file "), F.col("file"), F.lit(" has "),
+                                   F.size("own").cast("string"), F.lit(" agency rows, not one")))
+    cells = F.when(F.size("own") == 1, F.get("own", F.lit(0))).otherwise(wrong.cast("array<string>"))
+    return own.withColumn("cells", cells).drop("own")
+
+
+def labelled_cells(files: DataFrame, *keep) -> DataFrame:
+    """One row per cell beyond the first: its own file's header name and text."""
+    pairs = F.zip_with("header", "cells", lambda a, b: F.struct(a.alias("label"), b.alias("text")))
+    return (files.select(*keep, F.explode(F.slice(pairs, 2, F.greatest(F.size("header") - 1, F.lit(0)))).alias("p"))
+            .select(*keep, F.col("p.label").alias("label"), F.col("p.text").alias("text")))
+
+
+def crime_long_of(files: DataFrame, validate: bool = True) -> DataFrame:
+    """Crime files -> (series, ori, crime_type, month DATE, year, count INT)."""
+    first = agency_rows(files, validate).withColumns({
+        "series": F.get("cells", F.lit(0)), "ori": _key("file", 1), "crime_type": _key("file", 2)})
+    long = labelled_cells(first, "series", "ori", "crime_type")
     month = parse_month_label("label")
-    return long.select("series", "ori", "crime_type", month.alias("month"),
-                       F.year(month).alias("year"),
-                       F.expr("try_cast(trim(count_s) AS INT)").alias("count"))
+    # Counts are read through double, so "3.0" is 3; blank cells stay NULL.
+    count = F.expr("try_cast(try_cast(text AS DOUBLE) AS INT)")
+    return long.select("series", "ori", "crime_type", month.alias("month"), F.year(month).alias("year"), count.alias("count"))
+
+
+def crime_long(spark: SparkSession, landing_dir: str, validate: bool = True) -> DataFrame:
+    """All crime files in long form.  Blank cells stay NULL here (quirk Q1);
+    zero-fill happens at the merge."""
+    return crime_long_of(crime_files(spark.read, landing_dir), validate)
 
 
 def crime_by_type(long: DataFrame, types: Sequence[str] = CRIME_TYPES, validate: bool = False) -> DataFrame:
@@ -106,29 +126,22 @@ def crime_by_type(long: DataFrame, types: Sequence[str] = CRIME_TYPES, validate:
                       value_col="count", agg=F.first, name=str)
 
 
-def officers_long(spark: SparkSession, landing_dir: str, years: Sequence[str] | None = None) -> DataFrame:
-    """Officer files -> (ori, year, officers); 0 means missing."""
-    years = list(years) if years else [c for c in header_of(spark, landing_dir, OFFICERS_GLOB)
-                                       if c.strip("﻿") != "series"]
-    schema = T.StructType([T.StructField("series", T.StringType())] +
-                          [T.StructField(y, T.DoubleType()) for y in years])
-    raw = (spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
-           .option("pathGlobFilter", OFFICERS_GLOB).csv(landing_dir)
-           .select("*", F.col("_metadata.file_name").alias("file")))
-    numeric = columns_of_type(raw, T.DoubleType)           # columns chosen by type
-    keyed = raw.select(_key("file", 1).alias("ori"), *numeric)
-    long = unpivot(keyed, ["ori"], numeric, "year_s", "officers")
-    return long.select("ori", F.col("year_s").cast("int").alias("year"),
-                       zero_to_null("officers").alias("officers"))
+def officers_long(spark: SparkSession, landing_dir: str) -> DataFrame:
+    """Officer files -> (ori, year, officers); 0 means missing.
+    Columns are the year names of each file's own header."""
+    files = landing_files(spark.read, landing_dir, OFFICERS_GLOB).withColumn("ori", _key("file", 1))
+    rows = files.select("ori", "header", F.explode("rows").alias("cells"))
+    long = labelled_cells(rows, "ori").filter(F.col("label").rlike("^[0-9]{4}$"))
+    officers = F.expr("try_cast(text AS DOUBLE)")
+    return long.select("ori", F.col("label").cast("int").alias("year"), zero_to_null(officers).alias("officers"))
 
 
 def crime_data(spark: SparkSession, landing_dir: str, validate: bool = True) -> DataFrame:
     """Entry 1 result: monthly wide crime counts with the agency's officers.
 
-    ``validate`` (default on) checks that the content filter kept exactly one
-    agency row per file (S8) and that pivot keys are unique (R8) -- two small
-    aggregations that turn a malformed landing file into an error instead of
-    silently mixed rows.
+    ``validate`` (default on) turns a landing file without exactly one agency
+    row (S8, checked while reading) and repeated pivot keys (R8, one small
+    aggregation) into errors instead of silently mixed rows.
     """
     wide = crime_by_type(crime_long(spark, landing_dir, validate=validate), validate=validate)
     return wide.join(officers_long(spark, landing_dir), ["ori", "year"], "left")

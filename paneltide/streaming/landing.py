@@ -9,51 +9,32 @@ restarted driver or lost executor resumes without duplicates.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ..functions.expr import parse_month_label
 from ..session import ensure_checkpoint_dir
 from ..sources import landing as LD
-from ..operators.reshape import unpivot
 
 
-def crime_stream(spark: SparkSession, landing_dir: str, periods: Sequence[str],
-                 max_files_per_trigger: int = 1000) -> DataFrame:
+def crime_stream(spark: SparkSession, landing_dir: str, max_files_per_trigger: int = 1000) -> DataFrame:
     """Streaming DataFrame of long crime rows from newly landed crime files."""
-    schema = T.StructType([T.StructField("series", T.StringType())] +
-                          [T.StructField(p, T.StringType()) for p in periods])
-    raw = (spark.readStream.schema(schema).option("header", True).option("mode", "PERMISSIVE")
-           .option("pathGlobFilter", "*.csv").option("maxFilesPerTrigger", max_files_per_trigger)
-           .csv(landing_dir)
-           .select("*", F.col("_metadata.file_name").alias("file"))
-           .filter(~F.col("file").rlike(r"_officers\.csv$")))
-    first = LD.first_data_rows(raw)
-    keyed = first.select("series", F.regexp_extract("file", LD.FILE_KEY, 1).alias("ori"),
-                         F.regexp_extract("file", LD.FILE_KEY, 2).alias("crime_type"), *periods)
-    long = unpivot(keyed, ["series", "ori", "crime_type"], list(periods), "label", "count_s")
-    month = parse_month_label("label")
-    return long.select("series", "ori", "crime_type", month.alias("month"),
-                       F.year(month).alias("year"),
-                       F.expr("try_cast(trim(count_s) AS INT)").alias("count"))
+    reader = spark.readStream.option("maxFilesPerTrigger", max_files_per_trigger)
+    return LD.crime_long_of(LD.crime_files(reader, landing_dir))
 
 
-def ingest_available(spark: SparkSession, landing_dir: str, out_dir: str, periods: Sequence[str],
+def ingest_available(spark: SparkSession, landing_dir: str, out_dir: str,
                      checkpoint: str | None = None) -> StreamingQuery:
     """Process every file landed so far, then stop (``availableNow``)."""
     ckpt = checkpoint or f"{ensure_checkpoint_dir(spark).rstrip('/')}/landing-crime-stream"
-    q = (crime_stream(spark, landing_dir, periods).writeStream
+    q = (crime_stream(spark, landing_dir).writeStream
          .format("parquet").option("path", out_dir).option("checkpointLocation", ckpt)
          .partitionBy("year").outputMode("append").trigger(availableNow=True).start())
     q.awaitTermination()
     return q
 
 
-def maintain_crime_wide(spark: SparkSession, landing_dir: str, stage_dir: str, periods: Sequence[str],
+def maintain_crime_wide(spark: SparkSession, landing_dir: str, stage_dir: str,
                         checkpoint: str | None = None) -> StreamingQuery:
     """Keep the wide (agency x month, one column per type) crime table current
     as landing files arrive, recomputing only the years a batch touches.
@@ -79,7 +60,7 @@ def maintain_crime_wide(spark: SparkSession, landing_dir: str, stage_dir: str, p
         (wide.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy("year").parquet(f"{stage}/wide"))
 
-    q = (crime_stream(spark, landing_dir, periods).writeStream
+    q = (crime_stream(spark, landing_dir).writeStream
          .foreachBatch(per_batch).option("checkpointLocation", ckpt)
          .trigger(availableNow=True).start())
     q.awaitTermination()

@@ -1,5 +1,6 @@
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from paneltide.plans import stages as PL
@@ -12,9 +13,7 @@ from .fixture_files import AGENCIES, MONTHS, write_census, write_landing
 def test_crime_ingest_shapes(spark, scratch):
     land = os.path.join(scratch, "landing")
     info = write_landing(land)
-    raw = LD.read_crime_wide(spark, land)
-    first = LD.first_data_rows(raw)
-    LD.check_one_row_per_file(first)                      # junk trailer and Clearances dropped
+    first = LD.agency_rows(LD.crime_files(spark.read, land))      # junk trailer and Clearances dropped
     assert first.count() == info["crime_files"]
     long = LD.crime_long(spark, land, validate=True)
     assert long.count() == info["crime_files"] * len(MONTHS)
@@ -25,6 +24,43 @@ def test_crime_ingest_shapes(spark, scratch):
     assert all(r.assaults is None for r in lam)             # absent type -> NULL column
 
 
+def _write(folder, name, *lines):
+    os.makedirs(folder, exist_ok=True)
+    with open(os.path.join(folder, name), "w", encoding="utf-8") as f:
+        f.write("\n".join(lines) + "\n")
+
+
+def test_each_file_keeps_its_own_header(spark, scratch):
+    land = os.path.join(scratch, "landing")
+    _write(land, "A1_arson.csv", 'series,"01-2020","02-2020"', "Alpha,1,3.0", "Alpha Clearances,9,9")
+    _write(land, "B2_arson.csv", "\ufeffseries,02-2020,03-2020", '"Beta, north",5,', "Beta Clearances,9,9")
+    years = [str(y) for y in range(1985, 2026)]
+    _write(land, "A1_officers.csv", "series," + ",".join(years), "Officers per 1000 People," + ",".join(["1.5"] * len(years)))
+    got = {(r.ori, str(r.month), r.series): r["count"] for r in LD.crime_long(spark, land).collect()}
+    assert got == {("A1", "2020-01-01", "Alpha"): 1, ("A1", "2020-02-01", "Alpha"): 3,
+                   ("B2", "2020-02-01", "Beta, north"): 5, ("B2", "2020-03-01", "Beta, north"): None}
+    assert LD.officers_long(spark, land).count() == len(years)
+
+
+@pytest.mark.parametrize("rows", [["Alpha Clearances,9"], [], ["Alpha,1", "Beta,2"]])
+def test_file_without_exactly_one_agency_row_fails(spark, scratch, rows):
+    land = os.path.join(scratch, "landing")
+    _write(land, "A1_arson.csv", "series,01-2020", "Alpha,1")
+    _write(land, "B2_arson.csv", "series,01-2020", *rows)
+    with pytest.raises(Exception, match="B2_arson.csv has"):
+        LD.crime_long(spark, land).collect()
+    assert LD.crime_long(spark, land, validate=False).count() == (1 if len(rows) < 2 else 2)
+
+
+def test_extract_columns_by_name(spark, scratch):
+    _write(os.path.join(scratch, "x"), "part.csv", "year,estimate,GEOID,variable", "2020,7.5,27001,B01003_001", "2021,?,27001,B01003_001")
+    got = C.survey_long(spark, os.path.join(scratch, "x")).orderBy("year").collect()
+    assert [tuple(r) for r in got] == [("27001", "B01003_001", 7.5, 2020), ("27001", "B01003_001", None, 2021)]
+    _write(os.path.join(scratch, "y"), "part.csv", "year,GEOID,variable", "2020,27001,B01003_001")
+    with pytest.raises(ValueError, match="estimate"):
+        C.survey_long(spark, os.path.join(scratch, "y"))
+
+
 def test_officers_zero_and_blank_are_missing(spark, scratch):
     land = os.path.join(scratch, "landing")
     write_landing(land)

@@ -11,12 +11,11 @@ def test_incremental_ingest_exactly_once(spark, scratch):
     out = os.path.join(scratch, "stage")
     ckpt = os.path.join(scratch, "ckpt")
     info = write_landing(land)
-    periods = [c for c in LD.header_of(spark, land) if c.strip("﻿") != "series"]
-    ingest_available(spark, land, out, periods, checkpoint=ckpt)
+    ingest_available(spark, land, out, checkpoint=ckpt)
     n1 = spark.read.parquet(out).count()
     assert n1 == info["crime_files"] * len(MONTHS)
     # Re-running with nothing new adds nothing.
-    ingest_available(spark, land, out, periods, checkpoint=ckpt)
+    ingest_available(spark, land, out, checkpoint=ckpt)
     assert spark.read.parquet(out).count() == n1
     # A newly landed file is picked up once.
     src = os.path.join(land, f"{AGENCIES[0][0]}_arson.csv")
@@ -24,7 +23,7 @@ def test_incremental_ingest_exactly_once(spark, scratch):
         body = f.read()
     with open(os.path.join(land, "MN9990000_arson.csv"), "w", encoding="utf-8") as f:
         f.write(body.replace(AGENCIES[0][1], "New Agency"))
-    ingest_available(spark, land, out, periods, checkpoint=ckpt)
+    ingest_available(spark, land, out, checkpoint=ckpt)
     df = spark.read.parquet(out)
     assert df.count() == n1 + len(MONTHS)
     assert df.filter(df.ori == "MN9990000").count() == len(MONTHS)
@@ -43,15 +42,14 @@ def test_incremental_wide_table_matches_batch(spark, scratch):
     from paneltide.streaming.landing import maintain_crime_wide
     land, stage, ckpt = (os.path.join(scratch, d) for d in ("landing", "stage", "ck"))
     write_landing(land)
-    periods = [c for c in LD.header_of(spark, land) if c.strip("﻿") != "series"]
-    maintain_crime_wide(spark, land, stage, periods, checkpoint=ckpt)
+    maintain_crime_wide(spark, land, stage, checkpoint=ckpt)
     # a later landing file (a new agency) only rewrites the years it touches
     src = os.path.join(land, f"{AGENCIES[0][0]}_arson.csv")
     with open(src, encoding="utf-8") as f:
         body = f.read()
     with open(os.path.join(land, "MN9990000_arson.csv"), "w", encoding="utf-8") as f:
         f.write(body.replace(AGENCIES[0][1], "New Agency"))
-    maintain_crime_wide(spark, land, stage, periods, checkpoint=ckpt)
+    maintain_crime_wide(spark, land, stage, checkpoint=ckpt)
     got = spark.read.parquet(os.path.join(stage, "wide"))
     expect = LD.crime_by_type(LD.crime_long(spark, land))
     cols = sorted(expect.columns)
