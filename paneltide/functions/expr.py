@@ -12,20 +12,26 @@ def col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def present(c: str | Column) -> Column:
+    """A measure with NaN as missing: NULL where the value is NULL or NaN."""
+    return F.when(~F.isnan(col(c)), col(c))
+
+
 def cents(c: str | Column) -> Column:
     """A 2-decimal money value as integer cents (integer-valued DOUBLE)."""
     return F.round(col(c) * 100)
 
 
 def exact_sum_int(c: Column) -> Column:
-    """Sum of integer-valued terms in a DOUBLE accumulator.
+    """Exact sum of integer-valued terms, independent of summation order.
 
-    Exact -- hence independent of summation order -- while partial sums stay
-    below 2^53 (9e15 cents); beyond that it is an ordinary double sum, which
-    never overflows.  (A DECIMAL(38) accumulator would stay exact forever but
-    runs on BigDecimal, several times slower in the scan.)
+    Terms are BIGINTs.  Their low 32 bits and the rest are summed apart as
+    LONGs, each of which holds 2^31 full terms, and joined as DECIMAL(38, 0):
+    the scan adds longs, only the group's result is a decimal.
     """
-    return F.sum(c.cast("double"))
+    n = c.cast("long")
+    low, high = F.sum(n.bitwiseAND(F.lit(0xFFFFFFFF))), F.sum(F.shiftright(n, 32))
+    return high.cast("decimal(38,0)") * F.lit(1 << 32).cast("decimal(11,0)") + low.cast("decimal(38,0)")
 
 
 def mean_cents(c: str | Column) -> Column:
@@ -57,11 +63,6 @@ def zero_to_null(c: str | Column) -> Column:
     return F.nullif(col(c), F.lit(0))
 
 
-def safe_ratio(num: Column, den: Column) -> Column:
-    """``num / den`` with NULL for a zero denominator (never an ANSI error)."""
-    return F.try_divide(num, den)
-
-
 def month_label(ts: str | Column) -> Column:
     """Timestamp -> 'MM-yyyy' column label (the landing files' month headers)."""
     return F.date_format(col(ts), "MM-yyyy")

@@ -1,8 +1,7 @@
 """Spherical polygon area and planar centroid over a ring-vertex table.
 
 Vertex table: (geoid, ring_id, seq, lon, lat) in degrees; rings close by
-wrap-around.  Each edge is paired with the next vertex of its ring by an
-equi-join on the unique (ring, seq + 1) key.
+wrap-around.
 
 Area of a polygon with great-circle edges = |sum over edges of E| * R^2 with
 E = 2 atan2(tan(dlon/2) (tan(lat1/2) + tan(lat2/2)), 1 + tan(lat1/2) tan(lat2/2)),
@@ -14,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Fixed value: sphere radius in metres.
@@ -22,22 +21,15 @@ EARTH_RADIUS_M = 6371010.0
 
 
 def ring_edges(v: DataFrame, keys: Sequence[str] = ("geoid", "ring_id"), seq: str = "seq") -> DataFrame:
-    """Pair every vertex with the next one of its ring (wrapping to the first).
+    """Pair every vertex with the next one of its ring, the last with the first.
 
-    The next vertex comes from an equi-join on (keys, seq + 1) -- a unique
-    key, so no ring, however many vertices it has, is gathered into one task.
-    The wrap-around target (the ring's first vertex) comes from a one-row-per-
-    ring table, broadcast after a size check (else a sort-merge join that AQE
-    can split).  ``seq`` must be consecutive within a ring.
+    ``lead`` over the ring in ``seq`` order: one scan, and gaps in ``seq`` do
+    not matter.  A window holds one ring's vertices.
     """
-    from ..operators.joins import broadcast_checked
-    keys = list(keys)
-    nxt = v.select(*keys, (F.col(seq) - 1).alias(seq), F.col("lon").alias("_nlon"), F.col("lat").alias("_nlat"))
-    first = (v.groupBy(*keys).agg(F.min_by(F.struct("lon", "lat"), F.col(seq)).alias("_f"))
-              .select(*keys, F.col("_f.lon").alias("_flon"), F.col("_f.lat").alias("_flat")))
-    e = v.join(nxt, keys + [seq], "left").join(broadcast_checked(first), keys, "left")
-    return (e.withColumns({"lon2": F.coalesce("_nlon", "_flon"), "lat2": F.coalesce("_nlat", "_flat")})
-             .drop("_nlon", "_nlat", "_flon", "_flat"))
+    w = Window.partitionBy(*keys).orderBy(seq)
+    point = F.struct("lon", "lat")
+    nxt = F.coalesce(F.lead(point).over(w), F.first(point).over(w))
+    return (v.withColumn("_next", nxt).withColumns({"lon2": F.col("_next.lon"), "lat2": F.col("_next.lat")}).drop("_next"))
 
 
 def edge_excess(lon1: Column, lat1: Column, lon2: Column, lat2: Column) -> Column:
@@ -63,3 +55,10 @@ def polygon_centroid(v: DataFrame, geoid: str = "geoid") -> DataFrame:
                              F.sum((F.col("lat") + F.col("lat2")) * cross).alias("sy"))
     return g.select(geoid, F.try_divide(F.col("sx"), F.lit(3.0) * F.col("a2")).alias("cx"),
                     F.try_divide(F.col("sy"), F.lit(3.0) * F.col("a2")).alias("cy"))
+
+
+def polygon_rings(v: DataFrame, geoid: str = "geoid") -> DataFrame:
+    """(geoid, geometry): the vertices of each polygon as one sorted array of
+    (ring_id, seq, lon, lat); bounded by a polygon's vertices."""
+    vertex = F.struct("ring_id", "seq", "lon", "lat")
+    return v.groupBy(geoid).agg(F.array_sort(F.collect_list(vertex)).alias("geometry"))

@@ -2,10 +2,8 @@
 
 Size policy: tables with a bound that does not grow with the data (literal
 dimensions, the 25-row nation table, 1-row scalars, grids, per-partition
-offsets) are wrapped in ``broadcast``.  Dimensions whose size depends on the
-data (agency mappings, county x year panels) go through
-``broadcast_checked``: a row-count check, and a plain join beyond it.
-Everything else is left to the planner: AQE measures the real shuffle output
+offsets) are wrapped in ``broadcast``.  Everything whose size depends on the
+data (agency mappings, county x year panels) is left to the planner: AQE measures the real shuffle output
 and converts to a broadcast join only under
 ``spark.sql.adaptive.autoBroadcastJoinThreshold``, else a sort-merge join
 with skew splitting.
@@ -47,18 +45,3 @@ def scalar(agg: DataFrame) -> Column:
     literal: no cross join, nothing grows with the data.
     """
     return agg.scalar()
-
-
-def broadcast_checked(df: DataFrame, max_rows: int = 2_000_000) -> DataFrame:
-    """Broadcast ``df`` only after checking its size; otherwise leave the join
-    to the planner (AQE broadcast under its byte threshold, else sort-merge
-    with skew splitting).  The check is one cheap count of a dimension."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
-def flag_in(col: str | Column, values: Sequence, name: str | None = None) -> Column:
-    """0/1 membership flag (F3); NULL input gives 0 like the reference."""
-    c = F.col(col) if isinstance(col, str) else col
-    out = F.when(c.isin(list(values)), F.lit(1)).otherwise(F.lit(0))
-    return out.alias(name) if name else out

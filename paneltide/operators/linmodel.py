@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import dist
+from ..functions.expr import present
 
 INTERCEPT = "(Intercept)"
 
@@ -40,16 +41,18 @@ class OLSFit:
     sinv: np.ndarray = field(init=False)
     rss: float | None = None
     meat_c: np.ndarray | None = None
+    aliased: np.ndarray = field(init=False)
 
     def __post_init__(self):
-        self.sinv = np.linalg.inv(self.sxx) if len(self.xs) else np.zeros((0, 0))
+        self.aliased, self.sinv = _solve_scaled(self.sxx)
         self.beta = self.sinv @ self.sxy if len(self.xs) else np.zeros(0)
         self.b0 = float(self.ybar - self.beta @ self.xbar)
 
     # ---- shape
     @property
     def p(self) -> int:
-        return len(self.xs) + 1
+        """Coefficients that can be estimated, intercept included."""
+        return len(self.xs) + 1 - int(self.aliased.sum())
 
     @property
     def df_resid(self) -> int:
@@ -125,16 +128,52 @@ class OLSFit:
         return math.sqrt(self.rss_value() / self.n)
 
     def tidy(self, robust: bool = False) -> list[dict]:
+        """Coefficient table.  An aliased term (a combination of earlier ones)
+        has no numbers; without finite robust errors only estimates remain."""
         cov = self.cov_hc3() if robust else self.cov_classical()
         out = []
-        for term, est, var in zip(self.terms, self.coef, np.diag(cov)):
-            se = math.sqrt(var) if var >= 0 else float("nan")
-            t = est / se if se > 0 else float("nan")
-            out.append({"term": term, "estimate": float(est), "std_error": se,
-                        "statistic": t, "p_value": dist.t_sf2(t, self.df_resid)})
+        for term, est, var, gone in zip(self.terms, self.coef, np.diag(cov), [False, *self.aliased]):
+            row = dict.fromkeys(("estimate", "std_error", "statistic", "p_value"))
+            if not gone:
+                row["estimate"] = float(est)
+                if var >= 0:
+                    row["std_error"] = se = math.sqrt(var)
+                    if se > 0:
+                        row["statistic"] = t = est / se
+                        row["p_value"] = dist.t_sf2(t, self.df_resid)
+            out.append({"term": term, **row})
         return out
 
 
+#: Share of a regressor's variance that earlier ones must leave unexplained.
+ALIAS_TOLERANCE = 1e-11
+
+
+def _solve_scaled(sxx: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(aliased, inverse) of centred cross products, solved on the correlation
+    scale so that units of 1e5 and 1e-4 can meet in one model.  A regressor
+    that the ones before it explain is aliased: its row and column are zero."""
+    k = len(sxx)
+    scale = np.sqrt(np.diag(sxx))
+    aliased = ~(scale > 0)
+    safe = np.where(aliased, 1.0, scale)
+    corr = sxx / np.outer(safe, safe)
+    kept: list[int] = []
+    for j in range(k):
+        if aliased[j]:
+            continue
+        r = corr[np.ix_(kept, [j])][:, 0]
+        left = 1.0 - r @ np.linalg.solve(corr[np.ix_(kept, kept)], r) if kept else 1.0
+        if left > ALIAS_TOLERANCE:
+            kept.append(j)
+        else:
+            aliased[j] = True
+    inverse = np.zeros((k, k))
+    if kept:
+        inverse[np.ix_(kept, kept)] = np.linalg.inv(corr[np.ix_(kept, kept)])
+    return aliased, inverse / np.outer(safe, safe)
+
+
 def _moment_aggs(y: str, xs: Sequence[str], cond: Column | None = None, tag: str = "") -> list[Column]:
     """Count, means and centred co-moments of (xs, y); rows outside ``cond``
     are masked to NULL, which every aggregate skips."""
@@ -175,6 +214,10 @@ def complete_cases(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.filter(complete_case_cond(cols))
 
 
+#: 1 - leverage at or below which a row determines its own fitted value.
+LEVERAGE_TOLERANCE = 1e-10
+
+
 def _projected_pass2(d: DataFrame, parts, hc3: bool):
     """Pass 2 for several fits: residual, leverage and HC3 weight are projected
     once per row and fit (two chained selects), so every aggregate is a
@@ -193,8 +236,12 @@ def _projected_pass2(d: DataFrame, parts, hc3: bool):
                 s1.append((F.col(x) - F.lit(float(m))).alias(f"{tag}z{j + 1}"))
                 s2.append(F.col(f"{tag}z{j + 1}"))
             one_h = F.lit(1.0) - F.col(f"{tag}h")
-            # A leverage-1 point has no finite HC3 weight: NULL, left out of the sums.
-            s2.append(F.try_divide(F.col(f"{tag}e") * F.col(f"{tag}e"), one_h * one_h).alias(f"{tag}w"))
+            # A leverage-1 row has no finite HC3 weight: it is counted, and the
+            # fit then has no robust errors.
+            full = one_h <= F.lit(LEVERAGE_TOLERANCE)
+            s2.append(F.when(~full, F.col(f"{tag}e") * F.col(f"{tag}e") / (one_h * one_h)).alias(f"{tag}w"))
+            s2.append((full & F.col(f"{tag}e").isNotNull()).alias(f"{tag}full"))
+            aggs.append(F.count_if(F.col(f"{tag}full")).alias(f"{tag}n_full"))
             w = F.col(f"{tag}w")
             z = [None] + [F.col(f"{tag}z{j}") for j in range(1, k + 1)]
             for i in range(k + 1):
@@ -215,10 +262,11 @@ def _apply_pass2(fit: OLSFit, r, hc3: bool, tag: str) -> None:
     fit.rss = float(r[f"{tag}rss"])
     if hc3:
         k = len(fit.xs)
-        m = np.zeros((k + 1, k + 1))
-        for i in range(k + 1):
-            for j in range(i, k + 1):
-                m[i, j] = m[j, i] = r[f"{tag}w_{i}_{j}"]
+        m = np.full((k + 1, k + 1), np.nan)
+        if not r[f"{tag}n_full"]:
+            for i in range(k + 1):
+                for j in range(i, k + 1):
+                    m[i, j] = m[j, i] = r[f"{tag}w_{i}_{j}"]
         fit.meat_c = m
 
 
@@ -267,24 +315,6 @@ def residual_pass(d: DataFrame, fit: OLSFit, hc3: bool = True) -> OLSFit:
     return fit
 
 
-def chow_test(df: DataFrame, y: str, xs: Sequence[str], regime: str, levels=(0, 1)) -> dict:
-    """Chow F test at a known break (T9, quirk Q6): pooled fit vs one fit per
-    regime, regressors without the regime dummy; k counts the intercept."""
-    levels = [r[0] for r in df.select(regime).distinct().collect()] if levels is None else list(levels)
-    specs = {"pooled": (y, xs, None)}
-    specs.update({("seg", lv): (y, xs, F.col(regime) == F.lit(lv)) for lv in levels})
-    fits = fit_many(df, specs, second_pass=False)       # RSS from the co-moments: one scan
-    pooled = fits.pop("pooled")
-    segs = {key[1]: f for key, f in fits.items()}
-    k = pooled.p
-    rss1 = sum(f.rss_value() for f in segs.values())
-    n = pooled.n
-    fstat = ((pooled.rss_value() - rss1) / k) / (rss1 / (n - 2 * k))
-    return {"statistic": fstat, "df1": k, "df2": n - 2 * k,
-            "p_value": dist.f_sf(fstat, k, n - 2 * k), "rss_pooled": pooled.rss_value(),
-            **{f"rss_{s}": f.rss_value() for s, f in segs.items()}}
-
-
 def cusum_process(df: DataFrame, fit: OLSFit, order: Sequence[str], keep: Sequence[str] = (),
                   partitions: int | None = None) -> DataFrame:
     """OLS-CUSUM process cumsum(e) / (sigma * sqrt(n)) over an ordered sample
@@ -297,11 +327,12 @@ def cusum_process(df: DataFrame, fit: OLSFit, order: Sequence[str], keep: Sequen
 
 
 def cusum_sup(df: DataFrame, fit: OLSFit, order: Sequence[str], partitions: int | None = None) -> float:
-    """sup |OLS-CUSUM process| (T11) in one distributed pass, without the process."""
+    """sup |OLS-CUSUM process| (T11) from the extremes of key ranges: one row
+    reaches the driver."""
     from .prefix import prefix_extremes
     d = complete_cases(df, [fit.y, *fit.xs]).select(*order, fit.resid_col().alias("_e"))
-    hi, lo, _n = prefix_extremes(d, order, "_e", partitions)
-    return max(abs(hi), abs(lo)) / (math.sqrt(fit.sigma2()) * math.sqrt(fit.n))
+    r = prefix_extremes(d, order, "_e", partitions).first()
+    return max(abs(r["hi"]), abs(r["lo"])) / (math.sqrt(fit.sigma2()) * math.sqrt(fit.n))
 
 
 def boxcox_profile(df: DataFrame, y: str, xs: Sequence[str],
@@ -313,11 +344,15 @@ def boxcox_profile(df: DataFrame, y: str, xs: Sequence[str],
     pass 1 gives n, mean(log y), the regressors' means and co-moments (shared
     by every lambda); pass 2 is one wide aggregate of sum z, sum z^2 and
     sum (x - xbar) z per lambda -- no row is replicated per lambda.
+
+    The response must be positive: complete cases with y <= 0 are an error.
     """
     lambdas = [round(-2 + 0.1 * i, 10) for i in range(41)] if lambdas is None else list(lambdas)
-    d = complete_cases(df, [y, *xs]).filter(F.col(y) > 0)
+    d = complete_cases(df, [y, *xs])
     k = len(xs)
-    p1 = d.agg(F.avg(F.ln(y)).alias("lm"), *_moment_aggs(y, xs)).collect()[0]
+    p1 = d.agg(F.avg(F.ln(y)).alias("lm"), F.count_if(F.col(y) <= 0).alias("low"), *_moment_aggs(y, xs)).collect()[0]
+    if p1["low"]:
+        raise ValueError(f"Box-Cox needs a positive response: {y} <= 0 in {p1['low']} rows")
     base = _fit_from_row(p1, y, xs)
     n = base.n
     ly = F.ln(F.col(y)) - F.lit(float(p1["lm"]))          # log of y / geometric mean
@@ -353,13 +388,14 @@ def facet_lines(df: DataFrame, y: str, xs: Sequence[str], points: int = 80,
     grid per facet (fixed size) carries fit and band.
     """
     aggs = []
-    for i, x in enumerate(xs):
-        aggs += [F.regr_count(y, x).alias(f"n{i}"), F.regr_slope(y, x).alias(f"b{i}"),
-                 F.regr_intercept(y, x).alias(f"a{i}"), F.regr_avgx(y, x).alias(f"mx{i}"),
-                 F.regr_sxx(y, x).alias(f"sxx{i}"), F.regr_syy(y, x).alias(f"syy{i}"),
-                 F.regr_sxy(y, x).alias(f"sxy{i}"),
-                 F.min(F.when(F.col(y).isNotNull(), F.col(x))).alias(f"lo{i}"),
-                 F.max(F.when(F.col(y).isNotNull(), F.col(x))).alias(f"hi{i}")]
+    for i, name in enumerate(xs):
+        v, x = present(y), present(name)
+        aggs += [F.regr_count(v, x).alias(f"n{i}"), F.regr_slope(v, x).alias(f"b{i}"),
+                 F.regr_intercept(v, x).alias(f"a{i}"), F.regr_avgx(v, x).alias(f"mx{i}"),
+                 F.regr_sxx(v, x).alias(f"sxx{i}"), F.regr_syy(v, x).alias(f"syy{i}"),
+                 F.regr_sxy(v, x).alias(f"sxy{i}"),
+                 F.min(F.when(v.isNotNull(), x)).alias(f"lo{i}"),
+                 F.max(F.when(v.isNotNull(), x)).alias(f"hi{i}")]
     from ..session import ship_package
     ship_package(df.sparkSession)
     one = df.agg(*aggs)
@@ -433,136 +469,30 @@ def fit_metrics_lazy(df: DataFrame, specs: dict) -> DataFrame:
     return _moments_frame(df, specs).mapInPandas(solve, METRICS_SCHEMA)
 
 
-CHOW_SCHEMA = ("statistic double, df1 double, df2 double, p_value double, rss_pooled double, "
-               "rss_pre double, rss_post double")
-
-
-def chow_test_lazy(df: DataFrame, y: str, xs: Sequence[str], regime: str, levels=(0, 1)) -> DataFrame:
-    """Chow F test (T9) as a lazy one-row DataFrame: pooled and per-regime
-    co-moments in one aggregate, F and p in a one-row ``mapInPandas``."""
-    from ..session import ship_package
-    ship_package(df.sparkSession)
-    xs = list(xs)
-    g0, g1 = levels
-    specs = {"pooled": (y, xs, None), "pre": (y, xs, F.col(regime) == F.lit(g0)),
-             "post": (y, xs, F.col(regime) == F.lit(g1))}
-
-    def solve(batches):
-        import pandas as pd
-        for pdf in batches:
-            for _, row in pdf.iterrows():
-                pooled, pre, post = (_fit_from_row(row, y, xs, tag=f"f{i}_") for i in range(3))
-                k, n = pooled.p, pooled.n
-                rss1 = pre.rss_value() + post.rss_value()
-                fstat = ((pooled.rss_value() - rss1) / k) / (rss1 / (n - 2 * k))
-                yield pd.DataFrame([(fstat, float(k), float(n - 2 * k), dist.f_sf(fstat, k, n - 2 * k),
-                                     pooled.rss_value(), pre.rss_value(), post.rss_value())],
-                                   columns=["statistic", "df1", "df2", "p_value", "rss_pooled",
-                                            "rss_pre", "rss_post"])
-
-    return _moments_frame(df, specs).mapInPandas(solve, CHOW_SCHEMA)
-
-
-ROBUST_SCHEMA = ("model string, term string, estimate double, std_error_normal double, "
-                 "std_error_robust double, statistic_robust double, p_value double")
-
-
-def fit_many_robust_lazy(df: DataFrame, specs: dict) -> DataFrame:
-    """Classical and HC3 tables of several fits as one lazy DataFrame.
-
-    Pass 1 (masked co-moments of every fit) feeds a one-row ``mapInPandas``
-    solve; its coefficients enter pass 2 through one struct scalar subquery
-    (evaluated once, a single row: nothing grows with the data), where
-    residuals, leverages and HC3 weights are projected once per row; a last
-    one-row ``mapInPandas`` forms the sandwich.  The expressions are the ones
-    the eager path builds from literals, so the numbers are identical.
-
-    Trade-off: every row reads the coefficients as struct fields, where the
-    eager path (``fit_many``) bakes them in as literals that codegen folds;
-    measured about 2x slower per row, so the catalogue uses the eager path for
-    its large per-row passes.
-    """
-    from pyspark.sql import types as T
+def chow_test(df: DataFrame, y: str, xs: Sequence[str], regime: str, levels=(0, 1),
+              names: Sequence[str] = ("pre", "post")) -> DataFrame:
+    """Chow F test at known breaks (T9, quirk Q6) as a lazy one-row DataFrame:
+    one fit per regime level against one over the rows of those levels, rows of
+    any other level (or none) left out; regressors without the regime, k counts
+    the intercept, df = ((m - 1) k, n - m k) for m levels."""
     from ..session import ship_package
     ship_package(df.sparkSession)
-    names = list(specs)
-    shapes = [(y, list(xs)) for y, xs, _c in specs.values()]
-    conds = []
-    for y, xs, cond in specs.values():
-        cc = complete_case_cond([y, *xs])
-        conds.append(cc if cond is None else (cond & cc))
-    mom = _moments_frame(df, specs)
-    extra = []
-    for i, (_y, xs) in enumerate(shapes):
-        k = len(xs)
-        extra += [f"f{i}_b{j}" for j in range(k + 1)]
-        extra += [f"f{i}_s_{a}_{b}" for a in range(k) for b in range(k)]
-    coef_schema = T.StructType(mom.schema.fields + [T.StructField(c, T.DoubleType()) for c in extra])
+    xs, levels, names = list(xs), list(levels), list(names)
+    inside = F.col(regime).isin(levels)
+    specs = {"pooled": (y, xs, inside), **{n: (y, xs, inside & (F.col(regime) == F.lit(v))) for n, v in zip(names, levels, strict=True)}}
+    columns = ["statistic", "df1", "df2", "p_value", "rss_pooled", *[f"rss_{n}" for n in names]]
+    n_fits = len(specs)
 
     def solve(batches):
         import pandas as pd
         for pdf in batches:
             for _, row in pdf.iterrows():
-                rec = row.to_dict()
-                for i, (y, xs) in enumerate(shapes):
-                    f = _fit_from_row(row, y, xs, tag=f"f{i}_")
-                    rec[f"f{i}_b0"] = float(f.b0)
-                    for j, b in enumerate(f.beta):
-                        rec[f"f{i}_b{j + 1}"] = float(b)
-                    for a in range(len(xs)):
-                        for b in range(len(xs)):
-                            rec[f"f{i}_s_{a}_{b}"] = float(f.sinv[a, b])
-                yield pd.DataFrame([rec])
-
-    coef = mom.mapInPandas(solve, coef_schema)
-    # The coefficient row enters the plan once, as a projected struct column;
-    # every expression below reads fields of that column.
-    cval = coef.select(F.struct(*[F.col(c) for c in coef.columns])).scalar()
-    c = lambda name: F.col("_c")[name]
-
-    s1, s2, aggs = [], [], []
-    for i, ((y, xs), cond) in enumerate(zip(shapes, conds)):
-        t, k = f"f{i}_", len(xs)
-        fitted = c(f"{t}b0")
-        for j, x in enumerate(xs):
-            fitted = fitted + c(f"{t}b{j + 1}") * F.col(x)
-        xc = [F.col(x) - c(f"{t}m_{j}") for j, x in enumerate(xs)]
-        h = F.lit(1.0) / c(f"{t}n")
-        for a in range(k):
-            for b in range(k):
-                h = h + c(f"{t}s_{a}_{b}") * xc[a] * xc[b]
-        s1 += [F.when(cond, F.col(y) - fitted).alias(f"{t}e"), h.alias(f"{t}h")]
-        s1 += [xc[j].alias(f"{t}z{j + 1}") for j in range(k)]
-        one_h = F.lit(1.0) - F.col(f"{t}h")
-        s2 += [F.col(f"{t}e"), F.try_divide(F.col(f"{t}e") * F.col(f"{t}e"), one_h * one_h).alias(f"{t}w")]
-        s2 += [F.col(f"{t}z{j + 1}") for j in range(k)]
-        aggs.append(F.sum(F.col(f"{t}e") * F.col(f"{t}e")).alias(f"{t}rss"))
-        w = F.col(f"{t}w")
-        z = [None] + [F.col(f"{t}z{j}") for j in range(1, k + 1)]
-        for a in range(k + 1):
-            for b in range(a, k + 1):
-                term = w if a == 0 and b == 0 else (w * z[b] if a == 0 else w * z[a] * z[b])
-                aggs.append(F.sum(term).alias(f"{t}w_{a}_{b}"))
-    base = df.select("*", cval.alias("_c"))          # Catalyst prunes the unused columns
-    aggs.append(F.first("_c").alias("_c"))
-    p2 = base.select(*s1, "_c").select(*s2, "_c").agg(*aggs)
-    both = p2.select(*[x for x in p2.columns if x != "_c"], *[c(col).alias(col) for col in mom.columns])
-
-    def finish_fn(batches):
-        import pandas as pd
-        for pdf in batches:
-            for _, row in pdf.iterrows():
-                out = []
-                for i, (name, (y, xs)) in enumerate(zip(names, shapes)):
-                    f = _fit_from_row(row, y, xs, tag=f"f{i}_")
-                    _apply_pass2(f, row, True, f"f{i}_")
-                    rob = {r["term"]: r for r in f.tidy(robust=True)}
-                    for r in f.tidy():
-                        q = rob[r["term"]]
-                        out.append((str(name), r["term"], float(r["estimate"]), float(r["std_error"]),
-                                    float(q["std_error"]), float(q["statistic"]), float(q["p_value"])))
-                yield pd.DataFrame(out, columns=["model", "term", "estimate", "std_error_normal",
-                                                 "std_error_robust", "statistic_robust", "p_value"])
-
-    return both.mapInPandas(finish_fn, ROBUST_SCHEMA)
-
+                pooled, *own = (_fit_from_row(row, y, xs, tag=f"f{i}_") for i in range(n_fits))
+                m, k, n = len(own), pooled.p, pooled.n
+                rss = sum(f.rss_value() for f in own)
+                df1, df2 = (m - 1) * k, n - m * k
+                f = ((pooled.rss_value() - rss) / df1) / (rss / df2)
+                yield pd.DataFrame([(f, float(df1), float(df2), dist.f_sf(f, df1, df2), pooled.rss_value(),
+                                     *[x.rss_value() for x in own])], columns=columns)
+
+    return _moments_frame(df, specs).mapInPandas(solve, ", ".join(f"{c} double" for c in columns))

@@ -37,10 +37,15 @@ def rollup(df: DataFrame, keys: Sequence[str], sums: Sequence[str] = (),
 def partition_totals(df: DataFrame, keys: Sequence[str], aggs: Mapping[str, Column]) -> DataFrame:
     """Group aggregate kept on every row (W4/A5), as aggregate + join back.
 
-    Equivalent to ``agg.over(Window.partitionBy(keys))`` but skew-safe.
+    Equivalent to ``agg.over(Window.partitionBy(keys))``, NULL keys included
+    (they are a group of their own), but skew-safe.
     """
     totals = df.groupBy(*keys).agg(*[c.alias(n) for n, c in aggs.items()])
-    return df.join(totals, on=list(keys), how="left")
+    right = totals.select(*[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)], *aggs)
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_key{i}"))
+    return df.join(right, same, "left").drop(*[f"_key{i}" for i in range(len(keys))])
 
 
 def count_per_key(df: DataFrame, keys: Sequence[str], name: str = "n") -> DataFrame:
@@ -130,20 +135,13 @@ def regime_diff(df: DataFrame, entity: Sequence[str] | str, regime: str, cols: S
 
 
 def group_row_ranges(df: DataFrame, group: str, first: str = "first_row",
-                     last: str = "last_row", max_local_groups: int = 100_000) -> DataFrame:
+                     last: str = "last_row", partitions: int | None = None) -> DataFrame:
     """First/last 1-based row number of each group in a table ordered by group.
 
-    Only group sizes are aggregated.  The running offset over the per-group
-    count table is one small window when that table has at most
-    ``max_local_groups`` rows (checked), else the distributed prefix sum, so
-    a billion groups never meet in one task.
+    Only group sizes are aggregated; their running sum is the distributed one
+    (LONG throughout), so a billion groups never meet in one task.
     """
-    # One row per group: persisted so the size check and the result share it.
-    counts = df.groupBy(group).agg(F.count(F.lit(1)).alias("_n")).persist()
-    if counts.limit(max_local_groups + 1).count() <= max_local_groups:
-        w = Window.orderBy(group).rowsBetween(Window.unboundedPreceding, 0)
-        ends = counts.withColumn("_end", F.sum("_n").over(w))
-    else:
-        from .prefix import prefix_sum
-        ends = prefix_sum(counts, [group], "_n", out="_end", index="_i").withColumn("_end", F.col("_end").cast("long"))
+    from .prefix import prefix_sum
+    counts = df.groupBy(group).agg(F.count(F.lit(1)).alias("_n"))
+    ends = prefix_sum(counts, [group], "_n", out="_end", index="_i", partitions=partitions)
     return ends.select(group, (F.col("_end") - F.col("_n") + 1).alias(first), F.col("_end").alias(last))

@@ -1,112 +1,98 @@
-"""Distributed ordered cumulative sum (the CUSUM process, W5/T10).
-
-``sum(x).over(Window.orderBy(key))`` has no partition key, so Spark moves
-every row into a single task.  Instead:
-
-  1. ``repartitionByRange`` on the full, unique order key: sampled bounds give
-     balanced partitions even when one date holds a third of the rows;
-  2. within each partition (sorted), a running sum and running count are
-     computed in Arrow batches (``mapInPandas``, state carried across
-     batches), tagged with the partition id;
-  3. the result is checkpointed to the shared checkpoint folder, so the
-     totals and the final rows come from the same partition contents, and an
-     executor loss re-reads instead of re-sampling;
-  4. per-partition totals (one row per partition) become exclusive offsets,
-     broadcast (size = number of partitions, bounded) and added back.
+"""Distributed ordered running sums (the CUSUM process, W5/T10).
+
+``sum(x).over(Window.orderBy(key))`` has no partition key, so Spark moves every
+row into a single task.  Instead rows are dealt to key ranges:
+
+  1. ``range_bucket`` draws a bounded sample of order keys and turns its
+     quantiles into literal bounds, so a row's range is an expression of its
+     key alone: recomputing it after an executor loss gives the same range, and
+     nothing has to be written between the steps.  Ranges cut the whole key, so
+     one hot date spreads over several by the columns that follow it;
+  2. one aggregate per range gives its total and count; their running sums (a
+     row per range) are the offsets, joined back by range;
+  3. a window per range gives the local running sum, inside the JVM.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import cut_lineage, ship_package
+#: Sampled keys per range: bounds are within a few per cent of even.
+SAMPLE_PER_RANGE = 64
 
 
-def prefix_sum(df: DataFrame, order: Sequence[str], value: str, out: str = "cumsum",
-               index: str = "idx", partitions: int | None = None) -> DataFrame:
-    """Add ``out`` = inclusive running sum of ``value`` (NULL counts as 0) and
-    ``index`` = 1-based row position, both in ``order`` (which must be unique).
+def range_bucket(df: DataFrame, order: Sequence[str], partitions: int | None = None) -> Column:
+    """Number of a row's key range, 0 .. partitions - 1, as an expression.
 
-    The checkpoint is not optional: range bounds are sampled per execution, so
-    a recomputed partitioning could disagree with the offsets.
+    The driver receives the bounds alone: partitions - 1 keys.  Keys that are
+    equal share a range; NULLs come first.
     """
-    spark = df.sparkSession
-    ship_package(spark)
-    order = list(order)
+    spark, order = df.sparkSession, list(order)
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-    schema = T.StructType(ranged.schema.fields + [
-        T.StructField("_pid", T.IntegerType(), False),
-        T.StructField("_lsum", T.DoubleType(), True),
-        T.StructField("_lidx", T.LongType(), False)])
-
-    def local(batches):
-        from pyspark import TaskContext
-        pid = TaskContext.get().partitionId()
-        run, cnt = 0.0, 0
-        for b in batches:
-            vals = b[value].astype("float64").fillna(0.0)
-            cs = vals.cumsum() + run
-            b = b.assign(_pid=pid, _lsum=cs.values,
-                         _lidx=pd.RangeIndex(cnt + 1, cnt + 1 + len(b)).values)
-            if len(b):
-                run = float(cs.iloc[-1])
-                cnt += len(b)
-            yield b
-
-    loc = cut_lineage(ranged.mapInPandas(local, schema))
-    # Partition total = running sum at the partition's last row.
-    last = loc.groupBy("_pid").agg(F.max_by("_lsum", "_lidx").alias("_t"), F.max("_lidx").alias("_c"))
-    w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offs = last.select("_pid", F.coalesce(F.sum("_t").over(w), F.lit(0.0)).alias("_off"),
-                       F.coalesce(F.sum("_c").over(w), F.lit(0)).alias("_coff"))
-    res = loc.join(F.broadcast(offs), "_pid")
-    return (res.withColumn(out, F.col("_lsum") + F.col("_off"))
-               .withColumn(index, F.col("_lidx") + F.col("_coff"))
-               .drop("_pid", "_lsum", "_lidx", "_off", "_coff"))
-
-
-def prefix_extremes(df: DataFrame, order: Sequence[str], value: str,
-                    partitions: int | None = None) -> tuple[float, float, int]:
-    """(max, min, n) of the inclusive running sum of ``value`` in ``order``,
-    without materialising the running sum.
-
-    Each range partition reports (total, max and min of its local running
-    sum); the global extremes are max/min over partitions of offset + local
-    extreme, where offset is the sum of the preceding partitions' totals.  One
-    distributed pass (plus the range-bound sampling); the driver receives one
-    row per partition.
-    """
-    spark = df.sparkSession
-    ship_package(spark)
+    keys = df.select(F.struct(*order).alias("k"))
+    rows = keys.count()
+    share = min(1.0, SAMPLE_PER_RANGE * n / rows) if rows else 1.0
+    picked = keys.filter(F.pmod(F.xxhash64("k"), F.lit(1 << 40)) < int(share * (1 << 40))).distinct()
+    ranked = picked.select("k", F.ntile(n).over(Window.orderBy("k")).alias("t"))
+    bounds = [r["k"] for r in ranked.groupBy("t").agg(F.min("k").alias("k")).orderBy("t").collect()][1:]
+    fields = [df.schema[c] for c in order]
+    literals = [F.struct(*[_literal(b[i], f) for i, f in enumerate(fields)]) for b in bounds]
+    key = F.struct(*[F.col(f"`{c}`") for c in order])
+
+    def search(lo: int, hi: int) -> Column:
+        """How many of bounds lo..hi are at or below the key, plus lo."""
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(key >= literals[mid], search(mid + 1, hi)).otherwise(search(lo, mid))
+
+    return search(0, len(literals))
+
+
+def _literal(value, f: T.StructField) -> Column:
+    return F.lit(value).cast(f.dataType).alias(f.name)
+
+
+def prefix_sum(df: DataFrame, order: Sequence[str], value: str, out: str = "cumsum",
+               index: str = "idx", partitions: int | None = None) -> DataFrame:
+    """Add ``out`` = inclusive running sum of ``value`` (NULL counts as 0; whole
+    numbers stay LONG) and ``index`` = 1-based row position, both in ``order``
+    (which must be unique)."""
     order = list(order)
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.select(*order, value).repartitionByRange(n, *order).sortWithinPartitions(*order)
-
-    def local(batches):
-        from pyspark import TaskContext
-        pid = TaskContext.get().partitionId()
-        run, hi, lo, cnt = 0.0, float("-inf"), float("inf"), 0
-        for b in batches:
-            if not len(b):
-                continue
-            cs = b[value].astype("float64").fillna(0.0).cumsum() + run
-            hi, lo = max(hi, float(cs.max())), min(lo, float(cs.min()))
-            run = float(cs.iloc[-1])
-            cnt += len(b)
-        yield pd.DataFrame({"pid": [pid], "total": [run], "hi": [hi], "lo": [lo], "cnt": [cnt]})
-
-    parts = sorted(ranged.mapInPandas(local, "pid int, total double, hi double, lo double, cnt long")
-                   .collect(), key=lambda r: r.pid)
-    off, gmax, gmin, total_n = 0.0, float("-inf"), float("inf"), 0
-    for r in parts:
-        if r.cnt:
-            gmax, gmin = max(gmax, off + r.hi), min(gmin, off + r.lo)
-        off += r.total
-        total_n += r.cnt
-    return gmax, gmin, total_n
+    whole = isinstance(df.schema[value].dataType, T.IntegralType)
+    d = df.withColumn("_b", range_bucket(df, order, partitions)).withColumn(
+        "_x", F.coalesce(F.col(value).cast("long" if whole else "double"), F.lit(0 if whole else 0.0)))
+    offs = _offsets(d.groupBy("_b").agg(F.sum("_x").alias("_t"), F.count(F.lit(1)).alias("_c")))
+    w = Window.partitionBy("_b").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    local = d.withColumns({"_lsum": F.sum("_x").over(w), "_lidx": F.row_number().over(Window.partitionBy("_b").orderBy(*order))})
+    return (local.join(offs, "_b")
+            .withColumns({out: F.col("_lsum") + F.col("_off"), index: F.col("_lidx") + F.col("_coff")})
+            .select(*df.columns, out, index))
+
+
+def _offsets(totals: DataFrame) -> DataFrame:
+    """Exclusive running totals of the ranges: one row per range."""
+    w = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    return F.broadcast(totals.select(
+        "*", F.coalesce(F.sum("_t").over(w), F.lit(0)).alias("_off"), F.coalesce(F.sum("_c").over(w), F.lit(0)).alias("_coff"))
+        .drop("_t", "_c"))
+
+
+def prefix_extremes(df: DataFrame, order: Sequence[str], value: str, partitions: int | None = None) -> DataFrame:
+    """One row (hi, lo, n): extremes of the inclusive running sum of ``value``
+    in ``order``, and the row count.  Each range reports the extremes of its
+    local running sum, to which its offset is added."""
+    order = list(order)
+    d = df.select(*order, value)
+    d = d.withColumn("_b", range_bucket(d, order, partitions)).withColumn("_x", F.coalesce(F.col(value).cast("double"), F.lit(0.0)))
+    w = Window.partitionBy("_b").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    local = (d.withColumn("_s", F.sum("_x").over(w)).groupBy("_b")
+             .agg(F.sum("_x").alias("_t"), F.count(F.lit(1)).alias("_c"), F.max("_s").alias("_hi"), F.min("_s").alias("_lo"),
+                  F.count(F.lit(1)).alias("_n")))
+    offs = _offsets(local)
+    return offs.agg(F.max(F.col("_off") + F.col("_hi")).alias("hi"), F.min(F.col("_off") + F.col("_lo")).alias("lo"),
+                    F.sum("_n").alias("n"))

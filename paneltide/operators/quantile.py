@@ -1,236 +1,58 @@
-"""Exact quantiles without gathering a group into one task.
+"""Exact quantiles as Spark plans.
 
-``percentile``/``median`` build a value->count map per group and merge it in
-one task: for a global or two-group quantile that is half the table in one
-place.  Here each order statistic is found by histogram refinement:
+``percentile`` and ``median`` merge a value -> count map per group in one task:
+for a global or two-group quantile that is half the table in one place.  Here
+rows are dealt to value ranges (bounds from a bounded sample, the same in every
+plan that uses them):
 
-  pass 0   count/min/max per group (one aggregate);
-  pass k   every row inside a target's current value interval is bucketed
-           (B buckets); ``groupBy(target, bucket)`` returns <= B rows per
-           target; the bucket holding the wanted rank becomes the new
-           interval (its own min/max, so it tightens to real values);
-  finish   when the interval holds a single distinct value, or at most
-           ``max_collect`` rows, those rows (bounded) are sorted; small
-           intervals are collected in batches of at most ``max_collect``
-           values in total, however many groups there are.
+1. rows are counted per group and range, and the ranges that hold the wanted
+   ranks follow from running counts;
+2. only rows of those ranges are kept, equal values collapse to one row with a
+   count, and running counts inside a range find the wanted ranks.
 
-Passes are column-pruned scans with partial aggregation: work O(passes * n)
-spread over the cluster, driver memory O(B * targets + max_collect).  A
-third of all rows sharing one value costs nothing extra: that bucket has
-min == max and stops at once.
+Two scans whatever the data; every window runs over one group's ranges or one
+range's distinct values, so a value held by a third of the rows is one row.
+Result: type-7 (linear interpolation) quantiles, NULL and NaN left out.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-
-def _order_stats(df: DataFrame, value: str, gcol: str | None,
-                 wanted: list[tuple[object, int]], stats: dict,
-                 buckets: int, max_collect: int, max_passes: int = 64,
-                 brackets: dict | None = None) -> dict:
-    """Find the r-th smallest (0-based) value for each (group, r) in ``wanted``.
-
-    ``brackets`` maps (group, r) to a value interval known to contain that
-    order statistic; its ``below`` count is then taken in the first pass.
-    """
-    state = {}
-    brackets = brackets or {}
-    for g, r in set(wanted):
-        n, lo, hi = stats[g]
-        full = {"lo": lo, "hi": hi, "below": 0, "n_in": n, "n": n}
-        st = dict(full, full=full, done=lo == hi, value=lo if lo == hi else None)
-        if (g, r) in brackets and lo != hi:
-            blo, bhi = brackets[(g, r)]
-            if blo == bhi:
-                st.update(done=True, value=blo)
-            else:
-                st.update(lo=blo, hi=bhi, below=None, n_in=float("inf"))
-        state[(g, r)] = st
-    v = F.col(value)
-    gc = F.col(gcol) if gcol else F.lit(0)
-    for _ in range(max_passes):
-        active = [(k, s) for k, s in state.items() if not s["done"]]
-        if not active:
-            break
-        small = [(k, s) for k, s in active if s["n_in"] <= max_collect]
-        big = [(k, s) for k, s in active if s["n_in"] > max_collect]
-        if small:
-            # Collect the rows of the small intervals, batched so one collect
-            # never exceeds max_collect values in total (many groups included).
-            batch, size = [], 0
-            batches = []
-            for item in sorted(small, key=lambda it: it[1]["n_in"]):
-                if batch and size + item[1]["n_in"] > max_collect:
-                    batches.append(batch)
-                    batch, size = [], 0
-                batch.append(item)
-                size += item[1]["n_in"]
-            batches.append(batch)
-            for b in batches:
-                conds = None
-                for (g, _r), s in b:
-                    c = (gc == F.lit(g)) & v.between(F.lit(s["lo"]), F.lit(s["hi"]))
-                    conds = c if conds is None else (conds | c)
-                rows = df.filter(conds).select(gc.alias("g"), v.alias("v")).collect()
-                for (g, r), s in b:
-                    vals = sorted(x.v for x in rows if x.g == g and s["lo"] <= x.v <= s["hi"])
-                    s["value"] = vals[r - s["below"]]
-                    s["done"] = True
-        if big:
-            if len(big) <= 64:
-                # Few targets: literal intervals, no join.
-                parts = []
-                for i, ((g, _r), s) in enumerate(big):
-                    lo, hi = s["lo"], s["hi"]
-                    b = F.least(F.floor((v - F.lit(lo)) / F.lit(hi - lo) * F.lit(buckets)),
-                                F.lit(buckets - 1)).cast("int")
-                    in_g = gc == F.lit(g)
-                    part = F.when(in_g & v.between(F.lit(lo), F.lit(hi)),
-                                  F.struct(F.lit(i).alias("t"), b.alias("b")))
-                    if s["below"] is None:           # bracketed: also count values below it
-                        part = part.when(in_g & (v < F.lit(lo)),
-                                         F.struct(F.lit(i).alias("t"), F.lit(-1).alias("b")))
-                    parts.append(part)
-                hits = df.select(F.explode(F.filter(F.array(*parts), lambda x: x.isNotNull())).alias("h"),
-                                 v.alias("v")).select(F.col("h.t").alias("t"), F.col("h.b").alias("b"), "v")
-            else:
-                # Many targets: an interval table joined on the group key
-                # (broadcast after a size check), then the bucket per row.
-                from .joins import broadcast_checked
-                spark = df.sparkSession
-                tab = spark.createDataFrame([(g, i, float(s["lo"]), float(s["hi"]))
-                                             for i, ((g, _r), s) in enumerate(big)],
-                                            "_g " + (df.schema[gcol].dataType.simpleString() if gcol else "int")
-                                            + ", t int, lo double, hi double")
-                j = df.select(gc.alias("_g"), v.alias("v")).join(broadcast_checked(tab), "_g")
-                unknown = [i for i, (_k, st) in enumerate(big) if st["below"] is None]
-                in_rng = F.col("v").between(F.col("lo"), F.col("hi"))
-                below = (F.col("v") < F.col("lo")) & F.col("t").isin(unknown) if unknown else F.lit(False)
-                j = j.filter(in_rng | below)
-                bucket = F.least(F.floor((F.col("v") - F.col("lo")) / (F.col("hi") - F.col("lo"))
-                                         * F.lit(buckets)), F.lit(buckets - 1)).cast("int")
-                hits = j.select("t", F.when(in_rng, bucket).otherwise(F.lit(-1)).alias("b"), "v")
-            hist = (hits.groupBy("t", "b")
-                        .agg(F.count(F.lit(1)).alias("c"), F.min("v").alias("mn"), F.max("v").alias("mx"))
-                        .collect())
-            by_t: dict[int, list] = {}
-            for h in hist:
-                by_t.setdefault(h.t, []).append(h)
-            for i, ((_g, r), s) in enumerate(big):
-                hs = sorted(by_t.get(i, []), key=lambda h: h.b)
-                if s["below"] is None:               # first pass of a bracketed target
-                    s["below"] = sum(h.c for h in hs if h.b < 0)
-                    hs = [h for h in hs if h.b >= 0]
-                acc = s["below"]
-                found = False
-                for h in (hs if r >= acc else []):   # r < below: the bracket missed low
-                    if r < acc + h.c:
-                        s.update(lo=h.mn, hi=h.mx, below=acc, n_in=h.c)
-                        if h.mn == h.mx:
-                            s.update(done=True, value=h.mn)
-                        found = True
-                        break
-                    acc += h.c
-                if not found:                        # bracket missed: restart from the full range
-                    s.update({k: s["full"][k] for k in ("lo", "hi", "below", "n_in")})
-    left = [k for k, s in state.items() if not s["done"]]
-    if left:
-        raise RuntimeError(f"exact quantile search did not converge for {left[:3]} in {max_passes} passes")
-    return {k: s["value"] for k, s in state.items()}
-
-
-def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float],
-                    group: str | None = None, buckets: int = 4096,
-                    max_collect: int = 50_000, stats: dict | None = None,
-                    bracket: bool = True, sketch: dict | None = None) -> dict:
-    """Type-7 (linear interpolation) quantiles, exactly, per group.
-
-    Returns ``{group: [q(p) for p in probs]}`` (group ``None`` when global).
-    NULL and NaN values are ignored.  ``stats`` = ``{group: (n, min, max)}`` (key 0
-    when global) skips pass 0 when the caller already has them.
-    """
-    d = df.filter(F.col(value).isNotNull() & ~F.isnan(F.col(value)))
-    sketch = dict(sketch or {})
-    ps = sketch_probs(probs)
-    if stats is None:
-        # Pass 0: counts and ranges, plus (same scan) the sketch quantiles used
-        # to bracket large groups.
-        gcol = F.col(group) if group else F.lit(None).alias("g")
-        aggs = [F.count(F.lit(1)).alias("n"), F.min(value).alias("lo"), F.max(value).alias("hi")]
-        if bracket:
-            aggs.append(F.percentile_approx(value, ps, SKETCH_ACCURACY).alias("q"))
-        st = d.groupBy(gcol.alias("g")).agg(*aggs).collect()
-        stats = {(r.g if group else 0): (r.n, r.lo, r.hi) for r in st}
-        if bracket:
-            sketch = {(r.g if group else 0): dict(zip(ps, r.q)) for r in st}
-    wanted, plan = [], {}
-    for g, (n, _lo, _hi) in stats.items():
-        for p in probs:
-            h = (n - 1) * p
-            k = int(math.floor(h))
-            k2 = min(k + 1, n - 1)
-            plan[(g, p)] = (k, k2, h - k)
-            wanted += [(g, k), (g, k2)]
-    brackets = _brackets(sketch, probs, plan, stats, max_collect) if sketch else {}
-    found = _order_stats(d, value, group, wanted, stats, buckets, max_collect, brackets=brackets)
-    out = {}
-    for g in stats:
-        qs = []
-        for p in probs:
-            k, k2, frac = plan[(g, p)]
-            a, b = found[(g, k)], found[(g, k2)]
-            qs.append(a + frac * (b - a) if frac else a)
-        out[None if not group else g] = qs
-    return out
-
-
-SKETCH_ACCURACY = 10_000
-
-
-def sketch_probs(probs) -> list[float]:
-    eps = 3.0 / SKETCH_ACCURACY
-    return sorted({min(1.0, max(0.0, q)) for p in probs for q in (p - eps, p + eps)})
-
-
-def sketch_agg(value: str, probs) -> Column:
-    """Aggregate for a caller's own pass: the bracketing sketch quantiles."""
-    return F.percentile_approx(value, sketch_probs(probs), SKETCH_ACCURACY)
-
-
-def _brackets(sketch: dict, probs, plan: dict, stats: dict, max_collect: int) -> dict:
-    """Value intervals around each wanted order statistic of large groups.
-
-    ``percentile_approx`` ranks are within n/accuracy of the truth; the
-    interval [q(p - 3/acc), q(p + 3/acc)] therefore holds ranks k and k + 1
-    once n >= 4 * acc.  Correctness never depends on it: a missed bracket
-    falls back to the full range.
-    """
-    acc = SKETCH_ACCURACY
-    eps = 3.0 / acc
-    out = {}
-    for g, qs in sketch.items():
-        n = stats[g][0]
-        if n <= max_collect or n < 4 * acc:
-            continue
-        for p in probs:
-            k, k2, _f = plan[(g, p)]
-            out[(g, k)] = out[(g, k2)] = (qs[min(1.0, max(0.0, p - eps))], qs[min(1.0, max(0.0, p + eps))])
-    return out
-
-
-def exact_median(df: DataFrame, value: str, group: str | None = None) -> dict:
-    return {g: q[0] for g, q in exact_quantiles(df, value, [0.5], group).items()}
-
-
-def quantile_map_col(group_col: Column, mapping: dict) -> Column:
-    """Literal CASE expression mapping group -> scalar (e.g. group medians)."""
-    out = None
-    for g, val in mapping.items():
-        out = (F.when(group_col == F.lit(g), F.lit(val)) if out is None
-               else out.when(group_col == F.lit(g), F.lit(val)))
-    return out
+from ..functions.expr import present
+from .prefix import range_bucket
+
+
+def quantile_table(df: DataFrame, value: str, probs: Sequence[float], group: str | None = None,
+                   partitions: int | None = None) -> DataFrame:
+    """(group, p, q): one row per group (NULL groups too) and probability."""
+    g = F.col(group) if group else F.lit(0)
+    d = df.select(g.alias("g"), present(value).alias("v")).filter(F.col("v").isNotNull())
+    d = d.withColumn("b", range_bucket(d, ["v"], partitions))
+    ordered = Window.partitionBy("g").orderBy("b")
+    ranges = d.groupBy("g", "b").agg(F.count(F.lit(1)).alias("c"))
+    ranges = ranges.select("g", "b", "c", (F.sum("c").over(ordered) - F.col("c")).alias("below"),
+                           F.sum("c").over(Window.partitionBy("g")).alias("n"))
+    # The two order statistics beside each wanted position h = (n - 1) p.
+    h = (F.col("n") - 1) * F.col("p")
+    wanted = (ranges.select("*", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("p"))
+              .withColumns({"k": F.floor(h).cast("long"), "frac": h - F.floor(h)})
+              .select("*", F.explode(F.array(F.struct(F.lit(0).alias("side"), F.col("k").alias("rank")),
+                                             F.struct(F.lit(1).alias("side"), F.least(F.col("k") + 1, F.col("n") - 1).alias("rank")))).alias("w"))
+              .select("g", "b", "below", "p", "frac", "c", "w.side", "w.rank")
+              .filter((F.col("rank") >= F.col("below")) & (F.col("rank") < F.col("below") + F.col("c"))).drop("c"))
+    picked = wanted.select(F.col("g").alias("_g"), F.col("b").alias("_b")).distinct()
+    near = d.join(picked, F.col("g").eqNullSafe(F.col("_g")) & (F.col("b") == F.col("_b")), "left_semi")
+    values = near.groupBy("g", "b", "v").agg(F.count(F.lit(1)).alias("c"))
+    values = values.withColumn("upto", F.sum("c").over(Window.partitionBy("g", "b").orderBy("v")))
+    w, x = wanted.alias("w"), values.alias("x")
+    found = w.join(x, F.col("w.g").eqNullSafe(F.col("x.g")) & (F.col("w.b") == F.col("x.b"))).filter(
+        (F.col("rank") - F.col("below") < F.col("upto")) & (F.col("rank") - F.col("below") >= F.col("upto") - F.col("x.c")))
+    both = found.groupBy(F.col("w.g").alias("g"), "p").agg(
+        F.max("frac").alias("frac"), F.max(F.when(F.col("side") == 0, F.col("v"))).alias("lo"),
+        F.max(F.when(F.col("side") == 1, F.col("v"))).alias("hi"))
+    out = both.select("g", "p", (F.col("lo") + F.col("frac") * (F.col("hi") - F.col("lo"))).alias("q"))
+    return out if group else out.drop("g")

@@ -13,15 +13,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import dist
+from ..functions.expr import mean_cents, present
 from ..session import ship_package
-from .quantile import exact_median, quantile_map_col
+from .quantile import quantile_table
 
 
-def _mean(c: str, exact_cents: bool) -> Column:
-    if exact_cents:
-        from ..functions.expr import mean_cents
-        return mean_cents(c)
-    return F.avg(c)
+def _mean(c: Column, exact_cents: bool) -> Column:
+    return mean_cents(c) if exact_cents else F.avg(c)
 
 
 def group_moments(df: DataFrame, group: str, cols: Sequence[str],
@@ -32,8 +30,8 @@ def group_moments(df: DataFrame, group: str, cols: Sequence[str],
     folded into one row and exploded to one row per variable.
     """
     g = df.groupBy(group).agg(*[x for c in cols for x in (
-        F.count(F.col(c)).alias(f"n__{c}"), _mean(c, exact_cents).alias(f"m__{c}"),
-        F.var_samp(c).alias(f"v__{c}"))])
+        F.count(present(c)).alias(f"n__{c}"), _mean(present(c), exact_cents).alias(f"m__{c}"),
+        F.var_samp(present(c)).alias(f"v__{c}"))])
     g0, g1 = levels
     pick = lambda s, lvl, c: F.max(F.when(F.col(group) == F.lit(lvl), F.col(f"{s}__{c}")))
     folded = g.agg(*[pick(s, lvl, c).alias(f"{s}{i}__{c}")
@@ -64,16 +62,12 @@ def welch_t(df: DataFrame, group: str, cols: Sequence[str], levels=(0, 1),
 
 
 def pearson_tests(df: DataFrame, target: str, cols: Sequence[str]) -> DataFrame:
-    """Pearson r of ``target`` with each column, t = r sqrt((n-2)/(1-r^2)).
-
-    ``corr`` skips pairs with a NULL but not NaN: NaN is mapped to NULL first.
-    """
+    """Pearson r of ``target`` with each column, t = r sqrt((n-2)/(1-r^2))."""
     ship_package(df.sparkSession)
-    clean = lambda c: F.when(~F.isnan(F.col(c)), F.col(c))
     aggs = []
     for i, c in enumerate(cols):
-        aggs += [F.corr(clean(target), clean(c)).alias(f"r{i}"),
-                 F.regr_count(clean(target), clean(c)).alias(f"n{i}")]
+        aggs += [F.corr(present(target), present(c)).alias(f"r{i}"),
+                 F.regr_count(present(target), present(c)).alias(f"n{i}")]
     one = df.agg(*aggs)
     long = one.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("variable"), F.col(f"r{i}").alias("estimate"), F.col(f"n{i}").alias("n"))
@@ -88,7 +82,7 @@ def variance_f_test(df: DataFrame, value: Column, group: str, levels=(0, 1)) ->
     """F test of equal variances, var(g0)/var(g1), two-sided."""
     ship_package(df.sparkSession)
     g0, g1 = levels
-    v = value
+    v = present(value)
     one = df.agg(F.var_samp(F.when(F.col(group) == g0, v)).alias("v0"),
                  F.count(F.when(F.col(group) == g0, v)).alias("n0"),
                  F.var_samp(F.when(F.col(group) == g1, v)).alias("v1"),
@@ -103,22 +97,21 @@ def variance_f_test(df: DataFrame, value: Column, group: str, levels=(0, 1)) ->
 def levene_median(df: DataFrame, value: Column, group: str) -> DataFrame:
     """Brown-Forsythe/Levene test centred on exact group medians.
 
-    Medians come from the distributed exact quantile (no group gathered into
-    a task); the ANOVA on |y - median| is one grouped aggregation.
+    Rows without a group or a value are left out.  The medians are a table of
+    one row per group that joins the rows (broadcast where AQE measures it
+    small); the ANOVA on |y - median| is one grouped aggregation.
     """
     ship_package(df.sparkSession)
-    d = df.select(F.col(group).alias("g"), value.alias("v")).filter(F.col("v").isNotNull())
-    med = exact_median(d, "v", "g")
-    z = F.abs(F.col("v") - quantile_map_col(F.col("g"), med))
-    per = d.groupBy("g").agg(F.count(F.lit(1)).alias("n"), F.avg(z).alias("zm"),
-                             F.var_samp(z).alias("zv"))
-    k = len(med)
-    tot = per.agg(F.sum("n").alias("N"),
+    d = df.select(F.col(group).alias("g"), present(value).alias("v")).filter(F.col("g").isNotNull() & F.col("v").isNotNull())
+    med = quantile_table(d, "v", [0.5], "g").select("g", F.col("q").alias("med"))
+    z = F.abs(F.col("v") - F.col("med"))
+    per = d.join(med, "g").groupBy("g").agg(F.count(F.lit(1)).alias("n"), F.avg(z).alias("zm"), F.var_samp(z).alias("zv"))
+    k = F.col("k")
+    tot = per.agg(F.sum("n").alias("N"), F.count(F.lit(1)).alias("k"),
                   (F.sum(F.col("n") * F.col("zm")) / F.sum("n")).alias("zbar"),
                   F.collect_list(F.struct("n", "zm", "zv")).alias("grp"))
     between = F.aggregate("grp", F.lit(0.0), lambda acc, s: acc + s["n"] * (s["zm"] - F.col("zbar")) * (s["zm"] - F.col("zbar")))
     within = F.aggregate("grp", F.lit(0.0), lambda acc, s: acc + (s["n"] - 1) * s["zv"])
-    out = tot.select(F.try_divide(between / F.lit(k - 1),
-                                  F.try_divide(within, F.col("N") - F.lit(k))).alias("statistic"),
-                     F.lit(k - 1).alias("df1"), (F.col("N") - F.lit(k)).alias("df2"))
+    out = tot.select(F.try_divide(F.try_divide(between, k - 1), F.try_divide(within, F.col("N") - k)).alias("statistic"),
+                     (k - 1).cast("int").alias("df1"), (F.col("N") - k).alias("df2"))
     return out.withColumn("p_value", dist.f_sf_col(F.col("statistic"), F.col("df1"), F.col("df2")))

@@ -222,9 +222,11 @@ FROM y2, s"""
 _DIFF_COLS = ["crime_rate", "officers"] + TYPE_COLS
 ORACLE["regime_diff"] = f"""
 WITH {PANEL_CTE},
-p AS (SELECT *, CASE WHEN year >= 1998 THEN 1 ELSE 0 END AS post FROM panel WHERE year IN (1997, 2000))
+p AS (SELECT county, CASE WHEN year >= 1998 THEN 1 ELSE 0 END AS post,
+  {", ".join(f"list_sum(list(CAST({c} AS DOUBLE) ORDER BY year)) / count(*) AS {c}" for c in _DIFF_COLS)}
+  FROM panel GROUP BY ALL)
 SELECT county,
-  {", ".join(f"max(CASE WHEN post = 1 THEN {c} END) - max(CASE WHEN post = 0 THEN {c} END) AS {c}_diff" for c in _DIFF_COLS)}
+  {", ".join(f"round(max(CASE WHEN post = 1 THEN {c} END) - max(CASE WHEN post = 0 THEN {c} END), 8) AS {c}_diff" for c in _DIFF_COLS)}
 FROM p GROUP BY county
 HAVING count(*) FILTER (WHERE post = 1) = 1 AND count(*) FILTER (WHERE post = 0) = 1"""
 

@@ -100,6 +100,14 @@ def with_post(df: DataFrame, year: str = "year") -> DataFrame:
     return df.withColumn("post", F.when(F.col(year) >= POST_YEAR, 1).otherwise(0))
 
 
+def regime_means(df: DataFrame, cols, keys=("county", "post")) -> DataFrame:
+    """One row per county and regime: the mean of each measure over the
+    regime's years, summed in year order so that the last bits are fixed."""
+    lists = [F.array_sort(F.collect_list(F.struct("year", F.col(c).cast("double").alias("v")))).alias(c) for c in cols]
+    mean = lambda c: F.try_divide(F.aggregate(c, F.lit(0.0), lambda acc, x: acc + x["v"]), F.size(c))
+    return df.groupBy(*keys).agg(*lists).select(*keys, *[mean(c).alias(c) for c in cols])
+
+
 def orders_by_county_year(t: Tables, where=None) -> DataFrame:
     """Orders pre-aggregated to (customer, year) before the customer join,
     then rolled to (county, year): the join sees one row per customer-year

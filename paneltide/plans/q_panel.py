@@ -9,6 +9,7 @@ from ..functions.expr import cents, flag, flag_in, mean_cents, month_start, year
 from ..operators import panel as ops
 from ..operators.joins import scalar, suffix_join
 from ..operators.reshape import pivot_wide, unpivot
+from ..session import cut_lineage
 from . import panel as P
 from .catalogue import finish, query, tables
 
@@ -18,8 +19,6 @@ RESERVATION_COUNTIES = ["NATION_1", "NATION_4", "NATION_6", "NATION_9",
                         "NATION_13", "NATION_16", "NATION_19", "NATION_22"]
 METRO_COUNTIES = ["NATION_2", "NATION_5"]
 
-# Years compared by the regime difference (one year per regime).
-PRE_YEAR, POST_YEAR_DIFF = 1997, 2000
 # Years blanked before interpolation (interior gaps and one leading edge).
 GAP_YEARS = [1995, 1996, 2000]
 
@@ -64,8 +63,9 @@ def set_flags(spark, sf_dir):
 def left_join_fan_out(spark, sf_dir):
     """J1 (agency, year) fan-in, J2 many-to-many mapping, J3 (geo, year).
 
-    One orders scan: the agency x month aggregate (with exact cents sums) feeds
-    the monthly rows, the yearly "officers" and the geo-year counts.
+    One orders scan: the agency x month aggregate (with exact cents sums) is
+    checkpointed and feeds the monthly rows, the yearly "officers" and the
+    geo-year counts.
     """
     t = tables(spark, sf_dir)
     o = t.orders.select(F.col("o_custkey").alias("agency"), "o_orderdate", "o_totalprice")
@@ -74,6 +74,7 @@ def left_join_fan_out(spark, sf_dir):
                      .agg(F.count(F.lit(1)).alias("n_orders"),
                           F.sum(cents("o_totalprice")).alias("_cents"),
                           F.count("o_totalprice").alias("_nprice")))
+    monthly_full = cut_lineage(monthly_full)
     monthly = monthly_full.select("agency", "month", "year", "n_orders")
     yearly = (monthly_full.groupBy("agency", "year")
               .agg(F.try_divide(F.sum("_cents"), F.sum("_nprice") * F.lit(100.0)).alias("officers")))
@@ -90,8 +91,7 @@ def left_join_fan_out(spark, sf_dir):
                   .agg(F.sum("n_orders").alias("geo_orders")))
     return (monthly.join(yearly, ["agency", "year"], "left")
                    .join(mapping, "agency", "left")
-                   # (geo, year) rows: nations x years, bounded by the fixed nation table
-                   .join(F.broadcast(geo_yearly), ["geo", "year"], "left")
+                   .join(geo_yearly, ["geo", "year"], "left")
                    .select("agency", "month", "year", "n_orders", "officers", "geo", "kind", "geo_orders"))
 
 
@@ -202,10 +202,11 @@ def scale_factor_series(spark, sf_dir):
 
 @query("regime_diff")
 def regime_diff(spark, sf_dir):
-    """A10: post-minus-pre difference per county, one year per regime."""
-    p = P.panel_yearly(tables(spark, sf_dir), years=[PRE_YEAR, POST_YEAR_DIFF])
-    p = P.with_post(p)
-    return ops.regime_diff(p, "county", "post", ["crime_rate", "officers", *P.TYPE_COLS])
+    """A10: post-minus-pre difference per county of the mean over each
+    regime's years (all years of the table)."""
+    cols = ["crime_rate", "officers", *P.TYPE_COLS]
+    p = P.regime_means(P.with_post(P.panel_yearly(tables(spark, sf_dir))), cols)
+    return finish(ops.regime_diff(p, "county", "post", cols), 8)
 
 
 @query("group_row_ranges")

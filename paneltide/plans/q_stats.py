@@ -116,7 +116,7 @@ def model_table(spark, sf_dir):
 @query("chow_test")
 def chow_test(spark, sf_dir):
     """Chow F test at the regime break (lazy: one aggregate)."""
-    out = L.chow_test_lazy(model_frame(spark, sf_dir), Y, XS, "post")
+    out = L.chow_test(model_frame(spark, sf_dir), Y, XS, "post")
     return finish(out, 6, overrides={"rss_pooled": -4, "rss_pre": -4, "rss_post": -4})
 
 
@@ -176,7 +176,7 @@ def facet_lm_band(spark, sf_dir):
 def kde_density(spark, sf_dir):
     """Gaussian KDE of event values, 512 points, nrd0 bandwidth."""
     ev = tables(spark, sf_dir).events
-    return finish(K.kde(ev, "value"), 12, overrides={"bw": 9}, exact=("x",))
+    return finish(K.kde(ev, "value"), 9, exact=("x",))
 
 
 @query("residual_fitted")
@@ -198,6 +198,6 @@ def residual_fitted(spark, sf_dir):
 @query("diff_regression")
 def diff_regression(spark, sf_dir):
     """First-difference regression on the per-county regime differences."""
-    p = P.panel_yearly(tables(spark, sf_dir), years=[1997, 2000])
-    diff = ops.regime_diff(P.with_post(p), "county", "post", ["crime_rate", "officers", "urgent"])
+    p = P.regime_means(P.with_post(P.panel_yearly(tables(spark, sf_dir))), ["crime_rate", "officers", "urgent"])
+    diff = ops.regime_diff(p, "county", "post", ["crime_rate", "officers", "urgent"])
     return finish(L.ols_tidy_lazy(diff, "crime_rate_diff", ["officers_diff", "urgent_diff"]), 6)

@@ -25,7 +25,7 @@ from ..operators import kde as K
 from ..operators import linmodel as L
 from ..operators import panel as ops
 from ..operators import stats as S
-from ..operators.joins import broadcast_checked, natural_join, scalar, suffix_join
+from ..operators.joins import natural_join, scalar, suffix_join
 from ..sources import census as C
 from ..sources import landing as LD
 from ..sources.sinks import write_stage
@@ -68,12 +68,12 @@ def merge(crime: DataFrame, ct: CensusTables, dedup_order: Sequence[str] = ("ori
     """Merged monthly table: zero-fill, mapping fan-out, both surveys with
     suffixes, dedup per (series, month) in an explicit order (quirk Q4)."""
     c = crime.fillna(0, subset=TYPES) if zero_fill else crime          # F6 (Q1)
-    # Mapping (one row per agency-county) and survey panels (county x year) are
-    # dimensions: broadcast after a size check, so a county holding a third of
-    # the monthly rows never lands in one join task.
-    c = c.join(broadcast_checked(ct.mapping), "ori", "left")            # J2
-    c = c.join(broadcast_checked(ct.acs1), ["GEOID", "year"], "left")   # J3
-    c = suffix_join(c, broadcast_checked(ct.acs5), ["GEOID", "year"], "left", ("_acs1", "_acs5"))  # J4
+    # Mapping and survey panels are dimensions: adaptive execution broadcasts
+    # them by their measured bytes, and splits a county that holds a third of
+    # the monthly rows where they are too large for that.
+    c = c.join(ct.mapping, "ori", "left")                               # J2
+    c = c.join(ct.acs1, ["GEOID", "year"], "left")                      # J3
+    c = suffix_join(c, ct.acs5, ["GEOID", "year"], "left", ("_acs1", "_acs5"))  # J4
     c = ops.dedup_keep_first(c, ["series", "month"], list(dedup_order))  # A8
     return c.dropna(subset=["homicides"])                               # F7 (Q3)
 

@@ -95,6 +95,12 @@ def test_count_per_key_and_partition_totals(spark):
     assert out == [("a", 1, 2), ("a", 2, 2), ("b", 5, 1)]
 
 
+def test_null_keys_keep_their_totals(spark):
+    df = spark.createDataFrame([(None, 1, 1), (None, 1, 2), ("a", None, 3)], "k string, j int, v int")
+    out = {r.v: r.n for r in ops.count_per_key(df, ["k", "j"]).collect()}
+    assert out == {1: 2, 2: 2, 3: 1} and ops.count_per_key(df, ["k", "j"]).columns == ["k", "j", "v", "n"]
+
+
 def test_lag_within(spark):
     df = spark.createDataFrame([("a", 2, 2.0), ("a", 1, 1.0), ("b", 1, 9.0)], "c string, y int, x double")
     out = {(r.c, r.y): r.x_lag1 for r in ops.lag_within(df, "c", "y", ["x"]).collect()}
@@ -124,7 +130,7 @@ def test_dedup_keep_first_nulls_last(spark):
 
 def test_group_row_ranges_distributed_path(spark):
     df = spark.createDataFrame([("a", 1), ("a", 2), ("b", 1), ("c", 1), ("c", 2), ("c", 3)], "g string, y int")
-    out = rows(ops.group_row_ranges(df, "g", max_local_groups=1), "g")
+    out = rows(ops.group_row_ranges(df, "g", partitions=3), "g")
     assert out == [("a", 1, 2), ("b", 3, 3), ("c", 4, 6)]
 
 
@@ -145,16 +151,6 @@ def test_hot_key_third_of_rows(spark):
     assert ps.idx == n and ps.cumsum == sum(float(i % 17) for i in range(n))
 
 
-def test_broadcast_checked_both_sides(spark):
-    from paneltide.operators.joins import broadcast_checked
-    small = spark.range(5)
-    big = spark.range(50)
-    assert "ResolvedHint" in small.hint("broadcast")._jdf.queryExecution().analyzed().toString()
-    hinted = broadcast_checked(small, max_rows=10)._jdf.queryExecution().analyzed().toString()
-    plain = broadcast_checked(big, max_rows=10)._jdf.queryExecution().analyzed().toString()
-    assert "broadcast" in hinted.lower() and "broadcast" not in plain.lower()
-
-
 def test_natural_join_requires_common_columns(spark):
     a = spark.createDataFrame([(1,)], "x int")
     b = spark.createDataFrame([(1,)], "y int")
