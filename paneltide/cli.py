@@ -52,7 +52,9 @@ def main(argv=None) -> None:
         run_merge(spark, args.landing, args.census, out_dir=args.out, interpolate=args.interpolate)
     elif args.cmd == "analyze":
         from .plans.stages import analysis
-        res = analysis(read_stage(spark, f"{args.stages.rstrip('/')}/acs_5_yearly_data"))
+        panels = [read_stage(spark, f"{args.stages.rstrip('/')}/{name}")
+                  for name in ("acs_5_yearly_data", "acs_1_yearly_data", "crime_data_merged")]
+        res = analysis(*panels)
         for name, df in res.items():
             write_stage(df, f"{args.out.rstrip('/')}/{name}")
     elif args.cmd == "stream-ingest":

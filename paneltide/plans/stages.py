@@ -3,10 +3,10 @@
 Entry 1  crime ingest      landing CSVs -> crime_data            (sources.landing)
 Entry 2  census + merge    extracts -> mapping/acs tables -> merged crime table
                            -> one shared yearly rollup -> map / acs1 / acs5 panels
-Entry 3  analysis          tests and models on the acs5 panel
+Entry 3  analysis          tests and models on the panels and the merged table
 
-Plan notes: the yearly rollup is computed once and shared by the three
-branches (persisted); dimension tables (mapping, survey panels, attributes)
+Plan notes: stages are written once and read back, the yearly rollup is
+checkpointed for the three branches that read it; dimension tables (mapping, survey panels, attributes)
 are joined without hints so AQE picks broadcast joins from measured sizes;
 windows are partitioned by county (a county's years, never the table).
 """
@@ -16,11 +16,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.expr import flag, flag_in
+from ..functions import dist
+from ..functions.expr import flag, flag_in, year_start
 from ..operators import kde as K
 from ..operators import linmodel as L
 from ..operators import panel as ops
@@ -28,7 +29,8 @@ from ..operators import stats as S
 from ..operators.joins import natural_join, scalar, suffix_join
 from ..sources import census as C
 from ..sources import landing as LD
-from ..sources.sinks import write_stage
+from ..session import cut_lineage
+from ..sources.sinks import read_stage, write_stage
 
 TYPES = LD.CRIME_TYPES
 POST_YEAR = 2020
@@ -47,6 +49,7 @@ class CensusTables:
     mapping: DataFrame      # ori, GEOID, county, type, area_m2, attributes...
     acs1: DataFrame         # GEOID, year, survey variables (decennial year appended)
     acs5: DataFrame         # GEOID, year, survey variables
+    geometry: DataFrame     # GEOID, geometry (ring vertices)
 
 
 def census_tables(spark: SparkSession, census_dir: str) -> CensusTables:
@@ -60,7 +63,7 @@ def census_tables(spark: SparkSession, census_dir: str) -> CensusTables:
     area = C.county_area(spark, f"{d}/rings")                  # geometry dropped: area only
     attrs = C.county_attributes(spark, f"{d}/attributes")
     mapping = natural_join(natural_join(mapping, area), attrs)  # J5 twice
-    return CensusTables(mapping, acs1, acs5)
+    return CensusTables(mapping, acs1, acs5, C.county_geometry(spark, f"{d}/rings"))
 
 
 def merge(crime: DataFrame, ct: CensusTables, dedup_order: Sequence[str] = ("ori", "GEOID"),
@@ -96,6 +99,8 @@ def derived(df: DataFrame, s: str) -> DataFrame:
     """Derived census measures for one survey suffix."""
     c = lambda n: F.col(n + s)
     pct = lambda num, den: F.try_divide(num, den) * F.lit(100.0)
+    # The levels that count as high school or more, and the
+    # family situations that count as a missing parent.
     edu = [c(n) for n in ("edu_hs_grad", "edu_some_college_lt1yr", "edu_some_college_gt1yr",
                           "edu_assoc_degree", "edu_bachelors", "edu_masters",
                           "edu_professional_degree", "edu_doctorate")]
@@ -111,12 +116,14 @@ def derived(df: DataFrame, s: str) -> DataFrame:
     })
 
 
-def map_yearly(rolled: DataFrame) -> DataFrame:
-    """Map branch: 5-year complete rolling means, rates on acs5 population, flags."""
+def map_yearly(rolled: DataFrame, geometry: DataFrame) -> DataFrame:
+    """Map branch: 5-year complete rolling means, rates on acs5 population,
+    flags, and each county's rings (G3)."""
     r = ops.rolling_complete(rolled, "county", "year", TYPES, n=5)
     r = _rates(r, "total_population_acs5")
-    return r.withColumns({"top_cities": flag_in("county", TOP_CITY_COUNTIES),
-                          "reservations": flag_in("county", RESERVATION_COUNTIES)})
+    r = r.withColumns({"top_cities": flag_in("county", TOP_CITY_COUNTIES),
+                       "reservations": flag_in("county", RESERVATION_COUNTIES)})
+    return r.join(geometry, "GEOID", "left")
 
 
 def acs1_yearly(rolled: DataFrame, acs1: DataFrame, interpolate: Sequence[str] = (),
@@ -151,25 +158,38 @@ def acs5_yearly(rolled: DataFrame) -> DataFrame:
     return r.drop(*[c for c in r.columns if c.endswith("_acs1")])
 
 
-def run_merge(spark: SparkSession, landing_dir: str, census_dir: str, out_dir: str | None = None,
+def run_merge(spark: SparkSession, landing_dir: str, census_dir: str, out_dir: str,
               interpolate: Sequence[str] = ()) -> dict[str, DataFrame]:
-    """Entries 1 and 2 end to end; optionally writes the four parquet stages."""
-    crime = LD.crime_data(spark, landing_dir)
+    """Entries 1 and 2 end to end: nine parquet stages below ``out_dir``.
+
+    Every stage is written once and later steps read it back: the landing files
+    are parsed once, and the yearly rollup reads the merged stage.  Monthly and
+    yearly stages are partitioned by year, so year filters prune files.
+    """
+    def stage(name: str, df: DataFrame, by_year: bool = True) -> DataFrame:
+        path = f"{out_dir.rstrip('/')}/{name}"
+        write_stage(df, path, partition_by=["year"] if by_year else None)
+        return read_stage(spark, path).select(*df.columns)
+
+    monthly = stage("crime_data", LD.crime_data(spark, landing_dir))
     ct = census_tables(spark, census_dir)
-    merged = merge(crime, ct)
-    rolled = yearly_rollup(merged).persist(StorageLevel.MEMORY_AND_DISK)
-    out = {"crime_data_merged": merged, "mapping_yearly_data": map_yearly(rolled),
-           "acs_1_yearly_data": acs1_yearly(rolled, ct.acs1, interpolate),
-           "acs_5_yearly_data": acs5_yearly(rolled)}
-    if out_dir:
-        # Stages are partitioned by year: later year/regime filters prune files.
-        for name, df in out.items():
-            write_stage(df, f"{out_dir.rstrip('/')}/{name}", partition_by=["year"])
+    names = spark.createDataFrame(C.SURVEY_VARIABLES, "name string, code string")
+    out = {"crime_data": monthly, "vars": stage("vars", names, by_year=False),
+           "mapping": stage("mapping", ct.mapping, by_year=False),
+           "acs_1yr_ts": stage("acs_1yr_ts", ct.acs1), "acs_5yr_ts": stage("acs_5yr_ts", ct.acs5)}
+    ct = CensusTables(out["mapping"], out["acs_1yr_ts"], out["acs_5yr_ts"], ct.geometry)
+    merged = out["crime_data_merged"] = stage("crime_data_merged", merge(monthly, ct))
+    rolled = cut_lineage(yearly_rollup(merged))           # a row per county and year, read by three branches
+    out["mapping_yearly_data"] = stage("mapping_yearly_data", map_yearly(rolled, ct.geometry))
+    out["acs_1_yearly_data"] = stage("acs_1_yearly_data", acs1_yearly(rolled, ct.acs1, interpolate))
+    out["acs_5_yearly_data"] = stage("acs_5_yearly_data", acs5_yearly(rolled))
     return out
 
 
 # ---- Entry 3: analysis on the 5-year panel
 
+# The variables of the models, the descriptive tables and the
+# difference model, in the order of their tables.
 MODEL_VARS = ["log_officers", "median_household_income_acs5", "pct_highschool_or_greater",
               "log_pct_non_white", "log_persons_per_m2", "reservations", "top_cities"]
 DESCRIBE_VARS = ["crime_rate", "officers", "median_household_income_acs5", "pct_lessthan_5kincome",
@@ -187,45 +207,92 @@ def with_logs(acs5: DataFrame) -> DataFrame:
                              "log_crime_rate": F.ln("crime_rate")})
 
 
-def analysis(acs5: DataFrame) -> dict:
-    """Entry 3: every test and model of the notebook, on a 5-year panel."""
+def time_series(merged: DataFrame) -> DataFrame:
+    """Monthly and yearly homicides (A1/A2/U2): the yearly rows count each
+    county's population once."""
+    monthly = merged.groupBy("month").agg(F.sum("homicides").alias("homicides")).withColumn("type", F.lit("Monthly"))
+    county = merged.groupBy("year", "county").agg(F.max("total_population_acs1").alias("population"),
+                                                  F.sum("homicides").alias("homicides"))
+    yearly = (county.groupBy("year").agg(F.sum("population").alias("population"), F.sum("homicides").alias("homicides"))
+              .select(year_start("year").alias("month"), "homicides", "population", F.lit("Yearly").alias("type")))
+    return monthly.unionByName(yearly, allowMissingColumns=True)
+
+
+def yearly_rates(acs1: DataFrame) -> DataFrame:
+    """Yearly population, totals and rates of the 1-year panel (A3) with the
+    scale factor between the two series (A9); one row per year."""
+    y = acs1.groupBy("year").agg(F.sum("total_population_acs1").alias("population"), *[F.sum(t).alias(t) for t in TYPES])
+    y = _rates(y, "population").withColumnRenamed("homicide_rate", "homicides_pc")
+    whole = Window.partitionBy()
+    factor = F.try_divide(F.max("crime_rate").over(whole), F.max("population").over(whole))
+    return (y.withColumn("scale_factor", factor)
+            .withColumn("crime_rate_scaled", F.try_divide(F.col("crime_rate"), F.col("scale_factor"))))
+
+
+def _by_p(df: DataFrame) -> DataFrame:
+    return df.orderBy(F.col("p_value").asc_nulls_last(), "variable")
+
+
+def _numbers(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A driver-made table of a few model numbers."""
+    plain = [tuple(float(v) if isinstance(v, np.floating) else v for v in r) for r in rows]
+    return spark.createDataFrame(plain, schema)
+
+
+def analysis(acs5: DataFrame, acs1: DataFrame, merged: DataFrame) -> dict[str, DataFrame]:
+    """Entry 3: every table, test and model of the notebook, on the 5-year
+    panel, the 1-year panel and the merged monthly table."""
     spark = acs5.sparkSession
     d = with_logs(acs5).withColumn("post_covid", F.col("post_covid").cast("int"))
-    res: dict = {}
-    cols = [c for c in DESCRIBE_VARS if c in d.columns]
-    res["welch"] = S.welch_t(d, "post_covid", cols)
-    res["pearson"] = S.pearson_tests(d, "crime_rate", [c for c in cols if c != "crime_rate"])
-    fits = L.fit_many(d, {"Pre-COVID": ("crime_rate", MODEL_VARS, F.col("post_covid") == 0),
-                          "Post-COVID": ("crime_rate", MODEL_VARS, F.col("post_covid") == 1),
-                          "Full Model": ("crime_rate", MODEL_VARS + ["post_covid"], None)})
+    needed = {*DESCRIBE_VARS, *MODEL_VARS, *DIFF_VARS, "county", "year"}
+    if missing := sorted(needed - set(d.columns)):
+        raise ValueError(f"the 5-year panel lacks {missing}")
+    res: dict[str, DataFrame] = {"time_series": time_series(merged), "yearly_rates": yearly_rates(acs1)}
+
+    welch = S.welch_t(d, "post_covid", DESCRIBE_VARS)
+    res["welch"] = welch
+    res["descriptive"] = _by_p(welch.select(
+        "variable", F.col("m0").alias("mean_pre"), F.col("m1").alias("mean_post"),
+        F.sqrt("v0").alias("sd_pre"), F.sqrt("v1").alias("sd_post"), "p_value"))
+    others = [c for c in DESCRIBE_VARS if c != "crime_rate"]
+    res["pearson"] = _by_p(S.pearson_tests(d, "crime_rate", others))
+    res["facets"] = L.facet_lines(d, "crime_rate", others)
+
+    specs = {"Pre-COVID": ("crime_rate", MODEL_VARS, F.col("post_covid") == 0),
+             "Post-COVID": ("crime_rate", MODEL_VARS, F.col("post_covid") == 1),
+             "Full Model": ("crime_rate", MODEL_VARS + ["post_covid"], None)}
+    fits = L.fit_many(d, specs)
     rows = []
-    for m, f in fits.items():
+    for i, (m, f) in enumerate(fits.items()):
         robust = {r["term"]: r for r in f.tidy(robust=True)}
-        for r in f.tidy():
-            rows.append((m, r["term"], float(r["estimate"]), float(r["std_error"]),
-                         float(robust[r["term"]]["std_error"]), float(robust[r["term"]]["p_value"])))
-    res["models"] = spark.createDataFrame(rows, "model string, term string, estimate double, "
-                                                "std_error_normal double, std_error_robust double, p_value double")
-    res["metrics"] = spark.createDataFrame([(m, float(f.r2()), float(f.adj_r2()), float(f.rmse()))
-                                            for m, f in fits.items()],
-                                           "model string, r2 double, adj_r2 double, rmse double")
-    chow = L.chow_test(d, "crime_rate", MODEL_VARS, "post_covid")
-    res["chow"] = spark.createDataFrame(
-        [(float(chow["statistic"]), float(chow["df1"]), float(chow["df2"]), float(chow["p_value"]))],
-        "statistic double, df1 double, df2 double, p_value double")
-    res["cusum"] = L.cusum_process(d, fits["Full Model"], ["post_covid", "county", "year"])
-    sup = L.cusum_sup(d, fits["Full Model"], ["post_covid", "county", "year"])
-    from ..functions import dist
-    res["cusum_test"] = spark.createDataFrame([(float(sup), float(dist.bridge_sup_sf(sup)))],
-                                              "statistic double, p_value double")
+        rows += [(i, m, r["term"], r["estimate"], r["std_error"], robust[r["term"]]["std_error"],
+                  robust[r["term"]]["p_value"]) for r in f.tidy()]
+    models = _numbers(spark, rows, "position int, model string, term string, estimate double, "
+                                   "std_error_normal double, std_error_robust double, p_value double")
+    res["models"] = models.select("model", "term", "estimate", *[
+        F.round(c, 3).alias(c) for c in ("std_error_normal", "std_error_robust", "p_value")])
+    ranges = ops.group_row_ranges(models, "position")
+    res["model_rows"] = ranges.join(models.select("position", "model").distinct(), "position").select("model", "first_row", "last_row")
+    res["metrics"] = _numbers(spark, [(m, f.r2(), f.adj_r2(), f.rmse()) for m, f in fits.items()],
+                              "model string, r2 double, adj_r2 double, rmse double")
+    parts = [L.complete_cases(d if cond is None else d.filter(cond), [y, *xs]).select(
+        F.lit(m).alias("model"), "county", "year", fits[m].fitted_col().alias("fitted"), fits[m].resid_col().alias("resid"))
+        for m, (y, xs, cond) in specs.items()]
+    res["residuals"] = parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+    res["chow"] = L.chow_test(d, "crime_rate", MODEL_VARS, "post_covid")
+    order = ["post_covid", "county", "year"]
+    res["cusum"] = L.cusum_process(d, fits["Full Model"], order)
+    sup = L.cusum_sup(d, fits["Full Model"], order)
+    res["cusum_test"] = _numbers(spark, [(float(sup), float(dist.bridge_sup_sf(sup)))], "statistic double, p_value double")
     res["boxcox"] = L.boxcox_profile(d, "crime_rate", MODEL_VARS + ["post_covid"])
     res["variance_f"] = S.variance_f_test(d, F.sqrt("crime_rate"), "post_covid")
     res["levene"] = S.levene_median(d, F.sqrt("crime_rate"), "post_covid")
-    res["density"] = K.kde(d, "crime_rate")
-    diff = ops.regime_diff(d, "county", "post_covid", [c for c in DIFF_VARS if c in d.columns])
-    diff_fit = L.ols(diff, "crime_rate_diff", [c + "_diff" for c in DIFF_VARS[1:] if c in d.columns])
-    res["diff_model"] = spark.createDataFrame(
-        [(r["term"], float(r["estimate"]), float(r["std_error"]), float(r["statistic"]), float(r["p_value"]))
-         for r in diff_fit.tidy()],
-        "term string, estimate double, std_error double, statistic double, p_value double")
+    res["density"] = K.kde(acs1, "crime_rate")
+
+    diff = ops.regime_diff(d, "county", "post_covid", DIFF_VARS)
+    fit = L.ols(diff, "crime_rate_diff", [f"{c}_diff" for c in DIFF_VARS[1:]])
+    res["diff_model"] = _numbers(spark, [("Differenced Model", r["term"], r["estimate"], r["std_error"], r["p_value"]) for r in fit.tidy()],
+                                 "model string, term string, estimate double, std_error double, p_value double").select(
+        "model", "term", "estimate", F.round("std_error", 3).alias("std_error"), F.round("p_value", 3).alias("p_value"))
     return res

@@ -108,7 +108,15 @@ def county_attributes(spark: SparkSession, path: str) -> DataFrame:
     return a.withColumn("county", F.upper("county"))
 
 
+def county_rings(spark: SparkSession, rings_path: str) -> DataFrame:
+    return _csv(spark, rings_path, RINGS_SCHEMA)
+
+
 def county_area(spark: SparkSession, rings_path: str) -> DataFrame:
     """G1 on landed county rings -> (GEOID, area_m2)."""
-    v = _csv(spark, rings_path, RINGS_SCHEMA)
-    return geo.polygon_area(v, geoid="GEOID")
+    return geo.polygon_area(county_rings(spark, rings_path), geoid="GEOID")
+
+
+def county_geometry(spark: SparkSession, rings_path: str) -> DataFrame:
+    """G3 on landed county rings -> (GEOID, geometry)."""
+    return geo.polygon_rings(county_rings(spark, rings_path), geoid="GEOID")

@@ -7,10 +7,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 def write_stage(df: DataFrame, path: str, partition_by: list[str] | None = None,
                 mode: str = "overwrite") -> None:
-    w = df.write.mode(mode)
+    """Parquet stage.  Rows of one partition value are brought together first
+    (AQE splits the large values), so a value gets few files, not one from
+    every task."""
     if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
+        df.hint("rebalance", *partition_by).write.mode(mode).partitionBy(*partition_by).parquet(path)
+    else:
+        df.write.mode(mode).parquet(path)
 
 
 def read_stage(spark: SparkSession, path: str) -> DataFrame:

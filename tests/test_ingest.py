@@ -103,41 +103,79 @@ def test_merge_and_yearly_branches(spark, scratch):
     assert "crime_rate_lag1" in acs1.columns and "periods" in acs1.columns
     mp = out["mapping_yearly_data"].filter(F.col("county") == "RAMSEY").orderBy("year").collect()
     assert mp[0].homicides is None and mp[4].homicides is not None      # rolling mean NULL until 5 years
-    assert all(r.top_cities == 1 for r in mp)
+    assert all(r.top_cities == 1 and len(r.geometry) == 4 for r in mp)
     assert os.path.exists(os.path.join(scratch, "stages", "acs_5_yearly_data"))
 
 
-def test_analysis_entry_on_panel(spark):
-    """Entry 3 on a 5-year-panel-shaped table (80 counties x 2 survey years)."""
+PANEL = ("county string, year int, post_covid int, crime_rate double, officers double, "
+         "median_household_income_acs5 double, pct_lessthan_5kincome double, pct_highschool_or_greater double, "
+         "pct_children_missing_parents double, pct_non_white double, `Binge drinking prevalence` double, "
+         "pct_young_males double, persons_per_household double, persons_per_m2 double, reservations int, "
+         "top_cities int")
+
+
+def panel_tables(spark, seed=4, n=80):
+    """5-year panel, 1-year panel and merged monthly table (n counties)."""
+    import datetime as dt
     import numpy as np
-    rng = np.random.default_rng(4)
-    rows = []
-    for i in range(80):
+    rng = np.random.default_rng(seed)
+    rows, yearly, monthly = [], [], []
+    for i in range(n):
         base = rng.uniform(0.01, 0.05)
         for year in (2018, 2023):
             post = int(year >= 2020)
-            rows.append((f"C{i:02d}", year, post, float(base * (1.2 if post else 1.0) + rng.normal(0, 0.003)),
+            rows.append((f"C{i:02d}", year, post, float(base * (1.2 if post else 1.0) + rng.uniform(0, 0.003)),
                          float(rng.uniform(1, 4)), float(rng.uniform(40000, 90000)), float(rng.uniform(1, 6)),
                          float(rng.uniform(80, 95)), float(rng.uniform(5, 20)), float(rng.uniform(2, 30)),
                          float(rng.uniform(15, 25)), float(rng.uniform(5, 9)), float(rng.uniform(2, 3)),
                          float(rng.uniform(1e-6, 1e-3)), int(i % 7 == 0), int(i % 11 == 0)))
-    cols = ("county string, year int, post_covid int, crime_rate double, officers double, "
-            "median_household_income_acs5 double, pct_lessthan_5kincome double, pct_highschool_or_greater double, "
-            "pct_children_missing_parents double, pct_non_white double, `Binge drinking prevalence` double, "
-            "pct_young_males double, persons_per_household double, persons_per_m2 double, reservations int, "
-            "top_cities int")
-    panel = spark.createDataFrame(rows, cols)
-    res = PL.analysis(panel)
-    assert res["welch"].count() == 11
-    models = res["models"].collect()
-    assert {r.model for r in models} == {"Pre-COVID", "Post-COVID", "Full Model"}
-    chow = res["chow"].first()
-    assert chow.df1 == 8 and 0 <= chow.p_value <= 1
-    assert res["cusum"].count() == 160
-    assert res["boxcox"].count() == 41
-    assert res["diff_model"].count() == 7
-    assert 0 <= res["cusum_test"].first().p_value <= 1
-    assert res["density"].count() == 512
+            counts = [int(x) for x in rng.integers(0, 50, 8)]
+            yearly.append((f"C{i:02d}", year, 1000 + i, sum(counts) / (1000 + i), *counts))
+            monthly += [(f"C{i:02d}", year, dt.date(year, m, 1), m % 3, 1000 + i) for m in (1, 2)]
+    acs1 = spark.createDataFrame(yearly, "county string, year int, total_population_acs1 long, crime_rate double, "
+                                 + ", ".join(f"{t} long" for t in PL.TYPES))
+    merged = spark.createDataFrame(monthly, "county string, year int, month date, homicides long, total_population_acs1 long")
+    return spark.createDataFrame(rows, PANEL), acs1, merged
+
+
+def test_analysis_entry_on_panel(spark):
+    """Entry 3: every output, on 80 counties x 2 survey years."""
+    panel, acs1, merged = panel_tables(spark)
+    res = {k: v.collect() for k, v in PL.analysis(panel, acs1, merged).items()}
+    series = {(r.type, str(r.month)): (r.homicides, r.population) for r in res["time_series"]}
+    assert series["Monthly", "2018-02-01"] == (160, None) and series["Yearly", "2023-01-01"] == (240, sum(range(1000, 1080)))
+    rates = {r.year: r for r in res["yearly_rates"]}
+    totals = acs1.groupBy("year").agg(*[F.sum(t).alias(t) for t in PL.TYPES]).collect()
+    for t in totals:
+        r = rates[t.year]
+        assert r.crime_rate == pytest.approx(sum(t[1:]) / r.population) and r.homicides_pc == pytest.approx(t.homicides / r.population)
+        assert r.scale_factor == pytest.approx(max(x.crime_rate for x in rates.values()) / r.population)
+    for name, n in (("descriptive", 11), ("pearson", 10)):
+        p = [r.p_value for r in res[name]]
+        assert len(p) == n and p == sorted(p)
+    first = res["descriptive"][0]
+    assert first.variable in PL.DESCRIBE_VARS and first.sd_pre > 0
+    assert len(res["facets"]) == 10 * 80 and all(r.lower <= r.fit <= r.upper for r in res["facets"])
+    models = res["models"]
+    assert [r.model for r in models] == ["Pre-COVID"] * 8 + ["Post-COVID"] * 8 + ["Full Model"] * 9
+    assert {r.model: (r.first_row, r.last_row) for r in res["model_rows"]} == {
+        "Pre-COVID": (1, 8), "Post-COVID": (9, 16), "Full Model": (17, 25)}
+    assert all(r.p_value == round(r.p_value, 3) for r in models)
+    resid = {}
+    for r in res["residuals"]:
+        resid.setdefault(r.model, []).append(r.resid)
+    assert {m: len(v) for m, v in resid.items()} == {"Pre-COVID": 80, "Post-COVID": 80, "Full Model": 160}
+    assert all(abs(sum(v)) < 1e-8 for v in resid.values())
+    chow = res["chow"][0]
+    assert chow.df1 == 8 and chow.df2 == 144 and 0 <= chow.p_value <= 1
+    assert sorted(r.idx for r in res["cusum"]) == list(range(1, 161)) and len(res["boxcox"]) == 41
+    assert 0 <= res["cusum_test"][0].p_value <= 1
+    assert [r.model for r in res["diff_model"]] == ["Differenced Model"] * 7
+    xs = [r.x for r in res["density"]]
+    lo, hi = acs1.agg(F.min("crime_rate"), F.max("crime_rate")).first()
+    assert len(xs) == 512 and min(xs) == pytest.approx(lo) and max(xs) == pytest.approx(hi)     # the 1-year panel
+    with pytest.raises(ValueError, match="pct_young_males"):
+        PL.analysis(panel.drop("pct_young_males"), acs1, merged)
 
 
 def test_cli_ingest_and_merge(spark, scratch):
@@ -148,8 +186,9 @@ def test_cli_ingest_and_merge(spark, scratch):
     cli.main(["ingest", "--landing", land, "--out", out])
     assert spark.read.parquet(os.path.join(out, "crime_data")).count() == len(AGENCIES) * len(MONTHS)
     cli.main(["merge", "--landing", land, "--census", cen, "--out", out])
-    for t in ("crime_data_merged", "mapping_yearly_data", "acs_1_yearly_data", "acs_5_yearly_data"):
-        assert os.path.exists(os.path.join(out, t))
+    for t in ("crime_data", "vars", "mapping", "acs_1yr_ts", "acs_5yr_ts", "crime_data_merged", "mapping_yearly_data",
+              "acs_1_yearly_data", "acs_5_yearly_data"):
+        assert spark.read.parquet(os.path.join(out, t)).count() > 0
 
 
 def test_stage_partition_pruning(spark, scratch):
@@ -198,25 +237,11 @@ def test_name_contract_helpers(spark):
 
 
 def test_cli_analyze(spark, scratch):
-    """Entry 3 through the command line on a written 5-year-panel stage."""
-    import numpy as np
+    """Entry 3 through the command line on written stages."""
     from paneltide import cli
-    rng = np.random.default_rng(8)
-    rows = []
-    for i in range(60):
-        for year in (2018, 2023):
-            rows.append((f"C{i:02d}", year, int(year >= 2020), float(rng.uniform(0.01, 0.05)),
-                         float(rng.uniform(1, 4)), float(rng.uniform(40000, 90000)), float(rng.uniform(1, 6)),
-                         float(rng.uniform(80, 95)), float(rng.uniform(5, 20)), float(rng.uniform(2, 30)),
-                         float(rng.uniform(15, 25)), float(rng.uniform(5, 9)), float(rng.uniform(2, 3)),
-                         float(rng.uniform(1e-6, 1e-3)), int(i % 7 == 0), int(i % 11 == 0)))
-    cols = ("county string, year int, post_covid int, crime_rate double, officers double, "
-            "median_household_income_acs5 double, pct_lessthan_5kincome double, pct_highschool_or_greater double, "
-            "pct_children_missing_parents double, pct_non_white double, `Binge drinking prevalence` double, "
-            "pct_young_males double, persons_per_household double, persons_per_m2 double, reservations int, "
-            "top_cities int")
     stages, out = os.path.join(scratch, "stages"), os.path.join(scratch, "results")
-    spark.createDataFrame(rows, cols).write.parquet(os.path.join(stages, "acs_5_yearly_data"))
+    for name, df in zip(("acs_5_yearly_data", "acs_1_yearly_data", "crime_data_merged"), panel_tables(spark, 8, 60)):
+        df.write.parquet(os.path.join(stages, name))
     cli.main(["analyze", "--stages", stages, "--out", out])
     assert spark.read.parquet(os.path.join(out, "models")).count() == 8 + 8 + 9
     assert spark.read.parquet(os.path.join(out, "boxcox")).count() == 41
