@@ -329,3 +329,10 @@ SELECT {_POST} AS post, count(*) AS n_total,
   count(*) FILTER (WHERE nullif(l_discount, 0) IS NULL) AS n_disc_missing,
   count(*) FILTER (WHERE nullif(l_tax, 0) IS NULL) AS n_tax_missing
 FROM lineitem GROUP BY 1"""
+
+ORACLE["null_key_totals"] = """
+SELECT o_orderkey, agency, status, n FROM (
+  SELECT *, count(*) OVER (PARTITION BY agency, status) AS n FROM (
+    SELECT o_orderkey, CASE WHEN o_orderpriority <> '4-NOT SPECIFIED' THEN o_custkey END AS agency,
+           CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus END AS status FROM orders))
+WHERE n > 1"""

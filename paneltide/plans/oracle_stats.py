@@ -169,14 +169,14 @@ def _mc(x):
     return f"CAST(sum(CAST(round({x} * 100) AS HUGEINT)) AS DOUBLE) / nullif(count({x}) * 100.0, 0)"
 
 
-_mom = "\nUNION ALL\n".join(f"""SELECT '{m}' AS variable,
+def welch_cte(source: str, measures) -> str:
+    mom = "\nUNION ALL\n".join(f"""SELECT '{m}' AS variable,
   count({m}) FILTER (WHERE post = 0) AS n0, {_mc(f"CASE WHEN post = 0 THEN {m} END")} AS m0,
   var_samp({m}) FILTER (WHERE post = 0) AS v0,
   count({m}) FILTER (WHERE post = 1) AS n1, {_mc(f"CASE WHEN post = 1 THEN {m} END")} AS m1,
   var_samp({m}) FILTER (WHERE post = 1) AS v1
-FROM ({MODEL_SRC})""" for m in _MEAS)
-
-WELCH_CTE = f"""mom AS ({_mom}),
+FROM ({source})""" for m in measures)
+    return f"""mom AS ({mom}),
 wt AS (
   SELECT *, (m0 - m1) / sqrt(v0 / n0 + v1 / n1) AS t_stat,
          (v0 / n0 + v1 / n1) * (v0 / n0 + v1 / n1)
@@ -184,12 +184,27 @@ wt AS (
   FROM mom),
 {t_pvalue("wt", ["variable"], "wp")}"""
 
-ORACLE["welch_t"] = f"""
-WITH {WELCH_CTE}
+
+def _welch_table(cte: str) -> str:
+    return f"""
+WITH {cte}
 SELECT variable, m0 AS mean_pre, m1 AS mean_post, {_r("sqrt(v0)", 5)} AS sd_pre, {_r("sqrt(v1)", 5)} AS sd_post,
        {_r("t_stat")} AS t_stat, {_r("df", 4)} AS df, {_r("p_value")} AS p_value
 FROM wt JOIN wp USING (variable)"""
 
+
+WELCH_CTE = welch_cte(MODEL_SRC, _MEAS)
+ORACLE["welch_t"] = _welch_table(WELCH_CTE)
+
+# Measures and regimes blanked by rule: the SQL side only knows NULL.
+_MISSING_SRC = """SELECT
+  CASE WHEN l_returnflag <> 'N' OR l_linenumber > 2 THEN CASE WHEN year(l_shipdate) >= 1998 THEN 1 ELSE 0 END END AS post,
+  CASE WHEN l_linenumber NOT IN (1, 3) THEN l_quantity END AS na_quantity,
+  CASE WHEN l_linenumber <> 2 THEN l_extendedprice END AS na_price,
+  CASE WHEN l_discount <> 0 THEN l_discount END AS na_discount
+FROM lineitem"""
+ORACLE["missing_value_tests"] = _welch_table(welch_cte(_MISSING_SRC, ["na_quantity", "na_price", "na_discount"]))
+
 ORACLE["sorted_top_p"] = f"""
 WITH {WELCH_CTE}
 SELECT variable, {_r("p_value")} AS p_value,

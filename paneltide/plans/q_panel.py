@@ -149,6 +149,15 @@ def count_per_key_filter(spark, sf_dir):
     return ops.count_per_key(o, ["o_custkey", "o_orderpriority", "year"]).filter(F.col("n") > 1)
 
 
+@query("null_key_totals")
+def null_key_totals(spark, sf_dir):
+    """W4/A5 with NULL keys: they are one group of their own."""
+    o = tables(spark, sf_dir).orders.select(
+        "o_orderkey", F.when(F.col("o_orderpriority") != "4-NOT SPECIFIED", F.col("o_custkey")).alias("agency"),
+        F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus")).alias("status"))
+    return ops.count_per_key(o, ["agency", "status"]).filter(F.col("n") > 1)
+
+
 @query("dedup_keep_first")
 def dedup_keep_first(spark, sf_dir):
     """First order per (customer, year) by (date, key)."""

@@ -9,7 +9,7 @@ from ..functions.expr import (cents, exact_sum_int, flag, hour_start, mean_cents
                               parse_month_label, split_piece, strip_prefix, sum_cents,
                               year_start, zero_to_null)
 from ..operators.joins import natural_join
-from ..operators.reshape import columns_of_type, pivot_wide, unpivot
+from ..operators.reshape import columns_of_type, pivot_multi, unpivot
 from .catalogue import finish, query, tables
 from .panel import POST_YEAR
 
@@ -41,15 +41,10 @@ def multi_value_pivot(spark, sf_dir):
     stats = li.groupBy("post").agg(
         *[mean_cents(c).alias(f"mean__{c}") for c in MEASURES],
         *[F.stddev_samp(c).alias(f"sd__{c}") for c in MEASURES])
-    long = unpivot(stats, ["post"], None, "key", "value")
-    long = long.select(F.when(F.col("post") == 1, "post").otherwise("pre").alias("regime"),
-                       F.split_part("key", F.lit("__"), F.lit(1)).alias("stat"),
-                       F.split_part("key", F.lit("__"), F.lit(2)).alias("variable"),
-                       "value")
-    # names_from (stat, regime) at once -> mean_pre, mean_post, sd_pre, sd_post
-    keyed = long.withColumn("key", F.concat_ws("_", "stat", "regime"))
-    out = pivot_wide(keyed, ["variable"], "key", ["mean_pre", "mean_post", "sd_pre", "sd_post"],
-                     value_col="value", agg=F.first, name=str)
+    regime = F.when(F.col("post") == 1, "post").otherwise("pre").alias("regime")
+    long = stats.select(regime, F.explode(F.array(*[
+        F.struct(F.lit(c).alias("variable"), F.col(f"mean__{c}").alias("mean"), F.col(f"sd__{c}").alias("sd")) for c in MEASURES])).alias("s"))
+    out = pivot_multi(long.select("regime", "s.*"), ["variable"], "regime", ["pre", "post"], ["mean", "sd"])
     return finish(out, 5, exact=("mean_pre", "mean_post"))
 
 

@@ -6,12 +6,13 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import dist
-from ..functions.expr import flag
+from ..functions.expr import flag, zero_to_null
 from ..operators import kde as K
 from ..operators import linmodel as L
 from ..operators import panel as ops
 from ..operators import stats as S
 from ..operators.joins import scalar
+from ..operators.reshape import columns_with_prefix
 from . import panel as P
 from .catalogue import finish, query, tables
 from .panel import POST_YEAR
@@ -42,7 +43,10 @@ def _tidy_df(spark, rows, cols):
 def welch_t(spark, sf_dir):
     """Welch t per measure between regimes, with the descriptive table."""
     d = model_frame(spark, sf_dir)
-    w = S.welch_t(d, "post", MEASURES, exact_cents=True)
+    return _welch_table(S.welch_t(d, "post", MEASURES, exact_cents=True))
+
+
+def _welch_table(w):
     out = w.select("variable", F.col("m0").alias("mean_pre"), F.col("m1").alias("mean_post"),
                    F.sqrt("v0").alias("sd_pre"), F.sqrt("v1").alias("sd_post"),
                    F.col("ttest.statistic").alias("t_stat"), F.col("ttest.df").alias("df"),
@@ -50,6 +54,19 @@ def welch_t(spark, sf_dir):
     return finish(out, 6, overrides={"df": 4, "sd_pre": 5, "sd_post": 5}, exact=("mean_pre", "mean_post"))
 
 
+@query("missing_value_tests")
+def missing_value_tests(spark, sf_dir):
+    """Welch t on measures that are partly NULL, partly NaN, with
+    rows of unknown regime; columns chosen by prefix."""
+    n, nan = F.col("l_linenumber"), F.lit(float("nan"))
+    li = tables(spark, sf_dir).lineitem.select(
+        F.when((F.col("l_returnflag") != "N") | (n > 2), flag(F.year("l_shipdate") >= POST_YEAR)).alias("post"),
+        F.when(n == 3, nan).when(n != 1, F.col("l_quantity")).alias("na_quantity"),
+        F.when(n == 2, nan).otherwise(F.col("l_extendedprice")).alias("na_price"),
+        zero_to_null("l_discount").alias("na_discount"))
+    return _welch_table(S.welch_t(li, "post", columns_with_prefix(li, "na_"), exact_cents=True))
+
+
 @query("sorted_top_p")
 def sorted_top_p(spark, sf_dir):
     """O1/O2: the t-test table ordered by p-value (NULLs last), with ranks."""

@@ -201,24 +201,6 @@ def test_stage_partition_pruning(spark, scratch):
     assert "PartitionFilters: [isnotnull(year" in plan and df.count() > 0
 
 
-def test_bucketed_stages_join_without_shuffle(spark, scratch):
-    from paneltide.sources.layout import write_bucketed
-    a = spark.range(2000).selectExpr("id % 97 AS county_id", "id AS v")
-    b = spark.range(97).selectExpr("id AS county_id", "id * 2 AS w")
-    write_bucketed(a, "t_bucket_a", ["county_id"], 8, path=os.path.join(scratch, "a"))
-    write_bucketed(b, "t_bucket_b", ["county_id"], 8, path=os.path.join(scratch, "b"))
-    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        j = spark.table("t_bucket_a").join(spark.table("t_bucket_b"), "county_id")
-        plan = j._jdf.queryExecution().executedPlan().toString()
-        assert j.count() == 2000 and "Exchange" not in plan
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
-        spark.sql("DROP TABLE IF EXISTS t_bucket_a")
-        spark.sql("DROP TABLE IF EXISTS t_bucket_b")
-
-
 def test_name_contract_helpers(spark):
     from paneltide.operators.reshape import columns_of_type, columns_with_prefix
     from pyspark.sql import types as T
