@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import argparse
 
-from .session import get_spark
+from .session import get_spark, sizing_conf
 from .sources.sinks import read_stage, write_stage
 
 
@@ -41,9 +41,12 @@ def main(argv=None) -> None:
     sw.add_argument("--stage", required=True)
     sw.add_argument("--checkpoint", default=None)
     ap.add_argument("--master", default=None)
+    ap.add_argument("--input-gb", type=float, help="with --cores: sizes scan splits and shuffle partitions")
+    ap.add_argument("--cores", type=int)
     args = ap.parse_args(argv)
 
-    spark = get_spark(args.master)
+    sizes = sizing_conf(int(args.input_gb * (1 << 30)), args.cores) if args.input_gb and args.cores else {}
+    spark = get_spark(args.master, extra=sizes)
     if args.cmd == "ingest":
         from .sources.landing import crime_data
         write_stage(crime_data(spark, args.landing), f"{args.out.rstrip('/')}/crime_data")

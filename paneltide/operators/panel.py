@@ -100,22 +100,15 @@ def interpolate_linear(df: DataFrame, entity: Sequence[str] | str, x: str,
 def dedup_keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Keep the first row per key under an explicit order (A8, quirk Q4).
 
-    ``min(struct(order..., rest...))`` is a plain aggregate: map-side partial
-    combine, so one key holding a third of the rows costs no more than any
-    other.  NULLs in ``order`` sort last.  Ties on ``order`` are broken by the
-    remaining columns, so the result is deterministic.
+    ``row_number() = 1`` gets the engine's group limit: each task keeps one row
+    per key before the shuffle, so a key holding a third of the rows costs no
+    more than any other.  NULLs in ``order`` sort last; ties on ``order`` are
+    broken by the remaining columns, so the result is deterministic.
     """
     keys, order = list(keys), list(order)
     rest = [c for c in df.columns if c not in keys and c not in order]
-    # NULLs sort last in every order column (as in the reference's sort): a
-    # null flag precedes each value inside the struct.
-    fields = []
-    for i, c in enumerate(order):
-        fields += [F.col(c).isNull().alias(f"_n{i}"), F.col(c)]
-    packed = F.min(F.struct(*fields, *[F.col(c) for c in rest])).alias("_first")
-    out = df.groupBy(*keys).agg(packed)
-    return out.select(*keys, *[F.col("_first")[c].alias(c) for c in order + rest]) \
-              .select(*df.columns)
+    w = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_last() for c in order], *rest)
+    return df.withColumn("_turn", F.row_number().over(w)).filter(F.col("_turn") == 1).select(*df.columns)
 
 
 def regime_diff(df: DataFrame, entity: Sequence[str] | str, regime: str, cols: Sequence[str],
