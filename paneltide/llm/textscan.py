@@ -93,7 +93,9 @@ class Words:
         size = self.end - self.start
         at = np.concatenate(([0], np.cumsum(size)))
         within = np.arange(at[-1]) - np.repeat(at[:-1], size)
-        power = np.cumprod(np.concatenate(([1], np.full(int(size.max()), _BASE, dtype=np.uint64))).astype(np.uint64))
+        power = np.full(int(size.max()), _BASE, dtype=np.uint64)
+        power[0] = 1
+        power = np.cumprod(power)
         value = (self.buf[inside].astype(np.uint64) + _U(1)) * power[within]
         return mix(np.add.reduceat(value, at[:-1]) + size.astype(np.uint64) * _STEP)
 

@@ -32,6 +32,9 @@ def test_words_match_split():
             assert w.text(a, b) == b" ".join(want) and b - a == len(want)
     _, _, one = next(textscan.word_batches(pa.array(["ab cd ab"]), textscan.SPACE))
     assert one.hash[0] == one.hash[2] != one.hash[1]
+    many = [f"{'long' * (i % 40)}{i}" for i in range(20_000)] + ["thines", "thinen", "thinens", "nthines"]
+    _, _, w = next(textscan.word_batches(pa.array([" ".join(many)]), textscan.SPACE))
+    assert len(set(w.hash.tolist())) == len(set(many)) and len({h & 0xFFFF for h in w.hash.tolist()}) > 15_000
 
 
 # --- toxicity
