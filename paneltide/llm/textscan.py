@@ -90,15 +90,28 @@ class Words:
     def _hash(self, inside):
         if not len(self.start):
             return np.zeros(0, dtype=np.uint64)
-        size = self.end - self.start
+        return self._of(self.buf[inside], self.end - self.start)
+
+    @staticmethod
+    def _of(data, size):
+        """Hashes of consecutive words of the given sizes."""
         at = np.concatenate(([0], np.cumsum(size)))
         within = np.arange(at[-1]) - np.repeat(at[:-1], size)
         power = np.full(int(size.max()), _BASE, dtype=np.uint64)
         power[0] = 1
         power = np.cumprod(power)
-        value = (self.buf[inside].astype(np.uint64) + _U(1)) * power[within]
+        value = (data.astype(np.uint64) + _U(1)) * power[within]
         return mix(np.add.reduceat(value, at[:-1]) + size.astype(np.uint64) * _STEP)
 
+    def stems(self, length: int) -> np.ndarray:
+        """Hashes of the first ``length`` bytes of each word."""
+        if not len(self.start):
+            return self.hash
+        size = np.minimum(self.end - self.start, length)
+        begin = np.cumsum(size) - size
+        at = np.arange(int(size.sum())) + np.repeat(self.start - begin, size)
+        return self._of(self.buf[at], size)
+
     def __len__(self):
         return len(self.start)
 

@@ -1,7 +1,7 @@
 """Toxicity scores by FTRL-proximal logistic regression.
 
-Features are hashed words, word pairs and skip-grams (words with one word
-between), each present or absent in the whole text.  FTRL-proximal keeps a
+Features are hashed words, their beginnings, word pairs and skip-grams (words
+with one word between), each present or absent in the whole text.  FTRL-proximal keeps a
 learning rate per coordinate and an L1 threshold that holds most weights at
 zero, so the fitted model is a short list of (feature, weight), broadcast to
 the tasks that score all documents in one pass without a shuffle.
@@ -33,13 +33,19 @@ from .common import broadcast_value, field, rows_as_structs
 #: the fitting task holds some 70 MB.
 MAX_ROWS = 12_000
 BITS = 20
+#: Lengths in bytes of the word beginnings that count beside whole words, so
+#: that inflected and compounded forms share a feature.
+STEMS = (4, 6)
 _U = np.uint64
 
 
 def _slots(words: ts.Words) -> tuple[np.ndarray, np.ndarray]:
-    """(row, feature) of every word, pair and skip-gram of a piece."""
+    """(row, feature) of every word, stem, pair and skip-gram of a piece."""
     h, row = words.hash, words.row
     rows, feats = [row], [h]
+    for length in STEMS:
+        rows.append(row)
+        feats.append(ts.mix(words.stems(length) + _U(length)))
     for gap, salt in ((1, 0x51ED270B), (2, 0x2545F491)):
         same = np.flatnonzero(row[:-gap] == row[gap:]) if len(row) > gap else np.zeros(0, np.int64)
         rows.append(row[same])
