@@ -47,6 +47,8 @@ HOT = 5_000
 #: Fragments for which one automaton is compiled: some 600,000 nodes.
 SHARD_FRAGMENTS = 20_000
 _U = np.uint64
+_AT = np.dtype([("rk", "<i8"), ("at", "<i4")])
+_PLACE = np.dtype([("id", "<i8"), ("rk", "<i8"), ("start", "<i4")])
 
 
 def anchor_runs(words: ts.Words, window: int, gram: int):
@@ -79,27 +81,64 @@ def anchor_runs(words: ts.Words, window: int, gram: int):
     return acc[place[begin]], place[begin], whole[begin], whole[end]
 
 
+def _grouped(keys: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
+    """Distinct keys, each with its places (a structured array) in order."""
+    order = np.lexsort((*(places[f] for f in reversed(places.dtype.names)), keys))
+    keys, places = keys[order], places[order]
+    new = np.ones(len(keys), dtype=bool)
+    new[1:] = keys[1:] != keys[:-1]
+    at = np.flatnonzero(new)
+    raw, size = places.tobytes(), places.dtype.itemsize
+    ends = np.append(at[1:], len(keys))
+    return keys[at], [raw[size * b:size * e] for b, e in zip(at.tolist(), ends.tolist())]
+
+
 def _anchors(docs: DataFrame, window: int, gram: int) -> DataFrame:
-    schema = T.StructType([T.StructField("anchor", T.LongType()), T.StructField("rk", T.LongType()), T.StructField("at", T.IntegerType())])
+    """(anchor, places): a row for each anchor of a piece of a batch, so that a
+    frequent anchor is gathered before the shuffle."""
+    schema = T.StructType([T.StructField("anchor", T.LongType()), T.StructField("places", T.BinaryType())])
 
     def run(batches):
         for batch in batches:
             keys = batch.column(0).to_numpy()
             for lo, _, words in ts.word_batches(batch.column(1), ts.SPACE):
-                h, place, first, _ = anchor_runs(words, window, gram)
+                h, _, first, _ = anchor_runs(words, window, gram)
                 row = words.row[first]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(h.view(np.int64)), pa.array(keys[lo + row]), pa.array((first - words.first[row]).astype(np.int32))],
-                    names=["anchor", "rk", "at"])
+                places = np.empty(len(first), dtype=_AT)
+                places["rk"], places["at"] = keys[lo + row], first - words.first[row]
+                anchors, packed = _grouped(h.view(np.int64), places)
+                yield pa.RecordBatch.from_arrays([pa.array(anchors), pa.array(packed, pa.binary())], names=["anchor", "places"])
 
     return docs.mapInArrow(run, schema)
 
 
+def _recurring_runs(anchors: DataFrame, hot: int) -> DataFrame:
+    """(rk, at, hot, anchor) of every occurrence of an anchor with two or more."""
+    n = F.sum(F.octet_length("places").cast("long")).over(Window.partitionBy("anchor"))
+    several = anchors.withColumn("n", n).filter(F.col("n") > _AT.itemsize)
+    schema = T.StructType([T.StructField("rk", T.LongType()), T.StructField("at", T.IntegerType()),
+                           T.StructField("hot", T.BooleanType()), T.StructField("anchor", T.LongType())])
+
+    def run(batches):
+        for batch in batches:
+            places = [np.frombuffer(p, _AT) for p in batch.column(1).to_pylist()]
+            size = [len(p) for p in places]
+            flat = np.concatenate(places) if places else np.zeros(0, _AT)
+            many = batch.column(2).to_numpy() > hot * _AT.itemsize
+            yield pa.RecordBatch.from_arrays([
+                pa.array(flat["rk"]), pa.array(flat["at"]), pa.array(np.repeat(many, size)),
+                pa.array(np.repeat(batch.column(0).to_numpy(), size))], names=["rk", "at", "hot", "anchor"])
+
+    return several.mapInArrow(run, schema)
+
+
 def _fragments(chosen: DataFrame, window: int, gram: int, text: str) -> DataFrame:
-    """Fragments of the chosen runs: (key, id, rk, start, words)."""
+    """Fragments of the chosen runs: (key, id, rk, start, words, more).  Equal
+    fragments of a piece are one row with the places beyond the first in
+    ``more``, so a frequent fragment is gathered before the shuffle."""
     schema = T.StructType([
         T.StructField("key", T.LongType()), T.StructField("id", T.LongType()), T.StructField("rk", T.LongType()),
-        T.StructField("start", T.IntegerType()), T.StructField("words", T.BinaryType())])
+        T.StructField("start", T.IntegerType()), T.StructField("words", T.BinaryType()), T.StructField("more", T.BinaryType())])
 
     def run(batches):
         for batch in batches:
@@ -136,15 +175,24 @@ def _fragments(chosen: DataFrame, window: int, gram: int, text: str) -> DataFram
                     end.append(each + window)
                 key, begin, end = np.concatenate(key), np.concatenate(begin), np.concatenate(end)
                 row = words.row[begin]
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(key), pa.array(ids[lo + row]), pa.array(rks[lo + row]),
-                    pa.array((begin - words.first[row]).astype(np.int32)),
-                    pa.array([raw[4 * b:4 * e] for b, e in zip(begin.tolist(), end.tolist())], pa.binary())],
-                    names=["key", "id", "rk", "start", "words"])
+                places = np.empty(len(begin), dtype=_PLACE)
+                places["id"], places["rk"], places["start"] = ids[lo + row], rks[lo + row], begin - words.first[row]
+                yield _fragment_rows(key, places, [raw[4 * b:4 * e] for b, e in zip(begin.tolist(), end.tolist())], schema.names)
 
     return chosen.mapInArrow(run, schema)
 
 
+def _fragment_rows(key: np.ndarray, places: np.ndarray, fragments: list[bytes], names: list[str]) -> pa.RecordBatch:
+    own: dict[tuple[int, bytes], list[int]] = {}
+    for i in np.lexsort((places["start"], places["rk"], places["id"])).tolist():
+        own.setdefault((int(key[i]), fragments[i]), []).append(i)
+    first = [at[0] for at in own.values()]
+    more = [places[at[1:]].tobytes() if len(at) > 1 else None for at in own.values()]
+    return pa.RecordBatch.from_arrays([
+        pa.array([k for k, _ in own], pa.int64()), pa.array(places["id"][first]), pa.array(places["rk"][first]),
+        pa.array(places["start"][first]), pa.array([w for _, w in own], pa.binary()), pa.array(more, pa.binary())], names=names)
+
+
 def _window_hashes(words: ts.Words, window: int):
     m = len(words) - window + 1
     acc = np.zeros(m, dtype=np.uint64)
@@ -162,12 +210,12 @@ class Shard:
 
     def locate(self, rows: list[tuple], unfinished) -> list[tuple[int, int, int]]:
         """(row, start, length) of every occurrence but the first of each phrase.
-
-        ``rows`` are whole groups, but for the last key's if ``unfinished``."""
+        Rows come in order of their first place, so a phrase is first met where
+        it first occurs.  ``rows`` are whole groups, but for the last key's if ``unfinished``."""
         groups: dict[int, dict[bytes, int]] = {}
-        for key, _, _, _, words in rows:
+        for key, _, _, _, words, more in rows:
             own = groups.setdefault(key, {})
-            own[words] = own.get(words, 0) + 1
+            own[words] = own.get(words, 0) + 1 + (len(more) // _PLACE.itemsize if more else 0)
         phrases: set[bytes] = set()
         carried = {key for key, _ in self.known}
         for key, own in groups.items():
@@ -183,12 +231,15 @@ class Shard:
             for p in phrases:
                 automaton.add_word(tuple(np.frombuffer(p, "<u4").tolist()), p)
             automaton.make_automaton()
-            for key, id_, rk, start, words in rows:
+            for key, id_, rk, start, words, more in rows:
+                others = np.frombuffer(more, _PLACE)[["rk", "start"]].tolist() if more else ()
                 for end, p in automaton.iter(tuple(np.frombuffer(words, "<u4").tolist())):
                     n = len(p) // 4
-                    place = (id_, rk, start + end + 1 - n)
+                    at = end + 1 - n
+                    place = (id_, rk, start + at)
                     if self.known.setdefault((key, p), place) != place:
-                        out.append((rk, place[2], n))
+                        out.append((rk, start + at, n))
+                    out += [(r, s + at, n) for r, s in others if (r, s) != (rk, start)]
         self.known = {k: v for k, v in self.known.items() if k[0] == unfinished}
         return out
 
@@ -216,7 +267,7 @@ def _ranges(fragments: DataFrame, window: int, shard_fragments: int) -> DataFram
                  pa.array([g[2] for g in got], pa.int32())], names=["rk", "start", "length"])
 
         for batch in batches:
-            for row in zip(*(batch.column(i).to_pylist() for i in range(5))):
+            for row in zip(*(batch.column(i).to_pylist() for i in range(6))):
                 if len(rows) >= shard_fragments and (row[0] != rows[-1][0] or len(rows) >= 2 * shard_fragments):
                     yield found(row[0] if row[0] == rows[-1][0] else None)
                     rows = []
@@ -233,9 +284,7 @@ def remove_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text
     joined by one space."""
     base = rows_as_structs(docs).withColumn("rk", F.xxhash64(f"row.{doc_id}", f"row.{text}"))
     anchors = _anchors(base.select("rk", F.col(f"row.{text}").alias("text")), window, gram)
-    n = F.count("*").over(Window.partitionBy("anchor"))
-    runs = (anchors.withColumn("n", n).filter("n > 1")
-            .groupBy("rk").agg(F.collect_list(F.struct("at", (F.col("n") > hot).alias("hot"), "anchor")).alias("runs")))
+    runs = _recurring_runs(anchors, hot).groupBy("rk").agg(F.collect_list(F.struct("at", "hot", "anchor")).alias("runs"))
     order = F.coalesce(F.col(f"row.{doc_id}").cast("long"), F.lit(-(1 << 63)))
     chosen = base.join(runs, "rk").select("row", order.alias("id"), "rk", "runs")
     ranges = (_ranges(_fragments(chosen, window, gram, text), window, shard_fragments)
