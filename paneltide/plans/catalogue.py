@@ -1,7 +1,9 @@
 """Query catalogue: one callable ``(spark, sf_dir) -> DataFrame`` per query.
 
 Each query reads the driver tables at ``sf_dir`` (or data Spark derives from
-them) and returns a lazy DataFrame.  Floating results are rounded at the very
+them) and returns a DataFrame.  Plans are lazy but for what decides the plan:
+fits whose coefficients enter a second pass as literals, key-range bounds, KDE
+limits and one checkpoint run small jobs while the query is built.  Floating results are rounded at the very
 end (``finish``) so that an independent engine summing in another order
 yields identical values.
 """

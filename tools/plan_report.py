@@ -11,7 +11,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as E  # noqa: E402
+from paneltide.plans.catalogue import QUERIES  # noqa: E402
 from paneltide.session import get_spark  # noqa: E402
 
 sf = next((a for a in sys.argv[1:] if a.startswith("/")), "/root/testdata/sf0.01")
@@ -21,7 +21,7 @@ os.makedirs(PLAN_DIR, exist_ok=True)
 spark = get_spark("local[8]", shuffle_partitions=8)
 spark.conf.set("spark.sql.adaptive.enabled", "false")
 rows = []
-for name, fn in E.queries().items():
+for name, fn in QUERIES.items():
     df = fn(spark, sf)
     plan = df._jdf.queryExecution().executedPlan().toString()
     # Full formatted plan per query (what df.explain("formatted") prints).
