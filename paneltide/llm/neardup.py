@@ -43,7 +43,7 @@ THRESHOLD = 0.8
 #: P(candidate) = 1 - (1 - s**3)**10: 0.9992 at s = 0.8, 0.01 at s = 0.1.
 BANDS, ROWS = 10, 3
 DF_BITS = 16
-BLOCK_BYTES = 24 << 20
+BLOCK_BYTES = 6 << 20
 HUBS = 64
 _U = np.uint64
 
@@ -131,13 +131,42 @@ def signatures(row: np.ndarray, gram: np.ndarray, weight: np.ndarray, n_rows: in
     return out
 
 
-def similarity(a: tuple[np.ndarray, np.ndarray, float], b: tuple[np.ndarray, np.ndarray, float]) -> float:
-    """Weighted Jaccard similarity of two bags (sorted shingles, weights, sum)."""
-    at = np.searchsorted(b[0], a[0])
-    at[at == len(b[0])] = 0
-    same = b[0][at] == a[0]
-    common = float(np.minimum(a[1][same], b[1][at[same]]).sum())
-    return common / (a[2] + b[2] - common)
+class Bags:
+    """Bags of one block as rows of shingle copies: a shingle that counts c
+    times is c copies of its inverse document frequency, so the common weight
+    of two bags is a sum over the copies that both have."""
+
+    def __init__(self, texts, idf: np.ndarray):
+        rows, grams, counts, done = [], [], [], 0
+        for lo, hi, words in ts.word_batches(texts, ts.SPACE, lower=True):
+            row, gram, count = bags(words)
+            rows.append(row + lo)
+            grams.append(gram)
+            counts.append(count)
+            done = hi
+        row, gram, count = np.concatenate(rows), np.concatenate(grams), np.concatenate(counts)
+        kinds, number = np.unique(gram, return_inverse=True)
+        at = np.repeat(np.arange(len(gram)), count)
+        copy = np.arange(len(at)) - np.repeat(np.cumsum(count) - count, count)
+        ids, self.column = np.unique(number[at] * (int(count.max(initial=0)) + 1) + copy, return_inverse=True)
+        self.weight = weights(gram[at], np.ones(len(at)), idf)
+        self.first = np.searchsorted(row[at], np.arange(done + 1))
+        self.mass = np.bincount(row[at], weights=self.weight, minlength=done)
+        self.marked = np.zeros(len(ids))
+
+    def similarities(self, i: int, others: np.ndarray) -> np.ndarray:
+        """Weighted Jaccard similarity of bag i with each of the others."""
+        own = slice(self.first[i], self.first[i + 1])
+        self.marked[self.column[own]] = self.weight[own]
+        common = np.empty(len(others))
+        for lo in range(0, len(others), 2_000):
+            part = others[lo:lo + 2_000]
+            size = self.first[part + 1] - self.first[part]
+            begin = np.cumsum(size) - size
+            at = np.arange(int(size.sum())) + np.repeat(self.first[part] - begin, size)
+            common[lo:lo + 2_000] = np.add.reduceat(self.marked[self.column[at]], begin)
+        self.marked[self.column[own]] = 0
+        return common / (self.mass[i] + self.mass[others] - common)
 
 
 def _signed(docs: DataFrame, idf, doc_id: str, text: str) -> DataFrame:
@@ -206,13 +235,8 @@ def _block_links(held: list[pa.RecordBatch], idf: np.ndarray, threshold: float)
     query = np.array(rows.column("query").to_pylist(), dtype=bool)
     n = len(names)
     band = np.array(rows.column("bands").to_pylist(), dtype=np.int64).reshape(n, -1)
-    sets = []
-    for lo, hi, words in ts.word_batches(rows.column("text"), ts.SPACE, lower=True):
-        row, gram, count = bags(words)
-        w = weights(gram, count, idf)
-        cut = np.searchsorted(row, np.arange(hi - lo + 1))
-        sets += [(gram[a:b], w[a:b], float(w[a:b].sum())) for a, b in zip(cut[:-1], cut[1:])]
-    mass = np.array([s[2] for s in sets])
+    own = Bags(rows.column("text"), idf)
+    mass = own.mass
     label, some = np.arange(n), bool(query.any())
     u, v = [], []
     for i in range(1, n):
@@ -221,16 +245,13 @@ def _block_links(held: list[pa.RecordBatch], idf: np.ndarray, threshold: float)
         if some and not query[i]:
             near[~query[:i]] = 0
         order = np.argsort(-near, kind="stable")[:int((near > 0).sum())]
-        while len(order):
-            j = order[0]
-            order = order[1:]
-            if label[j] == label[i]:
-                order = order[label[order] != label[i]]
-            elif similarity(sets[i], sets[j]) >= threshold:
-                u.append(names[i])
-                v.append(names[j])
-                label[label == label[i]] = label[j]
-                order = order[label[order] != label[i]]
+        for part in (order[:8], order[8:]):          # most shared bands first
+            part = part[label[part] != label[i]]
+            for j in part[own.similarities(i, part) >= threshold] if len(part) else ():
+                if label[j] != label[i]:
+                    u.append(names[i])
+                    v.append(names[j])
+                    label[label == label[i]] = label[j]
     return pa.RecordBatch.from_arrays([pa.array(u, pa.binary()), pa.array(v, pa.binary())], names=["u", "v"])
 
 
