@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import textscan as ts
-from .common import broadcast_value, field, row_key, rows_as_structs, stored
+from .common import broadcast_value, row_key, rows_as_structs, stored
 from .components import components
 
 SHINGLE = 5

@@ -274,7 +274,7 @@ def test_repeats_odd_rows(odd_docs, wide_docs, no_docs):
     rows = phrases.remove_repeats(wide_docs).collect()
     by = {r.row.doc_id: r for r in rows}
     assert len(rows) == len(ODD) and by[1].n_words == 0 and by[1].kept == ""
-    assert by[6].n_removed == by[6].n_words == 60_000 and by[5].n_removed == 60_000 - 977 - 19 + 19 or by[5].n_removed > 0
+    assert by[6].n_removed == by[6].n_words == 60_000 and 0 < by[5].n_removed < 60_000
     assert phrases.remove_repeats(no_docs).count() == 0
     twice = odd_docs.filter("doc_id = 10").unionAll(odd_docs.filter("doc_id = 10"))
     a, b = phrases.remove_repeats(twice).collect()
