@@ -120,7 +120,8 @@ def fit(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str
             yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1)), pa.array(np.append(w[at], bias))],
                                              names=["feature", "weight"])
 
-    rows = features(sample).repartition(1).mapInArrow(train, model).collect()
+    examples = features(sample).select(F.struct("row.id", "row.y").alias("row"), "feats")      # texts stay behind
+    rows = examples.repartition(1).mapInArrow(train, model).collect()
     found = [(r[0], r[1]) for r in rows if r[0] >= 0]
     bias = next((r[1] for r in rows if r[0] < 0), -np.inf)
     return np.array([f for f, _ in found], dtype=np.int64), np.array([w for _, w in found]), float(bias)
