@@ -17,9 +17,9 @@ probability of their weighted Jaccard similarity.  Equal bands make candidates.
 4. Components of the verified links are the classes.
 
 A group whose texts exceed ``BLOCK_BYTES`` is dealt to several tasks, each with
-the group's first ``HUBS`` units beside its own; units that meet no hub's class
-are then compared with all blocks of their group, so no pair of band mates is
-left out, no task holds an unbounded group and nothing is capped.
+the group's first ``HUBS`` units beside its own; then the band mates whose
+classes still differ meet in the buckets of their bands, so no pair of band
+mates is left out and nothing is capped.
 
 Defined results: a text without words is in no class but its own row's; a text
 of fewer than five words is one shingle; repeated rows are exact copies; ids
@@ -30,6 +30,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -44,6 +45,8 @@ THRESHOLD = 0.8
 BANDS, ROWS = 10, 3
 DF_BITS = 16
 BLOCK_BYTES = 6 << 20
+#: Bytes of text up to which small keys are compared in one go.
+GATHER_BYTES = 1 << 20
 HUBS = 64
 _U = np.uint64
 
@@ -205,46 +208,57 @@ def _candidate_links(units: DataFrame) -> DataFrame:
 _LINK = T.StructType([T.StructField("u", T.BinaryType()), T.StructField("v", T.BinaryType())])
 
 
-def _verify(rows: DataFrame, idf, threshold: float) -> DataFrame:
-    """Verified links of each (group, block).  Units marked ``query`` are
-    compared with all of the block, others only where no unit is marked."""
+def _verify(rows: DataFrame, keys: list[str], idf, threshold: float) -> DataFrame:
+    """Verified links among the rows of each key.  A row's ``label`` names its
+    class so far; where ``at`` is a band (not -1), a pair is compared only under
+    the first band that it shares.  Small keys are compared several at a time."""
     def run(batches):
-        table, key, held = idf.value, None, []
+        table, key, held, starts, n, size = idf.value, None, [], [], 0, 0
         for batch in batches:
-            groups, blocks = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            if not batch.num_rows:
+                continue
+            upto = np.append(0, np.cumsum(pc.binary_length(batch.column(len(keys) + 4)).to_numpy()))
             lo = 0
-            for i, now in enumerate(zip(groups, blocks)):
+            for i, now in enumerate(zip(*(batch.column(k).to_pylist() for k in range(len(keys))))):
                 if now != key:
-                    if i > lo:
-                        held.append(batch.slice(lo, i - lo))
-                    if held:
-                        yield _block_links(held, table, threshold)
-                    key, held, lo = now, [], i
+                    if size + upto[i] - upto[lo] >= GATHER_BYTES:
+                        yield _block_links([*held, batch.slice(lo, i - lo)], len(keys), starts, table, threshold)
+                        held, starts, n, size, lo = [], [], 0, 0, i
+                    starts.append(n + i - lo)
+                    key = now
             held.append(batch.slice(lo))
+            n += batch.num_rows - lo
+            size += upto[-1] - upto[lo]
         if held:
-            yield _block_links(held, table, threshold)
+            yield _block_links(held, len(keys), starts, table, threshold)
 
-    dealt = rows.select("component", "block", "unit", "query", "bands", "text")
-    return (dealt.repartition("component", "block").sortWithinPartitions("component", "block", "unit")
-            .mapInArrow(run, _LINK))
+    dealt = rows.select(*keys, "unit", "bands", "label", "at", "text")
+    return dealt.repartition(*keys).sortWithinPartitions(*keys, "unit").mapInArrow(run, _LINK)
 
 
-def _block_links(held: list[pa.RecordBatch], idf: np.ndarray, threshold: float) -> pa.RecordBatch:
+def _block_links(held: list[pa.RecordBatch], at_column: int, starts: list[int], idf: np.ndarray, threshold: float) -> pa.RecordBatch:
     rows = pa.Table.from_batches(held)
-    names = rows.column("unit").to_pylist()
-    query = np.array(rows.column("query").to_pylist(), dtype=bool)
+    names, bands, labels, at, texts = (rows.column(at_column + k) for k in range(5))
+    names, at = names.to_pylist(), at.to_numpy()
     n = len(names)
-    band = np.array(rows.column("bands").to_pylist(), dtype=np.int64).reshape(n, -1)
-    own = Bags(rows.column("text"), idf)
+    begin = np.repeat(starts, np.diff(np.append(starts, n)))
+    band = np.array(bands.to_pylist(), dtype=np.int64).reshape(n, -1)
+    own = Bags(texts, idf)
     mass = own.mass
-    label, some = np.arange(n), bool(query.any())
+    number: dict[bytes, int] = {}
+    label = np.array([number.setdefault(x, len(number)) for x in labels.to_pylist()])
     u, v = [], []
     for i in range(1, n):
-        near = (band[:i] == band[i]).sum(axis=1)
-        near[np.minimum(mass[:i], mass[i]) < threshold * np.maximum(mass[:i], mass[i])] = 0
-        if some and not query[i]:
-            near[~query[:i]] = 0
-        order = np.argsort(-near, kind="stable")[:int((near > 0).sum())]
+        b = int(begin[i])
+        if b == i:
+            continue
+        shared = band[b:i] == band[i]
+        near = shared.sum(axis=1)
+        near[np.minimum(mass[b:i], mass[i]) < threshold * np.maximum(mass[b:i], mass[i])] = 0
+        near[label[b:i] == label[i]] = 0
+        if at[i] >= 0:
+            near[shared.argmax(axis=1) != at[i]] = 0
+        order = b + np.argsort(-near, kind="stable")[:int((near > 0).sum())]
         for part in (order[:8], order[8:]):          # most shared bands first
             part = part[label[part] != label[i]]
             for j in part[own.similarities(i, part) >= threshold] if len(part) else ():
@@ -277,10 +291,10 @@ def classes(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", thre
     own = F.pmod(F.xxhash64("unit"), F.col("blocks")).cast("int")
     dealt = (members.join(hub, "unit", "left")
              .withColumn("block", F.explode(F.when(F.col("hub"), F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array(own))))
-             .withColumn("query", F.lit(False)))
-    links = stored(_verify(dealt.join(texts, "rk"), idf, threshold), "links")
+             .withColumn("label", F.col("unit")).withColumn("at", F.lit(-1)))
+    links = stored(_verify(dealt.join(texts, "rk"), ["component", "block"], idf, threshold), "links")
     if members.filter("blocks > 1").limit(1).count():
-        links = links.unionAll(stored(_leftovers(members, hub, links, texts, own, idf, threshold), "links"))
+        links = links.unionAll(stored(_across(members, links, texts, idf, threshold), "links"))
 
     merged = components(links, "classes").withColumnRenamed("node", "unit")
     alone = F.when(F.col("bands").isNotNull(), F.col("unit"))
@@ -295,18 +309,17 @@ def classes(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", thre
         (F.col("class").isNull() | (F.col("head.rk") == F.col("rk"))).alias("first"))
 
 
-def _leftovers(members, hub, links, texts, own, idf, threshold) -> DataFrame:
-    """Links of units of dealt groups that share no class with a hub, found by
-    comparing them with every block of their group."""
+def _across(members: DataFrame, links: DataFrame, texts: DataFrame, idf, threshold: float) -> DataFrame:
+    """Links of dealt groups between the classes that their blocks left: every
+    pair of band mates of different classes meets in the bucket of its first
+    common band."""
     label = components(links, "blocks").withColumnRenamed("node", "unit").withColumnRenamed("component", "label")
-    large = members.filter("blocks > 1").join(label, "unit", "left").withColumn("label", F.coalesce("label", "unit"))
-    reached = large.join(hub, "unit").select("label").distinct()
-    open_ = large.join(reached, "label", "left_anti").select("unit", F.lit(True).alias("query"))
-    marked = large.join(open_, "unit", "left").withColumn("query", F.coalesce("query", F.lit(False)))
-    groups = marked.filter("query").select("component").distinct()
-    dealt = marked.join(groups, "component", "left_semi").withColumn("block", F.explode(
-        F.when(F.col("query"), F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array(own))))
-    return _verify(dealt.join(texts, "rk"), idf, threshold)
+    rows = stored(members.filter("blocks > 1").join(label, "unit", "left").select(
+        "unit", "rk", "size", "bands", F.coalesce("label", "unit").alias("label")), "labels").select(
+        "*", F.posexplode("bands").alias("at", "hash"))
+    mixed = rows.groupBy("at", "hash").agg(F.min("label").alias("least"), F.max("label").alias("most")).filter("least != most")
+    dealt = rows.join(mixed.select("at", "hash"), ["at", "hash"])
+    return _verify(dealt.join(texts, "rk"), ["at", "hash"], idf, threshold)
 
 
 def keep_first(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:

@@ -4,6 +4,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -162,6 +163,41 @@ def test_near_duplicate_families(make_docs, options):
     assert sum(r.first for r in got.values()) == 62
 
 
+def drifting(n, seed, size=200, step=10):
+    """Versions of which each keeps all but ``step`` words of the one before."""
+    w = words(size, f"d{seed}x").split()
+    for k in range(n):
+        yield " ".join(w)
+        w[k * step % size:k * step % size + step] = [f"d{seed}v{k}x{j}" for j in range(step)]
+
+
+def brute_classes(texts):
+    """Least position of each text's class, over all pairs that share a band."""
+    table = np.concatenate([neardup.bags(w)[1] >> np.uint64(48) for t in texts
+                            for _, _, w in textscan.word_batches(pa.array([t]), textscan.SPACE, lower=True)]).astype(int)
+    df = np.maximum(1, np.bincount(table, minlength=1 << 16))
+    idf = (1 + np.log(np.maximum(1, len(texts) / df)) / np.log(len(texts) + 2)).astype(np.float32)
+    own = neardup.Bags(pa.array(texts), idf)
+    sig = []
+    for _, _, w in textscan.word_batches(pa.array(texts), textscan.SPACE, lower=True):
+        row, gram, count = neardup.bags(w)
+        sig.append(neardup.signatures(row, gram, neardup.weights(gram, count, idf), int(row.max()) + 1))
+    sig, label = np.concatenate(sig), np.arange(len(texts))
+    for i in range(1, len(texts)):
+        mates = np.flatnonzero((sig[:i] == sig[i]).any(axis=1))
+        for j in mates[own.similarities(i, mates) >= neardup.THRESHOLD] if len(mates) else ():
+            label[np.isin(label, (label[i], label[j]))] = min(label[i], label[j])
+    return label.tolist()
+
+
+@pytest.mark.parametrize("options", [{}, {"block_bytes": 6_000, "hubs": 20}])
+def test_drifting_family_matches_brute_force(make_docs, options):
+    texts = [t for s in range(3) for t in drifting(60, s)]
+    got = {r.id: r.class_id for r in neardup.classes(make_docs(list(enumerate(texts))), **options).collect()}
+    want = brute_classes(texts)
+    assert len(set(want)) < 30 and [got[i] for i in range(len(texts))] == want
+
+
 def test_near_duplicates_odd_rows(odd_docs, wide_docs, no_docs):
     rows = neardup.classes(odd_docs).collect()
     assert len(rows) == len(ODD)
