@@ -18,8 +18,11 @@ probability of their weighted Jaccard similarity.  Equal bands make candidates.
 
 A group whose texts exceed ``BLOCK_BYTES`` is dealt to several tasks, each with
 the group's first ``HUBS`` units beside its own; then the band mates whose
-classes still differ meet in the buckets of their bands, so no pair of band
-mates is left out and nothing is capped.
+classes still differ meet in the buckets of their bands, large buckets two
+bounded parts at a time.  No pair of band mates is left out, no task holds an
+unbounded group and nothing is capped.  The parts of a large bucket grow the
+number of its tasks as they grow the pairs: with the square, beside its main
+class linearly.
 
 Defined results: a text without words is in no class but its own row's; a text
 of fewer than five words is one shingle; repeated rows are exact copies; ids
@@ -217,7 +220,7 @@ def _verify(rows: DataFrame, keys: list[str], idf, threshold: float) -> DataFram
         for batch in batches:
             if not batch.num_rows:
                 continue
-            upto = np.append(0, np.cumsum(pc.binary_length(batch.column(len(keys) + 4)).to_numpy()))
+            upto = np.append(0, np.cumsum(pc.binary_length(batch.column(len(keys) + 6)).to_numpy()))
             lo = 0
             for i, now in enumerate(zip(*(batch.column(k).to_pylist() for k in range(len(keys))))):
                 if now != key:
@@ -232,14 +235,14 @@ def _verify(rows: DataFrame, keys: list[str], idf, threshold: float) -> DataFram
         if held:
             yield _block_links(held, len(keys), starts, table, threshold)
 
-    dealt = rows.select(*keys, "unit", "bands", "label", "at", "text")
+    dealt = rows.select(*keys, "unit", "bands", "label", "at", "part", "apart", "text")
     return dealt.repartition(*keys).sortWithinPartitions(*keys, "unit").mapInArrow(run, _LINK)
 
 
 def _block_links(held: list[pa.RecordBatch], at_column: int, starts: list[int], idf: np.ndarray, threshold: float) -> pa.RecordBatch:
     rows = pa.Table.from_batches(held)
-    names, bands, labels, at, texts = (rows.column(at_column + k) for k in range(5))
-    names, at = names.to_pylist(), at.to_numpy()
+    names, bands, labels, at, part_of, apart, texts = (rows.column(at_column + k) for k in range(7))
+    names, at, part_of, apart = names.to_pylist(), at.to_numpy(), part_of.to_numpy(), apart.to_numpy()
     n = len(names)
     begin = np.repeat(starts, np.diff(np.append(starts, n)))
     band = np.array(bands.to_pylist(), dtype=np.int64).reshape(n, -1)
@@ -258,6 +261,8 @@ def _block_links(held: list[pa.RecordBatch], at_column: int, starts: list[int],
         near[label[b:i] == label[i]] = 0
         if at[i] >= 0:
             near[shared.argmax(axis=1) != at[i]] = 0
+        if apart[i]:
+            near[part_of[b:i] == part_of[i]] = 0
         order = b + np.argsort(-near, kind="stable")[:int((near > 0).sum())]
         for part in (order[:8], order[8:]):          # most shared bands first
             part = part[label[part] != label[i]]
@@ -291,10 +296,10 @@ def classes(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", thre
     own = F.pmod(F.xxhash64("unit"), F.col("blocks")).cast("int")
     dealt = (members.join(hub, "unit", "left")
              .withColumn("block", F.explode(F.when(F.col("hub"), F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array(own))))
-             .withColumn("label", F.col("unit")).withColumn("at", F.lit(-1)))
+             .withColumn("label", F.col("unit")).withColumn("at", F.lit(-1)).withColumn("part", F.lit(0)).withColumn("apart", F.lit(False)))
     links = stored(_verify(dealt.join(texts, "rk"), ["component", "block"], idf, threshold), "links")
     if members.filter("blocks > 1").limit(1).count():
-        links = links.unionAll(stored(_across(members, links, texts, idf, threshold), "links"))
+        links = links.unionAll(stored(_across(members, links, texts, idf, threshold, block_bytes), "links"))
 
     merged = components(links, "classes").withColumnRenamed("node", "unit")
     alone = F.when(F.col("bands").isNotNull(), F.col("unit"))
@@ -309,17 +314,39 @@ def classes(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", thre
         (F.col("class").isNull() | (F.col("head.rk") == F.col("rk"))).alias("first"))
 
 
-def _across(members: DataFrame, links: DataFrame, texts: DataFrame, idf, threshold: float) -> DataFrame:
+def _across(members: DataFrame, links: DataFrame, texts: DataFrame, idf, threshold: float, block_bytes: int) -> DataFrame:
     """Links of dealt groups between the classes that their blocks left: every
     pair of band mates of different classes meets in the bucket of its first
-    common band."""
+    common band, a bucket over ``block_bytes`` two parts at a time."""
     label = components(links, "blocks").withColumnRenamed("node", "unit").withColumnRenamed("component", "label")
     rows = stored(members.filter("blocks > 1").join(label, "unit", "left").select(
         "unit", "rk", "size", "bands", F.coalesce("label", "unit").alias("label")), "labels").select(
         "*", F.posexplode("bands").alias("at", "hash"))
-    mixed = rows.groupBy("at", "hash").agg(F.min("label").alias("least"), F.max("label").alias("most")).filter("least != most")
-    dealt = rows.join(mixed.select("at", "hash"), ["at", "hash"])
-    return _verify(dealt.join(texts, "rk"), ["at", "hash"], idf, threshold)
+    return _verify(_bucket_tasks(rows, block_bytes).join(texts, "rk"), ["at", "hash", "p", "q"], idf, threshold)
+
+
+def _bucket_tasks(rows: DataFrame, block_bytes: int) -> DataFrame:
+    """Rows of the buckets (at, hash) that hold several classes, a copy for each
+    task (p, q), p <= q, that compares parts p and q.  Parts have about half of
+    ``block_bytes``.  The ``main`` class, the bucket's largest, has parts of its
+    own, which meet only parts of other classes; a small bucket is one part."""
+    half = block_bytes / 2
+    sums = rows.groupBy("at", "hash", "label").agg(F.sum("size").alias("bytes"))
+    mixed = (sums.groupBy("at", "hash").agg(F.count("*").alias("labels"), F.sum("bytes").alias("bytes"),
+                                            F.max(F.struct("bytes", "label")).alias("most")).filter("labels > 1")
+             .withColumn("parted", F.col("bytes") > block_bytes)
+             .select("at", "hash", F.col("most.label").alias("main"),
+                     F.when(F.col("parted"), F.ceil((F.col("bytes") - F.col("most.bytes")) / half)).otherwise(1).cast("int").alias("others"),
+                     F.when(F.col("parted"), F.ceil(F.col("most.bytes") / half)).otherwise(0).cast("int").alias("mains")))
+    turn = F.xxhash64("unit", "at")
+    part = (F.when((F.col("mains") > 0) & (F.col("label") == F.col("main")), F.col("others") + F.pmod(turn, F.col("mains")))
+            .otherwise(F.pmod(turn, F.col("others"))).cast("int"))
+    last = F.when(F.col("part") < F.col("others"), F.col("others") + F.col("mains")).otherwise(F.col("others")) - 1
+    return (rows.join(mixed, ["at", "hash"]).withColumn("part", part)
+            .withColumn("other", F.explode(F.sequence(F.lit(0), last)))
+            .withColumn("p", F.least("part", "other")).withColumn("q", F.greatest("part", "other"))
+            .withColumn("apart", F.col("p") != F.col("q"))
+            .select("at", "hash", "p", "q", "rk", "unit", "size", "bands", "label", "part", "apart"))
 
 
 def keep_first(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:

@@ -198,6 +198,29 @@ def test_drifting_family_matches_brute_force(make_docs, options):
     assert len(set(want)) < 30 and [got[i] for i in range(len(texts))] == want
 
 
+def test_bucket_tasks_are_bounded_and_whole(spark):
+    unit = lambda i: i.to_bytes(16, "big")
+    # bucket 1: 300 classes; bucket 2: a class of 200 and 40 others; bucket 3: small; bucket 4: one class
+    buckets = {1: list(range(300)), 2: [500] * 200 + list(range(600, 640)), 3: [700, 701, 701], 4: [800] * 50}
+    rows = [(unit(1000 * h + k), 1000 * h + k, 100, [h], unit(c), 0, h) for h, own in buckets.items() for k, c in enumerate(own)]
+    table = spark.createDataFrame(rows, "unit binary, rk long, size long, bands array<long>, label binary, at int, hash long")
+    tasks = {}
+    for r in neardup._bucket_tasks(table, 2_000).collect():
+        tasks.setdefault((r.hash, r.p, r.q), []).append(r)
+    assert max(len(own) for own in tasks.values()) <= 60          # of 20 on average
+    met = {}
+    for own in tasks.values():
+        for i, a in enumerate(own):
+            for b in own[:i]:
+                if not a.apart or a.part != b.part:
+                    pair = frozenset((a.rk, b.rk))
+                    met[pair] = met.get(pair, 0) + 1
+    for h, own in buckets.items():
+        for i, c in enumerate(own):
+            assert all(met[frozenset((1000 * h + i, 1000 * h + j))] == 1 for j in range(i) if own[j] != c)
+    assert not any(h == 4 for h, _, _ in tasks)
+
+
 def test_near_duplicates_odd_rows(odd_docs, wide_docs, no_docs):
     rows = neardup.classes(odd_docs).collect()
     assert len(rows) == len(ODD)
