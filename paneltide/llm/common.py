@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir, ship_package
@@ -47,6 +47,12 @@ def row_key(id_col: str = "doc_id", text_col: str = "text") -> Column:
     return F.xxhash64(F.col(id_col), F.col(text_col))
 
 
+def one_per_key(df: DataFrame, key: str = "rk") -> DataFrame:
+    """One row of each key; the group limit leaves one per task before the shuffle."""
+    turn = F.row_number().over(Window.partitionBy(key).orderBy(key))
+    return df.withColumn("turn", turn).filter("turn = 1").drop("turn")
+
+
 def rows_as_structs(df: DataFrame) -> DataFrame:
     """Each row as one struct column ``row``: whatever an operator adds beside
     it cannot clash with a column of the input."""

@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import textscan as ts
-from .common import broadcast_value, row_key, rows_as_structs, stored
+from .common import broadcast_value, one_per_key, row_key, rows_as_structs, stored
 from .components import components
 
 SHINGLE = 5
@@ -288,7 +288,7 @@ def classes(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", thre
     blocks = (members.groupBy("component").agg(F.sum("size").alias("bytes"))
               .select("component", F.ceil(F.col("bytes") / block_bytes).cast("int").alias("blocks")))
     members = stored(members.join(blocks, "component"), "members")
-    texts = docs.select(row_key(doc_id, text).alias("rk"), F.col(text).alias("text"))
+    texts = one_per_key(docs.select(row_key(doc_id, text).alias("rk"), F.col(text).alias("text")))
 
     rank = F.row_number().over(Window.partitionBy("component").orderBy("unit"))
     hub = (members.filter("blocks > 1").select("component", "unit", rank.alias("k")).filter(F.col("k") <= hubs)

@@ -17,6 +17,10 @@ document), judged on the input.
    occurrence but the first becomes a removal range.
 4. Ranges return to their documents by row key.
 
+Equal rows share a row key.  A task reads them once, and the places and ranges
+of a key are sets, so both are bounded by the row's words however often it is
+repeated.
+
 An anchor with more than ``HOT`` occurrences is dealt by whole windows instead,
 so a frequent phrase with many different surroundings spreads over shards; a
 frequent window alone needs one entry of memory, since its shard reads it as a
@@ -93,13 +97,26 @@ def _grouped(keys: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, list[byt
     return keys[at], [raw[size * b:size * e] for b, e in zip(at.tolist(), ends.tolist())]
 
 
+def _unseen(batch: pa.RecordBatch, column: int, seen: set[int]) -> pa.RecordBatch:
+    """The rows whose key in ``column`` is not in ``seen`` yet, one of each key."""
+    new = []
+    for i, key in enumerate(batch.column(column).to_pylist()):
+        if key not in seen:
+            seen.add(key)
+            new.append(i)
+    return batch if len(new) == batch.num_rows else batch.take(pa.array(new, pa.int64()))
+
+
 def _anchors(docs: DataFrame, window: int, gram: int) -> DataFrame:
     """(anchor, places): a row for each anchor of a piece of a batch, so that a
-    frequent anchor is gathered before the shuffle."""
+    frequent anchor is gathered before the shuffle.  A task reads a repeated row
+    once."""
     schema = T.StructType([T.StructField("anchor", T.LongType()), T.StructField("places", T.BinaryType())])
 
     def run(batches):
+        seen: set[int] = set()
         for batch in batches:
+            batch = _unseen(batch, 0, seen)
             keys = batch.column(0).to_numpy()
             for lo, _, words in ts.word_batches(batch.column(1), ts.SPACE):
                 h, _, first, _ = anchor_runs(words, window, gram)
@@ -135,13 +152,16 @@ def _recurring_runs(anchors: DataFrame, hot: int) -> DataFrame:
 def _fragments(chosen: DataFrame, window: int, gram: int, text: str) -> DataFrame:
     """Fragments of the chosen runs: (key, id, rk, start, words, more).  Equal
     fragments of a piece are one row with the places beyond the first in
-    ``more``, so a frequent fragment is gathered before the shuffle."""
+    ``more``, so a frequent fragment is gathered before the shuffle.  A task
+    reads a repeated row once."""
     schema = T.StructType([
         T.StructField("key", T.LongType()), T.StructField("id", T.LongType()), T.StructField("rk", T.LongType()),
         T.StructField("start", T.IntegerType()), T.StructField("words", T.BinaryType()), T.StructField("more", T.BinaryType())])
 
     def run(batches):
+        seen: set[int] = set()
         for batch in batches:
+            batch = _unseen(batch, 2, seen)
             ids, rks = batch.column(1).to_numpy(), batch.column(2).to_numpy()
             runs = batch.column(3)
             for lo, hi, words in ts.word_batches(field(batch, text), ts.SPACE):
@@ -284,11 +304,11 @@ def remove_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text
     joined by one space."""
     base = rows_as_structs(docs).withColumn("rk", F.xxhash64(f"row.{doc_id}", f"row.{text}"))
     anchors = _anchors(base.select("rk", F.col(f"row.{text}").alias("text")), window, gram)
-    runs = _recurring_runs(anchors, hot).groupBy("rk").agg(F.collect_list(F.struct("at", "hot", "anchor")).alias("runs"))
+    runs = _recurring_runs(anchors, hot).groupBy("rk").agg(F.collect_set(F.struct("at", "hot", "anchor")).alias("runs"))
     order = F.coalesce(F.col(f"row.{doc_id}").cast("long"), F.lit(-(1 << 63)))
     chosen = base.join(runs, "rk").select("row", order.alias("id"), "rk", "runs")
     ranges = (_ranges(_fragments(chosen, window, gram, text), window, shard_fragments)
-              .groupBy("rk").agg(F.collect_list(F.struct("start", "length")).alias("ranges")))
+              .groupBy("rk").agg(F.collect_set(F.struct("start", "length")).alias("ranges")))
     schema = T.StructType([
         T.StructField("row", docs.schema), T.StructField("n_words", T.LongType()),
         T.StructField("n_removed", T.LongType()), T.StructField("kept", T.StringType())])

@@ -2,6 +2,7 @@
 
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -340,6 +341,29 @@ def test_repeats_odd_rows(odd_docs, wide_docs, no_docs):
     assert a.n_removed == b.n_removed < a.n_words
 
 
+def test_repeated_rows_are_read_once(make_docs, monkeypatch):
+    rows = [(7, words(80, "r"))] * 400 + [(8, words(60, "r", 20)), (9, words(40, "q"))]
+    docs = make_docs(rows).repartition(5)
+    most = {}
+
+    def watch(module, name, column):
+        inner = getattr(module, name)
+
+        def outer(df, *args):
+            most[name] = df.groupBy("rk").agg(column.alias("size")).agg(F.max("size")).first()[0]
+            return inner(df, *args)
+        monkeypatch.setattr(module, name, outer)
+
+    watch(phrases, "_fragments", F.max(F.size("runs")))
+    watch(phrases, "_ranges", F.sum(F.lit(1) + F.coalesce(F.length("more") / 20, F.lit(0))))
+    got = phrases.remove_repeats(docs).collect()
+    assert most["_fragments"] <= 80 and most["_ranges"] <= 5 * 80        # at most once a task
+    assert Counter((r.row.doc_id, r.n_removed) for r in got) == {(7, 0): 400, (8, 60): 1, (9, 0): 1}
+    watch(neardup, "_verify", F.count("*"))
+    assert {r.class_size for r in neardup.classes(make_docs([*rows, (10, words(79, "r"))])).collect() if r.id in (7, 10)} == {401}
+    assert most["_verify"] == 1
+
+
 # --- warc
 
 def test_warc_round_trip(spark, tmp_path):
