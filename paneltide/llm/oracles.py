@@ -62,3 +62,36 @@ SELECT dw.doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hi
        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated
 FROM dw LEFT JOIN nh USING (doc_id) LEFT JOIN it USING (doc_id)
 """
+
+# crc32 byte by byte from the decimal digits, as DuckDB has no function for it.
+# A run is an island of matches on one lag that no run of a shorter period holds.
+ORACLE["op12_periodic_runs"] = r"""
+WITH base AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws,
+    xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(coalesce(doc_id::VARCHAR, ''), ''), lambda c: ascii(c)::BIGINT)),
+      lambda acc, b: list_reduce(list_prepend(xor(acc, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+        lambda c, z: xor(c >> 1, 3988292384::BIGINT * (c & 1)))), 4294967295::BIGINT) AS h
+  FROM documents),
+par AS (SELECT doc_id, ws, h, len(ws)::BIGINT AS n, CASE WHEN len(ws) > 0 THEN (h // 10) % len(ws) END AS a FROM base),
+per AS (SELECT *, 1 + (n - a) // (3 + (h // 10) % 8) AS p FROM par),
+seq AS (
+  SELECT doc_id, n, CASE WHEN h % 10 = 0 AND n > 0
+    THEN list_transform(range(n), lambda i: ws[(CASE WHEN i < a THEN i ELSE a + (i - a) % p END) + 1]) ELSE ws END AS ws
+  FROM per),
+w AS (SELECT doc_id, n, unnest(ws) AS x, generate_subscripts(ws, 1)::BIGINT - 1 AS i FROM seq),
+m AS (
+  SELECT b.doc_id, b.i, b.i - a.i AS d FROM w a JOIN w b ON a.doc_id = b.doc_id AND a.x = b.x AND b.i > a.i AND 4 * (b.i - a.i) <= b.n),
+isl AS (SELECT doc_id, d, i, i - row_number() OVER (PARTITION BY doc_id, d ORDER BY i) AS g FROM m),
+cand AS (
+  SELECT doc_id, min(i) - d AS s, count(*) + d AS l, d AS q FROM isl GROUP BY doc_id, d, g HAVING count(*) >= greatest(6 - d, 3 * d)),
+runs AS (
+  SELECT * FROM cand c WHERE NOT EXISTS (
+    SELECT 1 FROM cand o WHERE o.doc_id = c.doc_id AND o.q < c.q AND o.s <= c.s AND o.s + o.l >= c.s + c.l)),
+best AS (SELECT * FROM runs QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY l DESC, s, q) = 1),
+listed AS (SELECT doc_id, count(*) AS n_runs, string_agg(s || ',' || l || ',' || q || chr(10), '' ORDER BY s, q) AS t FROM runs GROUP BY doc_id),
+gone AS (SELECT DISTINCT doc_id, unnest(range(s + q, s + l)) AS i FROM runs),
+kept AS (SELECT w.doc_id, string_agg(x, ' ' ORDER BY i) AS t FROM w ANTI JOIN gone USING (doc_id, i) GROUP BY w.doc_id)
+SELECT seq.doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, s::BIGINT AS "start", l::BIGINT AS length, q::BIGINT AS period,
+       (1000 * l // q)::BIGINT AS exponent_milli, sha256(coalesce(listed.t, '')) AS runs_sha256, sha256(coalesce(kept.t, '')) AS collapsed_sha256
+FROM seq LEFT JOIN best USING (doc_id) LEFT JOIN listed USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""

@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, langid, neardup, packing, phrases, pii, quality, secrets, toxicity, warc
+from . import decontam, langid, neardup, packing, periodic, phrases, pii, quality, secrets, toxicity, warc
 from .common import remainder_of_id, table
 
 #: Scores from which a document counts as toxic.
@@ -87,6 +87,16 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("row.doc_id").alias("doc_id"), (remainder_of_id("row.doc_id", 3) == 1).alias("held_out"), "lang_pred", "score")
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", periodic.planted(F.col("doc_id"), F.col("text")).alias("text"))
+    found = periodic.find_runs(docs).select("*", periodic.longest(F.col("runs")).alias("best"))
+    line = lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])
+    listed = F.array_join(F.transform("runs", lambda r: F.concat(line(r), F.lit("\n"))), "")
+    return found.select(F.col("row.doc_id").alias("doc_id"), F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+                        F.expr("best.length * 1000 div best.period").alias("exponent_milli"),
+                        F.sha2(listed.cast("binary"), 256).alias("runs_sha256"), F.sha2(F.col("kept").cast("binary"), 256).alias("collapsed_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_toxicity, op2_packing, op3_secrets, op4_near_duplicates, op5_quality, op6_pii, op7_substring_dedup, op8_warc,
-    op9_decontamination, op10_language_id)}
+    op9_decontamination, op10_language_id, op12_periodic_runs)}
