@@ -31,6 +31,21 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class workspace:
+    """Tables of one job below a new shared folder, removed when no longer read."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.path = spark, shared_folder(spark, name)
+
+    def stored(self, df: DataFrame, name: str) -> DataFrame:
+        df.write.option("compression", "zstd").parquet(f"{self.path}/{name}")
+        return self.spark.read.schema(df.schema).parquet(f"{self.path}/{name}")
+
+    def remove(self) -> None:
+        where = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        where.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` computed once: a lambda's variable is a
     computed value, where a repeated expression would be computed again."""

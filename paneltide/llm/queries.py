@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, langid, neardup, packing, periodic, phrases, pii, quality, secrets, toxicity, warc
+from . import crosstok, decontam, langid, neardup, packing, periodic, phrases, pii, quality, secrets, toxicity, warc
 from .common import remainder_of_id, table
 
 #: Scores from which a document counts as toxic.
@@ -87,6 +87,12 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("row.doc_id").alias("doc_id"), (remainder_of_id("row.doc_id", 3) == 1).alias("held_out"), "lang_pred", "score")
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = crosstok.align_corpus(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN, public_tokenizers.path(PIECES))
+    return found.select(F.col("row.doc_id").alias("doc_id"), *crosstok.MEASURES, "n_best", "count_sum", "groups_sha256")
+
+
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", periodic.planted(F.col("doc_id"), F.col("text")).alias("text"))
     found = periodic.find_runs(docs).select("*", periodic.longest(F.col("runs")).alias("best"))
@@ -99,4 +105,4 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_toxicity, op2_packing, op3_secrets, op4_near_duplicates, op5_quality, op6_pii, op7_substring_dedup, op8_warc,
-    op9_decontamination, op10_language_id, op12_periodic_runs)}
+    op9_decontamination, op10_language_id, op11_token_alignment, op12_periodic_runs)}
