@@ -95,3 +95,22 @@ SELECT seq.doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, s::BIGINT AS "start",
        (1000 * l // q)::BIGINT AS exponent_milli, sha256(coalesce(listed.t, '')) AS runs_sha256, sha256(coalesce(kept.t, '')) AS collapsed_sha256
 FROM seq LEFT JOIN best USING (doc_id) LEFT JOIN listed USING (doc_id) LEFT JOIN kept USING (doc_id)
 """
+
+# Bytes as pairs of hexadecimal digits.  A byte is gone if the last late window at
+# or before it began less than 100 bytes ago.
+ORACLE["op13_suffix_dedup"] = r"""
+WITH base AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS hx FROM documents),
+byte AS (SELECT doc_id, unnest(range(len(hx) // 2)) AS s, len(hx) // 2 AS n, hx FROM base),
+win AS (SELECT doc_id, s, substr(hx, 2 * s + 1, 2) AS b, CASE WHEN s + 100 <= n THEN md5(substr(hx, 2 * s + 1, 200)) END AS k FROM byte),
+late AS (SELECT doc_id, s, b, k IS NOT NULL AND row_number() OVER (PARTITION BY k ORDER BY doc_id, s) > 1 AS late FROM win),
+gone AS (
+  SELECT doc_id, s, b, coalesce(s - max(CASE WHEN late THEN s END) OVER (PARTITION BY doc_id ORDER BY s ROWS UNBOUNDED PRECEDING) < 100, false) AS gone
+  FROM late),
+edge AS (SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY s), false) AS opens FROM gone),
+done AS (
+  SELECT doc_id, count(*) AS n, sum(gone::BIGINT) AS m, sum(opens::BIGINT) AS spans, string_agg(b, '' ORDER BY s) FILTER (WHERE NOT gone) AS kept
+  FROM edge GROUP BY doc_id)
+SELECT base.doc_id, coalesce(n, 0)::BIGINT AS n_bytes, coalesce(m, 0)::BIGINT AS n_removed, coalesce(spans, 0)::BIGINT AS n_spans,
+       sha256(unhex(coalesce(kept, ''))) AS kept_sha256
+FROM base LEFT JOIN done USING (doc_id)
+"""

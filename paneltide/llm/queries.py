@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import crosstok, decontam, langid, neardup, packing, periodic, phrases, pii, quality, secrets, toxicity, warc
+from . import crosstok, decontam, langid, neardup, packing, periodic, phrases, pii, quality, secrets, suffixes, toxicity, warc
 from .common import remainder_of_id, table
 
 #: Scores from which a document counts as toxic.
@@ -103,6 +103,12 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(listed.cast("binary"), 256).alias("runs_sha256"), F.sha2(F.col("kept").cast("binary"), 256).alias("collapsed_sha256"))
 
 
+def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffixes.remove_repeats(docs).select(F.col("row.doc_id").alias("doc_id"), "n_bytes", "n_removed", "n_spans",
+                                                F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_toxicity, op2_packing, op3_secrets, op4_near_duplicates, op5_quality, op6_pii, op7_substring_dedup, op8_warc,
-    op9_decontamination, op10_language_id, op11_token_alignment, op12_periodic_runs)}
+    op9_decontamination, op10_language_id, op11_token_alignment, op12_periodic_runs, op13_suffix_dedup)}
