@@ -44,6 +44,8 @@ from .packing import read_ranks
 #: Segments that a task remembers, and texts (in characters) that it aligns at once.
 CACHE_SEGMENTS = 400_000
 PIECE_CHARS = 2 << 20
+#: Characters of segments that are tokenised in one go.
+CHUNK_CHARS = 100_000
 #: Groups of A ids between which links are dealt, and bytes of links to one task.
 BUCKETS = 8
 TASK_BYTES = 16 << 20
@@ -75,42 +77,71 @@ class Vocabularies:
         self.code = np.uint32 if (len(self.length_a)) * self.size_b < 1 << 32 else np.uint64
 
     def segments(self, text: str) -> list[str]:
-        """Parts of space + text that both vocabularies spell independently."""
-        return _CUT.split(" " + text) if self.apart else [" " + text]
-
-
-def _flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
-    size = np.array([len(x) for x in lists], dtype=np.int64)
-    return np.fromiter((i for x in lists for i in x), dtype=np.int64, count=int(size.sum())), size
+        """Parts of space + text that both vocabularies spell independently, each
+        with the space it begins with."""
+        if not self.apart:
+            return [" " + text]
+        first, *rest = _CUT.split(" " + text)
+        return [first, *[" " + s for s in rest]]
+
+
+def _runs(segments: list[str]) -> tuple[list[list[str]], list[list[str]]]:
+    """Segments to tokenise in one go, as they would stand side by side in a text,
+    and those that must stay alone: with white space at an end."""
+    runs, alone, size = [], [], CHUNK_CHARS
+    for s in segments:
+        if s[1:2].isspace() or s[-1:].isspace():
+            alone.append([s])
+            continue
+        if size >= CHUNK_CHARS:
+            runs.append([])
+            size = 0
+        runs[-1].append(s)
+        size += len(s)
+    return runs, alone
+
+
+def _tokens(v: Vocabularies, run: list[str]):
+    """(A ids, B ids) of a run of segments, or None if B does not spell it."""
+    text = "".join(run)
+    b = v.b.encode(text[1:])
+    return (v.a.encode_ordinary(text), b) if b"".join([v.bytes_b[i] for i in b]) == text.encode() else None
 
 
 def align(v: Vocabularies, segments: list[str]):
-    """Of each segment: (whether both spell it, n_a, n_b, n_groups, n_links,
-    groups as text), and the codes of all links in order of segment."""
-    # each segment begins with a space; B adds it of its own (and the cut took it from all but the first)
-    whole = [s if s[:1] == " " else " " + s for s in segments]
-    ids_a, ids_b = v.a.encode_ordinary_batch(whole, num_threads=1), v.b.encode([s[1:] for s in whole], num_threads=1)
-    spelled = [s.encode() for s in whole]
-    ok = np.array([b"".join([v.bytes_b[i] for i in b]) == s for b, s in zip(ids_b, spelled)], dtype=bool)
-    (a, n_a), (b, n_b) = _flat([x if k else [] for x, k in zip(ids_a, ok)]), _flat([x if k else [] for x, k in zip(ids_b, ok)])
-    owner = np.repeat(np.arange(len(segments)), n_a)
+    """The segments in the order of the results; of each whether both spell it,
+    (n_a, n_b, n_groups, n_links) and the groups as text; and the codes of all
+    links in order of segment."""
+    order, ok, a, b, size = [], [], [], [], []
+    runs, alone = _runs(segments)
+    for run in [*runs, *alone]:
+        got = _tokens(v, run)
+        for part, found in [(run, got)] if got or len(run) == 1 else [([s], _tokens(v, [s])) for s in run]:
+            order += part
+            ok += [found is not None] * len(part)
+            size += [len(s.encode()) if found else 0 for s in part]
+            if found:
+                a += found[0]
+                b += found[1]
+    a, b, n = np.array(a, np.int64), np.array(b, np.int64), len(order)
+    ends = np.cumsum(size)
     ends_a, ends_b = np.cumsum(v.length_a[a]), np.cumsum(v.length_b[b])
     both = np.intersect1d(ends_a, ends_b, assume_unique=True)
     every = np.union1d(ends_a, ends_b)                      # a link ends where either of its tokens ends
-    link_a, link_b = np.searchsorted(ends_a, every), np.searchsorted(ends_b, every)
-    codes = (a[link_a] * v.size_b + b[link_b]).astype(v.code)
-    last_a, last_b = np.searchsorted(ends_a, both) + 1, np.searchsorted(ends_b, both) + 1
-    of_group = owner[last_a - 1]
-    n = len(segments)
-    n_groups, n_links = np.bincount(of_group, minlength=n), np.bincount(owner[link_a], minlength=n)
-    text_a, text_b = list(map(str, a.tolist())), list(map(str, b.tolist()))
-    groups, from_a, from_b = [], 0, 0
-    for to_a, to_b in zip(last_a.tolist(), last_b.tolist()):
-        groups.append(",".join(text_a[from_a:to_a]) + "|" + ",".join(text_b[from_b:to_b]))
-        from_a, from_b = to_a, to_b
-    at = np.concatenate(([0], np.cumsum(n_groups))).tolist()
-    listed = [";".join(groups[i:j]).encode() for i, j in zip(at[:-1], at[1:])]
-    return ok, np.stack([n_a, n_b, n_groups, n_links]), listed, codes
+    codes = (a[np.searchsorted(ends_a, every)] * v.size_b + b[np.searchsorted(ends_b, every)]).astype(v.code)
+    counted = [np.diff(np.searchsorted(x, ends, side="right"), prepend=0) for x in (ends_a, ends_b, both, every)]
+    # groups as text: A's ids, then B's, each with the mark that follows it
+    group = np.concatenate((np.searchsorted(both, ends_a), np.searchsorted(both, ends_b)))
+    side = np.repeat([0, 1], [len(a), len(b)])
+    place = np.lexsort((side, group))
+    group, side = group[place], side[place]
+    mark = np.full(len(place), 2)
+    mark[:-1] = np.where(group[1:] != group[:-1], 2, side[1:] - side[:-1])
+    at = np.cumsum(counted[0] + counted[1])
+    mark[at[at > 0] - 1] = 3
+    parts = [i + m for i, m in zip(map(str, np.concatenate((a, b))[place].tolist()), [",|;"[k:k + 1] for k in mark.tolist()])]
+    listed = ["".join(parts[i:j]).encode() for i, j in zip([0, *at[:-1].tolist()], at.tolist())]
+    return order, np.array(ok, bool), np.stack(counted).reshape(4, n), listed, codes
 
 
 class Aligner:
@@ -129,14 +160,11 @@ class Aligner:
     def _learn(self, parts: list[list[str]]) -> None:
         if len(self.number) > self.remember:
             self._forget()
-        known, new = self.number, []
-        for own in parts:
-            for s in own:
-                if s not in known:
-                    known[s] = len(known)
-                    new.append(s)
+        known = self.number
+        new = {s: None for own in parts for s in own if s not in known}
         if new:
-            ok, sizes, listed, codes = align(self.v, new)
+            order, ok, sizes, listed, codes = align(self.v, list(new))
+            known.update(zip(order, range(len(known), len(known) + len(order))))
             self.ok, self.sizes = np.concatenate((self.ok, ok)), np.concatenate((self.sizes, sizes), axis=1)
             self.first = np.concatenate((self.first, self.first[-1] + np.cumsum(sizes[3])))
             self.codes = np.concatenate((self.codes, codes))
