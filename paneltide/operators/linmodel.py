@@ -322,7 +322,7 @@ def cusum_process(df: DataFrame, fit: OLSFit, order: Sequence[str], keep: Sequen
     from .prefix import prefix_sum
     d = complete_cases(df, [fit.y, *fit.xs]).select(*order, *keep, fit.resid_col().alias("_e"))
     scale = math.sqrt(fit.sigma2()) * math.sqrt(fit.n)
-    cs = prefix_sum(d, order, "_e", out="_cs", index="idx", partitions=partitions)
+    cs = prefix_sum(d, order, "_e", out="_cs", index="idx", partitions=partitions, rows=fit.n)
     return cs.select("idx", *order, *keep, (F.col("_cs") / F.lit(scale)).alias("process"))
 
 
@@ -331,7 +331,7 @@ def cusum_sup(df: DataFrame, fit: OLSFit, order: Sequence[str], partitions: int
     reaches the driver."""
     from .prefix import prefix_extremes
     d = complete_cases(df, [fit.y, *fit.xs]).select(*order, fit.resid_col().alias("_e"))
-    r = prefix_extremes(d, order, "_e", partitions).first()
+    r = prefix_extremes(d, order, "_e", partitions, rows=fit.n).first()
     return max(abs(r["hi"]), abs(r["lo"])) / (math.sqrt(fit.sigma2()) * math.sqrt(fit.n))
 
 

@@ -14,6 +14,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 
 def strict_sum(c: str) -> Column:
     """``sum`` that is NULL when any input is NULL (R's ``sum`` without na.rm)."""
@@ -131,10 +133,10 @@ def group_row_ranges(df: DataFrame, group: str, first: str = "first_row",
                      last: str = "last_row", partitions: int | None = None) -> DataFrame:
     """First/last 1-based row number of each group in a table ordered by group.
 
-    Only group sizes are aggregated; their running sum is the distributed one
-    (LONG throughout), so a billion groups never meet in one task.
+    Only group sizes are aggregated, once; their running sum is the distributed
+    one (LONG throughout), so a billion groups never meet in one task.
     """
     from .prefix import prefix_sum
-    counts = df.groupBy(group).agg(F.count(F.lit(1)).alias("_n"))
+    counts = cut_lineage(df.groupBy(group).agg(F.count(F.lit(1)).alias("_n")))
     ends = prefix_sum(counts, [group], "_n", out="_end", index="_i", partitions=partitions)
     return ends.select(group, (F.col("_end") - F.col("_n") + 1).alias(first), F.col("_end").alias(last))

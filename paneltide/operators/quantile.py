@@ -1,17 +1,16 @@
-"""Exact quantiles as Spark plans.
+"""Exact quantiles from two scans.
 
 ``percentile`` and ``median`` merge a value -> count map per group in one task:
 for a global or two-group quantile that is half the table in one place.  Here
-rows are dealt to value ranges (bounds from a bounded sample, the same in every
-plan that uses them):
 
-1. rows are counted per group and range, and the ranges that hold the wanted
-   ranks follow from running counts;
-2. only rows of those ranges are kept, equal values collapse to one row with a
-   count, and running counts inside a range find the wanted ranks.
+1. one scan aggregates a mergeable KLL sketch per group (a few ten kB, whatever
+   the data), which brackets each wanted rank between two of the group's values;
+2. one scan counts the values below each bracket, collapses those inside to one
+   row per distinct value, and drops the rest; running counts over a bracket's
+   values find the wanted rank.
 
-Two scans whatever the data; every window runs over one group's ranges or one
-range's distinct values, so a value held by a third of the rows is one row.
+A bracket is ``MARGIN`` times the sketch's error wide, so about one value in a
+hundred is inside; a rank that is not inside is an error, never a wrong value.
 Result: type-7 (linear interpolation) quantiles, NULL and NaN left out.
 """
 
@@ -19,40 +18,70 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expr import present
-from .prefix import range_bucket
+from ..session import cut_lineage
 
+#: Size parameter of the sketches, their rank error as a share of the rows (99%
+#: confidence) and how many times it a bracket reaches to either side.
+SKETCH_K = 4096
+RANK_ERROR = 2.296 / SKETCH_K ** 0.9021
+MARGIN = 4
+#: Values up to which a group's bracket is its whole range.
+FEW = 1_000
+#: Groups up to which their brackets are sent to every executor.
+BROADCAST_GROUPS = 100_000
 
-def quantile_table(df: DataFrame, value: str, probs: Sequence[float], group: str | None = None,
-                   partitions: int | None = None) -> DataFrame:
+
+def sketch(value: Column) -> Column:
+    return F.kll_sketch_agg_double(value, SKETCH_K)
+
+
+def brackets(sketches: DataFrame, probs: Sequence[float]) -> DataFrame:
+    """(..., p, k, frac, lo, hi) for each row of (..., s: sketch, n: values): the
+    lower of the two order statistics beside the wanted position h = (n - 1) p,
+    the way to the next, and values that enclose both."""
+    wide = MARGIN * RANK_ERROR + 2.0 / FEW
+    shares = F.array(*[F.lit(x) for p in probs for x in (max(0.0, p - wide), min(1.0, p + wide))], F.lit(0.0), F.lit(1.0))
+    found = sketches.withColumn("q", F.kll_sketch_get_quantile_double("s", shares)).drop("s")
+    few, last = F.col("n") < FEW, 2 * len(probs)
+    each = F.array(*[F.struct(F.lit(float(p)).alias("p"), F.when(few, F.col("q")[last]).otherwise(F.col("q")[2 * i]).alias("lo"),
+                              F.when(few, F.col("q")[last + 1]).otherwise(F.col("q")[2 * i + 1]).alias("hi")) for i, p in enumerate(probs)])
+    h = (F.col("n") - 1) * F.col("p")
+    return (found.filter("n > 0").select(*[c for c in found.columns if c != "q"], F.explode(each).alias("e")).select("*", "e.*").drop("e")
+            .withColumns({"k": F.floor(h).cast("long"), "frac": h - F.floor(h)}))
+
+
+def at_rank(value: Column, count: Column, rank: Column, by: Sequence[str]) -> Column:
+    """Value of 0-based ``rank`` among counted values, over the rows of ``by``
+    in order of ``value``; rows without a value come first and count as below."""
+    upto = F.sum(count).over(Window.partitionBy(*by).orderBy(value.asc_nulls_first()))
+    return F.when((rank >= upto - count) & (rank < upto), value)
+
+
+def interpolated(lower: Column, upper: Column, frac: Column) -> Column:
+    missed = F.raise_error(F.lit("a quantile lies outside its bracket")).cast("double")
+    return F.when(lower.isNull() | upper.isNull(), missed).otherwise(lower + frac * (upper - lower))
+
+
+def grouped_brackets(d: DataFrame, probs: Sequence[float]) -> DataFrame:
+    """Brackets of each group of (g, v), computed once; sent to every executor
+    while their number is small."""
+    found = cut_lineage(brackets(d.groupBy(F.col("g").alias("_g")).agg(sketch(F.col("v")).alias("s"), F.count(F.lit(1)).alias("n")), probs))
+    return F.broadcast(found) if found.count() <= BROADCAST_GROUPS * len(probs) else found
+
+
+def quantile_table(df: DataFrame, value: str, probs: Sequence[float], group: str | None = None) -> DataFrame:
     """(group, p, q): one row per group (NULL groups too) and probability."""
     g = F.col(group) if group else F.lit(0)
-    d = df.select(g.alias("g"), present(value).alias("v")).filter(F.col("v").isNotNull())
-    d = d.withColumn("b", range_bucket(d, ["v"], partitions))
-    ordered = Window.partitionBy("g").orderBy("b")
-    ranges = d.groupBy("g", "b").agg(F.count(F.lit(1)).alias("c"))
-    ranges = ranges.select("g", "b", "c", (F.sum("c").over(ordered) - F.col("c")).alias("below"),
-                           F.sum("c").over(Window.partitionBy("g")).alias("n"))
-    # The two order statistics beside each wanted position h = (n - 1) p.
-    h = (F.col("n") - 1) * F.col("p")
-    wanted = (ranges.select("*", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("p"))
-              .withColumns({"k": F.floor(h).cast("long"), "frac": h - F.floor(h)})
-              .select("*", F.explode(F.array(F.struct(F.lit(0).alias("side"), F.col("k").alias("rank")),
-                                             F.struct(F.lit(1).alias("side"), F.least(F.col("k") + 1, F.col("n") - 1).alias("rank")))).alias("w"))
-              .select("g", "b", "below", "p", "frac", "c", "w.side", "w.rank")
-              .filter((F.col("rank") >= F.col("below")) & (F.col("rank") < F.col("below") + F.col("c"))).drop("c"))
-    picked = wanted.select(F.col("g").alias("_g"), F.col("b").alias("_b")).distinct()
-    near = d.join(picked, F.col("g").eqNullSafe(F.col("_g")) & (F.col("b") == F.col("_b")), "left_semi")
-    values = near.groupBy("g", "b", "v").agg(F.count(F.lit(1)).alias("c"))
-    values = values.withColumn("upto", F.sum("c").over(Window.partitionBy("g", "b").orderBy("v")))
-    w, x = wanted.alias("w"), values.alias("x")
-    found = w.join(x, F.col("w.g").eqNullSafe(F.col("x.g")) & (F.col("w.b") == F.col("x.b"))).filter(
-        (F.col("rank") - F.col("below") < F.col("upto")) & (F.col("rank") - F.col("below") >= F.col("upto") - F.col("x.c")))
-    both = found.groupBy(F.col("w.g").alias("g"), "p").agg(
-        F.max("frac").alias("frac"), F.max(F.when(F.col("side") == 0, F.col("v"))).alias("lo"),
-        F.max(F.when(F.col("side") == 1, F.col("v"))).alias("hi"))
-    out = both.select("g", "p", (F.col("lo") + F.col("frac") * (F.col("hi") - F.col("lo"))).alias("q"))
+    d = df.select(g.alias("g"), present(value).cast("double").alias("v")).filter(F.col("v").isNotNull())
+    near = d.join(grouped_brackets(d, probs), F.col("g").eqNullSafe(F.col("_g"))).filter(F.col("v") <= F.col("hi"))
+    names = ["_g", "p", "k", "frac", "n"]
+    cells = near.groupBy(*names, F.when(F.col("v") >= F.col("lo"), F.col("v")).alias("v")).agg(F.count(F.lit(1)).alias("c"))
+    ranked = cells.select(*names, *[at_rank(F.col("v"), F.col("c"), r, ["_g", "p"]).alias(a) for a, r in
+                                    (("lower", F.col("k")), ("upper", F.least(F.col("k") + 1, F.col("n") - 1)))])
+    both = ranked.groupBy("_g", "p").agg(F.max("frac").alias("frac"), F.max("lower").alias("lower"), F.max("upper").alias("upper"))
+    out = both.select(F.col("_g").alias("g"), "p", interpolated(F.col("lower"), F.col("upper"), F.col("frac")).alias("q"))
     return out if group else out.drop("g")

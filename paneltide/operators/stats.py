@@ -9,13 +9,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import dist
 from ..functions.expr import mean_cents, present
 from ..session import ship_package
-from .quantile import quantile_table
+from .quantile import at_rank, grouped_brackets, interpolated
 
 
 def _mean(c: Column, exact_cents: bool) -> Column:
@@ -97,21 +97,38 @@ def variance_f_test(df: DataFrame, value: Column, group: str, levels=(0, 1)) ->
 def levene_median(df: DataFrame, value: Column, group: str) -> DataFrame:
     """Brown-Forsythe/Levene test centred on exact group medians.
 
-    Rows without a group or a value are left out.  The medians are a table of
-    one row per group that joins the rows (broadcast where AQE measures it
-    small); the ANOVA on |y - median| is one grouped aggregation.
+    Rows without a group or a value are left out.  Two scans: the first brackets
+    each group's median by a sketch; the second keeps the distinct values inside
+    the bracket and, for all others, the count, sum and sum of squares to either
+    side, from which the deviations from any point inside follow.
     """
     ship_package(df.sparkSession)
-    d = df.select(F.col(group).alias("g"), present(value).alias("v")).filter(F.col("g").isNotNull() & F.col("v").isNotNull())
-    med = quantile_table(d, "v", [0.5], "g").select("g", F.col("q").alias("med"))
-    z = F.abs(F.col("v") - F.col("med"))
-    per = d.join(med, "g").groupBy("g").agg(F.count(F.lit(1)).alias("n"), F.avg(z).alias("zm"), F.var_samp(z).alias("zv"))
+    d = df.select(F.col(group).alias("g"), present(value).cast("double").alias("v")).filter(F.col("g").isNotNull() & F.col("v").isNotNull())
+    side = F.when(F.col("v") < F.col("lo"), -1).when(F.col("v") > F.col("hi"), 1).otherwise(0)
+    centre = (F.col("lo") + F.col("hi")) / 2
+    names = ["_g", "n", "k", "frac", "centre"]
+    near = d.join(grouped_brackets(d, [0.5]), F.col("g") == F.col("_g")).withColumns({"side": side, "centre": centre})
+    u = F.col("v") - F.col("centre")
+    cells = near.groupBy(*names, "side", F.when(F.col("side") == 0, F.col("v")).alias("x")).agg(
+        F.count(F.lit(1)).alias("c"), F.sum(u).alias("s1"), F.sum(u * u).alias("s2"))
+    # below the bracket first, above it last
+    place = F.when(F.col("side") > 0, F.lit(float("inf"))).otherwise(F.col("x"))
+    own = Window.partitionBy("_g")
+    ranked = cells.select("*", *[at_rank(place, F.col("c"), r, ["_g"]).alias(a) for a, r in
+                                 (("lower", F.col("k")), ("upper", F.least(F.col("k") + 1, F.col("n") - 1)))])
+    med = interpolated(F.max("lower").over(own), F.max("upper").over(own), F.col("frac"))
+    m = F.col("med") - F.col("centre")
+    c, s1, s2 = F.col("c"), F.col("s1"), F.col("s2")
+    z1 = F.when(F.col("side") == 0, F.abs(F.col("x") - F.col("med")) * c).otherwise(F.col("side") * (s1 - c * m))
+    z2 = s2 - 2 * m * s1 + c * m * m
+    per = (ranked.withColumn("med", med).groupBy("_g", "n").agg(F.sum(z1).alias("z1"), F.sum(z2).alias("z2"))
+           .select("n", (F.col("z1") / F.col("n")).alias("zm"),
+                   F.try_divide(F.col("z2") - F.col("z1") * F.col("z1") / F.col("n"), F.col("n") - 1).alias("zv")))
+    tot = per.agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("k"), (F.sum(F.col("n") * F.col("zm")) / F.sum("n")).alias("zbar"))
+    off = F.col("zm") - F.col("zbar")
+    one = per.crossJoin(tot).groupBy("total", "k").agg(F.sum(F.col("n") * off * off).alias("between"),
+                                                   F.sum((F.col("n") - 1) * F.coalesce("zv", F.lit(0.0))).alias("within"))
     k = F.col("k")
-    tot = per.agg(F.sum("n").alias("N"), F.count(F.lit(1)).alias("k"),
-                  (F.sum(F.col("n") * F.col("zm")) / F.sum("n")).alias("zbar"),
-                  F.collect_list(F.struct("n", "zm", "zv")).alias("grp"))
-    between = F.aggregate("grp", F.lit(0.0), lambda acc, s: acc + s["n"] * (s["zm"] - F.col("zbar")) * (s["zm"] - F.col("zbar")))
-    within = F.aggregate("grp", F.lit(0.0), lambda acc, s: acc + (s["n"] - 1) * s["zv"])
-    out = tot.select(F.try_divide(F.try_divide(between, k - 1), F.try_divide(within, F.col("N") - k)).alias("statistic"),
-                     (k - 1).cast("int").alias("df1"), (F.col("N") - k).alias("df2"))
+    out = one.select(F.try_divide(F.try_divide(F.col("between"), k - 1), F.try_divide(F.col("within"), F.col("total") - k)).alias("statistic"),
+                     (k - 1).cast("int").alias("df1"), (F.col("total") - k).alias("df2"))
     return out.withColumn("p_value", dist.f_sf_col(F.col("statistic"), F.col("df1"), F.col("df2")))

@@ -387,19 +387,19 @@ SELECT variable, CAST(i AS INTEGER) AS i, {_r("x", 4)} AS x, {_r("fit", 4)} AS f
        {_r("fit - tq * se", 4)} AS lower, {_r("fit + tq * se", 4)} AS upper
 FROM h"""
 
-# ---- T16 KDE (linear binning on a fine grid, then fixed bins x 512)
+# ---- T16 KDE (linear binning to multiples of a power of two below bw / 64)
 ORACLE["kde_density"] = """
 WITH v AS (SELECT value AS v FROM events WHERE value IS NOT NULL AND NOT isnan(value)),
 s AS (SELECT count(*) AS n, stddev_samp(v) AS sd, min(v) AS lo, max(v) AS hi,
              quantile_cont(v, 0.25) AS q1, quantile_cont(v, 0.75) AS q3 FROM v),
-b AS (SELECT *, 0.9 * least(sd, (q3 - q1) / 1.34) * pow(n, -0.2) AS bw FROM s),
-pos AS (SELECT (v.v - b.lo) / ((b.hi - b.lo) / 4096.0) AS p FROM v, b),
-cell AS (SELECT least(CAST(floor(p) AS BIGINT), 4095) AS k, p FROM pos),
+b0 AS (SELECT *, 0.9 * least(sd, (q3 - q1) / 1.34) * pow(n, -0.2) AS bw FROM s),
+b AS (SELECT *, pow(2.0, floor(log2(bw / 64.0))) AS w FROM b0),
+cell AS (SELECT CAST(floor(v.v / b.w) AS BIGINT) AS k, v.v / b.w AS p FROM v, b),
 half AS (SELECT k, count(*) AS c, sum(p - k) AS f FROM cell GROUP BY k),
-w AS (SELECT k, sum(w) AS w FROM (SELECT k, c - f AS w FROM half UNION ALL SELECT k + 1, f FROM half) GROUP BY k),
+nodes AS (SELECT k, sum(w) AS weight FROM (SELECT k, c - f AS w FROM half UNION ALL SELECT k + 1, f FROM half) GROUP BY k),
 g AS (SELECT CAST(i AS INTEGER) AS i, lo + (hi - lo) * CAST(i AS DOUBLE) / 511.0 AS x FROM b, range(0, 512) t(i)),
-u AS (SELECT g.i, g.x, w.w, (g.x - (b.lo + w.k * ((b.hi - b.lo) / 4096.0))) / b.bw AS u FROM g, w, b),
-d AS (SELECT i, any_value(x) AS x, sum(w * exp(-0.5 * u * u)) AS s FROM u GROUP BY i)
+u AS (SELECT g.i, g.x, nodes.weight, (g.x - nodes.k * b.w) / b.bw AS u FROM g, nodes, b),
+d AS (SELECT i, any_value(x) AS x, sum(weight * exp(-0.5 * u * u)) AS s FROM u GROUP BY i)
 SELECT i, x, round(s / (n * bw * sqrt(2 * pi())), 9) AS density, round(bw, 9) AS bw FROM d, b"""
 
 # ---- T17/W6 residuals vs fitted of the full model

@@ -133,6 +133,64 @@ def test_kde_repeated_values_match_numpy(spark):
     assert np.allclose([r.density for r in out], expect, atol=1e-4 * expect.max())   # binning error
 
 
+@pytest.mark.parametrize("points", [2, 65])
+def test_kde_far_outlier_and_heavy_ties_match_numpy(spark, points):
+    """Bins follow the bandwidth: one far value changes nothing for the others,
+    and the error stays below 3.1e-5 of the kernel's peak per value."""
+    rng = np.random.default_rng(8)
+    for v in (np.append(rng.normal(0, 1, 3000), 1e7), np.append(np.repeat(3.0, 2000), rng.lognormal(0, 3, 1000))):
+        df = spark.createDataFrame([(float(x),) for x in v], "v double").repartition(3)
+        out = K.kde(df, "v", points=points).orderBy("i").collect()
+        sd, (a, b) = np.std(v, ddof=1), np.quantile(v, [0.25, 0.75])
+        bw = 0.9 * (min(sd, (b - a) / 1.34) or sd) * len(v) ** -0.2
+        assert all(r.bw == pytest.approx(bw, rel=1e-12) for r in out) and len(out) == points
+        xs = np.array([r.x for r in out])
+        want = np.exp(-0.5 * ((xs[:, None] - v[None, :]) / bw) ** 2).sum(1) / (len(v) * bw * math.sqrt(2 * math.pi))
+        assert np.abs([r.density for r in out] - want).max() <= 3.1e-5 / (bw * math.sqrt(2 * math.pi))
+
+
+def test_kde_given_bandwidth_and_no_values(spark):
+    v = np.random.default_rng(4).uniform(0, 10, 500)
+    df = spark.createDataFrame([(float(x),) for x in v], "v double")
+    out = K.kde(df, "v", points=16, bw=0.7).orderBy("i").collect()
+    xs = np.array([r.x for r in out])
+    want = np.exp(-0.5 * ((xs[:, None] - v[None, :]) / 0.7) ** 2).sum(1) / (500 * 0.7 * math.sqrt(2 * math.pi))
+    assert np.allclose([r.density for r in out], want, atol=3.1e-5 / 0.7)
+    assert K.kde(df.filter("v < 0"), "v").count() == 0
+
+
+def test_levene_matches_deviations_from_exact_medians(spark):
+    rng = np.random.default_rng(9)
+    v = np.concatenate([rng.normal(1e6, 1, 9000), rng.lognormal(3, 2, 12000), np.repeat(7.0, 500)])
+    g = np.concatenate([np.zeros(9000, int), np.ones(12000, int), np.full(500, 2)])
+    got = S.levene_median(spark.createDataFrame(list(zip(g.tolist(), v.tolist())), "g int, v double").repartition(4), F.col("v"), "g").first()
+    z = [np.abs(v[g == i] - np.median(v[g == i])) for i in range(3)]
+    n, mean = np.array([len(x) for x in z]), np.array([x.mean() for x in z])
+    all_ = (n * mean).sum() / n.sum()
+    want = ((n * (mean - all_) ** 2).sum() / 2) / (sum(((x - m) ** 2).sum() for x, m in zip(z, mean)) / (n.sum() - 3))
+    assert got.statistic == pytest.approx(want, rel=1e-9) and (got.df1, got.df2) == (2, n.sum() - 3)
+
+
+def test_many_ranges_in_a_plan_of_one_size(spark):
+    """Bounds are data: the plan for 4,096 ranges is as large as for 16."""
+    df = spark.range(40_000).select(F.xxhash64("id").alias("k"), F.lit(1).alias("v"))
+    size = {}
+    for n in (16, 4096):
+        out = prefix_sum(df, ["k"], "v", partitions=n)
+        assert out.filter("cumsum <> idx").count() == 0 and out.agg(F.max("idx"), F.countDistinct("idx")).first() == (40_000, 40_000)
+        size[n] = len(out._jdf.queryExecution().optimizedPlan().toString())
+    assert size[4096] < 1.2 * size[16]
+
+
+def test_range_index_deals_evenly(spark):
+    from paneltide.operators.prefix import RangeIndex
+    df = spark.range(60_000).select((F.col("id") % 7).alias("a"), F.xxhash64("id").alias("k"))
+    per = RangeIndex(df, ["a", "k"], 100).deal(df).groupBy("_b").count().collect()
+    assert len(per) == 100 and max(r["count"] for r in per) < 2 * 600
+    empty = df.filter("a > 9")
+    assert RangeIndex(empty, ["a", "k"], 100).deal(empty).count() == 0
+
+
 def test_ols_needs_more_rows_than_coefficients(spark):
     df = spark.createDataFrame([(1.0, 2.0, 3.0), (2.0, 1.0, None)], "y double, a double, b double")
     with pytest.raises(ValueError, match="complete cases"):
@@ -168,7 +226,7 @@ def test_quantiles_match_numpy(spark, skew, groups):
     g = rng.integers(0, groups, len(v))
     df = spark.createDataFrame([(int(a), float(b)) for a, b in zip(g, v)], "g int, v double").repartition(5)
     probs = [0.0, 0.1, 0.5, 0.75, 1.0]
-    got = quantiles(df, probs, "g", partitions=13)
+    got = quantiles(df, probs, "g")
     for grp in range(groups):
         assert np.allclose([got[grp][p] for p in probs], np.quantile(v[g == grp], probs), rtol=0, atol=1e-12)
 
