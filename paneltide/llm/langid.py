@@ -7,10 +7,10 @@ its words.  Piece probabilities are fitted by expectation-maximisation with the
 matching backward recursion.
 
 Words are white-space separated, A-Z lowered, led by the vocabulary's word
-mark.  A character that no piece spells has a small fixed probability.  Words of
-more than ``CHUNK`` characters are scored in chunks of that length, all of
-which count.  Recursions run over many words at once, and each task remembers
-the words it has scored.
+mark.  A character that no piece spells has a small fixed probability.  Words are
+scored whole, however long: a recursion keeps the values of the last positions
+that a piece can reach, rescaled as they get small.  Recursions run over many
+words of one length at once, and each task remembers the words it has scored.
 
 The fit uses at most ``max_docs`` documents of each language, those with the
 least hash of their id (a documented bound); expected counts are summed by
@@ -34,7 +34,6 @@ from .common import broadcast_value, field, rows_as_structs, stored
 
 MAX_DOCS = 600
 ROUNDS = 3
-CHUNK = 24
 FLOOR = 1e-9
 SMOOTH = 0.05
 MARK = "▁"
@@ -55,7 +54,7 @@ class Vocabulary:
     """Piece lookup by the hash of code points; numbers follow sorted hashes."""
 
     def __init__(self, pieces: list[str]):
-        pieces = [p for p in pieces if p and len(p) <= CHUNK + 1]
+        pieces = [p for p in pieces if p]
         hashes = np.array([self._hash(p) for p in pieces], dtype=np.uint64)
         order = np.argsort(hashes)
         self.hashes = hashes[order]
@@ -69,19 +68,29 @@ class Vocabulary:
             h = (h * int(_BASE) + ord(c) + 1) & ((1 << 64) - 1)
         return h
 
+    @staticmethod
+    def points(words: list[str]) -> np.ndarray:
+        """Code points of equal-length words, plus one: words x characters."""
+        return np.frombuffer("".join(words).encode("utf-32-le"), dtype="<u4").reshape(len(words), -1).astype(np.uint64) + _U(1)
+
+    def ending(self, live: np.ndarray) -> np.ndarray:
+        """Piece numbers of the hashes of stretches, -1 where none is spelled so."""
+        at = np.searchsorted(self.hashes, live)
+        at[at == self.size] = 0
+        return np.where(self.hashes[at] == live, at, -1)
+
     def lattice(self, words: list[str]):
-        """(length, ids) for equal-length words: ids[l][i] is the number of the
-        piece of l characters that ends before position i + 1, or -1."""
-        points = np.frombuffer("".join(words).encode("utf-32-le"), dtype="<u4").reshape(len(words), -1).astype(np.uint64)
+        """(length, ids) for equal-length words: ids[start, stop] are the numbers
+        of the pieces between two positions, or -1."""
+        points = self.points(words)
         n = points.shape[1]
         ids: dict[tuple[int, int], np.ndarray] = {}
-        for start in range(n):
-            h = np.zeros(len(words), dtype=np.uint64)
-            for stop in range(start + 1, min(n, start + self.longest) + 1):
-                h = h * _BASE + points[:, stop - 1] + _U(1)
-                at = np.searchsorted(self.hashes, h)
-                at[at == self.size] = 0
-                ids[start, stop] = np.where(self.hashes[at] == h, at, -1)
+        live = np.zeros((0, len(words)), dtype=np.uint64)
+        for stop in range(1, n + 1):
+            live = np.concatenate((live[-(self.longest - 1):] if self.longest > 1 else live[:0], np.zeros((1, len(words)), np.uint64)))
+            live = live * _BASE + points[:, stop - 1]
+            for k, own in enumerate(self.ending(live)):
+                ids[stop - len(live) + k, stop] = own
         return n, ids
 
 
@@ -94,40 +103,49 @@ def _probabilities(ids, table: np.ndarray, single: bool) -> np.ndarray:
 
 def forward(vocabulary: Vocabulary, words: list[str], table: np.ndarray) -> np.ndarray:
     """Log probability of each word (equal lengths) under each language."""
-    n, ids = vocabulary.lattice(words)
-    alpha = [np.ones((len(words), table.shape[1]))]
+    points = vocabulary.points(words)
+    n, reach = points.shape[1], vocabulary.longest
+    alpha = np.ones((1, len(words), table.shape[1]))        # of the last positions
+    scaled = np.zeros((len(words), table.shape[1]))
+    live = np.zeros((0, len(words)), dtype=np.uint64)
     for stop in range(1, n + 1):
+        live = np.concatenate((live[max(0, len(live) - reach + 1):], np.zeros((1, len(words)), np.uint64)))
+        live = live * _BASE + points[:, stop - 1]
         total = 0.0
-        for start in range(max(0, stop - vocabulary.longest), stop):
-            total = total + alpha[start] * _probabilities(ids[start, stop], table, stop - start == 1)
-        alpha.append(total)
-    return np.log(alpha[n])
+        for k, own in enumerate(vocabulary.ending(live)):
+            total = total + alpha[k - len(live)] * _probabilities(own, table, k == len(live) - 1)
+        alpha = np.concatenate((alpha[max(0, len(alpha) - reach + 1):], total[None]))
+        if stop % 8 == 0:                                   # eight characters are worth 1e-72 at least
+            small = np.where(total < 1e-100, 1e100, 1.0)
+            alpha = alpha * small
+            scaled -= np.log(small)
+    return np.log(alpha[-1]) + scaled
+
+
+def _log_sum(terms: list[np.ndarray]) -> np.ndarray:
+    return np.logaddexp.reduce(np.stack(terms), axis=0)
 
 
 def expected(vocabulary: Vocabulary, words: list[str], counts: np.ndarray, table: np.ndarray) -> np.ndarray:
     """Expected uses of each piece under one language (a column ``table``)."""
     n, ids = vocabulary.lattice(words)
-    p = {k: _probabilities(v, table, k[1] - k[0] == 1)[:, 0] for k, v in ids.items()}
-    alpha, beta = [np.ones(len(words))], [None] * n + [np.ones(len(words))]
+    reach = vocabulary.longest
+    with np.errstate(divide="ignore"):
+        p = {k: np.log(_probabilities(v, table, k[1] - k[0] == 1)[:, 0]) for k, v in ids.items()}
+    alpha, beta = [np.zeros(len(words))], [None] * n + [np.zeros(len(words))]
     for stop in range(1, n + 1):
-        alpha.append(sum(alpha[s] * p[s, stop] for s in range(max(0, stop - vocabulary.longest), stop)))
+        alpha.append(_log_sum([alpha[s] + p[s, stop] for s in range(max(0, stop - reach), stop)]))
     for start in range(n - 1, -1, -1):
-        beta[start] = sum(p[start, e] * beta[e] for e in range(start + 1, min(n, start + vocabulary.longest) + 1))
+        beta[start] = _log_sum([p[start, e] + beta[e] for e in range(start + 1, min(n, start + reach) + 1)])
     out = np.zeros(vocabulary.size)
-    scale = counts / alpha[n]
     for (start, stop), own in ids.items():
-        known = own >= 0
-        out += np.bincount(own[known], weights=(alpha[start] * p[start, stop] * beta[stop] * scale)[known],
-                           minlength=vocabulary.size)
+        known = np.flatnonzero(own >= 0)
+        if len(known):
+            share = np.exp(alpha[start][known] + p[start, stop][known] + beta[stop][known] - alpha[n][known])
+            out += np.bincount(own[known], weights=share * counts[known], minlength=vocabulary.size)
     return out
 
 
-def chunks(word: str) -> list[str]:
-    """The marked word in parts of at most CHUNK characters."""
-    word = MARK + word
-    return [word[i:i + CHUNK] for i in range(0, len(word), CHUNK)]
-
-
 def _by_length(parts: list[str]):
     groups: dict[int, list[int]] = {}
     for i, p in enumerate(parts):
@@ -138,14 +156,10 @@ def _by_length(parts: list[str]):
 
 
 def score_words(vocabulary: Vocabulary, words: list[str], table: np.ndarray) -> np.ndarray:
-    parts, owner = [], []
-    for i, w in enumerate(words):
-        own = chunks(w)
-        parts += own
-        owner += [i] * len(own)
+    marked = [MARK + w for w in words]
     out = np.zeros((len(words), table.shape[1]))
-    for at in _by_length(parts):
-        np.add.at(out, np.array(owner)[at], forward(vocabulary, [parts[i] for i in at], table))
+    for at in _by_length(marked):
+        out[at] = forward(vocabulary, [marked[i] for i in at], table)
     return out
 
 
@@ -192,9 +206,8 @@ def fit(docs: DataFrame, pieces: list[str], *, doc_id: str = "doc_id", text: str
                 rows: dict[str, tuple[list, list]] = {}
                 for l, w, n in zip(*(batch.column(i).to_pylist() for i in range(3))):
                     a, b = rows.setdefault(l, ([], []))
-                    for part in chunks(w):
-                        a.append(part)
-                        b.append(n)
+                    a.append(MARK + w)
+                    b.append(n)
                 for l, (parts, counts) in rows.items():
                     column = probabilities[:, [names.index(l)]]
                     counts = np.array(counts, dtype=float)
@@ -202,7 +215,7 @@ def fit(docs: DataFrame, pieces: list[str], *, doc_id: str = "doc_id", text: str
                     for at in _by_length(parts):
                         got += expected(own, [parts[i] for i in at], counts[at], column)
             for l, got in total.items():
-                at = np.flatnonzero(got > 1e-9)
+                at = np.flatnonzero(got)
                 yield pa.RecordBatch.from_arrays([pa.array([l] * len(at), pa.string()), pa.array(at.astype(np.int32)),
                                                   pa.array(got[at])], names=["lang", "piece", "n"])
         return run

@@ -12,7 +12,11 @@ revisits that name it.  Tasks write archives of at most ``ARCHIVE_BYTES`` of
 payload to the shared folder under names of their own; the manifest lists only
 what successful attempts returned, so a retried task leaves no double records.
 
-Defined results: a null payload is empty; a null url is left out; a null page
+Archives are read by as many tasks as there are archives.
+
+Defined results: a null payload is empty; a null url is left out; an id of any
+text is escaped in its header; an empty table writes and reads nothing; other
+columns than the three are not read; a null page
 id is never the greatest, and equal payloads without any id are all responses;
 rows repeated with the greatest id are all responses.
 """
@@ -24,7 +28,7 @@ import hashlib
 import struct
 import uuid
 from collections.abc import Iterator
-from urllib.parse import quote
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 import zstandard
@@ -56,13 +60,13 @@ def record(page: str | None, url: str | None, payload: bytes, response: str | No
     http = (b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % len(payload))
     block = http if revisit else http + payload
     head = [("WARC-Type", "revisit" if revisit else "response"),
-            ("WARC-Record-ID", f"<urn:page:{page}>" if page is not None else f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_OID, base32_sha1(payload))}>"),
+            ("WARC-Record-ID", f"<urn:page:{quote(page, safe='')}>" if page is not None else f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_OID, base32_sha1(payload))}>"),
             ("WARC-Date", date)]
     if url is not None:
         head.append(("WARC-Target-URI", quote(url, safe="!#$%&'()*+,/:;=?@[]~-._")))
     head.append(("WARC-Payload-Digest", "sha1:" + base32_sha1(payload)))
     if revisit:
-        head += [("WARC-Profile", _PROFILE), ("WARC-Refers-To", f"<urn:page:{response}>")]
+        head += [("WARC-Profile", _PROFILE), ("WARC-Refers-To", f"<urn:page:{quote(response, safe='')}>")]
     head += [("Content-Type", "application/http; msgtype=response"), ("Content-Length", str(len(block)))]
     return ("WARC/1.1\r\n" + "".join(f"{k}: {v}\r\n" for k, v in head) + "\r\n").encode() + block + b"\r\n\r\n"
 
@@ -230,7 +234,7 @@ def read_archives(manifest: DataFrame, *, with_payload: bool = True) -> DataFram
                              T.StructField("payload", T.BinaryType())])
 
     def id_of(urn):
-        return urn[len("<urn:page:"):-1] if urn and urn.startswith("<urn:page:") else None
+        return unquote(urn[len("<urn:page:"):-1]) if urn and urn.startswith("<urn:page:") else None
 
     def run(batches):
         for batch in batches:
@@ -252,7 +256,8 @@ def read_archives(manifest: DataFrame, *, with_payload: bool = True) -> DataFram
                 if rows:
                     yield _batch(rows, schema)
 
-    return manifest.repartition("path").mapInArrow(run, schema)
+    # a partition count of its own: the manifest is far smaller than what it lists
+    return manifest.repartition(max(1, manifest.count()), "path").mapInArrow(run, schema)
 
 
 def _batch(rows, schema):

@@ -397,6 +397,23 @@ def test_warc_rejects_damage():
             warc.parse(bad)
 
 
+def test_warc_ids_of_any_text(spark):
+    ids = ["a>b", "c\r\nWARC-Type: x", "é %41 ü", "plain"]
+    pages = spark.createDataFrame([(i, None, "same" if k < 2 else str(k)) for k, i in enumerate(ids)], "page_id string, url string, html string")
+    got = {r.page_id: r.refers_to for r in warc.round_trip(pages).collect()}
+    assert got == {"a>b": ids[1], ids[1]: None, ids[2]: None, "plain": None}
+
+
+def test_warc_reads_with_a_task_per_archive(spark):
+    rng = np.random.default_rng(1)
+    pages = spark.createDataFrame([(i, "u", rng.bytes(300).hex()) for i in range(400)], "page_id long, url string, html string").repartition(2)
+    from paneltide.llm.common import shared_folder
+    manifest = warc.write_archives(pages, shared_folder(spark, "warc"), archive_bytes=40_000, sample_bytes=5_000)
+    n = manifest.count()
+    read = warc.read_archives(manifest).withColumn("task", F.spark_partition_id())
+    assert n >= 5 and read.select("task").distinct().count() > n // 3 and read.count() == 400
+
+
 def test_warc_empty(spark):
     assert warc.round_trip(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
@@ -444,6 +461,37 @@ def test_forward_sums_all_segmentations():
     assert np.isclose((counts * np.array([len(k) for k in sorted(p, key=lambda k: langid.Vocabulary._hash(k))])).sum(), 6.0)
 
 
+def test_words_are_scored_whole():
+    """A word of 200 characters, and its expected pieces, against plain sums over
+    all segmentations in exact arithmetic."""
+    from fractions import Fraction
+    rng = np.random.default_rng(6)
+    pieces = ["a", "b", "c", "ab", "bca", "cabcab", "abcabcabcabcabcabcabcabcabcabcabc", "▁a", "▁"]
+    vocabulary = langid.Vocabulary(pieces)
+    assert vocabulary.size == len(pieces) and vocabulary.longest == 33
+    p = {x: Fraction(int(rng.integers(1, 9)), 1000) for x in pieces}
+    table = np.zeros((vocabulary.size, 1))
+    for x, v in p.items():
+        table[np.searchsorted(vocabulary.hashes, np.uint64(langid.Vocabulary._hash(x)))] = float(v)
+    word = "▁" + "abc" * 66 + "z"
+    assert len(word) == 200
+    n = len(word)
+    fore, back = [Fraction(1)] + [Fraction(0)] * n, [Fraction(0)] * n + [Fraction(1)]
+    edge = lambda i, j: p.get(word[i:j], Fraction(1, 10 ** 9) if j - i == 1 else Fraction(0))
+    for j in range(1, n + 1):
+        fore[j] = sum(fore[i] * edge(i, j) for i in range(max(0, j - 33), j))
+    for i in range(n - 1, -1, -1):
+        back[i] = sum(edge(i, j) * back[j] for j in range(i + 1, min(n, i + 33) + 1))
+    log = lambda f: np.log(float(f.numerator >> f.numerator.bit_length() - 60)) + (f.numerator.bit_length() - 60) * np.log(2) - (
+        np.log(float(f.denominator >> f.denominator.bit_length() - 60)) + (f.denominator.bit_length() - 60) * np.log(2))
+    assert np.isclose(langid.forward(vocabulary, [word], table)[0, 0], log(fore[n]), rtol=1e-12)
+    assert np.isclose(langid.score_words(vocabulary, [word[1:]], table)[0, 0], log(fore[n]), rtol=1e-12)
+    got = langid.expected(vocabulary, [word], np.array([1.0]), table)
+    for x in pieces:
+        uses = sum(fore[i] * p[x] * back[i + len(x)] / fore[n] for i in range(n - len(x) + 1) if word.startswith(x, i))
+        assert np.isclose(got[np.searchsorted(vocabulary.hashes, np.uint64(langid.Vocabulary._hash(x)))], float(uses))
+
+
 def test_language_odd_rows(odd_docs, no_docs, make_docs):
     pieces = langid.read_pieces(public_tokenizers.path(PIECES))
     model = langid.fit(odd_docs, pieces)
