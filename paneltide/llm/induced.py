@@ -15,8 +15,10 @@ L suffix is a seed.
   between the two ranks.
 
 All groups advance together, symbol by symbol, so that each step is an operation
-on arrays.  Queues hold a bounded number of tuples and keep the rest on disk.
-Common prefixes are counted up to ``cap``.
+on arrays.  A group with over ``NAMES`` names would take a step for each of them;
+its strings of names are ranked by doubling instead, with equal results.  Queues
+hold a bounded number of tuples and keep the rest on disk.  Common prefixes are
+counted up to ``cap``.
 """
 
 from __future__ import annotations
@@ -28,6 +30,10 @@ import numpy as np
 from pyarrow import fs
 
 
+#: Names of a group up to which they are sorted by induction.
+NAMES = 256
+
+
 class DiskQueue:
     """Tuples (integer rows, the key first) that leave by key, in order of arrival
     within a key.  Keys are taken in one direction, and while a key is taken more
@@ -254,10 +260,44 @@ def _equal(symbols: np.ndarray, a: np.ndarray, b: np.ndarray, length: np.ndarray
     return shared
 
 
-def sort_suffixes(symbols: np.ndarray, group: np.ndarray, base: np.ndarray, cap: int, queue):
-    """(places, common): the places of all suffixes in order, group by group, and
-    the symbols that each shares with the one before it in its group (up to
-    ``cap``).  Strings of a group lie together from ``base`` on, each ended by 0;
+def _doubled(names: np.ndarray, group: np.ndarray, base: np.ndarray, cap: int, queue):
+    """``sort_suffixes`` by ranks of 1, 2, 4, ... symbols."""
+    n = len(names)
+    here = np.arange(n)
+    ends = np.flatnonzero(names == 0)
+    stop = ends[np.searchsorted(ends, here)]
+
+    def ranks(order, differs):
+        out = np.empty(n, np.int64)
+        out[order] = np.concatenate(([0], np.cumsum(differs)))
+        return out
+
+    order = np.lexsort((names, group))
+    levels = [ranks(order, (names[order[1:]] != names[order[:-1]]) | (group[order[1:]] != group[order[:-1]]))]
+    reach = 1
+    while reach < cap:
+        last = levels[-1]
+        key = last * (n + 1) + np.where(here + reach <= stop, last[np.minimum(here + reach, n - 1)] + 1, 0)
+        order = np.argsort(key, kind="stable")
+        levels.append(ranks(order, key[order[1:]] != key[order[:-1]]))
+        reach *= 2
+        if levels[-1].max() == last.max():
+            break
+    order = np.argsort(levels[-1], kind="stable")
+    first, second = order[:-1], order[1:]
+    shared = np.zeros(n - 1, np.int64)
+    for k in reversed(range(len(levels))):
+        equal = levels[k][np.minimum(first + shared, stop[first])] == levels[k][np.minimum(second + shared, stop[second])]
+        shared += equal << k
+    shared = np.minimum(np.minimum(shared, cap), np.minimum(stop[first] - first, stop[second] - second))
+    shared[group[first] != group[second]] = 0
+    return order, np.concatenate(([0], shared))
+
+
+def sort_suffixes(symbols: np.ndarray, group: np.ndarray, base: np.ndarray, cap: int, queue, names_at_once: int = NAMES):
+    """(places, common): the places of all suffixes in order of their first
+    ``cap`` symbols, group by group, and the symbols that each shares with the one
+    before it in its group (up to ``cap``).  Strings of a group lie together from ``base`` on, each ended by 0;
     ``queue(keys)`` makes a queue."""
     s = _Strings(symbols, group, base)
     seeds = np.flatnonzero(s.seed)
@@ -271,15 +311,27 @@ def sort_suffixes(symbols: np.ndarray, group: np.ndarray, base: np.ndarray, cap:
     same[pair] = _equal(symbols, ranked[pair - 1], ranked[pair], stretch[own[pair]]) == stretch[own[pair]]
     new_group = np.ones(len(ranked), bool)
     new_group[1:] = group[ranked[1:]] != group[ranked[:-1]]
-    known = np.zeros(len(ranked), np.int64)                 # symbols that a seed is known to share
-    if (same & (symbols[ranked] != 0)).any():
+    shared = np.zeros(len(ranked), np.int64)                # names in common with the seed before
+    tied = np.unique(group[ranked[same & (symbols[ranked] != 0)]])
+    if len(tied):
         name = np.cumsum(~same) - 1
-        name -= np.repeat(name[new_group], np.diff(np.append(np.flatnonzero(new_group), len(ranked))))
+        size = np.diff(np.append(np.flatnonzero(new_group), len(ranked)))
+        name -= np.repeat(name[new_group], size)
         names = np.empty(len(seeds), np.int32)
         names[own] = name
-        places, shared = sort_suffixes(names, group[seeds], np.searchsorted(seeds, base), cap, queue)
-        known = seeds[places + shared] - seeds[places]
-        ranked = seeds[places]
+        most = np.zeros(len(base), np.int64)
+        np.maximum.at(most, group[ranked], name)
+        for some, sort in ((tied[most[tied] < names_at_once], sort_suffixes), (tied[most[tied] >= names_at_once], _doubled)):
+            wanted = np.zeros(len(base), bool)
+            wanted[some] = True
+            at = np.flatnonzero(wanted[group[seeds]])
+            if len(at):
+                number = (np.cumsum(wanted) - 1)[group[seeds[at]]]
+                starts = np.flatnonzero(np.diff(number, prepend=-1))
+                places, shared[at] = sort(names[at], number, starts, cap, queue)
+                own[at] = at[places]
+        ranked = seeds[own]
+    known = seeds[own + shared] - ranked                    # symbols that a seed is known to share
     first, second = ranked[:-1] + known[1:], ranked[1:] + known[1:]
     room = np.where(new_group[1:] | (known[1:] >= cap), 0, cap - known[1:])
     # a string's end differs from any other's

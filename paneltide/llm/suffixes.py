@@ -56,7 +56,7 @@ TRIGGER, PHRASE = 16, 256
 HOT, SALTS = 5_000, 32
 #: Bytes of anchors in one bucket, bytes of stretches that a task sorts at once,
 #: and suffix tuples that one queue keeps in memory.
-BUCKET_BYTES, SORT_BYTES, QUEUE_ROWS = 16 << 20, 6 << 20, 1_000_000
+BUCKET_BYTES, SORT_BYTES, QUEUE_ROWS = 16 << 20, 24 << 20, 1_000_000
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C55
 _BYTES = ts.mix(np.arange(256, dtype=np.uint64) + _U(1))
@@ -341,7 +341,7 @@ class Shard:
         own = group[several]
         new = np.flatnonzero(np.diff(own, prepend=-1))
         number = np.cumsum(np.diff(own, prepend=-1) != 0) - 1
-        places, common = sort_suffixes(symbols, np.repeat(number, length), begin[new], self.window,
+        places, common = sort_suffixes(symbols, np.repeat(number, length).astype(np.int32), begin[new], self.window,
                                        lambda keys: DiskQueue(keys, self.queue_rows, self.folder))
         owner = np.searchsorted(begin, places, side="right") - 1
         offset = places - begin[owner]
