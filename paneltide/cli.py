@@ -48,7 +48,8 @@ def main(argv=None) -> None:
     sizes = sizing_conf(int(args.input_gb * (1 << 30)), args.cores) if args.input_gb and args.cores else {}
     spark = get_spark(args.master, extra=sizes)
     if args.cmd == "ingest":
-        from .sources.landing import crime_data
+        from .sources.landing import crime_data, crime_rejects
+        write_stage(crime_rejects(spark, args.landing), f"{args.out.rstrip('/')}/crime_rejects")
         write_stage(crime_data(spark, args.landing), f"{args.out.rstrip('/')}/crime_data")
     elif args.cmd == "merge":
         from .plans.stages import run_merge
@@ -56,7 +57,7 @@ def main(argv=None) -> None:
     elif args.cmd == "analyze":
         from .plans.stages import analysis
         panels = [read_stage(spark, f"{args.stages.rstrip('/')}/{name}")
-                  for name in ("acs_5_yearly_data", "acs_1_yearly_data", "crime_data_merged")]
+                  for name in ("acs_5_yearly_data", "acs_1_yearly_data", "crime_data_merged", "mapping_yearly_data")]
         res = analysis(*panels)
         for name, df in res.items():
             write_stage(df, f"{args.out.rstrip('/')}/{name}")

@@ -17,22 +17,23 @@ from pyspark.sql import functions as F
 from ..session import cut_lineage
 
 
-def strict_sum(c: str) -> Column:
-    """``sum`` that is NULL when any input is NULL (R's ``sum`` without na.rm)."""
-    return F.when(F.count(F.col(c)) == F.count(F.lit(1)), F.sum(F.col(c)))
+def only_value(c: str, kind) -> Column:
+    """The one value of a column in a group; several, or a value beside NULLs, are
+    an error of the same aggregation, named by the column."""
+    one = F.min(c).eqNullSafe(F.max(c)) & F.count(c).isin(F.lit(0), F.count(F.lit(1)))
+    return F.when(one, F.max(c)).otherwise(F.raise_error(F.lit(f"a group holds several values of {c}")).cast(kind))
 
 
 def rollup(df: DataFrame, keys: Sequence[str], sums: Sequence[str] = (),
-           means: Sequence[str] = (), constants: Sequence[str] = (),
-           strict: bool = False) -> DataFrame:
+           means: Sequence[str] = (), constants: Sequence[str] = ()) -> DataFrame:
     """Group-wise sum/mean with pass-through columns (A4, quirk Q11).
 
-    ``constants`` are columns that depend only on ``keys``; ``max`` picks the
-    value deterministically.  Sums of integer counts are LONG.
+    ``constants`` are columns that depend only on ``keys``, which is checked.
+    Sums of integer counts are LONG.
     """
-    aggs = [(strict_sum(c) if strict else F.sum(c)).alias(c) for c in sums]
+    aggs = [F.sum(c).alias(c) for c in sums]
     aggs += [F.avg(c).alias(c) for c in means]
-    aggs += [F.max(c).alias(c) for c in constants]
+    aggs += [only_value(c, df.schema[c].dataType).alias(c) for c in constants]
     return df.groupBy(*keys).agg(*aggs)
 
 

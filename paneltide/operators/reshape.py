@@ -61,9 +61,12 @@ def _masked(agg: Callable[[Column], Column], c: Column) -> Column:
 def pivot_wide(df: DataFrame, ids: Sequence[str] | None, names_from: str,
                values: Sequence, value_col: str | None = None,
                agg: Callable[[Column], Column] = F.first,
-               name: Callable = safe_name) -> DataFrame:
+               name: Callable = safe_name, unique: bool = False) -> DataFrame:
     """Long -> wide with an explicit value list.
 
+    ``unique`` makes several rows for one cell an error of the same aggregation
+    (R8), named by the cell's column.
+
     Every listed value yields a column even if absent from the data (NULL).
     ``ids=None`` takes every column except ``names_from``/``value_col`` (R6).
     ``value_col=None`` counts rows per value (NULL when absent).
@@ -76,7 +79,11 @@ def pivot_wide(df: DataFrame, ids: Sequence[str] | None, names_from: str,
         if value_col is None:
             outs.append(F.sum(F.when(hit, F.lit(1))).alias(name(v)))
         else:
-            outs.append(_masked(agg, F.when(hit, F.col(value_col))).alias(name(v)))
+            cell = _masked(agg, F.when(hit, F.col(value_col)))
+            if unique:
+                again = F.raise_error(F.lit(f"several rows for one cell of pivot column {name(v)}")).cast(df.schema[value_col].dataType)
+                cell = F.when(F.count_if(hit) > 1, again).otherwise(cell)
+            outs.append(cell.alias(name(v)))
     return df.groupBy(*ids).agg(*outs)
 
 

@@ -20,7 +20,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions import dist
+from ..functions import dist, geo
 from ..functions.expr import flag, flag_in, year_start
 from ..operators import kde as K
 from ..operators import linmodel as L
@@ -188,6 +188,9 @@ def run_merge(spark: SparkSession, landing_dir: str, census_dir: str, out_dir: s
 
 # ---- Entry 3: analysis on the 5-year panel
 
+# Fixed value: the year of the map.
+MAP_YEAR = 2023
+
 # The variables of the models, the descriptive tables and the
 # difference model, in the order of their tables.
 MODEL_VARS = ["log_officers", "median_household_income_acs5", "pct_highschool_or_greater",
@@ -207,6 +210,15 @@ def with_logs(acs5: DataFrame) -> DataFrame:
                              "log_crime_rate": F.ln("crime_rate")})
 
 
+def map_table(mapping_yearly: DataFrame, year: int = MAP_YEAR) -> DataFrame:
+    """The map of one year: population, rates and flags of each county, and the
+    centroid of those flagged as top cities (F1, G2)."""
+    d = mapping_yearly.filter(F.col("year") == year)
+    rings = d.filter("top_cities = 1").select("GEOID", F.explode("geometry").alias("v")).select("GEOID", "v.*")
+    return (d.select("GEOID", "county", "year", "total_population_acs5", "crime_rate", "homicide_rate", "reservations", "top_cities")
+            .join(geo.polygon_centroid(rings, "GEOID"), "GEOID", "left"))
+
+
 def time_series(merged: DataFrame) -> DataFrame:
     """Monthly and yearly homicides (A1/A2/U2): the yearly rows count each
     county's population once."""
@@ -239,9 +251,10 @@ def _numbers(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
     return spark.createDataFrame(plain, schema)
 
 
-def analysis(acs5: DataFrame, acs1: DataFrame, merged: DataFrame) -> dict[str, DataFrame]:
+def analysis(acs5: DataFrame, acs1: DataFrame, merged: DataFrame, mapping_yearly: DataFrame | None = None) -> dict[str, DataFrame]:
     """Entry 3: every table, test and model of the notebook, on the 5-year
-    panel, the 1-year panel and the merged monthly table."""
+    panel, the 1-year panel, the merged monthly table and, for the map, the
+    mapping panel."""
     spark = acs5.sparkSession
     d = with_logs(acs5).withColumn("post_covid", F.col("post_covid").cast("int"))
     needed = {*DESCRIBE_VARS, *MODEL_VARS, *DIFF_VARS, "county", "year"}
@@ -256,7 +269,9 @@ def analysis(acs5: DataFrame, acs1: DataFrame, merged: DataFrame) -> dict[str, D
         F.sqrt("v0").alias("sd_pre"), F.sqrt("v1").alias("sd_post"), "p_value"))
     others = [c for c in DESCRIBE_VARS if c != "crime_rate"]
     res["pearson"] = _by_p(S.pearson_tests(d, "crime_rate", others))
-    res["facets"] = L.facet_lines(d, "crime_rate", others)
+    res["facets"] = L.facet_lines(d, "crime_rate", MODEL_VARS)
+    if mapping_yearly is not None:
+        res["map"] = map_table(mapping_yearly)
 
     specs = {"Pre-COVID": ("crime_rate", MODEL_VARS, F.col("post_covid") == 0),
              "Post-COVID": ("crime_rate", MODEL_VARS, F.col("post_covid") == 1),
@@ -273,8 +288,8 @@ def analysis(acs5: DataFrame, acs1: DataFrame, merged: DataFrame) -> dict[str, D
         F.round(c, 3).alias(c) for c in ("std_error_normal", "std_error_robust", "p_value")])
     ranges = ops.group_row_ranges(models, "position")
     res["model_rows"] = ranges.join(models.select("position", "model").distinct(), "position").select("model", "first_row", "last_row")
-    res["metrics"] = _numbers(spark, [(m, f.r2(), f.adj_r2(), f.rmse()) for m, f in fits.items()],
-                              "model string, r2 double, adj_r2 double, rmse double")
+    metrics = _numbers(spark, [(m, f.r2(), f.adj_r2(), f.rmse()) for m, f in fits.items()], "model string, r2 double, adj_r2 double, rmse double")
+    res["metrics"] = metrics.select("model", *[F.round(c, 3).alias(c) for c in ("r2", "adj_r2", "rmse")])
     parts = [L.complete_cases(d if cond is None else d.filter(cond), [y, *xs]).select(
         F.lit(m).alias("model"), "county", "year", fits[m].fitted_col().alias("fitted"), fits[m].resid_col().alias("resid"))
         for m, (y, xs, cond) in specs.items()]

@@ -88,7 +88,7 @@ def survey_wide(long: DataFrame, pairs: Sequence[tuple[str, str]] = SURVEY_VARIA
     spark = long.sparkSession
     named = long.join(variable_dim(spark, pairs), F.col("variable") == F.col("code"), "inner")
     return pivot_wide(named.select("GEOID", "year", "name", "estimate"), ["GEOID", "year"], "name",
-                      [n for n, _ in pairs], value_col="estimate", agg=F.first, name=str)
+                      [n for n, _ in pairs], value_col="estimate", agg=F.first, name=str, unique=True)
 
 
 def acs1_with_decennial(acs1_wide: DataFrame, dec_wide: DataFrame) -> DataFrame:

@@ -42,6 +42,32 @@ def test_each_file_keeps_its_own_header(spark, scratch):
     assert LD.officers_long(spark, land).count() == len(years)
 
 
+def test_rejected_cells_are_listed(spark, scratch):
+    """Columns that are no month, texts that are no count and long quoted cells."""
+    land = os.path.join(scratch, "landing")
+    note = "said, \"so\" " * 700
+    _write(land, "A1_arson.csv", "series,01-2020,02-2020,notes,13-2020", "Alpha,1,n/a,9,4", "Alpha Clearances,9,9,9,9")
+    _write(land, "B2_arson.csv", 'series,remark,01-2020', 'Beta,"' + note.replace('"', '""') + '",2', "_type,,")
+    _write(land, "C3_arson.csv", "series,01-2020", "Gamma,,", "Delta,8")
+    got = {(r.ori, str(r.month)): r["count"] for r in LD.crime_long(spark, land, validate=False).collect()}
+    assert got == {("A1", "2020-01-01"): 1, ("A1", "2020-02-01"): None, ("B2", "2020-01-01"): 2, ("C3", "2020-01-01"): None}
+    rejects = {(r.file, r.reason, r.label, r.text) for r in LD.crime_rejects(spark, land).collect()}
+    assert rejects == {("A1_arson.csv", "count", "02-2020", "n/a"), ("A1_arson.csv", "column", "notes", "9"), ("A1_arson.csv", "column", "13-2020", "4"),
+                       ("B2_arson.csv", "column", "remark", note.strip()), ("C3_arson.csv", "agency rows", None, "2")}
+    _write(land, "D4_arson.csv", "series,01-2020", "Wide" + ",1" * (LD.MAX_CELLS + 1))
+    with pytest.raises(Exception, match="cells"):
+        LD.crime_long(spark, land, validate=False).collect()
+
+
+def test_rollup_fails_where_a_county_has_two_geoids(spark):
+    cols = "series string, month date, ori string, type string, county string, year int, GEOID string, total_population_acs5 int, officers double, "
+    df = spark.createDataFrame([("s", None, "o1", "t", "AITKIN", 2020, "27001", 10, 1.0, *([1] * 8)),
+                                ("s", None, "o2", "t", "AITKIN", 2020, "27002", 99, 1.0, *([1] * 8))], cols + ", ".join(f"{t} int" for t in PL.TYPES))
+    with pytest.raises(Exception, match="several values of"):
+        PL.yearly_rollup(df).collect()
+    assert PL.yearly_rollup(df.filter("GEOID = '27001'")).first().homicides == 1
+
+
 @pytest.mark.parametrize("rows", [["Alpha Clearances,9"], [], ["Alpha,1", "Beta,2"]])
 def test_file_without_exactly_one_agency_row_fails(spark, scratch, rows):
     land = os.path.join(scratch, "landing")
@@ -138,10 +164,26 @@ def panel_tables(spark, seed=4, n=80):
     return spark.createDataFrame(rows, PANEL), acs1, merged
 
 
+def map_panel(spark):
+    """Mapping panel of three counties in two years, with rings; one lies across
+    180 degrees."""
+    def square(x, y):
+        return [(0, s, float((x + a + 180) % 360 - 180), float(y + b)) for s, (a, b) in enumerate([(0, 0), (1, 0), (1, 1), (0, 1)])]
+    rows = [(f"g{i}", f"C{i:02d}", year, 1000 + i, 0.1, 0.01, int(i % 7 == 0), int(i % 11 == 0), square(i and 179.5, i))
+            for i in (0, 1, 11) for year in (2022, 2023)]
+    return spark.createDataFrame(rows, "GEOID string, county string, year int, total_population_acs5 int, crime_rate double, homicide_rate double, "
+                                 "reservations int, top_cities int, geometry array<struct<ring_id:int,seq:int,lon:double,lat:double>>")
+
+
 def test_analysis_entry_on_panel(spark):
     """Entry 3: every output, on 80 counties x 2 survey years."""
     panel, acs1, merged = panel_tables(spark)
-    res = {k: v.collect() for k, v in PL.analysis(panel, acs1, merged).items()}
+    mapping = map_panel(spark)
+    res = {k: v.collect() for k, v in PL.analysis(panel, acs1, merged, mapping).items()}
+    at = {r.county: r for r in res["map"]}
+    assert set(at) == {"C00", "C01", "C11"} and at["C01"].cx is None and at["C01"].reservations == 0
+    assert [round(x, 9) for x in (at["C00"].cx, at["C00"].cy, at["C11"].cx, at["C11"].cy)] == [0.5, 0.5, 180.0, 11.5]
+    assert len(res["metrics"]) == 3 and all(v == round(v, 3) for r in res["metrics"] for v in r[1:])
     series = {(r.type, str(r.month)): (r.homicides, r.population) for r in res["time_series"]}
     assert series["Monthly", "2018-02-01"] == (160, None) and series["Yearly", "2023-01-01"] == (240, sum(range(1000, 1080)))
     rates = {r.year: r for r in res["yearly_rates"]}
@@ -155,7 +197,7 @@ def test_analysis_entry_on_panel(spark):
         assert len(p) == n and p == sorted(p)
     first = res["descriptive"][0]
     assert first.variable in PL.DESCRIBE_VARS and first.sd_pre > 0
-    assert len(res["facets"]) == 10 * 80 and all(r.lower <= r.fit <= r.upper for r in res["facets"])
+    assert len(res["facets"]) == 7 * 80 and {r.variable for r in res["facets"]} == set(PL.MODEL_VARS) and all(r.lower <= r.fit <= r.upper for r in res["facets"])
     models = res["models"]
     assert [r.model for r in models] == ["Pre-COVID"] * 8 + ["Post-COVID"] * 8 + ["Full Model"] * 9
     assert {r.model: (r.first_row, r.last_row) for r in res["model_rows"]} == {
@@ -222,8 +264,10 @@ def test_cli_analyze(spark, scratch):
     """Entry 3 through the command line on written stages."""
     from paneltide import cli
     stages, out = os.path.join(scratch, "stages"), os.path.join(scratch, "results")
-    for name, df in zip(("acs_5_yearly_data", "acs_1_yearly_data", "crime_data_merged"), panel_tables(spark, 8, 60)):
+    for name, df in zip(("acs_5_yearly_data", "acs_1_yearly_data", "crime_data_merged", "mapping_yearly_data"),
+                        (*panel_tables(spark, 8, 60), map_panel(spark))):
         df.write.parquet(os.path.join(stages, name))
     cli.main(["analyze", "--stages", stages, "--out", out])
     assert spark.read.parquet(os.path.join(out, "models")).count() == 8 + 8 + 9
     assert spark.read.parquet(os.path.join(out, "boxcox")).count() == 41
+    assert spark.read.parquet(os.path.join(out, "map")).count() == 3

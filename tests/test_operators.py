@@ -106,10 +106,21 @@ def test_lag_within(spark):
     assert out == {("a", 1): None, ("a", 2): 1.0, ("b", 1): None}
 
 
-def test_strict_sum(spark):
-    df = spark.createDataFrame([("a", 1), ("a", None), ("b", 2)], "k string, v int")
-    out = rows(ops.rollup(df, ["k"], sums=["v"], strict=True), "k")
-    assert out == [("a", None), ("b", 2)]
+def test_rollup_checks_its_constants(spark):
+    ok = spark.createDataFrame([("a", 1, "x", None), ("a", 2, "x", None), ("b", 3, "y", 1.5)], "k string, v int, g string, n double")
+    assert rows(ops.rollup(ok, ["k"], sums=["v"], constants=["g", "n"]), "k") == [("a", 3, "x", None), ("b", 3, "y", 1.5)]
+    for bad in (("b", 4, "z", 1.5), ("b", 4, "y", None)):
+        mixed = ok.unionByName(spark.createDataFrame([bad], ok.schema))
+        with pytest.raises(Exception, match="several values of " + ("g" if bad[2] == "z" else "n")):
+            ops.rollup(mixed, ["k"], sums=["v"], constants=["g", "n"]).collect()
+
+
+def test_pivot_checks_its_cells(spark):
+    df = spark.createDataFrame([(1, "x", 5), (1, "y", None), (2, "x", 7)], "id int, k string, v int")
+    wide = lambda d: pivot_wide(d, ["id"], "k", ["x", "y"], value_col="v", name=str, unique=True)
+    assert rows(wide(df), "id") == [(1, 5, None), (2, 7, None)]
+    with pytest.raises(Exception, match="pivot column y"):
+        wide(df.unionByName(spark.createDataFrame([(1, "y", 3)], df.schema))).collect()
 
 
 def test_sizing_conf_scales_with_input():

@@ -318,6 +318,32 @@ def test_exact_sums_beyond_double_precision(spark):
     assert int(df.agg(exact_sum_int(F.col("v")).alias("s")).first().s) == 3 * big - 5
 
 
+def test_ring_roles_and_the_180th_meridian(spark):
+    """Holes subtract in whatever direction they are written, islands in them add,
+    and parts on both sides of 180 degrees are one polygon."""
+    from paneltide.functions import geo
+
+    def box(x, y, size, clockwise=False):
+        c = [(x, y), (x + size, y), (x + size, y + size), (x, y + size)]
+        return c[::-1] if clockwise else c
+    polygons = {
+        "plain": [box(10, 0, 4)], "hole": [box(10, 0, 4), box(11, 1, 2, True)], "same way": [box(10, 0, 4), box(11, 1, 2)],
+        "clockwise": [box(10, 0, 4, True), box(11, 1, 2, True)], "island": [box(11.5, 1.5, 1), box(11, 1, 2), box(10, 0, 4)],
+        "two": [box(10, 0, 4), box(20, 0, 4, True)], "small": [box(11.5, 1.5, 1)], "square": [box(11, 1, 2)],
+        "across": [box(178, 0, 4)], "parts": [box(178, 0, 2), box(180, 0, 2, True)], "holed across": [box(178, 0, 4), box(179, 1, 2)]}
+    rows = [(g, k, s, float((x + 180) % 360 - 180), float(y)) for g, rings in polygons.items() for k, r in enumerate(rings) for s, (x, y) in enumerate(r)]
+    v = spark.createDataFrame(rows, "geoid string, ring_id int, seq int, lon double, lat double").repartition(3)
+    area = {r.geoid: r.area_m2 for r in geo.polygon_area(v).collect()}
+    at = {r.geoid: (r.cx, r.cy) for r in geo.polygon_centroid(v).collect()}
+    for g in ("hole", "same way", "clockwise", "holed across"):
+        assert area[g] == pytest.approx(area["plain"] - area["square"], rel=1e-12)
+    assert area["island"] == pytest.approx(area["hole"] + area["small"], rel=1e-12) and area["two"] == pytest.approx(2 * area["plain"], rel=1e-12)
+    assert area["across"] == pytest.approx(area["plain"], rel=1e-12)
+    assert at["same way"] == at["hole"] == pytest.approx((12, 2)) and at["two"] == pytest.approx((17, 2)) and at["island"] == pytest.approx((12, 2))
+    assert abs(at["across"][0]) == pytest.approx(180) and abs(at["holed across"][0]) == pytest.approx(180) and abs(at["parts"][0]) == pytest.approx(180)
+    assert at["parts"][1] == pytest.approx(1)
+
+
 def test_ring_gaps_and_holes(spark):
     from paneltide.functions import geo
     square = [(0.0, 0.0), (1.0, 0.0), (1.0, 1.0), (0.0, 1.0)]
