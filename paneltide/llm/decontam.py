@@ -6,9 +6,12 @@ fewer words, but not none, is one window.  Training texts are scanned in one
 pass: a bitmap of window hashes finds candidates, each of which is compared
 with the item's words before it counts.
 
-Only the benchmark is broadcast, in blocks of at most ``block_windows``
-distinct windows (a fixed number of bytes), each applied to all documents; the
-documents themselves are never shuffled by the scan of one block.
+Only the benchmark's distinct windows are broadcast, with a number each, in blocks
+of at most ``block_bytes``; each block is applied to all documents, and where
+there are several, the result is stored between them.  Which items a window
+belongs to stays in Spark: a document's distinct window numbers are joined to
+them, so neither the driver nor a task sees a window's list of items.  The scan
+does not shuffle documents, and judging them needs no items.
 
 Defined results: null or empty texts have no words and no hits; repeated rows
 get a result each; equal items all count; an empty benchmark hits nothing; a
@@ -26,10 +29,10 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from . import textscan as ts
-from .common import broadcast_value, field, rows_as_structs
+from .common import broadcast_value, field, rows_as_structs, workspace
 
-#: Distinct windows in one broadcast: about 200 bytes each, so 100 MB at most.
-BLOCK_WINDOWS = 500_000
+#: Bytes of distinct windows in one broadcast, with what a window takes beside.
+BLOCK_BYTES, WINDOW_BYTES = 32 << 20, 150
 _BITS = 22
 
 
@@ -60,15 +63,14 @@ def item_windows(benchmark: DataFrame, item_id: str, text: str, n: int) -> DataF
 
 
 class WindowSet:
-    """One block of benchmark windows with its hashes, by window length."""
+    """One block of benchmark windows by their numbers, with their hashes by
+    window length."""
 
     def __init__(self, rows):
-        self.items: dict[bytes, list] = {}
-        for window, items in rows:
-            self.items[bytes(window)] = items
+        self.number: dict[bytes, int] = {bytes(window): number for window, number in rows}
         self.by_size: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         sizes: dict[int, list[bytes]] = {}
-        for w in self.items:
+        for w in self.number:
             sizes.setdefault(w.count(b" ") + 1, []).append(w)
         for size, group in sizes.items():
             column = pa.array(group, pa.large_binary())
@@ -77,39 +79,49 @@ class WindowSet:
             bitmap[hashes >> np.uint64(64 - _BITS)] = True
             self.by_size[size] = (np.unique(hashes), bitmap)
 
-    def scan(self, words: ts.Words) -> tuple[np.ndarray, dict[int, list]]:
-        """Hit mask over the words, and the item lists of each row with hits."""
+    def scan(self, words: ts.Words) -> tuple[np.ndarray, dict[int, set[int]]]:
+        """Hit mask over the words, and the window numbers of each row with hits."""
         hit = np.zeros(len(words), dtype=bool)
-        items: dict[int, list] = {}
+        found: dict[int, set[int]] = {}
         for size, (hashes, bitmap) in self.by_size.items():
             at, h = words.grams(size)
             near = np.flatnonzero(bitmap[h >> np.uint64(64 - _BITS)])
             near = near[np.isin(h[near], hashes)] if len(near) else near
             for i in at[near]:
-                if (found := self.items.get(words.text(i, i + size))) is not None:
+                if (number := self.number.get(words.text(i, i + size))) is not None:
                     hit[i:i + size] = True
-                    items.setdefault(int(words.row[i]), []).extend(found)
-        return hit, items
+                    found.setdefault(int(words.row[i]), set()).add(number)
+        return hit, found
+
+
+def _number(window: str = "window"):
+    return F.xxhash64(window)
 
 
 def annotate(docs: DataFrame, benchmark: DataFrame, *, doc_text: str = "text", item_id: str = "item_id",
-             item_text: str = "text", n: int = 13, block_windows: int = BLOCK_WINDOWS) -> DataFrame:
-    """(row, n_words, spans, items): the document's row as a struct, its word
-    count, hit word ranges ([start, end) pairs in one flat array) and the
-    sorted ids of items with occurring windows."""
+             item_text: str = "text", n: int = 13, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """(row, n_words, spans, windows): the document's row as a struct, its word
+    count, hit word ranges ([start, end) pairs in one flat array) and the numbers
+    of the windows that occur (``with_items`` names their items)."""
     spark = docs.sparkSession
-    windows = item_windows(benchmark, item_id, item_text, n)
-    grouped = windows.groupBy("window").agg(F.collect_set("item").alias("items"))
-    blocks = max(1, -(-grouped.count() // block_windows))
+    windows = item_windows(benchmark, item_id, item_text, n).select("window").distinct()
+    size = windows.agg(F.sum(F.octet_length("window") + F.lit(WINDOW_BYTES))).first()[0] or 0
+    blocks = max(1, -(-size // block_bytes))
     schema = T.StructType([
         T.StructField("row", docs.schema), T.StructField("n_words", T.LongType()),
-        T.StructField("spans", T.ArrayType(T.LongType())),
-        T.StructField("items", T.ArrayType(benchmark.schema[item_id].dataType))])
-    result = rows_as_structs(docs)
+        T.StructField("spans", T.ArrayType(T.LongType())), T.StructField("windows", T.ArrayType(T.LongType()))])
+    result, before = rows_as_structs(docs), None
     for k in range(blocks):
-        part = grouped.filter(F.pmod(F.xxhash64("window"), F.lit(blocks)) == k)
-        shipped = broadcast_value(spark, WindowSet([(r[0], list(r[1])) for r in part.collect()]))
+        part = windows.filter(F.pmod(F.xxhash64("window", F.lit(1)), F.lit(blocks)) == k).select("window", _number())
+        shipped = broadcast_value(spark, WindowSet([tuple(r) for r in part.collect()]))
         result = result.mapInArrow(_scanner(shipped, doc_text, to_arrow_schema(schema)), schema)
+        if blocks > 1:                     # one block's windows are in memory at a time
+            keep = workspace(spark, "decontamination")
+            result = keep.stored(result, "scanned")
+            shipped.destroy()
+            if before is not None:
+                before.remove()
+            before = keep
     return result
 
 
@@ -121,22 +133,32 @@ def _scanner(shipped, doc_text, out):
             counts, spans, found = np.zeros(n, dtype=np.int64), [[] for _ in range(n)], [[] for _ in range(n)]
             for lo, hi, words in ts.word_batches(field(batch, doc_text), ts.NON_ALNUM, lower=True):
                 counts[lo:hi] = words.counts()
-                hit, items = windows.scan(words)
-                for r, ids in items.items():
-                    own = hit[words.first[r]:words.first[r + 1]]
-                    spans[lo + r] = np.flatnonzero(np.diff(np.concatenate(([0], own.view(np.int8), [0])))).tolist()
-                    found[lo + r] = ids
+                hit, numbers = windows.scan(words)
+                for r, own in numbers.items():
+                    mask = hit[words.first[r]:words.first[r + 1]]
+                    spans[lo + r] = np.flatnonzero(np.diff(np.concatenate(([0], mask.view(np.int8), [0])))).tolist()
+                    found[lo + r] = sorted(own)
             if batch.num_columns > 1:          # merge with what earlier blocks found
-                old_spans, old_items = batch.column(2).to_pylist(), batch.column(3).to_pylist()
-                spans = [_merge(a, b) for a, b in zip(spans, old_spans)]
-                found = [a + b for a, b in zip(found, old_items)]
-            found = [sorted({i for i in ids if i is not None}) for ids in found]
+                spans = [_merge(a, b) for a, b in zip(spans, batch.column(2).to_pylist())]
+                found = [a + b for a, b in zip(found, batch.column(3).to_pylist())]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(counts), pa.array(spans, out.field(2).type),
-                 pa.array(found, out.field(3).type)], names=out.names)
+                [batch.column(0), pa.array(counts), pa.array(spans, out.field(2).type), pa.array(found, out.field(3).type)], names=out.names)
     return run
 
 
+def with_items(found: DataFrame, benchmark: DataFrame, *, item_id: str = "item_id", item_text: str = "text", n: int = 13) -> DataFrame:
+    """``found`` with ``items``, the sorted ids of the items whose windows occur, in
+    place of ``windows``.  Rows with the same windows share one key; the others
+    have keys of their own."""
+    named = item_windows(benchmark, item_id, item_text, n).select(_number().alias("number"), F.col("item")).distinct()
+    several = F.size("windows") > 0
+    keyed = found.withColumn("_key", F.when(several, F.md5(F.to_json("windows"))).otherwise(F.xxhash64("row").cast("string")))
+    hits = (found.filter(several).select(F.md5(F.to_json("windows")).alias("_key"), F.explode("windows").alias("number")).distinct()
+            .join(named, "number").groupBy("_key").agg(F.array_sort(F.collect_set("item")).alias("items")))
+    none = F.array().cast(T.ArrayType(benchmark.schema[item_id].dataType))
+    return keyed.join(hits, "_key", "left").withColumn("items", F.coalesce("items", none)).drop("_key", "windows")
+
+
 def _merge(a: list[int], b: list[int]) -> list[int]:
     out: list[int] = []
     for s, e in sorted(list(zip(a[::2], a[1::2])) + list(zip(b[::2], b[1::2]))):
@@ -147,19 +169,24 @@ def _merge(a: list[int], b: list[int]) -> list[int]:
     return out
 
 
-def verdicts(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """``annotate`` plus ``n_hit`` and ``contaminated``: at least one word in
-    twenty lies in a benchmark window."""
+def judged(found: DataFrame) -> DataFrame:
+    """``found`` plus ``n_hit`` and ``contaminated``: at least one word in twenty
+    lies in a benchmark window."""
     zero = F.struct(F.lit(0).cast("long").alias("sum"), F.lit(-1).cast("long").alias("sign"))
     n_hit = F.aggregate("spans", zero, lambda acc, x: F.struct(
         (acc["sum"] + acc["sign"] * x).alias("sum"), (-acc["sign"]).alias("sign")), lambda acc: acc["sum"])
-    return (annotate(docs, benchmark, **options).withColumn("n_hit", n_hit)
-            .withColumn("contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))))
+    return found.withColumn("n_hit", n_hit).withColumn("contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words")))
+
+
+def verdicts(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
+    """(row, n_words, spans, items, n_hit, contaminated) of every document."""
+    of_items = {k: v for k, v in options.items() if k in ("item_id", "item_text", "n")}
+    return judged(with_items(annotate(docs, benchmark, **options), benchmark, **of_items))
 
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The rows and columns of ``docs`` without contaminated documents."""
-    return verdicts(docs, benchmark, **options).filter(~F.col("contaminated")).select("row.*")
+    return judged(annotate(docs, benchmark, **options)).filter(~F.col("contaminated")).select("row.*")
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, *, doc_text: str = "text", **options) -> DataFrame:

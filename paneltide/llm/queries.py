@@ -73,7 +73,9 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = decontam.verdicts(docs, table(spark, sf_dir, "benchmark"))
+    benchmark = table(spark, sf_dir, "benchmark")
+    found = decontam.annotate(docs, benchmark).withColumn("row", F.struct("row.doc_id"))
+    found = decontam.judged(decontam.with_items(found, benchmark))
     ids = F.array_join(F.array_sort(F.transform("items", lambda x: x.cast("string"))), ",")
     return found.select(F.col("row.doc_id").alias("doc_id"), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
                         F.sha2(ids.cast("binary"), 256).alias("items_sha256"), "contaminated")

@@ -425,7 +425,7 @@ def test_decontamination_rule_and_blocks(make_docs, spark):
     bench = spark.createDataFrame([(1, item), (2, "tiny item"), (3, None)], "item_id long, text string")
     rows = [(1, words(300, "c") + " " + item), (2, words(400, "c") + " B0, B1! " + words(12, "b", 2)), (3, words(50, "c")), (4, "a TINY-item here"),
             (5, words(12, "b")), (6, words(13, "B"))]
-    for options in ({}, {"block_windows": 5}):
+    for options in ({}, {"block_bytes": 1_000}):
         got = {r.row.doc_id: r for r in decontam.verdicts(make_docs(rows), bench, **options).collect()}
         assert [(got[i].n_hit, got[i].contaminated, got[i]["items"]) for i in range(1, 7)] == [
             (40, True, [1]), (14, False, [1]), (0, False, []), (2, True, [2]), (0, False, []), (13, True, [1])]
@@ -435,6 +435,17 @@ def test_decontamination_rule_and_blocks(make_docs, spark):
     assert cut[4] == "a  here" and cut[3] == rows[2][1] and "b5" not in cut[1] and cut[1].startswith("c0 c1")
 
 
+def test_items_of_hot_windows(make_docs, spark):
+    """A window of very many items reaches the driver and the documents once."""
+    bench = spark.createDataFrame([(i, words(13, "h")) for i in range(3_000)] + [(9_999, words(13, "q"))], "item_id long, text string")
+    shared = words(13, "h")
+    rows = [(i, f"{words(5, 'x')} {shared} {shared}") for i in range(40)] + [(50, words(13, "q") + " tail"), (51, "none")]
+    got = {r.row.doc_id: r for r in decontam.verdicts(make_docs(rows), bench).collect()}
+    assert all(len(got[i]["items"]) == 3_000 and got[i].n_hit == 26 for i in range(40))
+    assert got[50]["items"] == [9_999] and got[51]["items"] == [] and len(got) == 42
+    assert {len(r.windows) for r in decontam.annotate(make_docs(rows), bench).collect()} == {0, 1}
+
+
 def test_decontamination_odd_rows(odd_docs, wide_docs, no_docs, benchmark):
     rows = decontam.verdicts(wide_docs, benchmark).collect()
     by = {r.row.doc_id: r for r in rows}
