@@ -4,10 +4,10 @@ Strings come in independent groups and each ends with symbol 0.  A suffix is of
 type S if it is less than the next one, of type L otherwise; an S suffix after an
 L suffix is a seed.
 
-* The stretches between seeds are sorted by inducing from the seeds' first
-  symbols, and named by rank within their group.  Where names repeat, the strings
-  of names are sorted by the same function: seeds get their order and their common
-  prefixes, counted in names, from the recursion.
+* The stretches between seeds are sorted by their symbols and types, some at a
+  time in one integer, and named by rank within their group.  Where names repeat,
+  the strings of names are sorted by the same function: seeds get their order and
+  their common prefixes, counted in names, from the recursion.
 * From sorted seeds all L suffixes are induced in ascending and all S suffixes in
   descending order.  A suffix that is read sends the one before it to a priority
   queue under its first symbol, with the rank it was read at; two suffixes that
@@ -60,7 +60,9 @@ class DiskQueue:
 
     def push(self, rows: np.ndarray) -> None:
         for part, own in self._split(rows, rows[:, 0] // self.width):
-            if part == self.open:
+            if part == self.open and self.width == 1:
+                self.fine.setdefault(part, []).append(own)
+            elif part == self.open:
                 self._deal(own)
             else:
                 self.parts.setdefault(part, []).append(own)
@@ -103,8 +105,12 @@ class DiskQueue:
         part = key // self.width
         if part != self.open:
             self.open, self.fine = part, {}
-            for chunk in self.parts.pop(part, ()):
-                self._deal(self._loaded(chunk))
+            chunks = [self._loaded(c) for c in self.parts.pop(part, ())]
+            if self.width == 1 and chunks:
+                self.fine[key] = chunks
+            else:
+                for chunk in chunks:
+                    self._deal(chunk)
         own = self.fine.pop(key, None)
         return None if own is None else own[0] if len(own) == 1 else np.concatenate(own)
 
@@ -137,12 +143,12 @@ class _Strings:
 class _Reader:
     """Suffixes as they are read in one direction, group by group."""
 
-    def __init__(self, s: _Strings, cap: int, measured: bool):
-        self.s, self.cap, self.measured = s, cap, measured
+    def __init__(self, s: _Strings, cap: int):
+        self.s, self.cap = s, cap
         groups = len(s.base)
         self.filled = np.zeros(groups, np.int64)
         self.key, self.source, self.place = np.full(groups, -1, np.int64), np.zeros(groups, np.int64), np.zeros(groups, np.int64)
-        self.common = np.zeros(len(s.symbols) + 1 if measured else 0, np.uint8)
+        self.common = np.zeros(len(s.symbols) + 1, np.uint8)
 
     def read(self, key: int, place: np.ndarray, source: np.ndarray | None, common: np.ndarray | None):
         """Ranks and common prefixes of suffixes that begin with ``key``, each
@@ -165,51 +171,53 @@ class _Reader:
         own = group[heads]
         rank = np.arange(n) - np.repeat(heads - self.filled[own], size)
         self.filled[own] += size
-        value = None
-        if self.measured:
-            follows = self.key[own] == key                  # the head's predecessor begins with the key too
-            if source is not None:
-                before = np.empty(n, np.int64)
-                before[1:] = source[:-1]
-                before[heads] = self.source[own]
-                valid = np.ones(n, bool)
-                valid[heads] = follows
-                value = np.zeros(n, np.uint8)
-                at = np.flatnonzero(valid)[::-1]            # descending: no reduction over gaps
-                if len(at):
-                    lo, hi = s.base[group[at]] + before[at] + 1, s.base[group[at]] + source[at] + 1
-                    least = np.minimum.reduceat(self.common, np.stack((lo, hi), axis=1).ravel())[::2]
-                    value[at] = np.minimum(least, self.cap - 1) + 1
-                self.source[own] = source[heads + size - 1]
-            else:
-                value = common.copy()
-                value[heads] = np.where(follows, np.minimum(np.minimum(s.run[self.place[own]], s.run[place[heads]]), self.cap), 0)
-            self.common[s.base[group] + rank] = value
-            self.key[own], self.place[own] = key, place[heads + size - 1]
+        follows = self.key[own] == key                      # the head's predecessor begins with the key too
+        if source is not None:
+            before = np.empty(n, np.int64)
+            before[1:] = source[:-1]
+            before[heads] = self.source[own]
+            valid = np.ones(n, bool)
+            valid[heads] = follows
+            value = np.zeros(n, np.uint8)
+            at = np.flatnonzero(valid)[::-1]                # descending: no reduction over gaps
+            if len(at):
+                start = s.base[group[at]] + 1
+                edges = np.empty(2 * len(at), np.int64)
+                edges[::2], edges[1::2] = start + before[at], start + source[at]
+                value[at] = np.minimum(np.minimum.reduceat(self.common, edges)[::2], self.cap - 1) + 1
+            self.source[own] = source[heads + size - 1]
+        else:
+            value = common.copy()
+            value[heads] = np.where(follows, np.minimum(np.minimum(s.run[self.place[own]], s.run[place[heads]]), self.cap), 0)
+        self.common[s.base[group] + rank] = value
+        self.key[own], self.place[own] = key, place[heads + size - 1]
         return place, group, rank, value
 
     def before(self, place: np.ndarray, rank: np.ndarray, small: bool) -> np.ndarray:
         """(key, place, rank read at) of the suffixes one symbol longer, of one type."""
         symbol = self.s.symbols[place - 1]                  # before a string stands another's 0
         want = np.flatnonzero((symbol != 0) & (self.s.small[place - 1] == small))
-        return np.stack((symbol[want], place[want] - 1, rank[want]), axis=1).astype(np.int32)
+        return _rows(symbol[want], place[want] - 1, rank[want])
+
 
+def _rows(key, place, value) -> np.ndarray:
+    out = np.empty((len(place), 3), np.int32)
+    out[:, 0], out[:, 1], out[:, 2] = key, place, value
+    return out
 
-def _induced(s: _Strings, seeds: np.ndarray, common: np.ndarray | None, cap: int, queue):
+
+def _induced(s: _Strings, seeds: np.ndarray, common: np.ndarray, cap: int, queue):
     """(places in order of suffix, group by group; common prefix with the one
     before), from seeds in order within each group."""
-    measured = common is not None
     order = np.argsort(s.symbols[seeds], kind="stable")
-    seeds = seeds[order]
-    common = common[order] if measured else np.zeros(len(seeds), np.uint8)
+    seeds, common = seeds[order], common[order]
     at = np.searchsorted(s.symbols[seeds], np.arange(s.keys + 1)).tolist()
     large, ahead = queue(s.keys), queue(s.keys)
-    reader = _Reader(s, cap, measured)
+    reader = _Reader(s, cap)
     for key in range(s.keys):
         while (rows := ahead.pop(key)) is not None:
             place, _, rank, value = reader.read(key, rows[:, 1], rows[:, 2].astype(np.int64), None)
-            kept = value if measured else np.zeros(len(place), np.int32)
-            large.push(np.stack((np.full(len(place), key), place, kept), axis=1).astype(np.int32))
+            large.push(_rows(key, place, value))
             ahead.push(reader.before(place, rank, False))
         a, b = at[key], at[key + 1]
         if a < b:
@@ -218,14 +226,13 @@ def _induced(s: _Strings, seeds: np.ndarray, common: np.ndarray | None, cap: int
     ahead.close()
     n = len(s.symbols)
     out, prefix = np.zeros(n, np.int32), np.zeros(n + 1, np.uint8)
-    back, reader = queue(s.keys), _Reader(s, cap, measured)
+    back, reader = queue(s.keys), _Reader(s, cap)
 
     def put(place, group, rank, value):
         where = s.end[group] - 1 - rank
         out[where] = place
-        if measured:
-            later = rank > 0
-            prefix[where[later] + 1] = value[later]
+        later = rank > 0
+        prefix[where[later] + 1] = value[later]
 
     for key in range(s.keys - 1, 0, -1):
         while (rows := back.pop(key)) is not None:
@@ -248,16 +255,36 @@ def _induced(s: _Strings, seeds: np.ndarray, common: np.ndarray | None, cap: int
     return out, prefix[:n]
 
 
-def _equal(symbols: np.ndarray, a: np.ndarray, b: np.ndarray, length: np.ndarray) -> np.ndarray:
-    """Symbols that the stretches at a and b share, at most ``length``."""
-    shared = np.zeros(len(a), np.int64)
-    open_ = np.flatnonzero(length > 0)
-    while len(open_):
-        k = shared[open_]
-        open_ = open_[symbols[a[open_] + k] == symbols[b[open_] + k]]
-        shared[open_] += 1
-        open_ = open_[shared[open_] < length[open_]]
-    return shared
+def _named(s: _Strings, seeds: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(numbers of the seeds in order of the stretches that begin there, group by
+    group; whether each stretch equals the one before).  Symbols of one kind and of
+    two types sort L before S, so no stretch is the beginning of another."""
+    code = s.symbols.astype(np.int64) * 2 + s.small
+    bits = (2 * s.keys).bit_length()
+    per = 63 // bits
+
+    def packed(at, left):
+        out = np.zeros(len(at), np.int64)
+        for k in range(per):
+            out = out << bits | np.where(left > k, code[np.minimum(at + k, len(code) - 1)], 0)
+        return out
+
+    key = packed(seeds, length)
+    order = np.lexsort((key, s.group[seeds]))
+    new = np.ones(len(order), bool)
+    new[1:] = (key[order[1:]] != key[order[:-1]]) | (s.group[seeds[order[1:]]] != s.group[seeds[order[:-1]]])
+    done = per
+    while True:
+        kind = np.cumsum(new) - 1
+        open_ = np.flatnonzero((np.bincount(kind)[kind] > 1) & (length[order] > done))
+        if not len(open_):
+            return order, ~new
+        own = order[open_]
+        key = packed(seeds[own] + done, length[own] - done)
+        place = np.lexsort((key, kind[open_]))
+        order[open_], key = own[place], key[place]
+        new[open_[1:]] |= key[1:] != key[:-1]
+        done += per
 
 
 def _doubled(names: np.ndarray, group: np.ndarray, base: np.ndarray, cap: int, queue):
@@ -303,12 +330,8 @@ def sort_suffixes(symbols: np.ndarray, group: np.ndarray, base: np.ndarray, cap:
     seeds = np.flatnonzero(s.seed)
     stretch = np.append(np.diff(seeds), 0) + 1              # up to and with the next seed
     stretch[symbols[seeds] == 0] = 1
-    rough, _ = _induced(s, seeds, None, cap, queue)
-    ranked = rough[s.seed[rough]].astype(np.int64)
-    own = np.searchsorted(seeds, ranked)
-    same = np.zeros(len(ranked), bool)
-    pair = np.flatnonzero((group[ranked[1:]] == group[ranked[:-1]]) & (stretch[own[1:]] == stretch[own[:-1]])) + 1
-    same[pair] = _equal(symbols, ranked[pair - 1], ranked[pair], stretch[own[pair]]) == stretch[own[pair]]
+    own, same = _named(s, seeds, stretch)
+    ranked = seeds[own]
     new_group = np.ones(len(ranked), bool)
     new_group[1:] = group[ranked[1:]] != group[ranked[:-1]]
     shared = np.zeros(len(ranked), np.int64)                # names in common with the seed before
