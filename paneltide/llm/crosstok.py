@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import broadcast_value, workspace
+from .common import broadcast_value, packed, unpacked, workspace
 from .packing import read_ranks
 
 #: Segments that a task remembers, and texts (in characters) that it aligns at once.
@@ -197,16 +197,6 @@ class Aligner:
         return measures, digest, (text[starts], code[starts], np.add.reduceat(uses, starts) if len(starts) else uses)
 
 
-def packed(values: np.ndarray, widths=(np.uint8, np.uint16, np.uint32, np.uint64)) -> bytes:
-    """Values in the narrowest of the widths that holds them all."""
-    top = int(values.max()) if len(values) else 0
-    return values.astype(next(w for w in widths if top <= np.iinfo(w).max)).tobytes()
-
-
-def unpacked(raw: bytes, n: int) -> np.ndarray:
-    return np.frombuffer(raw, dtype=f"<u{len(raw) // n}").astype(np.int64) if n else np.zeros(0, np.int64)
-
-
 def bucket_of(ids: np.ndarray, buckets: int) -> np.ndarray:
     return ((ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C55) >> np.uint64(33)) % np.uint64(buckets)).astype(np.int32)
 

@@ -172,12 +172,33 @@ def drifting(n, seed, size=200, step=10):
         w[k * step % size:k * step % size + step] = [f"d{seed}v{k}x{j}" for j in range(step)]
 
 
+def exact_shares(texts):
+    """Shingles and the share of the texts that hold each."""
+    grams = np.concatenate([neardup.bags(w)[1] for t in texts for _, _, w in textscan.word_batches(pa.array([t]), textscan.SPACE, lower=True)])
+    kinds, n = np.unique(grams, return_counts=True)
+    return kinds, n / len(texts)
+
+
+def test_weights_follow_exact_document_frequencies(make_docs):
+    """Weights depend on the share of documents alone: ten times the documents,
+    the same weights."""
+    texts = [f"{words(40, f'own{i}x')} {words(20, f'tenth{i % 10}x')} {words(20, 'all')}" for i in range(400)]
+    kinds, share = exact_shares(texts)
+    want = 1 + np.log(np.clip(share, neardup.RARE, 1)) / np.log(neardup.RARE)
+    for times in (1, 10):
+        idf = neardup.document_frequencies(make_docs(list(enumerate(texts * times))).repartition(3))
+        got = neardup.weights(kinds, np.ones(len(kinds)), idf)
+        assert np.mean(np.abs(got - want) < 1e-5) > 0.999 and (got <= want + 1e-5).all()
+    assert {1.0, 2.0} <= set(np.round(got, 5).tolist()) and len(set(np.round(got, 4).tolist())) >= 3
+    assert (neardup.document_frequencies(make_docs([])) >= 1).all()
+
+
 def brute_classes(texts):
     """Least position of each text's class, over all pairs that share a band."""
-    table = np.concatenate([neardup.bags(w)[1] >> np.uint64(48) for t in texts
-                            for _, _, w in textscan.word_batches(pa.array([t]), textscan.SPACE, lower=True)]).astype(int)
-    df = np.maximum(1, np.bincount(table, minlength=1 << 16))
-    idf = (1 + np.log(np.maximum(1, len(texts) / df)) / np.log(len(texts) + 2)).astype(np.float32)
+    kinds, share = exact_shares(texts)
+    idf = np.ones((neardup.DEPTH, neardup.SLOTS), np.float32)
+    for k, slot in enumerate(neardup._slots(kinds)):
+        idf[k][slot] = 1 + np.log(np.clip(share, neardup.RARE, 1)) / np.log(neardup.RARE)
     own = neardup.Bags(pa.array(texts), idf)
     sig = []
     for _, _, w in textscan.word_batches(pa.array(texts), textscan.SPACE, lower=True):
