@@ -3,9 +3,12 @@ on the driver, per-row passes with the coefficients as literals (T4-T12,
 T15, T17-T19).
 
 Pass 1 is a single aggregation of means and centred co-moments
-(``covar_samp``, numerically stable merges), optionally grouped by a segment
-column so several fits share one scan.  The k x k system is solved in
-numpy.  Pass 2 (residuals, leverages, HC3 meat, RSS) is another aggregation
+(``covar_samp``, numerically stable merges); several fits share one scan.  The
+k x k system is solved in numpy on the correlation scale.  Co-moments square the
+condition number of the regressors, so where that is over ``REFINE_CONDITION`` a
+further aggregation takes the co-moments of the regressors that a Cholesky factor
+of the first makes nearly orthogonal (Cholesky QR, done twice): both factors
+together are as accurate as an orthogonal factorisation of the rows.  Pass 2 (residuals, leverages, HC3 meat, RSS) is another aggregation
 whose expressions carry the coefficients as literals: nothing but the
 (k+2)^2 numbers per fit ever reaches the driver.
 """
@@ -42,6 +45,7 @@ class OLSFit:
     rss: float | None = None
     meat_c: np.ndarray | None = None
     aliased: np.ndarray = field(init=False)
+    refined: bool = False
 
     def __post_init__(self):
         self.aliased, self.sinv = _solve_scaled(self.sxx)
@@ -68,9 +72,10 @@ class OLSFit:
 
     # ---- per-row expressions (coefficients as literals)
     def fitted_col(self) -> Column:
-        out = F.lit(self.b0)
-        for b, x in zip(self.beta, self.xs):
-            out = out + F.lit(float(b)) * F.col(x)
+        # around the means where large terms would cancel
+        out = F.lit(float(self.ybar if self.refined else self.b0))
+        for b, x, m in zip(self.beta, self.xs, self.xbar):
+            out = out + F.lit(float(b)) * (F.col(x) - F.lit(float(m)) if self.refined else F.col(x))
         return out
 
     def resid_col(self) -> Column:
@@ -147,6 +152,9 @@ class OLSFit:
 
 #: Share of a regressor's variance that earlier ones must leave unexplained.
 ALIAS_TOLERANCE = 1e-11
+#: Condition number of the correlations (that of the scaled regressors, squared)
+#: from which a fit by ``ols`` and ``fit_many`` takes a second factor.
+REFINE_CONDITION = 1e6
 
 
 def _solve_scaled(sxx: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -174,6 +182,41 @@ def _solve_scaled(sxx: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return aliased, inverse / np.outer(safe, safe)
 
 
+def _first_factor(fit: OLSFit) -> np.ndarray | None:
+    """T with nearly uncorrelated (x - mean) T of unit variance, if the fit needs a
+    second factor; rows and columns of aliased terms are zero."""
+    kept = np.flatnonzero(~fit.aliased)
+    if len(kept) < 2:
+        return None
+    scale = np.sqrt(np.diag(fit.sxx)[kept])
+    corr = fit.sxx[np.ix_(kept, kept)] / np.outer(scale, scale)
+    if np.linalg.cond(corr) < REFINE_CONDITION:
+        return None
+    factor = np.zeros_like(fit.sxx)
+    factor[np.ix_(kept, kept)] = np.linalg.inv(np.linalg.cholesky(corr)).T / scale[:, None] * math.sqrt(fit.n - 1)
+    return factor
+
+
+def _refined(d: DataFrame, fit: OLSFit, cond: Column | None = None) -> None:
+    """Solve a badly conditioned fit again in nearly orthogonal regressors: one
+    more scan, and only for such a fit."""
+    factor = _first_factor(fit)
+    if factor is None:
+        return
+    rows = d if cond is None else d.filter(cond)
+    kept = np.flatnonzero(~fit.aliased)
+    centred = [F.col(x) - F.lit(float(m)) for x, m in zip(fit.xs, fit.xbar)]
+    names = [f"_q{j}" for j in kept]
+    q = [sum((F.lit(float(factor[i, j])) * centred[i] for i in kept if factor[i, j]), F.lit(0.0)).alias(n) for j, n in zip(kept, names)]
+    row = rows.select(fit.y, *q).agg(*_moment_aggs(fit.y, names)).first()
+    again = _fit_from_row(row, fit.y, names)
+    own = factor[:, kept]
+    fit.beta = own @ again.beta
+    fit.sinv = own @ again.sinv @ own.T
+    fit.b0 = float(fit.ybar - fit.beta @ fit.xbar)
+    fit.rss, fit.refined = again.rss_value(), True
+
+
 def _moment_aggs(y: str, xs: Sequence[str], cond: Column | None = None, tag: str = "") -> list[Column]:
     """Count, means and centred co-moments of (xs, y); rows outside ``cond``
     are masked to NULL, which every aggregate skips."""
@@ -285,25 +328,18 @@ def fit_many(df: DataFrame, specs: dict, hc3: bool = True, second_pass: bool = T
     row = df.agg(*aggs).collect()[0]
     fits = {name: _fit_from_row(row, y, xs, tag=f"f{i}_")
             for i, (name, (y, xs, _c)) in enumerate(specs.items())}
+    for name in specs:
+        _refined(df, fits[name], conds[name])
     if second_pass:
         _run_pass2(df, [(fits[name], conds[name], f"f{i}_") for i, name in enumerate(specs)], hc3)
     return fits
 
 
-def ols(df: DataFrame, y: str, xs: Sequence[str], by: str | None = None,
-        second_pass: bool = True, hc3: bool = True) -> OLSFit | dict:
-    """Fit ``y ~ xs`` (with intercept) on complete cases; ``by`` fits one
-    model per segment value, two scans in total for all segments."""
-    d = complete_cases(df, [y, *xs] + ([by] if by else []))
-    if by:
-        rows = d.groupBy(by).agg(*_moment_aggs(y, xs)).collect()
-        fits = {r[by]: _fit_from_row(r, y, xs) for r in rows}
-        if second_pass:
-            _run_pass2(d, [(f, F.col(by) == F.lit(seg), f"s{i}_") for i, (seg, f) in enumerate(fits.items())],
-                       hc3)
-        return fits
-    row = d.agg(*_moment_aggs(y, xs)).collect()[0]
-    fit = _fit_from_row(row, y, xs)
+def ols(df: DataFrame, y: str, xs: Sequence[str], second_pass: bool = True, hc3: bool = True) -> OLSFit:
+    """Fit ``y ~ xs`` (with intercept) on complete cases."""
+    d = complete_cases(df, [y, *xs])
+    fit = _fit_from_row(d.agg(*_moment_aggs(y, xs)).collect()[0], y, xs)
+    _refined(d, fit)
     if second_pass:
         residual_pass(d, fit, hc3)
     return fit
@@ -473,8 +509,9 @@ def chow_test(df: DataFrame, y: str, xs: Sequence[str], regime: str, levels=(0,
               names: Sequence[str] = ("pre", "post")) -> DataFrame:
     """Chow F test at known breaks (T9, quirk Q6) as a lazy one-row DataFrame:
     one fit per regime level against one over the rows of those levels, rows of
-    any other level (or none) left out; regressors without the regime, k counts
-    the intercept, df = ((m - 1) k, n - m k) for m levels."""
+    any other level (or none) left out; regressors without the regime.  With p
+    the coefficients that a fit can estimate, intercept included,
+    df = (sum of p over the levels - p of the pooled fit, n - sum of p)."""
     from ..session import ship_package
     ship_package(df.sparkSession)
     xs, levels, names = list(xs), list(levels), list(names)
@@ -488,9 +525,8 @@ def chow_test(df: DataFrame, y: str, xs: Sequence[str], regime: str, levels=(0,
         for pdf in batches:
             for _, row in pdf.iterrows():
                 pooled, *own = (_fit_from_row(row, y, xs, tag=f"f{i}_") for i in range(n_fits))
-                m, k, n = len(own), pooled.p, pooled.n
-                rss = sum(f.rss_value() for f in own)
-                df1, df2 = (m - 1) * k, n - m * k
+                rss, free = sum(f.rss_value() for f in own), sum(f.p for f in own)
+                df1, df2 = free - pooled.p, pooled.n - free
                 f = ((pooled.rss_value() - rss) / df1) / (rss / df2)
                 yield pd.DataFrame([(f, float(df1), float(df2), dist.f_sf(f, df1, df2), pooled.rss_value(),
                                      *[x.rss_value() for x in own])], columns=columns)

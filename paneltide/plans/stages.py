@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -30,7 +31,7 @@ from ..operators.joins import natural_join, scalar, suffix_join
 from ..sources import census as C
 from ..sources import landing as LD
 from ..session import cut_lineage
-from ..sources.sinks import read_stage, write_stage
+from ..sources.sinks import StageStore, source_version
 
 TYPES = LD.CRIME_TYPES
 POST_YEAR = 2020
@@ -163,26 +164,35 @@ def run_merge(spark: SparkSession, landing_dir: str, census_dir: str, out_dir: s
     """Entries 1 and 2 end to end: nine parquet stages below ``out_dir``.
 
     Every stage is written once and later steps read it back: the landing files
-    are parsed once, and the yearly rollup reads the merged stage.  Monthly and
-    yearly stages are partitioned by year, so year filters prune files.
+    are parsed once, and the yearly rollup reads the merged stage.  A stage that
+    is there for the same inputs is not made again (``sources.sinks``).  Monthly
+    and yearly stages are partitioned by year, so year filters prune files.
     """
-    def stage(name: str, df: DataFrame, by_year: bool = True) -> DataFrame:
-        path = f"{out_dir.rstrip('/')}/{name}"
-        write_stage(df, path, partition_by=["year"] if by_year else None)
-        return read_stage(spark, path).select(*df.columns)
-
-    monthly = stage("crime_data", LD.crime_data(spark, landing_dir))
+    store = StageStore(spark, out_dir)
+    landed, surveyed = source_version(spark, landing_dir), source_version(spark, census_dir)
     ct = census_tables(spark, census_dir)
-    names = spark.createDataFrame(C.SURVEY_VARIABLES, "name string, code string")
-    out = {"crime_data": monthly, "vars": stage("vars", names, by_year=False),
-           "mapping": stage("mapping", ct.mapping, by_year=False),
-           "acs_1yr_ts": stage("acs_1yr_ts", ct.acs1), "acs_5yr_ts": stage("acs_5yr_ts", ct.acs5)}
-    ct = CensusTables(out["mapping"], out["acs_1yr_ts"], out["acs_5yr_ts"], ct.geometry)
-    merged = out["crime_data_merged"] = stage("crime_data_merged", merge(monthly, ct))
-    rolled = cut_lineage(yearly_rollup(merged))           # a row per county and year, read by three branches
-    out["mapping_yearly_data"] = stage("mapping_yearly_data", map_yearly(rolled, ct.geometry))
-    out["acs_1_yearly_data"] = stage("acs_1_yearly_data", acs1_yearly(rolled, ct.acs1, interpolate))
-    out["acs_5_yearly_data"] = stage("acs_5_yearly_data", acs5_yearly(rolled))
+
+    def stage(name, make, made_from, by_year=True):
+        known = [store.versions.get(x, x) for x in made_from]
+        return store.stage(name, make, known, ["year"] if by_year else None)
+
+    names = lambda: spark.createDataFrame(C.SURVEY_VARIABLES, "name string, code string")
+    out = {"crime_data": stage("crime_data", lambda: LD.crime_data(spark, landing_dir), [landed]),
+           "vars": stage("vars", names, [], by_year=False),
+           "mapping": stage("mapping", lambda: ct.mapping, [surveyed], by_year=False),
+           "acs_1yr_ts": stage("acs_1yr_ts", lambda: ct.acs1, [surveyed]), "acs_5yr_ts": stage("acs_5yr_ts", lambda: ct.acs5, [surveyed])}
+    known = CensusTables(out["mapping"], out["acs_1yr_ts"], out["acs_5yr_ts"], ct.geometry)
+    merged = out["crime_data_merged"] = stage("crime_data_merged", lambda: merge(out["crime_data"], known),
+                                              ["crime_data", "mapping", "acs_1yr_ts", "acs_5yr_ts"])
+
+    @cache
+    def rolled():                                          # a row per county and year, read by three branches
+        return cut_lineage(yearly_rollup(merged))
+
+    out["mapping_yearly_data"] = stage("mapping_yearly_data", lambda: map_yearly(rolled(), known.geometry), ["crime_data_merged", surveyed])
+    out["acs_1_yearly_data"] = stage("acs_1_yearly_data", lambda: acs1_yearly(rolled(), known.acs1, interpolate),
+                                     ["crime_data_merged", "acs_1yr_ts", *interpolate])
+    out["acs_5_yearly_data"] = stage("acs_5_yearly_data", lambda: acs5_yearly(rolled()), ["crime_data_merged"])
     return out
 
 

@@ -233,6 +233,37 @@ def test_cli_ingest_and_merge(spark, scratch):
         assert spark.read.parquet(os.path.join(out, t)).count() > 0
 
 
+def test_stopped_run_goes_on_after_its_last_whole_stage(spark, scratch, monkeypatch):
+    import json
+    land, cen, out = (os.path.join(scratch, d) for d in ("landing", "census", "stages"))
+    write_landing(land)
+    write_census(cen)
+    versions = lambda name: sorted(os.listdir(os.path.join(out, name)))
+    with monkeypatch.context() as m:
+        m.setattr(PL, "yearly_rollup", lambda merged: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            PL.run_merge(spark, land, cen, out)
+    assert os.path.exists(os.path.join(out, "_manifests", "crime_data_merged.json")) and not os.path.exists(os.path.join(out, "acs_5_yearly_data"))
+    before = {n: versions(n) for n in ("crime_data", "crime_data_merged", "mapping")}
+    with monkeypatch.context() as m:
+        m.setattr(LD, "crime_data", lambda *a: 1 / 0)
+        m.setattr(PL, "merge", lambda *a: 1 / 0)
+        whole = PL.run_merge(spark, land, cen, out)
+        again = {n: df.count() for n, df in PL.run_merge(spark, land, cen, out).items()}
+    assert {n: versions(n) for n in before} == before and again == {n: df.count() for n, df in whole.items()} and len(again) == 9
+    with open(os.path.join(out, "_manifests", "crime_data.json")) as f:
+        assert json.load(f)["rows"] == again["crime_data"] == len(AGENCIES) * len(MONTHS)
+    # a half-written version, and other inputs: old versions go, what does not depend on them stays
+    os.makedirs(os.path.join(out, "crime_data", "version=half"))
+    _write(land, "ZZ_arson.csv", "series,01-2020", "Zed,3")
+    assert PL.run_merge(spark, land, cen, out)["crime_data"].filter("ori = 'ZZ'").count() == 1
+    assert len(versions("crime_data")) == 1 and versions("crime_data") != before["crime_data"] and versions("mapping") == before["mapping"]
+    only = PL.run_merge(spark, land, cen, out, interpolate=["total_population_acs1"])
+    assert only["acs_1_yearly_data"].columns == whole["acs_1_yearly_data"].columns
+    from paneltide.sources.sinks import read_stage
+    assert "version" not in read_stage(spark, os.path.join(out, "mapping")).columns
+
+
 def test_stage_partition_pruning(spark, scratch):
     land, cen, out = (os.path.join(scratch, d) for d in ("landing", "census", "stages"))
     write_landing(land)

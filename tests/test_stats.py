@@ -191,6 +191,35 @@ def test_range_index_deals_evenly(spark):
     assert RangeIndex(empty, ["a", "k"], 100).deal(empty).count() == 0
 
 
+def test_badly_conditioned_design_matches_orthogonal_solve(spark):
+    """Regressors that differ by one part in 10^5 and lie far from zero."""
+    rng = np.random.default_rng(12)
+    n = 4000
+    a = rng.normal(1e3, 1, n)
+    x = np.stack([a, a + 1e-5 * rng.normal(size=n), 1e6 * (a + 2e-5 * rng.normal(size=n)), rng.normal(size=n)])
+    y = 3 + x[0] - 2 * x[1] + 1e-6 * x[2] + 0.5 * x[3] + 1e-3 * rng.normal(size=n)
+    df = spark.createDataFrame([tuple(map(float, r)) for r in np.vstack([y[None], x]).T], "y double, a double, b double, c double, d double").repartition(4)
+    fit = L.ols(df, "y", ["a", "b", "c", "d"])
+    centred = (x - x.mean(axis=1, keepdims=True)).T
+    q, r = np.linalg.qr(centred)
+    want = np.linalg.solve(r, q.T @ (y - y.mean()))
+    assert np.linalg.cond(centred / centred.std(axis=0)) > 1e5 and not fit.aliased.any()
+    assert np.allclose(fit.beta, want, rtol=1e-8)
+    resid = y - y.mean() - centred @ want
+    se = np.sqrt(np.diag(np.linalg.inv(r.T @ r)) * (resid @ resid) / (n - 5))
+    assert np.allclose([t["std_error"] for t in fit.tidy()][1:], se, rtol=1e-6)
+    both = L.fit_many(df, {"all": ("y", ["a", "b", "c", "d"], None), "half": ("y", ["a", "d"], F.col("d") > 0)})
+    assert np.allclose(both["all"].beta, want, rtol=1e-8)
+    assert both["half"].beta == pytest.approx(L.ols(df.filter("d > 0"), "y", ["a", "d"]).beta)
+
+
+def test_chow_counts_what_each_regime_can_estimate(spark):
+    rng = np.random.default_rng(13)
+    rows = [(float(rng.normal()), float(rng.normal()), float(g * rng.normal()), g) for g in (0, 1) for _ in range(50)]
+    t = L.chow_test(spark.createDataFrame(rows, "y double, x double, z double, g int"), "y", ["x", "z"], "g").first()
+    assert (t["df1"], t["df2"]) == (2, 95)                   # z is 0 throughout in regime 0: 2 + 3 coefficients against 3
+
+
 def test_ols_needs_more_rows_than_coefficients(spark):
     df = spark.createDataFrame([(1.0, 2.0, 3.0), (2.0, 1.0, None)], "y double, a double, b double")
     with pytest.raises(ValueError, match="complete cases"):
