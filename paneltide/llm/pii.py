@@ -8,6 +8,10 @@ date between 1900 and 2099.  The same value gets the same pseudonym in every
 document, different values of one format different ones.  The local part of a
 mail address, which has no fixed format, becomes letters of a keyed digest.
 
+Not found, hence left in clear: phone numbers in other groupings than 3-3-4 or
+without separators, social security numbers, IBANs, IPv6 addresses, dates written
+with names or one-digit parts.
+
 The round function is SHA-256 over key, format, round and half.  Everything is
 DataFrame expressions over one row, so nothing is shuffled.
 
@@ -105,20 +109,28 @@ def _ip(m: Column, key: str) -> Column:
 
 
 def _date(m: Column, key: str) -> Column:
+    """A date moved among the dates that its format can write.  Slash dates that
+    read as month first are moved among those; the others, whose first number is
+    13 or more, read as day first and stay among days from 13 on."""
     first = F.lit("1900-01-01").cast("date")
 
-    def moved(day):
+    def moved(day, least_day):
         def once(x):
             return let(feistel(F.floor(x / _DAY_RIGHT), x % _DAY_RIGHT, F.lit(_DAY_LEFT), F.lit(_DAY_RIGHT), key, F.lit("date")),
                        lambda f: (f["a"] * _DAY_RIGHT + f["b"]).cast("int"))
-        # Cycle walking: step again from the few places beyond the last day.
-        walked = F.aggregate(F.sequence(F.lit(1), F.lit(12)), once(day), lambda acc, _: F.when(acc < _DAYS, acc).otherwise(once(acc)))
-        return let(walked, lambda w: F.when(w < _DAYS, F.date_add(first, w)))
+
+        def fits(x):
+            return (x < _DAYS) & (F.dayofmonth(F.date_add(first, x)) >= least_day)
+        # Cycle walking: step again from places beyond the last day or of other days
+        # (at worst two in five, so 100 steps leave out one date in 10^39).
+        walked = F.aggregate(F.sequence(F.lit(1), F.lit(100)), once(day), lambda acc, _: F.when(fits(acc), acc).otherwise(once(acc)))
+        return let(walked, lambda w: F.when(fits(w), F.date_add(first, w)))
 
     out = None
-    for shape, form in ((r"^[0-9]{4}-", "yyyy-MM-dd"), (r"^[0-9]{2}\.", "dd.MM.yyyy"), (r"^[0-9]{2}/", "MM/dd/yyyy"), (r"^[0-9]{2}/", "dd/MM/yyyy")):
+    for shape, form, least_day in ((r"^[0-9]{4}-", "yyyy-MM-dd", 1), (r"^[0-9]{2}\.", "dd.MM.yyyy", 1),
+                                   (r"^[0-9]{2}/", "MM/dd/yyyy", 1), (r"^[0-9]{2}/", "dd/MM/yyyy", 13)):
         day = F.datediff(F.to_date(F.try_to_timestamp(m, F.lit(form))), first)
-        new = let(day, lambda d: F.when(d.between(0, _DAYS - 1), F.date_format(moved(d), form)))
+        new = let(day, lambda d: F.when(d.between(0, _DAYS - 1), F.date_format(moved(d, least_day), form)))
         new = F.when(m.rlike(shape), new)
         out = new if out is None else F.coalesce(out, new)
     return out

@@ -317,6 +317,16 @@ def test_dates_are_a_permutation(spark):
     assert len({r.x for r in got}) == 5000 and all("1900-01-01" <= r.x <= "2099-12-31" for r in got)
 
 
+def test_slash_dates_are_a_permutation(spark):
+    """Different slash dates get different ones, each of its own reading."""
+    day = F.date_add(F.lit("2000-01-01").cast("date"), F.col("id").cast("int"))
+    days = spark.range(2000).select(F.explode(F.array(F.date_format(day, "MM/dd/yyyy"), F.date_format(day, "dd/MM/yyyy"))).alias("d")).distinct()
+    got = {r.d: r.x for r in days.select("d", pii._date(F.col("d"), "k").alias("x")).collect()}
+    assert len(set(got.values())) == len(got) and None not in got.values()
+    assert all((int(d[:2]) > 12) == (int(x[:2]) > 12) and len(x) == 10 for d, x in got.items())
+    assert any(d != x for d, x in got.items())
+
+
 def test_pii_odd_rows(odd_docs, wide_docs, no_docs):
     out = pii.pseudonymise(wide_docs, key="k")
     assert {(r.doc_id, r.text) for r in out.collect()} == {(i, t) for i, t in ODD}
