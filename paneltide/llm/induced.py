@@ -31,7 +31,7 @@ from pyarrow import fs
 
 
 #: Names of a group up to which they are sorted by induction.
-NAMES = 256
+NAMES = 128
 
 
 class DiskQueue:

@@ -39,6 +39,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -423,12 +424,13 @@ def _located(stretches: DataFrame, window: int, folder: str, sort_bytes: int, qu
                 pa.array([None] * n + [f[1] for f in firsts], pa.int64())], names=schema.names)
 
         for batch in batches:
-            for row in zip(*(batch.column(i).to_pylist() for i in range(7))):
-                if held >= sort_bytes and (row[0] != rows[-1][0] or held >= 2 * sort_bytes):
-                    yield found(row[0] if row[0] == rows[-1][0] else None)
+            for lo in range(0, batch.num_rows, 1_000):
+                part = batch.slice(lo, 1_000)
+                if held >= sort_bytes:
+                    yield found(rows[-1][0])                # its group may go on
                     rows, held = [], 0
-                rows.append(row)
-                held += len(row[5]) + (len(row[6]) if row[6] else 0)
+                rows += zip(*(part.column(i).to_pylist() for i in range(7)))
+                held += pc.sum(pc.binary_length(part.column(5))).as_py() + (pc.sum(pc.binary_length(part.column(6))).as_py() or 0)
         if rows:
             yield found(None)
 
