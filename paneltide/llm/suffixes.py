@@ -68,7 +68,8 @@ _PLACE = np.dtype([("id", "<i8"), ("rk", "<i8"), ("start", "<i4")])
 
 
 def rolling(raw: np.ndarray, size: int) -> np.ndarray:
-    """Hash of the ``size`` bytes from each byte on."""
+    """Polynomial hash of the ``size`` bytes from each byte on; its high bits are
+    mixed, its low bits are not."""
     one = _BYTES[raw]
     if len(raw) < size:
         return one[:0]
@@ -79,7 +80,7 @@ def rolling(raw: np.ndarray, size: int) -> np.ndarray:
         if bit == "1":
             h = h[:-1] * _U(_BASE) + one[k:]
             k += 1
-    return ts.mix(h)
+    return h
 
 
 def least(values: np.ndarray, span: int) -> tuple[np.ndarray, np.ndarray]:
@@ -89,7 +90,7 @@ def least(values: np.ndarray, span: int) -> tuple[np.ndarray, np.ndarray]:
         step = min(k, span - k)
         right = values[step:] < values[:-step]
         at = np.where(right, at[step:], at[:-step])
-        values = np.where(right, values[step:], values[:-step])
+        values = np.minimum(values[step:], values[:-step])
         k += step
     return values, at
 
@@ -110,7 +111,7 @@ class Piece:
         phrase with windows."""
         last = self.first[:-1] + self.size - window + 1     # no window begins from here on
         h = rolling(self.raw, TRIGGER)
-        cut = np.flatnonzero(h % _U(phrase) == 0)
+        cut = np.flatnonzero(h < _U((1 << 64) // phrase))
         cut = np.union1d(cut, self.first[:-1][self.size >= window])
         row = self.rows(cut)
         inside = cut < last[row]
