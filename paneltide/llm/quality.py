@@ -8,10 +8,11 @@ pairs.  The floor below which documents fail is the ``SPARED`` quantile of the
 trusted documents' own scores, so it follows the given table; each document is
 judged alone and deterministic.
 
-Raw counts cover all documents; the target is at most ``MAX_LABELLED`` labelled
-rows, those with the least hash of their id (a documented bound).  Both are
-counted in one scan and summed before the shuffle; only the bucket table
-(a fixed size) and the floor reach the driver.  All work is DataFrame expressions.
+Raw counts cover all documents, the target and the floor all documents labelled
+as good.  Both counts take one scan, in which the texts meet their labels by a
+join on the id, and are summed before the shuffle; the floor takes a scan that
+joins ids and scores alone.  Only the bucket table (a fixed size) and the floor
+reach the driver.  All work is DataFrame expressions.
 
 Defined results: null and empty texts have no words and fail the base rule;
 labels that disagree count as bad; without labels, or with an empty table, the
@@ -27,10 +28,10 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import let
+from ..operators.quantile import quantile_table
+from .common import let, workspace
 
 BUCKETS = 10_000
-MAX_LABELLED = 20_000
 #: Share of the trusted documents whose score may lie below the floor.
 SPARED = 0.001
 SPACE_RUN = r"[\x20\x09-\x0D]+"
@@ -59,6 +60,16 @@ def _hashed(w: Column) -> Column:
     return F.transform(w, lambda x: F.xxhash64(x))
 
 
+def _score(h: Column, two: Column, ratios: np.ndarray) -> Column:
+    """Mean ratio of the words ``h`` and pairs ``two``; null without words."""
+    table, size = F.lit(ratios), len(ratios)
+
+    def total(x):
+        return F.aggregate(x, F.lit(0.0), lambda acc, v: acc + table[F.pmod(v, F.lit(size)).cast("int")])
+
+    return F.when(F.size(h) > 0, (total(h) + total(two)) / (F.size(h) + F.size(two)))
+
+
 def _repeat_words(eight: Column) -> Column:
     """Words covered by 8-word windows whose hash occurs twice or more."""
     placed = F.array_sort(F.transform(eight, lambda x, i: F.struct(x.alias("h"), i.alias("i"))))
@@ -80,19 +91,13 @@ def measures(docs: DataFrame, model: Model | None, *, text: str = "text") -> Dat
     model's floor."""
     value = F.coalesce(F.col(text), F.lit(""))
     lines = F.filter(F.split(value, "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    table = None if model is None else F.lit(model.ratios)
-
-    def total(h):
-        size = len(model.ratios)
-        return F.aggregate(h, F.lit(0.0), lambda acc, x: acc + table[F.pmod(x, F.lit(size)).cast("int")])
 
     def rest(h):
         two = _pairs(h, 1)
 
         def more(t):
             eight = let(_pairs(t, 2), lambda f: _pairs(f, 4))
-            n_grams = F.size(h) + F.size(t)
-            score = F.lit(None).cast("double") if table is None else F.when(F.size(h) > 0, (total(h) + total(t)) / n_grams)
+            score = F.lit(None).cast("double") if model is None else _score(h, t, model.ratios)
             return F.struct(F.size(h).cast("long").alias("n_words"), let(eight, _repeat_words).alias("n_repeat_words"), score.alias("score"))
         return let(two, more)
 
@@ -107,14 +112,14 @@ def measures(docs: DataFrame, model: Model | None, *, text: str = "text") -> Dat
 
 
 def fit(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str = "text", label: str = "quality",
-        buckets: int = BUCKETS, max_labelled: int = MAX_LABELLED, spared: float = SPARED) -> Model | None:
+        buckets: int = BUCKETS, spared: float = SPARED) -> Model | None:
     """The model, or None without trusted documents."""
     good = (labels.select(F.col(doc_id).alias("id"), F.col(label).alias("y")).dropna().groupBy("id").agg(F.min("y").alias("y"))
-            .filter("y = 1").orderBy(F.xxhash64("id"), "id").limit(max_labelled).select("id", F.lit(1).alias("good")))
-    base = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("t")).join(F.broadcast(good), "id", "left")
+            .filter("y = 1").select("id", F.lit(1).alias("good")).hint("merge"))             # grows with the table: never broadcast
+    base = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("t"))
     bucket = lambda h: F.transform(h, lambda x: F.pmod(x, F.lit(buckets)).cast("int"))
     grams = let(_hashed(words(F.col("t"))), lambda h: F.concat(bucket(h), bucket(_pairs(h, 1))))
-    rows = (base.select("good", F.explode(grams).alias("b")).groupBy("b")
+    rows = (base.join(good, "id", "left").select("good", F.explode(grams).alias("b")).groupBy("b")
             .agg(F.count("*").alias("raw"), F.count("good").alias("target")).collect())      # at most ``buckets``
     raw, target = np.zeros(buckets), np.zeros(buckets)
     for b, n, t in rows:
@@ -124,8 +129,11 @@ def fit(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str
     p = (target + 1.0) / (target.sum() + buckets)
     q = (raw + 1.0) / (raw.sum() + buckets)
     ratios = np.log(p / q).round(4)
-    trusted = base.filter("good = 1").select("t")                                            # ``max_labelled`` ids at most
-    floor = measures(trusted, Model(ratios, 0.0), text="t").agg(F.percentile("q.score", F.lit(spared))).first()[0]
+    scored = base.select("id", let(_hashed(words(F.col("t"))), lambda h: let(_pairs(h, 1), lambda two: _score(h, two, ratios))).alias("score"))
+    kept = workspace(docs.sparkSession, "quality")
+    trusted = kept.stored(scored.join(good, "id").select("score"), "trusted")
+    floor = quantile_table(trusted, "score", [spared]).first()["q"]
+    kept.remove()
     return Model(ratios, floor)
 
 

@@ -282,6 +282,21 @@ def test_quality_odd_rows(odd_docs, wide_docs, no_docs, labels):
     assert quality.measures(wide_docs.drop("q"), model).count() == len(ODD)
 
 
+def test_quality_learns_from_all_labelled_documents(spark):
+    """Where every document is trusted, target and raw counts are the same."""
+    docs = spark.range(20_500).select(F.col("id").alias("doc_id"), F.concat_ws(" ", F.lit("some"), F.col("id"), F.col("id") * 7).alias("text"))
+    model = quality.fit(docs, docs.select("doc_id", F.lit(1).alias("quality")))
+    assert not model.ratios.any() and model.floor == 0
+
+
+def test_quality_floor_is_the_quantile_of_all_trusted(make_docs, spark):
+    docs = make_docs([(i, " ".join(f"w{(i * k) % 53}" for k in range(1, 4 + i % 30))) for i in range(3_000)] + [(6, ""), (7, None), (9, "w1 w2 w2")])
+    labels = spark.range(3_000).select(F.col("id").alias("doc_id"), (F.col("id") % 3 == 0).cast("int").alias("quality"))
+    model = quality.fit(docs, labels, spared=0.1)
+    scores = [r.q.score for r in quality.measures(docs, model).collect() if r.doc_id % 3 == 0 and r.q.score is not None]
+    assert len(scores) == 1_001 and model.ratios.any() and abs(model.floor - np.quantile(scores, 0.1)) < 1e-12
+
+
 # --- pii
 
 def pseudo(make_docs, texts, key="k"):
