@@ -14,11 +14,13 @@ input; strings never cross documents.
    anchor that occurs once cannot repeat and drop out.  The stretch of bytes that
    consecutive windows of one anchor cover goes to the anchor's shard.
 3. Sort.  A shard reads its stretches as a stream, in groups of one anchor, and
-   sorts all their suffixes with common prefixes by external induced sorting
+   sorts their suffixes with common prefixes by external induced sorting
    (``induced``).  Neighbours with ``WINDOW`` bytes in common are the same window;
    every occurrence but the first becomes a removal range.  Equal stretches of a
    group are one string with several places, and a string alone in its group
-   holds no window twice, since each window has its anchor elsewhere.
+   holds no window twice, since each window has its anchor elsewhere.  Windows
+   whose hash is alone in their group are no one's equal either: of a string, the
+   bytes from the first to the last of its other windows are sorted.
 4. Ranges return to their documents by row key.
 
 Shards are never held: a task sorts a bounded part of its stream at a time and
@@ -61,6 +63,8 @@ BUCKET_BYTES, SORT_BYTES, QUEUE_ROWS = 16 << 20, 24 << 20, 1_000_000
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C55
 _BYTES = ts.mix(np.arange(256, dtype=np.uint64) + _U(1))
+#: Windows whose anchors are found at once.
+BLOCK = 32 << 10
 #: Order of ids where one is null.
 _LEAST = -(1 << 63)
 _ANCHOR = np.dtype([("h", "<u8"), ("rk", "<i8"), ("at", "<u4")])
@@ -83,16 +87,24 @@ def rolling(raw: np.ndarray, size: int) -> np.ndarray:
     return h
 
 
-def least(values: np.ndarray, span: int) -> tuple[np.ndarray, np.ndarray]:
-    """(value, index) of the first least value of every ``span`` values in a row."""
-    at, k = np.arange(len(values), dtype=np.int32), 1
-    while k < span:
-        step = min(k, span - k)
-        right = values[step:] < values[:-step]
-        at = np.where(right, at[step:], at[:-step])
-        values = np.minimum(values[step:], values[:-step])
-        k += step
-    return values, at
+def anchors(raw: np.ndarray, gram: int, span: int) -> tuple[np.ndarray, np.ndarray]:
+    """(value, new) of every ``span`` hashes of ``gram`` bytes in a row: the least
+    hash, and whether its first place is another than that of the span before.
+    Found in blocks that stay in a core's cache."""
+    n, more = len(raw) - gram - span + 2, gram + span - 2
+    value, new = np.empty(n, np.uint64), np.ones(n + 1, bool)
+    for lo in range(0, n, BLOCK):
+        hi = min(n, lo + BLOCK)
+        least = h = rolling(raw[lo:hi + more], gram)
+        k = 1
+        while k < span:
+            step = min(k, span - k)
+            least = np.minimum(least[step:], least[:-step])
+            k += step
+        value[lo:hi] = least
+        np.equal(h[:hi - lo], least, out=new[lo + 1:hi + 1])    # the least one is the first, which the next span lacks
+    new[1:n] |= value[1:] != value[:-1]
+    return value, new[:n]
 
 
 class Piece:
@@ -126,7 +138,7 @@ class Piece:
         n = len(self.raw) - window + 1
         if n <= 0:
             return (np.zeros(0, np.int64),) * 3
-        value, place = least(rolling(self.raw, gram), window - gram + 1)
+        value, new = anchors(self.raw, gram, window - gram + 1)
         keep = np.zeros(n + 1, np.int32)
         begin, end = self.first[:-1], self.first[:-1] + np.maximum(self.size - window + 1, 0)
         np.add.at(keep, begin[end > begin], 1)
@@ -135,15 +147,13 @@ class Piece:
             for start, windows in own or ():
                 keep[self.first[r] + start] -= 1
                 keep[self.first[r] + start + windows] += 1
-        whole = np.flatnonzero(np.cumsum(keep[:-1]) > 0)
-        if not len(whole):
-            return (np.zeros(0, np.int64),) * 3
-        place = place[whole]
-        new = np.ones(len(whole), bool)
-        new[1:] = (place[1:] != place[:-1]) | (whole[1:] != whole[:-1] + 1)
-        a = np.flatnonzero(new)
-        first, last = whole[a], whole[np.append(a[1:], len(whole)) - 1]
-        return value[first], first, last
+        inside = np.cumsum(keep[:-1]) > 0
+        new[1:] |= ~inside[:-1]
+        new &= inside
+        stop = inside
+        stop[:-1] &= new[1:] | ~inside[1:]
+        first = np.flatnonzero(new)
+        return value[first], first, np.flatnonzero(stop)
 
 
 def _batches(batch: pa.RecordBatch, text: str):
@@ -326,20 +336,22 @@ class Shard:
         self.window, self.folder, self.queue_rows = window, folder, queue_rows
         self.carried: list[tuple] = []                      # (key, bytes, id, rk, start) of an unfinished group
 
-    def _heads(self, strings: list[bytes], group: np.ndarray, first: np.ndarray) -> list[np.ndarray]:
+    def _heads(self, strings: list[bytes], group: np.ndarray, first: np.ndarray) -> list[np.ndarray | None]:
         """Of each string, whether each of its windows occurs first at the
-        string's first place."""
+        string's first place; None where all do."""
         size = np.array([len(s) for s in strings], np.int64)
-        heads = [np.ones(n - self.window + 1, bool) for n in size.tolist()]
+        heads: list[np.ndarray | None] = [None] * len(strings)
         several = np.flatnonzero(np.bincount(group)[group] > 1)
+        several, low, high = self._alike(strings, size, group, several)
         if not len(several):
             return heads
-        length = size[several] + 1
+        length = high - low + 1
         begin = np.cumsum(length) - length
         symbols = np.zeros(int(length.sum()), np.int32)
         filled = np.ones(len(symbols), bool)
         filled[begin + length - 1] = False
-        symbols[filled] = np.frombuffer(b"".join([strings[i] for i in several.tolist()]), np.uint8).astype(np.int32) + 1
+        cut = zip(several.tolist(), low.tolist(), high.tolist())
+        symbols[filled] = np.frombuffer(b"".join([strings[i][a:b] for i, a, b in cut]), np.uint8).astype(np.int32) + 1
         own = group[several]
         new = np.flatnonzero(np.diff(own, prepend=-1))
         number = np.cumsum(np.diff(own, prepend=-1) != 0) - 1
@@ -352,14 +364,41 @@ class Shard:
         cluster = np.cumsum(~same)[inside]
         owner, offset = owner[inside], offset[inside]
         at = first[several][owner]
-        order = np.lexsort((at["start"] + offset, at["rk"], at["id"], cluster))
+        order = np.lexsort((at["start"] + low[owner] + offset, at["rk"], at["id"], cluster))
         later = order[np.flatnonzero(np.diff(cluster[order], prepend=-1) == 0)]
         mask = np.ones(len(symbols), bool)
         mask[begin[owner[later]] + offset[later]] = False
-        for i, b in zip(several.tolist(), begin.tolist()):
-            heads[i] = mask[b:b + len(heads[i])]
+        for i, b, a, n in zip(several.tolist(), begin.tolist(), low.tolist(), (length - self.window).tolist()):
+            if not mask[b:b + n].all():
+                heads[i] = np.ones(len(strings[i]) - self.window + 1, bool)
+                heads[i][a:a + n] = mask[b:b + n]
         return heads
 
+    def _alike(self, strings: list[bytes], size: np.ndarray, group: np.ndarray, several: np.ndarray):
+        """Of the strings ``several``, those with windows whose hash occurs again in
+        their group, and the bytes from the first to the last such window."""
+        none = np.zeros(0, np.int64)
+        if not len(several):
+            return several, none, none
+        n = size[several] - self.window + 1
+        first = np.cumsum(n) - n
+        owner = np.repeat(np.arange(len(several)), n)
+        begin = np.cumsum(size[several]) - size[several]
+        offset = np.arange(len(owner)) - first[owner]
+        raw = np.frombuffer(b"".join([strings[i] for i in several.tolist()]), np.uint8)
+        number = np.concatenate([rolling(raw[lo:lo + BLOCK + self.window - 1], self.window) for lo in range(0, len(raw) - self.window + 1, BLOCK)])
+        number = number[begin[owner] + offset] ^ ts.mix(group.astype(np.uint64))[several[owner]]
+        order = np.argsort(number)
+        same = np.flatnonzero(number[order[1:]] == number[order[:-1]])
+        again = np.zeros(len(owner), bool)
+        again[order[same]] = again[order[same + 1]] = True
+        at = np.flatnonzero(again)
+        if not len(at):
+            return none, none, none
+        head = np.flatnonzero(np.diff(owner[at], prepend=-1))
+        tail = np.append(head[1:], len(at)) - 1
+        return several[owner[at[head]]], offset[at[head]], offset[at[tail]] + self.window
+
     def locate(self, rows: list[tuple], unfinished: int | None) -> tuple[list, list]:
         """(ranges: (rk, start, length); first windows: (whole, id, rk, start)) of
         rows in order of key and first place.  ``unfinished``: the last key, if
@@ -397,11 +436,11 @@ class Shard:
                 elif i >= old:
                     if whole[i] is not None:
                         firsts.append((whole[i], *place))
-                    if not head.all():
+                    if head is not None:
                         _, rk, start = place
                         at = np.flatnonzero(~head)
-                        cut = np.flatnonzero(np.diff(at, prepend=-self.window - 2) > self.window)
-                        for a, b in zip(at[cut].tolist(), at[np.append(cut[1:], len(at)) - 1].tolist()):
+                        gap = np.flatnonzero(at[1:] - at[:-1] > self.window)
+                        for a, b in zip([int(at[0]), *at[gap + 1].tolist()], [*at[gap].tolist(), int(at[-1])]):
                             ranges.append((rk, start + a, b - a + self.window))
         self.carried = [(k, s, *f) for k, s, f in zip(group, strings, first) if k == unfinished]
         return ranges, firsts

@@ -2,9 +2,11 @@
 
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
-from paneltide.llm import suffixes
+from paneltide.llm import suffixes, textscan
 
 from .conftest import ODD
 
@@ -78,3 +80,37 @@ def test_odd_rows(odd_docs, wide_docs, no_docs):
         assert {r[0]: r[2] for r in rows}[6] == len(ODD[8][1])
     assert set(suffixes.remove_repeats(wide_docs).schema["row"].dataType.names) == set(wide_docs.columns) - {"text"}
     assert got(no_docs) == []
+
+
+def test_runs_share_the_first_least_hash():
+    texts = ["x" * 90, "ab" * 60, "short", "".join(random.Random(3).choices("abc", k=70_000)), ""]
+    raw, off = textscan.buffer_of(pa.array(texts))
+    piece, window, gram = suffixes.Piece(raw, off, 0, len(texts)), 40, 12
+    hashes = suffixes.rolling(piece.raw, gram)
+    want = []
+    for r, n in enumerate(piece.size.tolist()):
+        if n >= window:
+            _, place = textscan.least(hashes[piece.first[r]:piece.first[r] + n - gram + 1], window - gram + 1)
+            edges = np.flatnonzero(np.diff(place, prepend=-1, append=-1))
+            want += [(int(hashes[piece.first[r] + place[a]]), int(piece.first[r] + a), int(piece.first[r] + b - 1)) for a, b in zip(edges[:-1], edges[1:])]
+    assert [tuple(map(int, x)) for x in zip(*piece.runs(window, gram, None))] == want
+
+
+def test_sort_takes_only_windows_that_may_repeat(monkeypatch):
+    rng = random.Random(4)
+    own = [bytes(rng.choices(range(97, 123), k=300)) for _ in range(4)]
+    shared = b"the passage that two of the strings have in common, of fifty bytes and more"
+    strings = [own[0] + shared + own[1], own[2] + shared, own[3], b"alone in its group" * 5]
+    sorted_ = []
+
+    def sort(symbols, *rest):
+        sorted_.append(len(symbols))
+        return whole(symbols, *rest)
+
+    whole = suffixes.sort_suffixes
+    monkeypatch.setattr(suffixes, "sort_suffixes", sort)
+    places = np.array([(i, i, 0) for i in range(4)], suffixes._PLACE)
+    heads = suffixes.Shard(40, "unused")._heads(strings, np.array([0, 0, 0, 1]), places)
+    assert sorted_ == [2 * (len(shared) + 1)]
+    assert heads[0] is heads[2] is heads[3] is None
+    assert np.flatnonzero(~heads[1]).tolist() == list(range(300, 300 + len(shared) - 39))
