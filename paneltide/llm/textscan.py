@@ -40,6 +40,18 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
+def least(values: np.ndarray, span: int) -> tuple[np.ndarray, np.ndarray]:
+    """(value, index) of the first least value of every ``span`` values in a row."""
+    at, k = np.arange(len(values), dtype=np.int32), 1
+    while k < span:
+        step = min(k, span - k)
+        right = values[step:] < values[:-step]
+        at = np.where(right, at[step:], at[:-step])
+        values = np.minimum(values[step:], values[:-step])
+        k += step
+    return values, at
+
+
 def buffer_of(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, row offsets) of a string or binary column; null becomes empty."""
     if isinstance(column, pa.ChunkedArray):

@@ -268,6 +268,36 @@ def test_signatures_estimate_weighted_jaccard():
     assert abs(np.mean(sig[0] == sig[1]) - true) < 0.08
 
 
+def test_least_is_the_first_of_each_span():
+    rng = np.random.default_rng(5)
+    for span in (1, 2, 7, 15):
+        values = rng.integers(0, 9, 200).astype(np.uint64)
+        value, at = textscan.least(values, span)
+        want = [int(np.argmin(values[i:i + span])) + i for i in range(200 - span + 1)]
+        assert at.tolist() == want and value.tolist() == values[want].tolist()
+
+
+def test_shard_streams_only_fragments_that_may_hold_phrases(monkeypatch):
+    streamed = []
+
+    class Automaton:
+        def __init__(self, *args):
+            self.own = made(*args)
+            self.add_word, self.make_automaton = self.own.add_word, self.own.make_automaton
+
+        def iter(self, words):
+            streamed.append(words)
+            return self.own.iter(words)
+
+    made = phrases.ahocorasick.Automaton
+    monkeypatch.setattr(phrases.ahocorasick, "Automaton", Automaton)
+    words = lambda *w: np.array(w, "<u4").tobytes()
+    rows = [(1, 10, 7, 0, words(1, 2, 3), None), (2, 10, 7, 5, words(4, 5, 6, 7), None), (2, 11, 8, 0, words(3, 4, 5, 6), None),
+            (3, 10, 7, 9, words(7, 8, 9), None), (3, 12, 9, 9, words(9, 8, 9), None)]
+    assert phrases.Shard(3).locate(rows, None) == [(8, 1, 3)]
+    assert streamed == [(4, 5, 6, 7), (3, 4, 5, 6)]
+
+
 # --- quality
 
 def test_quality_odd_rows(odd_docs, wide_docs, no_docs, labels):
