@@ -2,8 +2,10 @@
 
 Each round links a node's neighbours to the least node around it (large star,
 then small star), as two aggregations and two joins; the number of rounds grows
-with the logarithm of the graph.  Only a row count and a checksum of the edges
-reach the driver; every round is a table in the shared folder.
+with the logarithm of the graph.  The rounds end as soon as the edges are stars
+around least nodes.  Only that answer and the number of edges reach the driver;
+every round is a table in the shared folder, in files of about ``FILE_ROWS``
+edges: a round never has more edges than the one before.
 """
 
 from __future__ import annotations
@@ -13,6 +15,8 @@ from pyspark.sql import functions as F
 
 from .common import stored
 
+FILE_ROWS = 1 << 18
+
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.select("u", "v").unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -27,16 +31,32 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.unionAll(least.select("u", F.col("m").alias("v"))).distinct()
 
 
-def components(edges: DataFrame, name: str = "components") -> DataFrame:
+def _state(edges: DataFrame) -> tuple[int, bool]:
+    """The number of edges; whether each node has one neighbour below it, which
+    has none below itself, or else none."""
+    ends = edges.select(F.col("u").alias("node"), F.col("v").alias("low"), F.lit(1).alias("n")).unionAll(
+        edges.select(F.col("v").alias("node"), F.col("v").alias("low"), F.lit(0).alias("n")))
+    of_node = ends.groupBy("node").agg(F.min("low").alias("least"), F.max("low").alias("most"), F.sum("n").alias("n"))
+    n, more = of_node.agg(F.sum("n"), F.max(F.expr("least != most OR most > node"))).first()
+    return n or 0, not more
+
+
+def _few_files(df: DataFrame, rows: int) -> DataFrame:
+    """``df``, of at most ``rows`` small rows, in as many partitions as these
+    need, where a small table would be a file for each shuffle partition."""
+    return df.coalesce(max(1, -(-rows // FILE_ROWS)))
+
+
+def components(edges: DataFrame, name: str = "components", most: int | None = None) -> DataFrame:
     """(node, component) for every node of ``edges`` (columns u and v; a
-    component is named by its least node).  Loops and repeated edges are fine."""
-    edges = stored(edges.select("u", "v").filter("u != v").distinct(), name)
-    seen = None
+    component is named by its least node).  Loops and repeated edges are fine.
+    ``most``: a bound of the number of edges, if known."""
+    edges = edges.select("u", "v").filter("u != v").distinct()
+    edges = stored(edges if most is None else _few_files(edges, most), name)
     while True:
-        edges = stored(_small_star(_large_star(edges)), name)
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == seen or now[0] == 0:
+        n, stars = _state(edges)
+        if stars:
             break
-        seen = now
+        edges = stored(_few_files(_small_star(_large_star(edges)), n), name)
     heads = edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionAll(heads)

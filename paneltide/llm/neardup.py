@@ -313,7 +313,7 @@ def classes(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", thre
     signed = stored(_signed(docs, idf, doc_id, text), "signatures")
     units = signed.filter("bands is not null").groupBy("unit").agg(
         F.min("rk").alias("rk"), F.first("size").alias("size"), F.first("bands").alias("bands"))
-    groups = components(_candidate_links(units), "candidates").withColumnRenamed("node", "unit")
+    groups = components(_candidate_links(units), "candidates", BANDS * signed.count()).withColumnRenamed("node", "unit")
     members = groups.join(units, "unit")
     blocks = (members.groupBy("component").agg(F.sum("size").alias("bytes"))
               .select("component", F.ceil(F.col("bytes") / block_bytes).cast("int").alias("blocks")))
@@ -331,7 +331,7 @@ def classes(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", thre
     if members.filter("blocks > 1").limit(1).count():
         links = links.unionAll(stored(_across(members, links, texts, idf, threshold, block_bytes), "links"))
 
-    merged = components(links, "classes").withColumnRenamed("node", "unit")
+    merged = components(links, "classes", links.count()).withColumnRenamed("node", "unit")
     alone = F.when(F.col("bands").isNotNull(), F.col("unit"))
     named = signed.withColumn("unit", alone).join(merged, "unit", "left").select(
         "id", "rk", F.coalesce("component", "unit").alias("class"))
@@ -348,7 +348,7 @@ def _across(members: DataFrame, links: DataFrame, texts: DataFrame, idf, thresho
     """Links of dealt groups between the classes that their blocks left: every
     pair of band mates of different classes meets in the bucket of its first
     common band, a bucket over ``block_bytes`` two parts at a time."""
-    label = components(links, "blocks").withColumnRenamed("node", "unit").withColumnRenamed("component", "label")
+    label = components(links, "blocks", links.count()).withColumnRenamed("node", "unit").withColumnRenamed("component", "label")
     rows = stored(members.filter("blocks > 1").join(label, "unit", "left").select(
         "unit", "rk", "size", "bands", F.coalesce("label", "unit").alias("label")), "labels").select(
         "*", F.posexplode("bands").alias("at", "hash"))
