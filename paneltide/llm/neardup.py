@@ -36,6 +36,8 @@ may be null (a null id names a class only if all its ids are null).
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -83,6 +85,12 @@ def bags(words: ts.Words, n: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.
     return rows[at], grams[at], np.diff(np.append(at, len(rows)))
 
 
+def bag_pieces(texts) -> Iterator[tuple[int, int, ts.Words, tuple[np.ndarray, np.ndarray, np.ndarray]]]:
+    """(lo, hi, words, bags) of rows ``lo:hi``, a small piece of the texts at a time."""
+    for lo, hi, words in ts.word_batches(texts, ts.SPACE, lower=True, limit=ts.SMALL_PIECE_BYTES):
+        yield lo, hi, words, bags(words)
+
+
 def _slots(gram: np.ndarray) -> list[np.ndarray]:
     """Slot of each shingle in each row of the sketch: other bits of its hash."""
     return [(gram >> _U(64 - (k + 1) * SLOT_BITS) & _U(SLOTS - 1)).astype(np.int64) for k in range(DEPTH)]
@@ -99,8 +107,8 @@ def document_frequencies(docs: DataFrame, text: str = "text") -> np.ndarray:
     def count(batches):
         total, rows = np.zeros((DEPTH, SLOTS), dtype=np.int64), 0
         for batch in batches:
-            for _, _, words in ts.word_batches(batch.column(0), ts.SPACE, lower=True):
-                for k, slot in enumerate(_slots(bags(words)[1])):
+            for _, _, _, (_, gram, _) in bag_pieces(batch.column(0)):
+                for k, slot in enumerate(_slots(gram)):
                     total[k] += np.bincount(slot, minlength=SLOTS)
             rows += batch.num_rows
         yield rows_of(total, rows)
@@ -174,20 +182,24 @@ class Bags:
 
     def __init__(self, texts, idf: np.ndarray):
         rows, grams, counts, done = [], [], [], 0
-        for lo, hi, words in ts.word_batches(texts, ts.SPACE, lower=True):
-            row, gram, count = bags(words)
+        for lo, hi, _, (row, gram, count) in bag_pieces(texts):
             rows.append(row + lo)
             grams.append(gram)
             counts.append(count)
             done = hi
         row, gram, count = np.concatenate(rows), np.concatenate(grams), np.concatenate(counts)
-        kinds, number = np.unique(gram, return_inverse=True)
+        del rows, grams, counts                      # large arrays go as soon as they are used
         at = np.repeat(np.arange(len(gram)), count)
-        copy = np.arange(len(at)) - np.repeat(np.cumsum(count) - count, count)
-        ids, self.column = np.unique(number[at] * (int(count.max(initial=0)) + 1) + copy, return_inverse=True)
-        self.weight = weights(gram[at], np.ones(len(at)), idf)
-        self.first = np.searchsorted(row[at], np.arange(done + 1))
-        self.mass = np.bincount(row[at], weights=self.weight, minlength=done)
+        self.weight = weights(gram, np.ones(len(gram), np.float32), idf)[at]
+        row = row[at]
+        self.first = np.searchsorted(row, np.arange(done + 1))
+        self.mass = np.bincount(row, weights=self.weight, minlength=done)
+        del row
+        copy = np.unique(gram, return_inverse=True)[1][at] * (int(count.max(initial=0)) + 1)
+        del gram, at
+        copy += np.arange(len(copy)) - np.repeat(np.cumsum(count) - count, count)
+        del count
+        ids, self.column = np.unique(copy, return_inverse=True)
         self.marked = np.zeros(len(ids))
 
     def similarities(self, i: int, others: np.ndarray) -> np.ndarray:
@@ -217,8 +229,7 @@ def _signed(docs: DataFrame, idf, doc_id: str, text: str) -> DataFrame:
         table = idf.value
         for batch in batches:
             found = []
-            for lo, hi, words in ts.word_batches(batch.column(4), ts.SPACE, lower=True):
-                row, gram, count = bags(words)
+            for lo, hi, words, (row, gram, count) in bag_pieces(batch.column(4)):
                 sig = signatures(row, gram, weights(gram, count, table), hi - lo).view(np.int64)
                 has = words.counts() > 0
                 found += [s if h else None for s, h in zip(sig.tolist(), has.tolist())]

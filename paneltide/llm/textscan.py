@@ -16,6 +16,9 @@ import numpy as np
 import pyarrow as pa
 
 PIECE_BYTES = 2 << 20
+#: Pieces of scans that hold some 60 bytes for a byte of text: several word or
+#: n-gram tables at a time.
+SMALL_PIECE_BYTES = 512 << 10
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C55          # odd, so that powers never vanish
 _STEP = _U(0xD6E8FEB86659FD93)
@@ -147,9 +150,9 @@ class Words:
         return at, mix(acc[at])
 
 
-def word_batches(column, separators, lower=False) -> Iterator[tuple[int, int, Words]]:
+def word_batches(column, separators, lower=False, limit: int = PIECE_BYTES) -> Iterator[tuple[int, int, Words]]:
     raw, off = buffer_of(column)
-    for lo, hi in pieces(off):
+    for lo, hi in pieces(off, limit):
         yield lo, hi, Words(raw, off, lo, hi, separators, lower)
 
 

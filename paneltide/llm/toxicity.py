@@ -60,7 +60,7 @@ def features(docs: DataFrame, text: str = "text") -> DataFrame:
     def run(batches):
         for batch in batches:
             out = []
-            for lo, hi, words in ts.word_batches(field(batch, text), ts.NON_ALNUM, lower=True):
+            for lo, hi, words in ts.word_batches(field(batch, text), ts.NON_ALNUM, lower=True, limit=ts.SMALL_PIECE_BYTES):
                 row, slot = _slots(words)
                 own = np.unique(row.astype(np.uint64) << _U(BITS) | slot)
                 cut = np.searchsorted(own, np.arange(hi - lo + 1, dtype=np.uint64) << _U(BITS))
@@ -139,7 +139,7 @@ def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float], *, text:
         dense[feats] = weights
         for batch in batches:
             total = np.full(batch.num_rows, bias)
-            for lo, hi, words in ts.word_batches(field(batch, text), ts.NON_ALNUM, lower=True):
+            for lo, hi, words in ts.word_batches(field(batch, text), ts.NON_ALNUM, lower=True, limit=ts.SMALL_PIECE_BYTES):
                 row, slot = _slots(words)
                 hot = np.flatnonzero(dense[slot])
                 own = np.unique(row[hot].astype(np.uint64) << _U(BITS) | slot[hot])
